@@ -1,0 +1,97 @@
+"""Reading semi-structured payloads held as VARIANT.
+
+The rules follow dynamic JSON code: a missing path is NULL and never an error, and "first of
+several paths" means the first *truthy* one, so an empty text or a zero is passed over.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+EMPTY_OBJECT = "{}"
+
+
+def at(value: Column, path: str, kind: str = "variant") -> Column:
+    """The value at a path, or NULL when it is missing or of another type."""
+    return F.try_variant_get(value, path, kind)
+
+
+def items(value: Column, path: str = "$") -> Column:
+    """Array elements at a path; NULL when there is no array."""
+    return at(value, path, "array<variant>")
+
+
+def is_object(value: Column) -> Column:
+    return F.coalesce(at(value, "$", "map<string,variant>").isNotNull(), F.lit(False))
+
+
+def empty_object() -> Column:
+    return F.parse_json(F.lit(EMPTY_OBJECT))
+
+
+def _type(value: Column) -> Column:
+    return F.schema_of_variant(value)
+
+
+def is_text(value: Column) -> Column:
+    return F.coalesce(_type(value) == "STRING", F.lit(False))
+
+
+def is_number(value: Column) -> Column:
+    return F.coalesce(_type(value).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), F.lit(False))
+
+
+def text_of(value: Column) -> Column:
+    """The value if it is a text, else NULL."""
+    return F.when(is_text(value), at(value, "$", "string"))
+
+
+def number_of(value: Column) -> Column:
+    """The value as DOUBLE if it is a JSON number, else NULL."""
+    return F.when(is_number(value), at(value, "$", "double"))
+
+
+def is_truthy(value: Column) -> Column:
+    """Neither missing, null, false, zero nor empty."""
+    as_text = at(value, "$", "string")
+    kind = _type(value)
+    return F.coalesce(
+        F.when(kind == "STRING", as_text != "")
+        .when(is_number(value), at(value, "$", "double") != 0)
+        .otherwise(~as_text.isin("false", "{}", "[]")),
+        F.lit(False),
+    )
+
+
+def truthy_or(value: Column, other: Column) -> Column:
+    return F.when(is_truthy(value), value).otherwise(other)
+
+
+def first_truthy(value: Column, *paths: str) -> Column:
+    """Text of the first path that is not empty; the last path is taken as it is."""
+    texts = [at(value, p, "string") for p in paths]
+    return F.coalesce(*(F.nullif(t, F.lit("")) for t in texts[:-1]), texts[-1])
+
+
+def scalar_text(value: Column) -> Column:
+    """A scalar as dynamic code prints it: ``True``, ``70.0``, ``7``, or the text itself."""
+    as_text = at(value, "$", "string")
+    kind = _type(value)
+    return (
+        F.when(kind == "BOOLEAN", F.initcap(as_text))
+        .when(kind.rlike(r"^DECIMAL\(\d+,0\)"), F.concat(as_text, F.lit(".0")))
+        .otherwise(as_text)
+    )
+
+
+def whole_number(value: Column) -> Column:
+    """INT from a JSON integer or a digits-only text, else NULL."""
+    as_text = at(value, "$", "string")
+    plain = _type(value).isin("BIGINT", "STRING") & as_text.rlike("^[0-9]+$")
+    return F.when(plain, as_text.try_cast("int"))
+
+
+def truth(value: Column) -> Column:
+    """Nullable flag: NULL when missing or null, otherwise truthiness."""
+    return F.when(value.isNotNull() & ~F.is_variant_null(value), is_truthy(value))
