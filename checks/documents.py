@@ -11,61 +11,62 @@ from pyspark.sql import functions as F
 from checks.registry import table
 
 
-def _name(value: Column) -> Column:
-    return F.struct(value.alias("name"))
+def _obj(**fields: Column) -> Column:
+    """JSON object; fields that are NULL are left out of the text."""
+    return F.struct(*(value.alias(name) for name, value in fields.items()))
 
 
-def _link(url: Column) -> Column:
-    return F.struct(url.alias("$ref"))
+def _none(kind: str) -> Column:
+    return F.lit(None).cast(kind)
 
 
 def athlete_url(key: Column) -> Column:
     return F.concat(F.lit("http://x/athletes/"), key.cast("string"), F.lit("?lang=en"))
 
 
+def _stat(name=None, short=None, shown=None, value=None) -> Column:
+    def text(c):
+        return _none("string") if c is None else c
+
+    return _obj(
+        name=text(name), shortDisplayName=text(short), displayValue=text(shown),
+        value=_none("bigint") if value is None else value,
+    )
+
+
 def _bout(i: Column) -> Column:
     k, status = F.col("o_orderkey"), F.col("o_orderstatus")
     number = i + 1
     stats = F.array(
-        F.struct(
-            F.lit("kd ").alias("name"),
-            F.lit(None).cast("string").alias("shortDisplayName"),
-            F.lit("1").alias("displayValue"),
-            F.lit(None).cast("bigint").alias("value"),
-        ),
-        F.struct(F.lit(None), F.lit("td"), F.lit(""), k * 0 + i),
-        F.struct(F.lit("kd"), F.lit(None), k.cast("string"), F.lit(None)),
+        _stat(name=F.lit("kd "), shown=F.lit("1")),
+        _stat(short=F.lit("td"), shown=F.lit(""), value=i.cast("bigint")),
+        _stat(name=F.lit("kd"), shown=k.cast("string")),
     )
-    first = F.struct(
-        F.when(status == "F", True).when(status == "O", False).alias("winner"),
-        F.struct(
-            athlete_url(F.col("o_custkey")).alias("$ref"),
-            F.lit(None).cast("string").alias("displayName"),
-        ).alias("athlete"),
-        stats.alias("statistics"),
+    linked = _obj(**{"$ref": athlete_url(F.col("o_custkey")), "displayName": _none("string")})
+    guest = F.concat(F.lit("Guest "), (k + i).cast("string"))
+    inline = _obj(**{"$ref": _none("string"), "displayName": guest})
+    first = _obj(
+        winner=F.when(status == "F", True).when(status == "O", False),
+        athlete=linked,
+        statistics=stats,
     )
-    second = F.struct(
-        F.when(status == "F", False).when(status == "O", True).alias("winner"),
-        F.struct(
-            F.lit(None).cast("string").alias("$ref"),
-            F.concat(F.lit("Guest "), (k + i).cast("string")).alias("displayName"),
-        ).alias("athlete"),
-        F.lit(None).cast(
-            "array<struct<name:string,shortDisplayName:string,displayValue:string,value:bigint>>"
-        ).alias("statistics"),
+    second = _obj(
+        winner=F.when(status == "F", False).when(status == "O", True),
+        athlete=inline,
+        statistics=F.when(F.lit(False), stats),
     )
-    return F.struct(
-        (k * 10 + i).cast("string").alias("id"),
-        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("date"),
-        F.concat(F.lit("Bout "), k.cast("string"), F.lit("-"), number.cast("string")).alias("name"),
-        F.when(k % 2 == 0, number).alias("matchNumber"),
-        F.when(k % 2 == 1, number.cast("string")).alias("order"),
-        F.when(i == 0, F.struct(F.col("o_orderpriority").alias("text"))).alias("type"),
-        F.when(i > 0, _link(F.concat(F.lit("http://x/class/"), F.substring("o_orderpriority", 1, 1))))
-        .alias("weightClass"),
-        F.struct(_name(status).alias("type")).alias("status"),
-        F.struct(F.concat(F.lit("Hall "), status).alias("fullName")).alias("venue"),
-        F.array(first, second).alias("competitors"),
+    class_url = F.concat(F.lit("http://x/class/"), F.substring("o_orderpriority", 1, 1))
+    return _obj(
+        id=(k * 10 + i).cast("string"),
+        date=F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+        name=F.concat(F.lit("Bout "), k.cast("string"), F.lit("-"), number.cast("string")),
+        matchNumber=F.when(k % 2 == 0, number),
+        order=F.when(k % 2 == 1, number.cast("string")),
+        type=F.when(i == 0, _obj(text=F.col("o_orderpriority"))),
+        weightClass=F.when(i > 0, _obj(**{"$ref": class_url})),
+        status=_obj(type=_obj(name=status)),
+        venue=_obj(fullName=F.concat(F.lit("Hall "), status)),
+        competitors=F.array(first, second),
     )
 
 
@@ -73,29 +74,22 @@ def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(day, event_id, payload): plain and enveloped events, with gaps at the top level."""
     k, status = F.col("o_orderkey"), F.col("o_orderstatus")
     last = (k % 3).cast("int")
-    event = F.struct(
-        k.alias("id"),
-        F.when(k % 5 != 0, F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm'Z'"))
-        .alias("date"),
-        F.when(k % 4 == 0, F.lit("")).otherwise(F.concat(F.lit("Event "), k.cast("string")))
-        .alias("name"),
-        F.when(k % 10 == 3, F.concat(F.lit("E"), k.cast("string"))).alias("shortName"),
-        F.when(
-            k % 3 == 0,
-            F.struct(
-                F.concat(F.lit(" Hall "), F.col("o_orderpriority")).alias("fullName"),
-                F.struct(status.alias("country")).alias("address"),
-            ),
-        ).alias("venue"),
-        F.when(
-            k % 2 == 0,
-            F.struct(_name(status).alias("type"), F.lit(None).cast("string").alias("name")),
-        )
-        .when(k % 7 != 0, F.struct(F.lit(None).alias("type"), status.alias("name")))
-        .alias("status"),
-        F.transform(F.sequence(F.lit(0), last), _bout).alias("competitions"),
+    hall = _obj(
+        fullName=F.concat(F.lit(" Hall "), F.col("o_orderpriority")), address=_obj(country=status)
     )
-    payload = F.when(k % 10 == 3, F.to_json(F.struct(event.alias("header")))).otherwise(
+    event = _obj(
+        id=k,
+        date=F.when(k % 5 != 0, F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm'Z'")),
+        name=F.when(k % 4 == 0, F.lit("")).otherwise(F.concat(F.lit("Event "), k.cast("string"))),
+        shortName=F.when(k % 10 == 3, F.concat(F.lit("E"), k.cast("string"))),
+        venue=F.when(k % 3 == 0, hall),
+        status=_obj(
+            type=F.when(k % 2 == 0, _obj(name=status)),
+            name=F.when((k % 2 == 1) & (k % 7 != 0), status),
+        ),
+        competitions=F.transform(F.sequence(F.lit(0), last), _bout),
+    )
+    payload = F.when(k % 10 == 3, F.to_json(_obj(header=event))).otherwise(
         F.to_json(event)
     )
     return table(spark, sf_dir, "orders").select(
@@ -108,15 +102,15 @@ def event_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     athletes = table(spark, sf_dir, "customer").select(
         athlete_url(F.col("c_custkey")).alias("url"),
         F.to_json(
-            F.struct(
-                F.when(F.col("c_custkey") % 2 == 0, F.col("c_name")).alias("displayName"),
-                F.col("c_name").alias("fullName"),
+            _obj(
+                displayName=F.when(F.col("c_custkey") % 2 == 0, F.col("c_name")),
+                fullName=F.col("c_name"),
             )
         ).alias("payload"),
     )
     classes = table(spark, sf_dir, "orders").select("o_orderpriority").distinct().select(
         F.concat(F.lit("http://x/class/"), F.substring("o_orderpriority", 1, 1)).alias("url"),
-        F.to_json(_name(F.col("o_orderpriority"))).alias("payload"),
+        F.to_json(_obj(name=F.col("o_orderpriority"))).alias("payload"),
     )
     return athletes.unionByName(classes)
 
@@ -154,78 +148,115 @@ BOUT_ROWS = """bout_rows AS (
   FROM (SELECT *, unnest(range(n)) AS i FROM ev))"""
 
 
+def _born(k: Column) -> Column:
+    day = F.date_add(F.lit("1970-01-01").cast("date"), (k % 9000).cast("int"))
+    return F.date_format(day, "yyyy-MM-dd")
+
+
 def profile_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(athlete_id, payload): customers as profiles, each field in several shapes."""
-    c = table(spark, sf_dir, "customer")
-    k, nation = F.col("c_custkey"), F.col("c_nationkey").cast("string")
+    """(athlete_id, payload): customers as profiles, each field in several shapes.
+
+    A NULL field is left out of the JSON text, so each row has one shape of every field.
+    """
+    k, segment = F.col("c_custkey"), F.col("c_mktsegment")
+    nation = F.col("c_nationkey").cast("string")
     country = F.concat(F.lit("N"), nation)
     cm, inches = F.lit(150.9) + k % 60, F.lit(60.5) + k % 20
-    none = F.lit(None)
-
-    def when(divisor: int, rest: int, value: Column) -> Column:
-        return F.when(k % divisor == rest, value)
+    feet = (F.lit(4) + F.floor(k / 6) % 3).cast("string")
+    even = k % 2 == 0
+    no_text, no_number = _none("string"), _none("double")
 
-    def variant(*cases: tuple[int, Column]) -> Column:
-        """A field whose JSON type differs from row to row."""
-        text = none.cast("string")
-        for rest, value in cases:
-            text = F.when(k % 6 == rest, value).otherwise(text)
+    def mixed(*texts: tuple[Column, Column]) -> Column:
+        """JSON values of different types in one field."""
+        text = no_text
+        for condition, value in texts:
+            text = F.when(condition, value).otherwise(text)
         return F.parse_json(text)
 
-    def texts(value: Column, *names: str) -> Column:
-        return F.struct(*((value if n == names[0] else none.cast("string")).alias(n) for n in names))
-
-    stance = F.when(k % 4 == 0, F.to_json(F.struct(F.col("c_mktsegment").alias("text"))))
-    stance = stance.when(k % 4 == 1, F.to_json(_name(F.col("c_mktsegment"))))
-    stance = stance.when(k % 4 == 2, F.concat(F.lit('"'), F.col("c_mktsegment"), F.lit('"')))
-    measurement = F.struct(
-        F.lit("Height").alias("type"), cm.alias("value"), none.cast("double").alias("centimeters")
-    )
-    reach = F.struct(F.lit("reach"), none.cast("double"), cm)
-    place = F.struct(
-        when(5, 2, F.concat(F.lit("http://x/places/"), nation)).alias("$ref"),
-        when(5, 3, F.lit("")).alias("country"),
-        when(5, 3, country).alias("name"),
-    )
-    style = F.array(
-        F.struct(F.lit("Judo").alias("text"), none.cast("string").alias("name")),
-        F.struct(none.cast("string"), F.lit("Boxing")),
-        F.struct(F.lit("Judo"), none.cast("string")),
+    judo = _obj(text=F.lit("Judo"), name=no_text)
+    boxing = _obj(text=no_text, name=F.lit("Boxing"))
+    karate = _obj(text=F.lit("Karate"), name=no_text)
+    link = F.concat(F.lit("http://x/places/"), nation)
+    body = _obj(
+        error=F.when(k % 50 == 49, F.lit("timed out")),
+        fullName=F.when(k % 3 != 0, F.col("c_name")),
+        name=F.when(k % 3 == 0, F.col("c_name")),
+        displayName=F.upper("c_name"),
+        birthDate=F.when(even, F.concat(_born(k), F.lit("T08:00Z"))),
+        dateOfBirth=F.when(~even, _born(k)),
+        citizenship=F.when(k % 5 == 0, country).when(k % 5 == 1, F.lit("")),
+        association=_obj(
+            name=F.when(k % 7 != 0, F.concat(F.lit("Team "), nation)),
+            location=F.when(k % 5 == 1, _obj(country=country)),
+        ),
+        birthPlace=F.when(
+            k % 5 == 2, _obj(**{"$ref": link, "country": no_text, "name": no_text})
+        ).when(k % 5 == 3, _obj(**{"$ref": no_text, "country": F.lit(""), "name": country})),
+        citizenshipCountry=F.when(
+            k % 5 == 4, _obj(alt=F.when(even, country), name=F.when(~even, country))
+        ),
+        heightCentimeters=F.when(k % 6 == 0, cm),
+        height=mixed(
+            (k % 6 == 1, F.to_json(_obj(centimeters=cm))), (k % 6 == 2, inches.cast("string"))
+        ),
+        displayHeight=F.when(k % 6 == 3, F.concat(F.lit(" "), feet, F.lit("' 7\""))),
+        reachCentimeters=F.when(k % 6 == 0, cm),
+        reach=mixed((k % 6 == 1, F.to_json(_obj(cm=cm))), (k % 6 == 2, inches.cast("string"))),
+        displayReach=F.when(k % 6 == 3, F.concat(inches.cast("string"), F.lit('"'))),
+        measurements=F.when(
+            k % 6 == 4,
+            F.array(
+                _obj(type=F.lit("Height"), value=cm, centimeters=no_number),
+                _obj(type=F.lit("reach"), value=no_number, centimeters=cm),
+            ),
+        ),
+        stance=mixed(
+            (k % 4 == 0, F.to_json(_obj(text=segment))),
+            (k % 4 == 1, F.to_json(_obj(name=segment))),
+            (k % 4 == 2, F.concat(F.lit('"'), segment, F.lit('"'))),
+        ),
+        fightingStyle=F.lit("Freestyle"),
+        weightClass=_obj(text=F.when(even, segment), shortName=F.when(~even, segment)),
+        styles=F.when(k % 3 == 0, F.array(judo, boxing, judo)).when(k % 3 == 1, F.array(karate)),
+        headshot=_obj(href=F.concat(F.lit("http://x/img/"), k.cast("string"))),
     )
-    body = F.struct(
-        F.when(k % 3 != 0, F.col("c_name")).alias("fullName"),
-        F.when(k % 3 == 0, F.col("c_name")).alias("name"),
-        F.upper("c_name").alias("displayName"),
-        when(2, 0, F.concat(born_text(k), F.lit("T08:00Z"))).alias("birthDate"),
-        when(2, 1, born_text(k)).alias("dateOfBirth"),
-        F.when(k % 5 == 0, country).when(k % 5 == 1, F.lit("")).alias("citizenship"),
-        F.struct(
-            F.when(k % 7 != 0, F.concat(F.lit("Team "), nation)).alias("name"),
-            when(5, 1, F.struct(country.alias("country"))).alias("location"),
-        ).alias("association"),
-        F.when((k % 5 == 2) | (k % 5 == 3), place).alias("birthPlace"),
-        when(5, 4, texts(country, "alt", "name")).alias("citizenshipCountry"),
-        when(6, 0, cm).alias("heightCentimeters"),
-        variant(
-            (1, F.to_json(F.struct(cm.alias("centimeters")))), (2, inches.cast("string"))
-        ).alias("height"),
-        when(6, 3, F.concat((F.lit(4) + k % 3).cast("string"), F.lit("' 7\""))).alias("displayHeight"),
-        variant((1, F.to_json(F.struct(cm.alias("cm")))), (2, inches.cast("string"))).alias("reach"),
-        when(6, 0, cm).alias("reachCentimeters"),
-        when(6, 3, F.concat(inches.cast("string"), F.lit('"'))).alias("displayReach"),
-        when(6, 4, F.array(measurement, reach)).alias("measurements"),
-        F.parse_json(stance).alias("stance"),
-        F.lit("Freestyle").alias("fightingStyle"),
-        F.when(k % 2 == 0, texts(F.col("c_mktsegment"), "text", "shortName"))
-        .otherwise(texts(F.col("c_mktsegment"), "shortName", "text"))
-        .getField("text").alias("_unused"),
-        style.alias("styles"),
-        F.struct(F.concat(F.lit("http://x/img/"), k.cast("string"))).alias("headshot"),
+    return table(spark, sf_dir, "customer").select(
+        k.alias("athlete_id"), F.to_json(body).alias("payload")
     )
-    return c.select(k.alias("athlete_id"), F.to_json(body).alias("payload"))
 
 
-def born_text(k: Column) -> Column:
-    return F.date_format(
-        F.date_add(F.lit("1970-01-01").cast("date"), (k % 9000).cast("int")), "yyyy-MM-dd"
+def place_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(url, payload): birth places, some without a country of their own."""
+    key = F.col("n_nationkey")
+    country = F.when(key % 2 == 0, F.col("n_name")).otherwise(F.lit(""))
+    place = _obj(country=country, name=F.concat(F.lit("City of "), F.col("n_name")))
+    return table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("http://x/places/"), key.cast("string")).alias("url"),
+        F.to_json(place).alias("payload"),
     )
+
+
+PROFILE_ROWS = """profile_rows AS (
+  SELECT CAST(k AS VARCHAR) AS athlete_id, c_name AS full_name, upper(c_name) AS display_name,
+         strftime(DATE '1970-01-01' + CAST(k % 9000 AS INTEGER), '%Y-%m-%d') AS birth_date,
+         CASE WHEN k % 5 <> 2 THEN 'N' || c_nationkey
+              WHEN n_nationkey % 2 = 0 THEN n_name ELSE 'City of ' || n_name END AS country,
+         CASE k % 6
+           WHEN 2 THEN CAST(floor(inches / 12) AS INTEGER) || ''' '
+             || CAST(round_even(inches - floor(inches / 12) * 12, 0) AS INTEGER) || '"'
+           WHEN 3 THEN feet || ''' 7"' END AS height,
+         CAST(CASE k % 6 WHEN 2 THEN round_even(inches * CAST(2.54 AS DOUBLE), 0)
+           WHEN 3 THEN round_even((feet * 12 + 7) * CAST(2.54 AS DOUBLE), 0)
+           WHEN 5 THEN NULL ELSE 150 + k % 60 END AS INTEGER) AS height_cm,
+         CAST(CASE k % 6 WHEN 2 THEN round_even(inches * CAST(2.54 AS DOUBLE), 0)
+           WHEN 3 THEN round_even(inches * CAST(2.54 AS DOUBLE), 0)
+           WHEN 5 THEN NULL ELSE 150 + k % 60 END AS INTEGER) AS reach_cm,
+         CASE WHEN k % 4 = 3 THEN 'Freestyle' ELSE c_mktsegment END AS stance,
+         c_mktsegment AS weight_class,
+         CASE WHEN k % 7 <> 0 THEN 'Team ' || c_nationkey END AS team,
+         CASE k % 3 WHEN 0 THEN 'Boxing, Judo' WHEN 1 THEN 'Karate' END AS combat_style,
+         'http://x/img/' || k AS image_url
+  FROM (SELECT *, c_custkey AS k, CAST(60.5 AS DOUBLE) + c_custkey % 20 AS inches,
+               4 + (c_custkey // 6) % 3 AS feet
+        FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey)
+  WHERE k % 50 <> 49)"""
