@@ -10,7 +10,6 @@ from checks.documents import (
 )
 from checks.inputs import with_
 from checks.registry import query, table
-from tierfold.functions import variants as V
 from tierfold.operators import refs
 from tierfold.plans import event_documents as E
 from tierfold.plans import profile_documents as P
@@ -33,8 +32,7 @@ def json_event_rows(spark, sf):
 )
 def json_explode_nested(spark, sf):
     competitors = E.exploded_competitors(event_documents(spark, sf))
-    winner = V.truth(V.at(F.col("competitor"), "$.winner"))
-    return competitors.select("event_id", "competition_id", "position", winner.alias("winner"))
+    return competitors.select("event_id", "competition_id", "position", "winner")
 
 
 @query("json_bout_rows", f"{with_(EVENTS, BOUT_ROWS)} SELECT * FROM bout_rows")
@@ -50,7 +48,7 @@ def json_bout_rows(spark, sf):
 )
 def json_stats_map(spark, sf):
     competitors = E.exploded_competitors(event_documents(spark, sf))
-    stats = E.stats_map(V.items(F.col("competitor"), "$.statistics"))
+    stats = E.stats_map(E.statistics(F.col("statistics")))
     return competitors.select("competition_id", F.explode(stats).alias("stat", "value"))
 
 
@@ -71,12 +69,12 @@ def resolve_refs(spark, sf):
     inline = F.to_json(F.struct(F.concat(F.lit("Inline "), k.cast("string")).alias("fullName")))
     written = F.when(k % 4 == 1, inline).when(k % 4 == 2, missing).otherwise(pointer)
     rows = table(spark, sf, "orders").select(
-        k, (k % 4 == 1).alias("inline"), F.parse_json(written).alias("athlete")
+        k, (k % 4 == 1).alias("inline"), F.from_json(written, E.ATHLETE).alias("athlete")
     )
-    documents = refs.parse_refs(event_refs(spark, sf))
-    found = refs.resolve_refs(rows, documents, ["athlete"], ["o_orderkey"])
-    name = V.at(F.col("athlete"), "$.fullName", "string")
-    return found.select("o_orderkey", name.alias("full_name"), "inline")
+    found = refs.resolve_refs(
+        rows, event_refs(spark, sf), {"athlete": E.ATHLETE}, ["o_orderkey"]
+    )
+    return found.select("o_orderkey", F.col("athlete.fullName").alias("full_name"), "inline")
 
 
 @query("ids_from_refs", "SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS athlete_id FROM orders")

@@ -2,48 +2,47 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierfold.functions import variants as V
-
-REF_PATH = '$["$ref"]'
+REF = "$ref"
 ATHLETE_ID = r"/athletes/(\d+)"
 
 
-def parse_refs(refs: DataFrame) -> DataFrame:
-    """(url, payload text) as (url, VARIANT): each referenced document is parsed once."""
-    return refs.select("url", F.try_parse_json("payload").alias("document"))
-
-
 def resolve_refs(
-    df: DataFrame, documents: DataFrame, columns: Sequence[str], spread_by: Sequence[str]
+    df: DataFrame,
+    documents: DataFrame,
+    columns: Mapping[str, str],
+    spread_by: Sequence[str],
+    text_of: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Replace VARIANT columns that are pointers by the documents they point to.
+    """Replace objects that are pointers by the (url, payload) documents they point to.
 
-    A pointer without a document becomes an empty object; values that are no pointers stay. Rows
-    without a pointer get a join key of their own from ``spread_by`` instead of NULL, or they
-    would all meet in one shuffle partition.
+    ``columns`` maps STRUCT columns, which have a field ``$ref``, to their type text; a document is
+    parsed to the same type. ``documents`` holds each url once. A pointer without a document
+    becomes an object without values; objects that are no pointers stay. ``text_of`` names the
+    columns that hold an object's JSON text and are to follow the pointer too.
+
+    Rows without a pointer get a join key of their own from ``spread_by`` instead of NULL, or they
+    would all meet in one shuffle partition. A url that very many rows point to is split by AQE,
+    as it sits on the streamed side of the join.
     """
+    found = documents.select(F.col("url").alias("_url"), F.col("payload").alias("_payload"))
     spread = F.concat(F.lit("inline "), F.xxhash64(*spread_by).cast("string"))
-    for c in columns:
-        url = F.nullif(V.at(F.col(c), REF_PATH, "string"), F.lit(""))
-        found = documents.select(
-            F.col("url").alias("_url"),
-            F.coalesce("document", V.empty_object()).alias("_document"),
-        )
+    for c, kind in columns.items():
+        url = F.nullif(F.col(c)[REF], F.lit(""))
+        payload = F.coalesce("_payload", F.lit("{}"))
+        followed = {c: F.when(url.isNotNull(), F.from_json(payload, kind)).otherwise(F.col(c))}
+        if text_of and c in text_of:
+            text = text_of[c]
+            followed[text] = F.when(url.isNotNull(), payload).otherwise(F.col(text))
         df = (
             df.withColumn("_key", F.coalesce(url, spread))
             .join(found, F.col("_key") == F.col("_url"), "left")
-            .withColumn(
-                c,
-                F.when(url.isNull(), F.col(c)).otherwise(
-                    F.coalesce(F.col("_document"), V.empty_object())
-                ),
-            )
-            .drop("_key", "_url", "_document")
+            .withColumns(followed)
+            .drop("_key", "_url", "_payload")
         )
     return df
 

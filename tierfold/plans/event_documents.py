@@ -5,109 +5,158 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierfold.functions import variants as V
+from tierfold.functions.json_text import first_text, is_object, struct_of, truth
+from tierfold.functions.numbers import digits_to_int
 from tierfold.functions.text import strip_text
-from tierfold.operators.refs import parse_refs, resolve_refs
+from tierfold.operators.refs import REF, resolve_refs
+
+POINTER = {REF: "STRING"}
+NAMED = struct_of(**POINTER, name="STRING", type="STRUCT<name: STRING>")
+VENUE = struct_of(fullName="STRING", address="STRUCT<country: STRING>")
+NOTES = "ARRAY<STRUCT<headline: STRING>>"
+
+EVENT_FIELDS = {
+    "id": "STRING", "date": "STRING", "name": "STRING", "shortName": "STRING", "venue": VENUE,
+    "status": NAMED, "competitions": "ARRAY<STRING>",
+}
+EVENT = struct_of(**EVENT_FIELDS, header=struct_of(**EVENT_FIELDS))
+FIRST_BOUT = struct_of(date="STRING", name="STRING", notes=NOTES, venue=VENUE, status=NAMED)
+ATHLETE = struct_of(**POINTER, displayName="STRING", fullName="STRING")
+# Statistics are a list or an object around one, so they stay text for now.
+COMPETITOR = struct_of(**POINTER, winner="STRING", athlete=ATHLETE, statistics="STRING")
+COMPETITORS = f"ARRAY<{COMPETITOR}>"
+BOUT = struct_of(
+    **POINTER, id="STRING", name="STRING", notes=NOTES, type="STRUCT<text: STRING>",
+    weightClass=NAMED, weight=NAMED, matchNumber="STRING", order="STRING", status=NAMED,
+    competitors=COMPETITORS,
+)
+COMPETITOR_BOX = struct_of(**POINTER, items=COMPETITORS)
+STATISTIC = struct_of(
+    name="STRING", shortDisplayName="STRING", displayValue="STRING", value="STRING"
+)
+STATISTICS = f"ARRAY<{STATISTIC}>"
+STATISTICS_BOX = struct_of(**POINTER, stats=STATISTICS, items=STATISTICS)
+
+
+def _opened(documents: DataFrame, payload: str) -> DataFrame:
+    """(event, short_name, first, raw_payload): the event, out of its ``header`` envelope if it
+    has one, and its first bout."""
+    parsed = documents.select(
+        F.from_json(payload, EVENT).alias("document"), F.col(payload).alias("raw_payload")
+    )
+    plain = F.struct(*(F.col(f"document.{name}") for name in EVENT_FIELDS))
+    opened = parsed.select(
+        F.coalesce("document.header", plain).alias("event"),
+        F.col("document.header.shortName").alias("short_name"),
+        "raw_payload",
+    )
+    return opened.withColumn("first", F.from_json(F.get("event.competitions", F.lit(0)), FIRST_BOUT))
 
 
-def unwrapped(event: Column) -> Column:
-    """The event itself, or its ``header`` when the event comes in an envelope."""
-    header = V.at(event, "$.header")
-    return F.when(V.is_object(header), header).otherwise(event)
+def _headline(notes: Column) -> Column:
+    return F.get(notes, F.lit(0))["headline"]
 
 
-def _event_date(node: Column) -> Column:
-    return V.first_truthy(node, "$.date", "$.competitions[0].date")
+def event_rows(documents: DataFrame, payload: str = "payload") -> DataFrame:
+    """One row per event document; ``event_date`` is still text.
 
+    An unreadable document gives a row with an empty id, which the bronze gate rejects.
+    """
 
-def event_rows(documents: DataFrame, payload: str = "payload") -> DataFrame:
-    """One row per event document; ``event_date`` is still text."""
-    parsed = documents.select(
-        F.try_parse_json(payload).alias("_event"), F.col(payload).alias("raw_payload")
-    )
-    node = F.col("_node")
-    readable = parsed.where("_event IS NOT NULL")
-    return readable.withColumn("_node", unwrapped(F.col("_event"))).select(
-        F.coalesce(V.at(node, "$.id", "string"), F.lit("")).alias("event_id"),
-        _event_date(node).alias("event_date"),
-        F.coalesce(
-            F.nullif(V.at(node, "$.name", "string"), F.lit("")),
-            F.nullif(V.at(F.col("_event"), "$.header.shortName", "string"), F.lit("")),
-            V.first_truthy(node, "$.competitions[0].name", "$.competitions[0].notes[0].headline"),
+    def either(field: str) -> tuple[Column, Column]:
+        return F.col(f"event.{field}"), F.col(f"first.{field}")
+
+    return _opened(documents, payload).select(
+        F.coalesce("event.id", F.lit("")).alias("event_id"),
+        first_text(*either("date")).alias("event_date"),
+        first_text(
+            F.col("event.name"), F.col("short_name"), F.col("first.name"),
+            _headline(F.col("first.notes")),
         ).alias("event_name"),
-        V.first_truthy(node, "$.venue.fullName", "$.competitions[0].venue.fullName").alias("venue"),
-        V.first_truthy(
-            node, "$.venue.address.country", "$.competitions[0].venue.address.country"
-        ).alias("country"),
-        V.first_truthy(
-            node,
-            "$.status.type.name",
-            "$.status.name",
-            "$.competitions[0].status.type.name",
-            "$.competitions[0].status.name",
+        first_text(*either("venue.fullName")).alias("venue"),
+        first_text(*either("venue.address.country")).alias("country"),
+        first_text(
+            F.col("event.status.type.name"), F.col("event.status.name"),
+            F.col("first.status.type.name"), F.col("first.status.name"),
         ).alias("status"),
-        F.coalesce(F.size(V.items(node, "$.competitions")), F.lit(0)).alias("num_fights"),
+        F.coalesce(F.size("event.competitions"), F.lit(0)).alias("num_fights"),
         "raw_payload",
     )
 
 
 def exploded_bouts(documents: DataFrame, payload: str = "payload") -> DataFrame:
-    """(event_id, event_date, bout_index, bout): one row per bout of each event document."""
-    parsed = documents.select(unwrapped(F.try_parse_json(payload)).alias("_node"))
-    node = F.col("_node")
-    return parsed.select(
-        F.coalesce(V.at(node, "$.id", "string"), F.lit("")).alias("event_id"),
-        _event_date(node).alias("event_date"),
-        F.posexplode(V.items(node, "$.competitions")).alias("bout_index", "bout"),
+    """(event_id, event_date, bout_index, bout_text, bout): one row per bout."""
+    first = F.get("event.competitions", F.lit(0))
+    return (
+        _opened(documents, payload)
+        .select(
+            F.coalesce("event.id", F.lit("")).alias("event_id"),
+            first_text(F.col("event.date"), F.get_json_object(first, "$.date")).alias("event_date"),
+            F.posexplode("event.competitions").alias("bout_index", "bout_text"),
+        )
+        .withColumn("bout", F.from_json("bout_text", BOUT))
     )
 
 
 def exploded_competitors(documents: DataFrame, payload: str = "payload") -> DataFrame:
-    """One row per competitor of each bout."""
-    bouts = exploded_bouts(documents, payload)
-    return bouts.select(
+    """(event_id, competition_id, position, winner, athlete, statistics): one row per competitor
+    of each bout; ``statistics`` is JSON text."""
+    rows = exploded_bouts(documents, payload).select(
+        "event_id",
+        F.col("bout.id").alias("competition_id"),
+        F.posexplode("bout.competitors").alias("position", "competitor"),
+    )
+    return rows.select(
         "event_id",
-        V.at(F.col("bout"), "$.id", "string").alias("competition_id"),
-        F.posexplode(V.items(F.col("bout"), "$.competitors")).alias("position", "competitor"),
+        "competition_id",
+        "position",
+        truth(F.col("competitor.winner")).alias("winner"),
+        "competitor.athlete",
+        "competitor.statistics",
+    )
+
+
+def statistics(text: Column, box: Column | None = None) -> Column:
+    """Statistics as an array of structs, from a JSON list or from the object around it."""
+    if box is None:
+        box = statistics_box(text)
+    return F.coalesce(
+        box["stats"], box["items"], F.when(~is_object(text), F.from_json(text, STATISTICS))
     )
 
 
+def statistics_box(text: Column) -> Column:
+    return F.when(is_object(text), F.from_json(text, STATISTICS_BOX))
+
+
 def stats_map(stats: Column) -> Column:
-    """Statistics list as MAP: stripped name to stripped value, the last of equal names wins.
+    """Statistics as MAP: stripped name to stripped value, the last of equal names wins.
 
-    ``stats`` is an array of VARIANT; entries without a name are skipped; no list gives ``{}``.
+    Entries without a name are skipped; no list gives an empty map.
     """
-    name_paths = ("$.name", "$.shortDisplayName")
-
-    def entry(s: Column) -> Column:
-        value = V.truthy_or(V.at(s, "$.displayValue"), V.at(s, "$.value"))
-        return F.struct(
-            strip_text(V.first_truthy(s, *name_paths)).alias("name"),
-            F.coalesce(strip_text(V.scalar_text(value)), F.lit("")).alias("value"),
-        )
 
-    named = F.filter(stats, lambda s: F.coalesce(V.first_truthy(s, *name_paths), F.lit("")) != "")
-    entries = F.transform(F.coalesce(named, F.array().cast("array<variant>")), entry)
-    names = F.array_distinct(F.transform(entries, lambda e: e["name"]))
-    last = F.transform(
-        names,
-        lambda n: F.element_at(F.filter(entries, lambda e: e["name"] == n), -1)["value"],
-    )
-    return F.map_from_arrays(names, last)
+    def name(s: Column) -> Column:
+        return first_text(s["name"], s["shortDisplayName"])
 
+    def value(s: Column) -> Column:
+        return strip_text(F.coalesce(first_text(s["displayValue"], s["value"]), F.lit("")))
 
-def _listed(value: Column, *paths: str) -> Column:
-    """Array elements of the value itself or of the first path that holds an array."""
-    return F.coalesce(V.items(value), *(V.items(value, p) for p in paths))
+    pairs = F.transform(
+        F.filter(stats, lambda s: name(s) != ""),
+        lambda s: F.struct(strip_text(name(s)).alias("name"), value(s).alias("text")),
+    )
+    none = F.array().cast("array<struct<name: string, text: string>>")
 
+    def mapped(latest_first: Column) -> Column:
+        names, texts = latest_first["name"], latest_first["text"]
+        distinct = F.array_distinct(F.reverse(names))
+        last = F.transform(
+            distinct, lambda n: F.get(texts, F.array_position(names, n).cast("int") - 1)
+        )
+        return F.map_from_arrays(distinct, last)
 
-def _competitor_columns(prefix: str) -> list[Column]:
-    athlete, won, stats = F.col(f"_athlete_{prefix}"), F.col(f"_{prefix}"), F.col(f"_stats_{prefix}")
-    return [
-        V.first_truthy(athlete, "$.displayName", "$.fullName").alias(f"fighter_{prefix}_name"),
-        V.truth(V.at(won, "$.winner")).alias(f"fighter_{prefix}_winner"),
-        F.to_json(stats_map(_listed(stats, "$.stats", "$.items"))).alias(f"fighter_{prefix}_stats"),
-    ]
+    # Through a one-element array, so that the pairs are computed once and not per name.
+    return F.get(F.transform(F.array(F.reverse(F.coalesce(pairs, none))), mapped), F.lit(0))
 
 
 def bout_rows(
@@ -115,51 +164,67 @@ def bout_rows(
 ) -> DataFrame:
     """One row per bout with both competitors; ``event_date`` is still text.
 
-    ``refs`` (url, payload) holds the documents that pointers may lead to. Pointers are followed
-    level by level, since a bout's competitors are known only once the bout is.
+    ``refs`` (url, payload) holds the documents that pointers may lead to, each url once. Pointers
+    are followed level by level, since a bout's competitors are known only once the bout is.
     """
-    found = parse_refs(refs) if refs is not None else None
 
-    def follow(df: DataFrame, *columns: str) -> DataFrame:
-        if found is None:
+    def follow(df: DataFrame, **columns: str) -> DataFrame:
+        if refs is None:
             return df
-        return resolve_refs(df, found, columns, ["event_id", "bout_index"])
-
-    def part(name: str, other: str | None = None) -> Column:
-        value = V.at(F.col("bout"), f"$.{name}")
-        return V.truthy_or(value, V.at(F.col("bout"), f"$.{other}")) if other else value
+        return resolve_refs(
+            df, refs, columns, ["event_id", "bout_index"], {"bout": "bout_text"}
+        )
 
-    bouts = follow(exploded_bouts(documents, payload), "bout")
+    bouts = follow(exploded_bouts(documents, payload), bout=BOUT)
+    # A list that was declared as such is NULL where the document has a pointer to it.
+    boxed = F.from_json("bout_text", struct_of(competitors=COMPETITOR_BOX))["competitors"]
     bouts = bouts.select(
-        "*",
-        part("weightClass", "weight").alias("_weight"),
-        part("status").alias("_status"),
-        part("competitors").alias("_competitors"),
+        "event_id",
+        "event_date",
+        "bout_index",
+        F.col("bout_text").alias("raw_payload"),
+        F.coalesce("bout.id", F.lit("")).alias("competition_id"),
+        first_text(F.col("bout.name"), _headline(F.col("bout.notes"))).alias("bout_name"),
+        F.nullif("bout.type.text", F.lit("")).alias("named_class"),
+        digits_to_int(F.coalesce("bout.matchNumber", "bout.order")).alias("card_order"),
+        F.coalesce("bout.weightClass", "bout.weight").alias("weight"),
+        F.col("bout.status").alias("status"),
+        F.col("bout.competitors").alias("competitors"),
+        F.when(F.col("bout.competitors").isNull(), boxed).alias("box"),
+    )
+    bouts = follow(bouts, weight=NAMED, status=NAMED, box=COMPETITOR_BOX)
+    pair = F.coalesce("competitors", "box.items")
+    bouts = bouts.withColumns({"a": F.get(pair, F.lit(0)), "b": F.get(pair, F.lit(1))})
+    bouts = follow(bouts.drop("competitors", "box"), a=COMPETITOR, b=COMPETITOR)
+    for s in "ab":
+        bouts = bouts.withColumns(
+            {
+                f"{s}_athlete": F.col(f"{s}.athlete"),
+                f"{s}_box": statistics_box(F.col(f"{s}.statistics")),
+            }
+        )
+    bouts = follow(
+        bouts, a_athlete=ATHLETE, b_athlete=ATHLETE, a_box=STATISTICS_BOX, b_box=STATISTICS_BOX
     )
-    bouts = follow(bouts, "_weight", "_status", "_competitors")
-    pair = _listed(F.col("_competitors"), "$.items")
-    bouts = bouts.withColumns({"_a": F.get(pair, 0), "_b": F.get(pair, 1)}).drop("_competitors")
-    bouts = follow(bouts, "_a", "_b")
-    inner = {
-        f"_{new}_{side}": V.at(F.col(f"_{side}"), f"$.{field}")
-        for side in ("a", "b")
-        for new, field in (("athlete", "athlete"), ("stats", "statistics"))
-    }
-    bouts = follow(bouts.withColumns(inner), *inner)
-
-    bout = F.col("bout")
-    order = V.at(bout, "$.matchNumber")
-    order = F.when(V.at(order, "$", "string").isNull(), V.at(bout, "$.order")).otherwise(order)
-    named_class = F.nullif(V.at(bout, "$.type.text", "string"), F.lit(""))
+
+    def fighter(s: str) -> list[Column]:
+        names = F.col(f"{s}_athlete.displayName"), F.col(f"{s}_athlete.fullName")
+        stats = statistics(F.col(f"{s}.statistics"), F.col(f"{s}_box"))
+        return [
+            first_text(*names).alias(f"fighter_{s}_name"),
+            truth(F.col(f"{s}.winner")).alias(f"fighter_{s}_winner"),
+            F.to_json(stats_map(stats)).alias(f"fighter_{s}_stats"),
+        ]
+
     return bouts.select(
-        F.coalesce(V.at(bout, "$.id", "string"), F.lit("")).alias("competition_id"),
+        "competition_id",
         "event_id",
         "event_date",
-        V.first_truthy(bout, "$.name", "$.notes[0].headline").alias("bout_name"),
-        F.coalesce(named_class, V.at(F.col("_weight"), "$.name", "string")).alias("weight_class"),
-        V.whole_number(order).alias("card_order"),
-        V.first_truthy(F.col("_status"), "$.type.name", "$.name").alias("status"),
-        *_competitor_columns("a"),
-        *_competitor_columns("b"),
-        F.to_json(bout).alias("raw_payload"),
+        "bout_name",
+        F.coalesce("named_class", "weight.name").alias("weight_class"),
+        "card_order",
+        first_text(F.col("status.type.name"), F.col("status.name")).alias("status"),
+        *fighter("a"),
+        *fighter("b"),
+        "raw_payload",
     )

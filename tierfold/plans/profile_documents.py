@@ -5,29 +5,61 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierfold.functions import variants as V
 from tierfold.functions.dates import try_date
+from tierfold.functions.json_text import first_text, nonzero_or, struct_of
 from tierfold.functions.text import format_feet_inches, parse_feet_inches, strip_text
-from tierfold.operators.refs import parse_refs, resolve_refs
+from tierfold.operators.refs import REF, resolve_refs
 
 CM_PER_INCH = 2.54
 DECIMAL_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
+LABEL = struct_of(text="STRING", name="STRING")
+LENGTH = struct_of(centimeters="DOUBLE", cm="DOUBLE")
+PLACE = struct_of(**{REF: "STRING"}, country="STRING", name="STRING")
+MEASUREMENT = struct_of(type="STRING", value="DOUBLE", centimeters="DOUBLE")
+
+# Numbers are declared DOUBLE, so a quoted number is NULL here.
+PROFILE = struct_of(
+    error="STRING",
+    fullName="STRING",
+    name="STRING",
+    displayName="STRING",
+    birthDate="STRING",
+    dateOfBirth="STRING",
+    citizenship="STRING",
+    association=struct_of(name="STRING", location="STRUCT<country: STRING>"),
+    birthPlace=PLACE,
+    citizenshipCountry=struct_of(alt="STRING", name="STRING"),
+    height="DOUBLE",
+    heightCentimeters="DOUBLE",
+    displayHeight="STRING",
+    reach="DOUBLE",
+    reachCentimeters="DOUBLE",
+    displayReach="STRING",
+    measurements=f"ARRAY<{MEASUREMENT}>",
+    stance="STRING",
+    fightingStyle="STRING",
+    weightClass=struct_of(text="STRING", shortName="STRING"),
+    styles=f"ARRAY<{LABEL}>",
+    headshot="STRUCT<href: STRING>",
+)
+# The fields that may also be objects, read as such.
+OBJECTS = struct_of(height=LENGTH, reach=LENGTH, stance=LABEL)
+
 
 def country(profile: Column, birth_place: Column) -> Column:
     """Citizenship, association, birth place, then country of citizenship.
 
     The first branch of the right shape decides, even when its value is missing. ``birth_place``
-    is the profile's birth place with its pointer followed.
+    is the profile's birth place as an object, with its pointer followed.
     """
-    citizenship = V.text_of(V.at(profile, "$.citizenship"))
-    of_association = V.text_of(V.at(profile, "$.association.location.country"))
-    nation = V.at(profile, "$.citizenshipCountry")
+    of_association = profile["association"]["location"]["country"]
+    nation = profile["citizenshipCountry"]
     return (
-        F.when(citizenship != "", citizenship)
+        F.when(profile["citizenship"] != "", profile["citizenship"])
         .when(of_association.isNotNull(), of_association)
-        .when(V.is_object(birth_place), V.first_truthy(birth_place, "$.country", "$.name"))
-        .when(V.is_object(nation), V.first_truthy(nation, "$.alt", "$.name"))
+        .when(birth_place.isNotNull(), first_text(birth_place["country"], birth_place["name"]))
+        .when(nation.isNotNull(), first_text(nation["alt"], nation["name"]))
     )
 
 
@@ -40,70 +72,54 @@ def _truncated(value: Column) -> Column:
 
 
 def _measured(profile: Column, kind: str) -> Column:
-    """Centimetres from the first usable entry of the measurements list."""
-
-    def value(m: Column) -> Column:
-        return V.number_of(V.truthy_or(V.at(m, "$.value"), V.at(m, "$.centimeters")))
-
-    def usable(m: Column) -> Column:
-        of_kind = F.lower(V.at(m, "$.type", "string")) == kind
-        return F.coalesce(of_kind & value(m).isNotNull(), F.lit(False))
-
-    return _truncated(value(F.get(F.filter(V.items(profile, "$.measurements"), usable), 0)))
+    """Centimetres from the first entry of that kind that holds a number."""
+    values = F.transform(
+        F.filter(profile["measurements"], lambda m: F.lower(m["type"]) == kind),
+        lambda m: nonzero_or(m["value"], m["centimeters"]),
+    )
+    return _truncated(F.get(F.array_compact(values), F.lit(0)))
 
 
-def _centimeters(profile: Column, name: str, from_text: Column) -> Column:
+def _centimeters(profile: Column, objects: Column, name: str, from_text: Column) -> Column:
     """Centimetre field, object, inches as a number, display text, then measurements."""
-    plain = V.at(profile, f"$.{name}")
-    in_object = V.truthy_or(V.at(plain, "$.centimeters"), V.at(plain, "$.cm"))
+    in_object = nonzero_or(objects[name]["centimeters"], objects[name]["cm"])
     return F.coalesce(
-        _truncated(V.number_of(V.at(profile, f"$.{name}Centimeters"))),
-        _truncated(V.number_of(in_object)),
-        _half_even(V.number_of(plain) * CM_PER_INCH),
+        _truncated(profile[f"{name}Centimeters"]),
+        _truncated(in_object),
+        _half_even(profile[name] * CM_PER_INCH),
         _half_even(from_text * CM_PER_INCH),
         _measured(profile, name),
     )
 
 
-def height_cm(profile: Column) -> Column:
-    shown = V.text_of(V.at(profile, "$.displayHeight"))
-    return _centimeters(profile, "height", parse_feet_inches(shown))
+def height_cm(profile: Column, objects: Column) -> Column:
+    return _centimeters(profile, objects, "height", parse_feet_inches(profile["displayHeight"]))
 
 
-def reach_cm(profile: Column) -> Column:
-    shown = strip_text(F.replace(V.text_of(V.at(profile, "$.displayReach")), F.lit('"'), F.lit("")))
+def reach_cm(profile: Column, objects: Column) -> Column:
+    shown = strip_text(F.replace(profile["displayReach"], F.lit('"'), F.lit("")))
     inches = F.when(shown.rlike(DECIMAL_TEXT), shown.try_cast("double"))
-    return _centimeters(profile, "reach", inches)
+    return _centimeters(profile, objects, "reach", inches)
 
 
 def height_text(profile: Column) -> Column:
     """Display text, or feet and inches made from a numeric height."""
-    shown = strip_text(V.text_of(V.at(profile, "$.displayHeight")))
-    return F.when(shown != "", shown).otherwise(
-        format_feet_inches(V.number_of(V.at(profile, "$.height")))
-    )
+    shown = strip_text(profile["displayHeight"])
+    return F.when(shown != "", shown).otherwise(format_feet_inches(profile["height"]))
 
 
-def stance(profile: Column) -> Column:
-    """Text or object; a fighting style stands in only when there is neither."""
-    value = V.at(profile, "$.stance")
-    return (
-        F.when(V.is_object(value), V.first_truthy(value, "$.text", "$.name"))
-        .when(V.is_text(value), V.text_of(value))
-        .otherwise(F.nullif(V.at(profile, "$.fightingStyle", "string"), F.lit("")))
+def stance(profile: Column, objects: Column) -> Column:
+    """Object or text; a fighting style stands in only when there is neither."""
+    value = objects["stance"]
+    return F.when(value.isNotNull(), first_text(value["text"], value["name"])).otherwise(
+        F.coalesce(profile["stance"], F.nullif(profile["fightingStyle"], F.lit("")))
     )
 
 
-def team(profile: Column) -> Column:
-    return V.at(profile, "$.association.name", "string")
-
-
 def combat_style(profile: Column) -> Column:
     """Distinct style names in order, joined by a comma; NULL when there are none."""
-    names = F.transform(
-        V.items(profile, "$.styles"), lambda s: V.first_truthy(s, "$.text", "$.name")
-    )
-    distinct = F.array_distinct(F.filter(names, lambda n: F.coalesce(n, F.lit("")) != ""))
+    names = F.transform(profile["styles"], lambda s: first_text(s["text"], s["name"]))
+    distinct = F.array_distinct(F.filter(names, lambda n: n != ""))
     return F.nullif(F.array_join(F.array_sort(distinct), ", "), F.lit(""))
 
 
@@ -113,34 +129,34 @@ def profile_rows(
     payload: str = "payload",
     id_column: str = "athlete_id",
 ) -> DataFrame:
-    """One row per profile document. Failed fetches (documents with ``error``) are left out, so
-    that they cannot replace a good profile."""
-    parsed = documents.select(
+    """One row per profile document. Failed fetches (unreadable documents and those with
+    ``error``) are left out, so that they cannot replace a good profile."""
+    parsed = documents.where(F.json_object_keys(payload).isNotNull()).select(
         F.col(id_column).cast("string").alias("athlete_id"),
-        F.try_parse_json(payload).alias("_profile"),
+        F.from_json(payload, PROFILE).alias("profile"),
+        F.from_json(payload, OBJECTS).alias("objects"),
         F.col(payload).alias("raw_payload"),
     )
-    profile = F.col("_profile")
-    usable = V.is_object(profile) & V.at(profile, "$.error").isNull()
-    parsed = parsed.where(usable).withColumn("_birth_place", V.at(profile, "$.birthPlace"))
+    parsed = parsed.where("profile.error IS NULL").withColumn(
+        "birth_place", F.col("profile.birthPlace")
+    )
     if refs is not None:
-        parsed = resolve_refs(parsed, parse_refs(refs), ["_birth_place"], ["athlete_id"])
-    weight = V.at(profile, "$.weightClass")
+        parsed = resolve_refs(parsed, refs, {"birth_place": PLACE}, ["athlete_id"])
+    profile, objects = F.col("profile"), F.col("objects")
+    weight = profile["weightClass"]
     return parsed.select(
         "athlete_id",
-        V.first_truthy(profile, "$.fullName", "$.name").alias("full_name"),
-        V.at(profile, "$.displayName", "string").alias("display_name"),
-        try_date(V.first_truthy(profile, "$.birthDate", "$.dateOfBirth")).alias("birth_date"),
-        country(profile, F.col("_birth_place")).alias("country"),
+        first_text(profile["fullName"], profile["name"]).alias("full_name"),
+        profile["displayName"].alias("display_name"),
+        try_date(first_text(profile["birthDate"], profile["dateOfBirth"])).alias("birth_date"),
+        country(profile, F.col("birth_place")).alias("country"),
         height_text(profile).alias("height"),
-        height_cm(profile).alias("height_cm"),
-        reach_cm(profile).alias("reach_cm"),
-        stance(profile).alias("stance"),
-        F.when(V.is_object(weight), V.first_truthy(weight, "$.text", "$.shortName")).alias(
-            "weight_class"
-        ),
-        team(profile).alias("team"),
+        height_cm(profile, objects).alias("height_cm"),
+        reach_cm(profile, objects).alias("reach_cm"),
+        stance(profile, objects).alias("stance"),
+        first_text(weight["text"], weight["shortName"]).alias("weight_class"),
+        profile["association"]["name"].alias("team"),
         combat_style(profile).alias("combat_style"),
-        V.at(profile, "$.headshot.href", "string").alias("image_url"),
+        profile["headshot"]["href"].alias("image_url"),
         "raw_payload",
     )

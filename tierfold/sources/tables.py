@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +48,14 @@ def write_partitioned(df: DataFrame, path: str, partition: str, mode: str = "ove
     )
 
 
+def stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """A parquet folder; one without files yet, after an empty load, has the columns of ``like``."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return spark.read.schema(like.schema).parquet(path)
+
+
 def merge_partitioned(
     spark: SparkSession,
     path: str,
@@ -64,8 +73,8 @@ def merge_partitioned(
     """
     if not storage.exists(spark, path):
         write_partitioned(source, path, partition)
-        return spark.read.parquet(path)
-    target = spark.read.parquet(path)
+        return stored(spark, path, source)
+    target = stored(spark, path, source)
     batch = align(source, target)
     applied = storage.materialized(changed_rows(batch, target, keys, order, when), "batch")
 
