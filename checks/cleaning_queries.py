@@ -97,15 +97,18 @@ def parse_iso_ts(spark, sf):
 )
 def clip_and_bin(spark, sf):
     d = F.when(F.col("l_suppkey") % 10 != 0, F.col("l_quantity").cast("int") * 2 - 50)
-    h = fn.clip(d, gold.HEIGHT_EDGES[0], gold.HEIGHT_EDGES[-1])
-    r = fn.clip(d, gold.REACH_EDGES[0], gold.REACH_EDGES[-1])
-    return table(spark, sf, "lineitem").select(
-        "l_orderkey",
-        "l_linenumber",
-        "l_partkey",
-        h.alias("height_adv_cm"),
-        fn.bin_label(h, gold.HEIGHT_EDGES).alias("height_adv_bin"),
-        fn.bin_label(r, gold.REACH_EDGES).alias("reach_adv_bin"),
+    line = ["l_orderkey", "l_linenumber", "l_partkey"]
+    lines = table(spark, sf, "lineitem").select(*line, d.alias("d"))
+    clipped = lines.select(
+        *line,
+        fn.clip(F.col("d"), gold.HEIGHT_EDGES[0], gold.HEIGHT_EDGES[-1]).alias("height_adv_cm"),
+        fn.clip(F.col("d"), gold.REACH_EDGES[0], gold.REACH_EDGES[-1]).alias("reach_adv_cm"),
+    )
+    return clipped.select(
+        *line,
+        "height_adv_cm",
+        fn.bin_label(F.col("height_adv_cm"), gold.HEIGHT_EDGES).alias("height_adv_bin"),
+        fn.bin_label(F.col("reach_adv_cm"), gold.REACH_EDGES).alias("reach_adv_bin"),
     )
 
 
@@ -126,9 +129,9 @@ def parse_feet_inches(spark, sf):
         .when(kind == 2, F.concat(feet, F.lit(" '"), inches))
         .otherwise(F.lit("tall"))
     )
-    return table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", fn.parse_feet_inches(text).alias("inches")
-    )
+    line = ["l_orderkey", "l_linenumber", "l_partkey"]
+    written = table(spark, sf, "lineitem").select(*line, text.alias("text"))
+    return written.select(*line, fn.parse_feet_inches(F.col("text")).alias("inches"))
 
 
 @query(

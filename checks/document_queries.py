@@ -11,6 +11,7 @@ from checks.documents import (
 from checks.inputs import with_
 from checks.registry import query, table
 from tierfold.operators import refs
+from tierfold.operators.unnest import unnest
 from tierfold.plans import event_documents as E
 from tierfold.plans import profile_documents as P
 
@@ -49,7 +50,10 @@ def json_bout_rows(spark, sf):
 def json_stats_map(spark, sf):
     competitors = E.exploded_competitors(event_documents(spark, sf))
     stats = E.stats_map(E.statistics(F.col("statistics")))
-    return competitors.select("competition_id", F.explode(stats).alias("stat", "value"))
+    pairs = unnest(competitors, ["competition_id"], F.map_entries(stats), "pair")
+    return pairs.select(
+        "competition_id", F.col("pair.key").alias("stat"), F.col("pair.value").alias("value")
+    )
 
 
 @query(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,27 +18,25 @@ def clip(value: Column, low: int, high: int) -> Column:
     return F.when(value > high, F.lit(high)).when(value < low, F.lit(low)).otherwise(value)
 
 
-def _bins(edges: Sequence[int]) -> list[tuple[int, int, bool]]:
-    return [(lo, hi, hi == edges[-1]) for lo, hi in zip(edges, edges[1:])]
-
-
-def _case(value: Column, edges: Sequence[int], label) -> Column:
-    def add(chain, b):
-        lo, hi, last = b
-        inside = (value >= lo) & ((value <= hi) if last else (value < hi))
-        return (F.when if chain is None else chain.when)(inside, F.lit(label(*b)))
-
-    return reduce(add, _bins(edges), None)
+def _binned(value: Column, edges: Sequence[int], results: Sequence, kind: str) -> Column:
+    """The result of the bin a value falls in. ``value`` appears once per bin, so it should be a
+    plain column: a long expression repeated that often is more code than the JIT compiles."""
+    chain = F.when(value < edges[0], F.lit(None).cast(kind))
+    for high, result in zip(edges[1:-1], results):
+        chain = chain.when(value < high, F.lit(result))
+    return chain.when(value <= edges[-1], F.lit(results[-1]))
 
 
 def bin_label(value: Column, edges: Sequence[int]) -> Column:
     """Interval text: half-open bins, the last one closed; NULL outside the edges."""
-    return _case(value, edges, lambda lo, hi, last: f"[{lo},{hi}{']' if last else ')'}")
+    labels = [f"[{lo},{hi})" for lo, hi in zip(edges, edges[1:])]
+    labels[-1] = labels[-1][:-1] + "]"
+    return _binned(value, edges, labels, "string")
 
 
 def bin_low(value: Column, edges: Sequence[int]) -> Column:
     """Lower edge of the bin, for sorting bins by number rather than by label."""
-    return _case(value, edges, lambda lo, hi, last: lo)
+    return _binned(value, edges, edges[:-1], "int")
 
 
 def digits_to_int(text: Column) -> Column:

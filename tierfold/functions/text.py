@@ -30,6 +30,9 @@ STYLE_BUCKETS = {
 }
 DEFAULT_STYLE = "mma"
 BLANK_STYLE = "mixed martial arts"
+# Tokens that contain either name are jiu-jitsu; the token that stands for no style.
+JIU_JITSU = r"(?s)^.*(brazilian_jiu|jiu_jitsu).*$"
+DROPPED = "0"
 
 
 def strip_text(text: Column) -> Column:
@@ -62,20 +65,18 @@ def bucket_label(
 ) -> Column:
     """Bucket of the first style named in a text; an explicit ``0`` gives NULL.
 
-    Separators are unified one after the other, since their order can change the first token.
+    Separators are unified one after the other, since their order can change the first token. The
+    steps form one chain in which each value is used once, so generated code stays small.
     """
-    stripped = strip_text(text)
-    base = F.when(stripped.isNull() | (stripped == ""), F.lit(blank)).otherwise(F.lower(stripped))
+    base = F.coalesce(F.nullif(F.lower(strip_text(text)), F.lit("")), F.lit(blank))
     unified = reduce(lambda c, sep: F.replace(c, F.lit(sep), F.lit("/")), separators, base)
-    first = strip_text(F.split_part(unified, F.lit("/"), F.lit(1)))
-    token = F.translate(first, "- ", "__")
-    token = F.when(
-        token.contains("brazilian_jiu") | token.contains("jiu_jitsu"), F.lit("jiu_jitsu")
-    ).otherwise(token)
-    named = F.when(token == "0", F.lit(None).cast("string"))
-    for bucket, tokens in buckets.items():
-        named = named.when(token.isin(list(tokens)), F.lit(bucket))
-    return named.otherwise(F.lit(default))
+    first = strip_text(F.substring_index(unified, "/", 1))
+    joined = F.replace(F.replace(first, F.lit("-"), F.lit("_")), F.lit(" "), F.lit("_"))
+    token = F.regexp_replace(joined, JIU_JITSU, "jiu_jitsu")
+    lookup = {token: bucket for bucket, tokens in buckets.items() for token in tokens}
+    lookup[DROPPED] = DROPPED
+    named = F.try_element_at(F.create_map(*(F.lit(x) for kv in lookup.items() for x in kv)), token)
+    return F.nullif(F.coalesce(named, F.lit(default)), F.lit(DROPPED))
 
 
 # Fixed value: feet, an apostrophe, then optional inches and an optional double quote.
@@ -85,9 +86,12 @@ FEET_INCHES = r"^(\d+)\s*'\s*(\d+)?\s*\"?"
 def parse_feet_inches(text: Column) -> Column:
     """Inches as INT from text such as ``6' 1"``; NULL when it does not start that way."""
     stripped = strip_text(text)
-    feet = F.regexp_extract(stripped, FEET_INCHES, 1).try_cast("int")
-    inches = F.coalesce(F.regexp_extract(stripped, FEET_INCHES, 2).try_cast("int"), F.lit(0))
-    return feet * 12 + inches
+
+    def part(group: int) -> Column:
+        # An empty match becomes NULL first: casting it would raise inside every such row.
+        return F.nullif(F.regexp_extract(stripped, FEET_INCHES, group), F.lit("")).try_cast("int")
+
+    return part(1) * 12 + F.coalesce(part(2), F.lit(0))
 
 
 def format_feet_inches(inches: Column) -> Column:

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierfold.operators.unnest import unnest
+
 REF = "$ref"
 ATHLETE_ID = r"/athletes/(\d+)"
 
@@ -49,8 +51,8 @@ def resolve_refs(
 
 def ids_from_refs(events: DataFrame, pattern: str = ATHLETE_ID) -> DataFrame:
     """Distinct athlete ids in the competitors' pointers of parsed event documents."""
-    bouts = events.select(F.explode("competitions").alias("comp"))
-    competitors = bouts.select(F.explode("comp.competitors").alias("cmp"))
+    bouts = unnest(events, [], "competitions", "comp")
+    competitors = unnest(bouts, [], "comp.competitors", "cmp")
     found = F.regexp_extract(F.col("cmp.athlete.`$ref`"), pattern, 1)
     return competitors.select(found.alias("athlete_id")).where("athlete_id != ''").distinct()
 
@@ -58,4 +60,4 @@ def ids_from_refs(events: DataFrame, pattern: str = ATHLETE_ID) -> DataFrame:
 def ids_from_payload(df: DataFrame, payload: str, pattern: str = ATHLETE_ID) -> DataFrame:
     """Distinct ids found anywhere in the text of raw documents."""
     found = F.regexp_extract_all(F.col(payload), F.lit(pattern), F.lit(1))
-    return df.select(F.explode(F.array_distinct(found)).alias("athlete_id")).distinct()
+    return unnest(df, [], F.array_distinct(found), "athlete_id").select("athlete_id").distinct()

@@ -9,6 +9,7 @@ from tierfold.functions.json_text import first_text, is_object, struct_of, truth
 from tierfold.functions.numbers import digits_to_int
 from tierfold.functions.text import strip_text
 from tierfold.operators.refs import REF, resolve_refs
+from tierfold.operators.unnest import unnest
 
 POINTER = {REF: "STRING"}
 NAMED = struct_of(**POINTER, name="STRING", type="STRUCT<name: STRING>")
@@ -87,24 +88,25 @@ def event_rows(documents: DataFrame, payload: str = "payload") -> DataFrame:
 def exploded_bouts(documents: DataFrame, payload: str = "payload") -> DataFrame:
     """(event_id, event_date, bout_index, bout_text, bout): one row per bout."""
     first = F.get("event.competitions", F.lit(0))
-    return (
-        _opened(documents, payload)
-        .select(
-            F.coalesce("event.id", F.lit("")).alias("event_id"),
-            first_text(F.col("event.date"), F.get_json_object(first, "$.date")).alias("event_date"),
-            F.posexplode("event.competitions").alias("bout_index", "bout_text"),
-        )
-        .withColumn("bout", F.from_json("bout_text", BOUT))
+    date = first_text(F.col("event.date"), F.get_json_object(first, "$.date"))
+    rows = unnest(
+        _opened(documents, payload),
+        [F.coalesce("event.id", F.lit("")).alias("event_id"), date.alias("event_date")],
+        "event.competitions",
+        "bout_text",
+        "bout_index",
     )
+    return rows.withColumn("bout", F.from_json("bout_text", BOUT))
 
 
 def exploded_competitors(documents: DataFrame, payload: str = "payload") -> DataFrame:
     """(event_id, competition_id, position, winner, athlete, statistics): one row per competitor
     of each bout; ``statistics`` is JSON text."""
-    rows = exploded_bouts(documents, payload).select(
-        "event_id",
-        F.col("bout.id").alias("competition_id"),
-        F.posexplode("bout.competitors").alias("position", "competitor"),
+    rows = unnest(
+        exploded_bouts(documents, payload),
+        ["event_id", F.col("bout.id").alias("competition_id")],
+        "bout.competitors",
+        "competitor",
     )
     return rows.select(
         "event_id",

@@ -111,17 +111,21 @@ def advantage_pairs(bouts: DataFrame, profiles: DataFrame) -> DataFrame:
     pairs = weighted_pairs(bouts, name_index(profiles, PROFILE_NAMES, body), body)
     height = F.col("height_cm") - F.col("opp_height_cm")
     reach = F.col("reach_cm") - F.col("opp_reach_cm")
-    some = pairs.select("is_winner", "weight", height.alias("_h"), reach.alias("_r")).where(
-        "_h IS NOT NULL OR _r IS NOT NULL"
+    known = pairs.select("is_winner", "weight", height.alias("h"), reach.alias("r")).where(
+        "h IS NOT NULL OR r IS NOT NULL"
     )
-    height = clip(F.col("_h"), HEIGHT_EDGES[0], HEIGHT_EDGES[-1])
-    reach = clip(F.col("_r"), REACH_EDGES[0], REACH_EDGES[-1])
-    return some.select(
+    clipped = known.withColumns(
+        {
+            "h": clip(F.col("h"), HEIGHT_EDGES[0], HEIGHT_EDGES[-1]),
+            "r": clip(F.col("r"), REACH_EDGES[0], REACH_EDGES[-1]),
+        }
+    )
+    return clipped.select(
         "is_winner",
         "weight",
-        bin_label(height, HEIGHT_EDGES).alias("height_adv_bin"),
-        bin_low(height, HEIGHT_EDGES).alias("height_adv_low"),
-        bin_label(reach, REACH_EDGES).alias("reach_adv_bin"),
+        bin_label(F.col("h"), HEIGHT_EDGES).alias("height_adv_bin"),
+        bin_low(F.col("h"), HEIGHT_EDGES).alias("height_adv_low"),
+        bin_label(F.col("r"), REACH_EDGES).alias("reach_adv_bin"),
     ).where("height_adv_bin IS NOT NULL")
 
 
