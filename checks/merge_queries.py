@@ -386,7 +386,7 @@ def silver_events(spark, sf):
         F.col("ts").alias("event_date"),
         F.concat(F.lit("  "), "event_type", F.lit(" ")).alias("event_name"),
         F.concat(F.lit(" V"), F.col("value").cast("string")).alias("venue"),
-        F.when(F.col("user_id") == 7, F.lit("CZ")).alias("country"),
+        F.when(F.col("event_id") % 1000 == 7, F.lit("CZ")).alias("country"),
         F.col("event_type").alias("status"),
         F.lit(None).cast("int").alias("num_fights"),
     )

@@ -8,15 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _descending(columns: Sequence[str]) -> list[Column]:
-    return [F.col(c).desc_nulls_last() for c in columns]
+def _descending(columns: Sequence[str | Column]) -> list[Column]:
+    return [(F.col(c) if isinstance(c, str) else c).desc_nulls_last() for c in columns]
 
 
 def latest_per_key(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[str],
-    tiebreak: Sequence[str] = (),
+    order: Sequence[str | Column],
+    tiebreak: Sequence[str | Column] = (),
 ) -> DataFrame:
     """The row with the highest ``order`` values per key; NULLs count as oldest.
 

@@ -10,6 +10,8 @@ grows beyond the number of distinct attribute values.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -163,8 +165,33 @@ def pairs_across_records(
     return paired.drop(key, "side", "opp_side")
 
 
+@dataclass(frozen=True)
+class KeySplit:
+    """Records whose key is theirs alone, and records that share theirs (None where there are
+    none)."""
+
+    own: DataFrame | None
+    shared: DataFrame | None
+
+
+def split_by_key(bouts: DataFrame, key: str = "competition_id") -> KeySplit:
+    """Find the keys that belong to several records, in a scan of the key column alone.
+
+    A few such keys are broadcast to split the input; with more than ``BROADCAST_KEYS`` of them
+    all records count as sharing. Runs a job: split once for several pairings.
+    """
+    repeated = bouts.groupBy(key).count().where("count > 1").select(key)
+    found = repeated.limit(BROADCAST_KEYS + 1).count()
+    if found == 0:
+        return KeySplit(bouts, None)
+    if found > BROADCAST_KEYS:
+        return KeySplit(None, bouts)
+    listed = F.broadcast(repeated.where(F.col(key).isNotNull()))
+    return KeySplit(bouts.join(listed, key, "left_anti"), bouts.join(listed, key, "left_semi"))
+
+
 def weighted_pairs(
-    bouts: DataFrame,
+    bouts: DataFrame | KeySplit,
     index: DataFrame,
     attrs: Sequence[str],
     dims: Sequence[str] = (),
@@ -172,23 +199,16 @@ def weighted_pairs(
 ) -> DataFrame:
     """Every competitor against every opponent of the same key, as weighted rows.
 
-    Where a key belongs to one record, its pair is already in that record. Only keys found on
-    several records need the pairing join; they are looked up first (a scan of the key column
-    alone). A few such keys are broadcast to split the input; with more than ``BROADCAST_KEYS``
-    of them the pairing join takes the whole input.
+    Where a key belongs to one record, its pair is already in that record. Only records that share
+    a key need the pairing join.
     """
-    shared = bouts.groupBy(key).count().where("count > 1").select(key)
-    found = shared.limit(BROADCAST_KEYS + 1).count()
-    if found == 0:
-        return pairs_within_record(bouts, index, attrs, dims, key)
-    if found > BROADCAST_KEYS:
-        return pairs_across_records(bouts, index, attrs, dims, key)
-    listed = F.broadcast(shared.where(F.col(key).isNotNull()))
-    once = bouts.join(listed, key, "left_anti")
-    several = bouts.join(listed, key, "left_semi")
-    return pairs_within_record(once, index, attrs, dims, key).unionByName(
-        pairs_across_records(several, index, attrs, dims, key)
-    )
+    split = bouts if isinstance(bouts, KeySplit) else split_by_key(bouts, key)
+    parts = []
+    if split.own is not None:
+        parts.append(pairs_within_record(split.own, index, attrs, dims, key))
+    if split.shared is not None:
+        parts.append(pairs_across_records(split.shared, index, attrs, dims, key))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _wins(flag: str, weight: str | None) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tierfold.functions.dates import parse_iso_ts
@@ -114,16 +114,23 @@ class Bronze:
         return f"{self.root}/runs"
 
 
+def _tiebreak() -> list[Column]:
+    """Settles equal dates by a short value instead of by whole documents."""
+    return [F.xxhash64("raw_payload")]
+
+
 def load_rows(
     spark: SparkSession, path: str, rows: DataFrame, keys: list[str]
-) -> tuple[DataFrame, DataFrame]:
-    """Gate, deduplicate and merge typed rows; returns (table, one row of counts)."""
+) -> tuple[DataFrame, Row]:
+    """Gate, deduplicate and merge typed rows; returns the table and the counts of valid and
+    rejected rows. The documents are parsed once, into a staged copy."""
     required = [*keys, "event_date", PARTITION]
-    staged = storage.materialized(rows, "typed")
-    valid, _ = split_rejects(staged, required)
-    batch = latest_per_key(valid, keys, ["event_date"], ["raw_payload"])
-    table = tables.merge_partitioned(spark, path, batch, keys, PARTITION)
-    return table, reject_counts(staged, required)
+    with storage.staged(rows, "typed") as typed:
+        counts = reject_counts(typed, required).first()
+        valid, _ = split_rejects(typed, required)
+        batch = latest_per_key(valid, keys, ["event_date"], _tiebreak())
+        table = tables.merge_partitioned(spark, path, batch, keys, PARTITION)
+    return table, counts
 
 
 def load_bronze(
@@ -135,23 +142,22 @@ def load_bronze(
 ) -> tuple[DataFrame, DataFrame]:
     """One load of event documents: both tables, the watermark and the run log.
 
-    A backfill first forgets what is there. Returns (events, bouts).
+    A backfill first forgets what is there. Returns (events, bouts). The log row counts the merged
+    rows, and as errors the rejected ones; a load that fails is logged as such.
     """
-    started = datetime.now(timezone.utc)
+    started, counts, status = datetime.now(timezone.utc), (0, 0, 0), "FAILED"
     if run.mode == "backfill":
         tables.reset(spark, bronze.events, bronze.bouts, bronze.watermark)
-    events, event_counts = load_rows(
-        spark, bronze.events, bronze_events(documents, run), EVENT_KEYS
-    )
-    bouts, bout_counts = load_rows(
-        spark, bronze.bouts, bronze_bouts(documents, run, refs), BOUT_KEYS
-    )
-    loaded = events.where(F.col("run_id") == run.run_id)
-    tables.save_watermark(advance_watermark(loaded, "event_date", run.day), bronze.watermark)
-    counted = (event_counts.first()["valid"], bout_counts.first()["valid"])
-    row = (run.run_id, started, datetime.now(timezone.utc), run.mode, run.years_back,
-           run.overlap_days, *counted, 0, "SUCCESS")
-    tables.append_run_log(spark.createDataFrame([row], tables.RUN_LOG_SCHEMA), bronze.runs)
+    try:
+        events, e = load_rows(spark, bronze.events, bronze_events(documents, run), EVENT_KEYS)
+        bouts, b = load_rows(spark, bronze.bouts, bronze_bouts(documents, run, refs), BOUT_KEYS)
+        loaded = events.where(F.col("run_id") == run.run_id)
+        tables.save_watermark(advance_watermark(loaded, "event_date", run.day), bronze.watermark)
+        counts, status = (e.valid, b.valid, e.rejected + b.rejected), "SUCCESS"
+    finally:
+        row = (run.run_id, started, datetime.now(timezone.utc), run.mode, run.years_back,
+               run.overlap_days, *counts, status)
+        tables.append_run_log(spark.createDataFrame([row], tables.RUN_LOG_SCHEMA), bronze.runs)
     return events, bouts
 
 
@@ -163,7 +169,7 @@ def load_profiles(
     refs: DataFrame | None = None,
 ) -> DataFrame:
     """One load of profile documents, the last payload per athlete winning."""
-    rows = latest_per_key(bronze_profiles(documents, run, refs), PROFILE_KEYS, ["raw_payload"])
+    rows = latest_per_key(bronze_profiles(documents, run, refs), PROFILE_KEYS, _tiebreak())
     return tables.merge_table(spark, bronze.profiles, rows, PROFILE_KEYS)
 
 

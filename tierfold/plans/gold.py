@@ -17,9 +17,11 @@ from tierfold.functions.text import (
 )
 from tierfold.operators.matchup import (
     FIGHTER_SIDES,
+    KeySplit,
     matrix,
     name_index,
     name_rows,
+    split_by_key,
     unpivot_sides,
     weighted_pairs,
     win_counts,
@@ -28,6 +30,7 @@ from tierfold.operators.matchup import (
 )
 from tierfold.sources import tables
 
+Bouts = DataFrame | KeySplit
 PROFILE_NAMES = ["full_name", "display_name"]
 
 # Bin edges in centimetres.
@@ -35,23 +38,23 @@ HEIGHT_EDGES = [-25, -20, -15, -10, -5, 0, 5, 10, 15, 20, 25]
 REACH_EDGES = [-30, -20, -10, 0, 10, 20, 30]
 
 
-def stance_pairs(bouts: DataFrame, profiles: DataFrame, dims: Sequence[str] = ()) -> DataFrame:
+def stance_pairs(bouts: Bouts, profiles: DataFrame, dims: Sequence[str] = ()) -> DataFrame:
     """Weighted (stance, opp_stance) pairs: ``unknown`` for a known athlete without a stance,
     NULL for a name nobody has."""
     stances = profiles.withColumn("stance", normalize_label(F.col("stance")))
     return weighted_pairs(bouts, name_index(stances, PROFILE_NAMES, ["stance"]), ["stance"], dims)
 
 
-def stance_by_class(bouts: DataFrame, profiles: DataFrame) -> DataFrame:
+def stance_by_class(bouts: Bouts, profiles: DataFrame) -> DataFrame:
     pairs = stance_pairs(bouts, profiles, ["weight_class"])
     return win_rate(pairs, ["weight_class", "stance", "opp_stance"], weight="weight")
 
 
-def stance_overall(bouts: DataFrame, profiles: DataFrame) -> DataFrame:
+def stance_overall(bouts: Bouts, profiles: DataFrame) -> DataFrame:
     return win_rate(stance_pairs(bouts, profiles), ["stance", "opp_stance"], weight="weight")
 
 
-def style_overall(bouts: DataFrame, profiles: DataFrame) -> DataFrame:
+def style_overall(bouts: Bouts, profiles: DataFrame) -> DataFrame:
     """Unknown names and explicitly dropped styles both count as the default style."""
     styles = profiles.withColumn("style", bucket_label(F.col("combat_style")))
     pairs = weighted_pairs(bouts, name_index(styles, PROFILE_NAMES, ["style"]), ["style"])
@@ -104,7 +107,7 @@ def team_by_year(bouts: DataFrame, profiles: DataFrame) -> DataFrame:
     return team_results(bouts, profiles, {"event_year": F.year("event_date")})
 
 
-def advantage_pairs(bouts: DataFrame, profiles: DataFrame) -> DataFrame:
+def advantage_pairs(bouts: Bouts, profiles: DataFrame) -> DataFrame:
     """Weighted pairs with clipped and binned height and reach advantage, where the height
     advantage is known."""
     body = ["height_cm", "reach_cm"]
@@ -129,14 +132,14 @@ def advantage_pairs(bouts: DataFrame, profiles: DataFrame) -> DataFrame:
     ).where("height_adv_bin IS NOT NULL")
 
 
-def height_bins(bouts: DataFrame, profiles: DataFrame) -> DataFrame:
+def height_bins(bouts: Bouts, profiles: DataFrame) -> DataFrame:
     """Win rate per height advantage; ``height_adv_low`` sorts the bins by number."""
     return win_rate(
         advantage_pairs(bouts, profiles), ["height_adv_bin", "height_adv_low"], weight="weight"
     )
 
 
-def height_by_reach(bouts: DataFrame, profiles: DataFrame) -> DataFrame:
+def height_by_reach(bouts: Bouts, profiles: DataFrame) -> DataFrame:
     """Win rate per height and reach advantage; an unknown reach is a group of its own."""
     return win_rate(
         advantage_pairs(bouts, profiles), ["height_adv_bin", "reach_adv_bin"], weight="weight"
@@ -159,6 +162,7 @@ def build_gold(
     Each pairing runs once, at its finest grain; coarser marts are rolled up from the stored one.
     """
     tables.create_database(spark, database, location)
+    paired = split_by_key(bouts)
 
     def publish(name: str, df: DataFrame) -> DataFrame:
         table = f"{database}.mv_{name}"
@@ -166,19 +170,19 @@ def build_gold(
         return tables.publish_view(spark, f"{database}.v_{name}", table)
 
     marts = {}
-    marts["stance_matchups"] = publish("stance_matchups", stance_by_class(bouts, profiles))
+    marts["stance_matchups"] = publish("stance_matchups", stance_by_class(paired, profiles))
     marts["stance_matchups_overall"] = publish(
         "stance_matchups_overall", rolled_up(marts["stance_matchups"], ["stance", "opp_stance"])
     )
     marts["style_matchups_overall"] = publish(
-        "style_matchups_overall", style_overall(bouts, profiles)
+        "style_matchups_overall", style_overall(paired, profiles)
     )
     marts["team_performance"] = publish("team_performance", team_overall(bouts, profiles))
     marts["team_performance_year"] = publish(
         "team_performance_year", team_by_year(bouts, profiles)
     )
     marts["height_vs_reach_heatmap"] = publish(
-        "height_vs_reach_heatmap", height_by_reach(bouts, profiles)
+        "height_vs_reach_heatmap", height_by_reach(paired, profiles)
     )
     marts["height_advantage_bins_overall"] = publish(
         "height_advantage_bins_overall",

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,7 +77,7 @@ def read_or_rebuild(
         df = read()
         df.count()
         return df
-    except PySparkException:
+    except (PySparkException, Py4JJavaError):
         return rebuild()
 
 

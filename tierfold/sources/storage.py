@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,8 +55,13 @@ def rename(spark: SparkSession, path: str, new_path: str) -> None:
         raise OSError(f"could not rename {path} to {new_path}")
 
 
-def materialized(df: DataFrame, purpose: str) -> DataFrame:
-    """Write a result below the shared root and read it back, so it is computed once."""
-    path = new_folder(df.sparkSession, purpose)
+@contextmanager
+def staged(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """A result written below the shared root, so that it is computed once and outlives the
+    executors that computed it; removed when the block ends."""
+    spark, path = df.sparkSession, new_folder(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove(spark, path)

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierfold.operators.upsert import ALWAYS, align, changed_rows, upsert
@@ -75,32 +75,44 @@ def merge_partitioned(
         write_partitioned(source, path, partition)
         return stored(spark, path, source)
     target = stored(spark, path, source)
-    batch = align(source, target)
-    applied = storage.materialized(changed_rows(batch, target, keys, order, when), "batch")
+    batch = changed_rows(align(source, target), target, keys, order, when)
+    with storage.staged(batch, "batch") as applied:
+        _replace_partitions(spark, path, target, applied, keys, partition)
+    spark.catalog.refreshByPath(path)
+    return stored(spark, path, source)
+
+
+def _values(df: DataFrame, partition: str) -> set:
+    """The partition values of a table: a short list, as there is a folder for each."""
+    return {r[0] for r in df.select(partition).distinct().collect()}
+
 
-    goes_to = {r[0] for r in applied.select(partition).distinct().collect()}
-    is_in = target.join(applied.select(*keys), list(keys), "left_semi").select(partition)
-    left_behind = {r[0] for r in is_in.distinct().collect()} - goes_to
+def _replace_partitions(
+    spark: SparkSession,
+    path: str,
+    target: DataFrame,
+    applied: DataFrame,
+    keys: Sequence[str],
+    partition: str,
+) -> None:
+    goes_to = _values(applied, partition)
     if not goes_to:
-        return target
+        return
+    moving = target.join(applied.select(*keys), list(keys), "left_semi")
+    left_behind = _values(moving, partition) - goes_to
 
-    def within(values: set) -> Column:
+    def within(values: set) -> DataFrame:
         listed = F.col(partition).isin([v for v in values if v is not None])
-        return listed | F.col(partition).isNull() if None in values else listed
+        return target.where(listed | F.col(partition).isNull() if None in values else listed)
 
     emptied = set()
     if left_behind:
-        leaving = target.where(within(left_behind))
-        staying = leaving.join(applied.select(*keys), list(keys), "left_anti")
-        emptied = left_behind - {r[0] for r in staying.select(partition).distinct().collect()}
-
-    touched = target.where(within(goes_to | left_behind))
-    write_partitioned(upsert(touched, applied, keys), path, partition)
+        staying = within(left_behind).join(applied.select(*keys), list(keys), "left_anti")
+        emptied = left_behind - _values(staying, partition)
+    write_partitioned(upsert(within(goes_to | left_behind), applied, keys), path, partition)
     for value in emptied:
         folder = "__HIVE_DEFAULT_PARTITION__" if value is None else value
         storage.remove(spark, f"{path}/{partition}={folder}")
-    spark.catalog.refreshByPath(path)
-    return spark.read.parquet(path)
 
 
 def merge_table(
