@@ -146,7 +146,7 @@ def versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.col("l_suppkey").cast("string"), F.lit(" ")).alias("fighter_b_name"),
         (F.col("l_quantity") <= 25).alias("fighter_b_winner"),
         F.to_date("l_shipdate").alias("ingestion_date"),
-        F.format_string("%05d", F.col("l_partkey")).alias("run_id"),
+        F.lpad(F.col("l_partkey").cast("string"), 5, "0").alias("run_id"),
         F.col("l_extendedprice").alias("amount"),
     )
 

@@ -99,4 +99,4 @@ def format_feet_inches(inches: Column) -> Column:
     value = inches.cast("double")
     feet = F.floor(value / 12)
     rest = F.rint(value - feet * 12).cast("int")
-    return F.when(value.isNotNull(), F.format_string("%d' %d\"", feet, rest))
+    return F.concat(feet.cast("string"), F.lit("' "), rest.cast("string"), F.lit('"'))
