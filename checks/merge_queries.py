@@ -273,7 +273,7 @@ def _database(spark):
 def materialize_mart(spark, sf):
     mart = gold.stance_by_class(bouts(spark, sf), profiles(spark, sf))
     name = f"{_database(spark)}.mv_stance_matchups"
-    tables.materialize_mart(mart.limit(0).withColumn("old", F.lit(1)), name)
+    tables.materialize_mart(mart.where("false").withColumn("old", F.lit(1)), name)
     return tables.materialize_mart(mart, name)
 
 
