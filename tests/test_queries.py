@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import database, difference
+from checks.registry import REGISTRY
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = REGISTRY.queries, REGISTRY.sql
 FORBIDDEN = ["BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
