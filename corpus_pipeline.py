@@ -7,7 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tierfold.llm.common import table, written
+from tierfold.llm.line_dedup import documents_without_lines
+from tierfold.llm.mixing import mixed_documents
+from tierfold.llm.packing import packed
 from tierfold.llm.quality_rules import keep_good
+from tierfold.llm.queries import tokenizer_files
+from tierfold.llm.simhash import keep_one_of_each
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -16,7 +21,29 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_good(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality rules", quality)]
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return documents_without_lines(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return keep_one_of_each(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixed_documents(docs)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packed(docs, *tokenizer_files(), with_ids=False).drop("ids")
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality),
+    ("line dedup", lines),
+    ("simhash near-dedup", near_duplicates),
+    ("mixing sources to target weights", mixture),
+    ("packing", sequences),
+]
 
 #: Fingerprints and token ids are not within reach of SQL; tests hold run() against plain Python.
 ORACLE_SQL = None

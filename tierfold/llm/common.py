@@ -87,3 +87,11 @@ def release(spark: SparkSession) -> None:
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def with_text(df: DataFrame, text: str, names: list[str]) -> DataFrame:
+    """The columns ``names`` of the struct ``document`` with its text replaced and n_chars with it."""
+    row = F.col("document")
+    new = {"text": F.col(text), "n_chars": F.length(text)}
+    kinds = {f.name: f.dataType for f in df.schema["document"].dataType.fields}
+    return df.select(*(new[c].cast(kinds[c]).alias(c) if c in new else row.getField(c).alias(c) for c in names))

@@ -7,12 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tierfold.llm.common import table
+from tierfold.llm.line_dedup import LINE_SQL, line_dedup
+from tierfold.llm.mixing import MIX_SQL, mix
+from tierfold.llm.packing import packed
 from tierfold.llm.quality_rules import quality_rules
+from tierfold.llm.simhash import simhash_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def tokenizer_files() -> tuple[str, str]:
+    """The public byte-level BPE: its tokenizer file and the ranks of the same vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
 def query(name: str, sql: str | None = None):
     def register(f: Callable[[SparkSession, str], DataFrame]):
         QUERIES[name] = f
@@ -26,3 +37,23 @@ def query(name: str, sql: str | None = None):
 @query("op8_quality_rules")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+@query("op9_simhash_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op2_source_mix", MIX_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"), carry=["doc_id"])
+
+
+@query("op1_line_dedup", LINE_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op7_packing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"), *tokenizer_files(), with_ids=False).drop("ids")
