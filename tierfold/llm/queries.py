@@ -12,6 +12,7 @@ from tierfold.llm.html_text import extract_text
 from tierfold.llm.line_dedup import LINE_SQL, line_dedup
 from tierfold.llm.mixing import MIX_SQL, mix
 from tierfold.llm.packing import packed
+from tierfold.llm.quality_classifier import quality_scores
 from tierfold.llm.quality_rules import quality_rules
 from tierfold.llm.simhash import simhash_dedup
 
@@ -74,3 +75,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_html_text")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+@query("op5_quality_classifier")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
