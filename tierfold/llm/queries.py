@@ -15,6 +15,7 @@ from tierfold.llm.packing import packed
 from tierfold.llm.quality_classifier import quality_scores
 from tierfold.llm.quality_rules import quality_rules
 from tierfold.llm.simhash import simhash_dedup
+from tierfold.llm.suffix_dedup import suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -80,3 +81,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_quality_classifier")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_suffix_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"), with_bytes=False).drop("kept")
