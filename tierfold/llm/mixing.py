@@ -42,7 +42,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     onward = order.rowsBetween(0, Window.unboundedFollowing)
     left = F.sum("source_size").over(Window.partitionBy()) - F.coalesce(F.sum(limit).over(upto), F.lit(0))
     sized = sized.withColumn("level", left / F.sum("weight").over(onward))
-    level = F.min(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(Window.partitionBy())
+    level = F.max(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(Window.partitionBy())
     target = F.when(F.col("ratio") <= level, limit.cast("double")).otherwise(level * F.col("weight"))
     return sized.select("source", "source_size", target.alias("target"))
 
@@ -131,7 +131,7 @@ WITH d AS (
       ORDER BY ratio, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level
   FROM r
 ), m AS (
-  SELECT *, min(CASE WHEN level <= ratio THEN level END) OVER () AS even FROM l
+  SELECT *, max(CASE WHEN level <= ratio THEN level END) OVER () AS even FROM l
 ), t AS (
   SELECT source, source_size,
     CASE WHEN ratio <= even THEN CAST(3 * source_size AS DOUBLE) ELSE even * weight END AS target

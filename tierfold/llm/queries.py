@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tierfold.llm.chat import CHAT_SQL, conversation_digests, format_conversations, messages_from_turns
 from tierfold.llm.common import table
+from tierfold.llm.embedding_dedup import embedding_dedup
 from tierfold.llm.html_text import extract_text
 from tierfold.llm.line_dedup import LINE_SQL, line_dedup
 from tierfold.llm.mixing import MIX_SQL, mix
@@ -86,3 +87,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_suffix_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents"), with_bytes=False).drop("kept")
+
+
+@query("op4_embedding_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
