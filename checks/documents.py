@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.registry import spread, table
+from checks.registry import table
 
 
 def _obj(**fields: Column) -> Column:
@@ -92,7 +92,7 @@ def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = F.when(k % 10 == 3, F.to_json(_obj(header=event))).otherwise(
         F.to_json(event)
     )
-    return spread(table(spark, sf_dir, "orders")).select(
+    return table(spark, sf_dir, "orders").select(
         F.to_date("o_orderdate").alias("day"), k.alias("event_id"), payload.alias("payload")
     )
 
@@ -220,7 +220,7 @@ def profile_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         styles=F.when(k % 3 == 0, F.array(judo, boxing, judo)).when(k % 3 == 1, F.array(karate)),
         headshot=_obj(href=F.concat(F.lit("http://x/img/"), k.cast("string"))),
     )
-    return spread(table(spark, sf_dir, "customer")).select(
+    return table(spark, sf_dir, "customer").select(
         k.alias("athlete_id"), F.to_json(body).alias("payload")
     )
 
@@ -255,8 +255,7 @@ PROFILE_ROWS = """profile_rows AS (
          c_mktsegment AS weight_class,
          CASE WHEN k % 7 <> 0 THEN 'Team ' || c_nationkey END AS team,
          CASE k % 3 WHEN 0 THEN 'Boxing, Judo' WHEN 1 THEN 'Karate' END AS combat_style,
-         'http://x/img/' || k AS image_url
+         'http://x/img/' || k AS image_url, k % 50 = 49 AS failed
   FROM (SELECT *, c_custkey AS k, CAST(60.5 AS DOUBLE) + c_custkey % 20 AS inches,
                4 + (c_custkey // 6) % 3 AS feet
-        FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey)
-  WHERE k % 50 <> 49)"""
+        FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey))"""

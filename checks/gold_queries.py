@@ -2,13 +2,32 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import functions as F
 
-from checks.inputs import BOUTS, GOLD, PROFILES, SIDES, bouts, profiles, with_
+from checks.inputs import BOUTS, GOLD, PROFILES, RESOLVED, SIDES, bouts, profiles, with_
 from checks.registry import query, table
-from tierfold.functions.text import STYLE_BUCKETS, STYLE_SEPARATORS
+from tierfold.functions import dates
 from tierfold.operators import matchup
 from tierfold.plans import gold
+from tierfold.sources import storage
+
+# Fixed values, written out here and not taken from the library that is checked: separators, the
+# tokens of each style bucket, bin edges, and the stances of the made-up profiles.
+STYLE_SEPARATORS = [",", ";", "&", "|", "\\", " and ", " vs ", "/"]
+STYLE_BUCKETS = {
+    "wrestler": ["grappling", "wrestling", "thugjistu", "sambo", "judo", "jiu_jitsu"],
+    "striker": [
+        "sanda", "muay_thai", "kung_fu", "teakwondo", "taekwondo",
+        "ninja", "nikidokai", "boxing", "kickboxing", "karate",
+    ],
+    "street_fighting": ["street_fighting", "brawler"],
+    "mma": ["mixed_martial_artist", "mixed_martial_arts", "freestyle"],
+}
+HEIGHT_EDGES = [-25, -20, -15, -10, -5, 0, 5, 10, 15, 20, 25]
+REACH_EDGES = [-30, -20, -10, 0, 10, 20, 30]
 
 FOE = "JOIN resolved y ON x.competition_id = y.competition_id AND x.side <> y.side"
 RATES = """count(*) AS fights,
@@ -80,13 +99,13 @@ def mart_style_overall(spark, sf):
 def _matrix_sql(source: str, row: str, column: str, values: list[str], fill: bool) -> str:
     cells = []
     for v in values:
-        cell = f"max(CASE WHEN {column} = '{v}' THEN win_rate END)"
-        cells.append(f"coalesce({cell}, 0.0) AS {v}" if fill else f"{cell} AS {v}")
+        cell = f"max(CASE WHEN coalesce({column}, 'null') = '{v}' THEN win_rate END)"
+        cells.append(f'coalesce({cell}, 0.0) AS "{v}"' if fill else f'{cell} AS "{v}"')
     return f"SELECT {row}, {', '.join(cells)} FROM ({source}) GROUP BY {row}"
 
 
 STYLE_NAMES = list(STYLE_BUCKETS)
-STANCE_NAMES = ["automobile", "building", "furniture", "household", "machinery", "unknown"]
+STANCE_NAMES = ["automobile", "building", "furniture", "household", "machinery", "null", "unknown"]
 
 
 @query(
@@ -103,7 +122,7 @@ def mart_style_matrix(spark, sf):
 )
 def matchup_matrix(spark, sf):
     mart = gold.stance_overall(*_in(spark, sf))
-    return matchup.matrix(mart, "stance", "opp_stance", "win_rate", STANCE_NAMES)
+    return matchup.matrix(mart, "stance", "opp_stance", "win_rate")
 
 
 @query(
@@ -117,7 +136,7 @@ def matchup_matrix(spark, sf):
 def matchup_matrix_filled(spark, sf):
     pairs = gold.stance_pairs(*_in(spark, sf), ["weight_class"])
     rates = matchup.win_rate(pairs, ["weight_class", "opp_stance"], weight="weight")
-    return matchup.matrix(rates, "weight_class", "opp_stance", "win_rate", STANCE_NAMES, 0.0)
+    return matchup.matrix(rates, "weight_class", "opp_stance", "win_rate", fill=0.0)
 
 
 TEAM = """CASE WHEN team IS NULL OR trim(team) = '' THEN NULL ELSE lower(trim(team)) END"""
@@ -169,9 +188,9 @@ feat AS (
   FROM resolved x {FOE}
   WHERE x.height_cm IS NOT NULL AND y.height_cm IS NOT NULL),
 x AS (
-  SELECT is_winner, {bin_sql("h", gold.HEIGHT_EDGES)} AS height_adv_bin,
-         CAST({bin_sql("h", gold.HEIGHT_EDGES, False)} AS INTEGER) AS height_adv_low,
-         {bin_sql("r", gold.REACH_EDGES)} AS reach_adv_bin
+  SELECT is_winner, {bin_sql("h", HEIGHT_EDGES)} AS height_adv_bin,
+         CAST({bin_sql("h", HEIGHT_EDGES, False)} AS INTEGER) AS height_adv_low,
+         {bin_sql("r", REACH_EDGES)} AS reach_adv_bin
   FROM feat)
 """
 
@@ -271,8 +290,11 @@ def distinct_per_group(spark, sf):
     "age_gap_years",
     f"""{with_(BOUTS, PROFILES)}, a AS (
       SELECT b.competition_id, b.event_date, p.birth_date AS d1, q.birth_date AS d2
-      FROM bouts b JOIN profiles p ON lower(b.fighter_a_name) = lower(p.full_name)
-      JOIN profiles q ON lower(b.fighter_b_name) = lower(q.full_name)),
+      FROM bouts b
+      LEFT JOIN profiles p ON lower(b.fighter_a_name) = lower(p.full_name)
+        OR lower(b.fighter_a_name) = lower(p.display_name)
+      LEFT JOIN profiles q ON lower(b.fighter_b_name) = lower(q.full_name)
+        OR lower(b.fighter_b_name) = lower(q.display_name)),
     m AS (SELECT *,
       (year(event_date) - year(d1)) * 12 + month(event_date) - month(d1) AS m1,
       (year(event_date) - year(d2)) * 12 + month(event_date) - month(d2) AS m2,
@@ -286,23 +308,91 @@ def distinct_per_group(spark, sf):
       AS age_adv_years FROM m""",
 )
 def age_gap_years(spark, sf):
-    from tierfold.functions.dates import age_gap_years as gap
+    """Every bout, with the gap where both competitors are known by either name."""
+    b, p = _in(spark, sf)
+    found = b.select("competition_id", "event_date", "fighter_a_name", "fighter_b_name")
+    for side in "ab":
+        people = p.withColumnRenamed("birth_date", f"born_{side}")
+        found = matchup.resolve_by_name(
+            found, people, f"fighter_{side}_name", gold.PROFILE_NAMES, [f"born_{side}"]
+        )
+    gap = dates.age_gap_years(F.col("event_date"), F.col("born_a"), F.col("born_b"))
+    return found.select("competition_id", F.round(gap, 5).alias("age_adv_years"))
+
+
+# --- bouts that share a competition, all marts at once ------------------------------------------
+
+# A tenth of the bouts under one key, two tenths in small groups, the others on their own.
+SHARED_KEY = """CASE WHEN k % 10 = 0 THEN 'hot' WHEN k % 10 < 3 THEN 'group ' || (k // 20)
+  ELSE CAST(k AS VARCHAR) END"""
+SHARED_GOLD = with_(
+    BOUTS.replace("bouts AS", "base AS", 1),
+    f"""bouts AS (SELECT * EXCLUDE (k) REPLACE ({SHARED_KEY} AS competition_id)
+      FROM (SELECT *, CAST(competition_id AS BIGINT) AS k FROM base))""",
+    PROFILES, SIDES, RESOLVED,
+)
 
+
+def _shared(spark, sf):
     b, p = _in(spark, sf)
+    k = F.col("competition_id").cast("bigint")
+    group = F.concat(F.lit("group "), F.floor(k / 20).cast("string"))
+    key = F.when(k % 10 == 0, "hot").when(k % 10 < 3, group).otherwise(F.col("competition_id"))
+    return b.withColumn("competition_id", key), p
 
-    def born(side):
-        return p.select(
-            F.lower("full_name").alias(f"_name_{side}"), F.col("birth_date").alias(f"born_{side}")
-        )
 
-    a, o = born("a"), born("b")
-    return (
-        b.join(a, F.lower("fighter_a_name") == a["_name_a"])
-        .join(o, F.lower("fighter_b_name") == o["_name_b"])
-        .select(
-            "competition_id",
-            F.round(gap(F.col("event_date"), F.col("born_a"), F.col("born_b")), 5).alias(
-                "age_adv_years"
-            ),
-        )
-    )
+@query("mart_shared_competitions", SHARED_GOLD + STANCE_MART)
+def mart_shared_competitions(spark, sf):
+    return gold.stance_by_class(*_shared(spark, sf))
+
+
+@query(
+    "mart_shared_heights",
+    f"{ADVANTAGE.replace(GOLD.rstrip(), SHARED_GOLD.rstrip())} "
+    f"SELECT height_adv_bin, reach_adv_bin, {RATES} FROM x GROUP BY 1, 2",
+)
+def mart_shared_heights(spark, sf):
+    return gold.height_by_reach(*_shared(spark, sf))
+
+
+# Mart, its dimensions, and the SQL that gives them with fights and wins.
+SEVEN = {
+    "stance_matchups": (["weight_class", "stance", "opp_stance"], STANCE_MART),
+    "stance_matchups_overall": (["stance", "opp_stance"], STANCE_OVERALL),
+    "style_matchups_overall": (["style", "opp_style"], STYLE_MART),
+    "team_performance": (["team_norm"], f"SELECT {TEAM} AS team_norm, {TEAM_RATES} GROUP BY 1"),
+    "team_performance_year": (
+        ["team_norm", "event_year"],
+        f"SELECT {TEAM} AS team_norm, event_year, {TEAM_RATES} GROUP BY 1, 2",
+    ),
+    "height_vs_reach_heatmap": (
+        ["height_adv_bin", "reach_adv_bin"],
+        f"SELECT height_adv_bin, reach_adv_bin, {RATES} FROM x GROUP BY 1, 2",
+    ),
+    "height_advantage_bins_overall": (
+        ["height_adv_bin"], f"SELECT height_adv_bin, {RATES} FROM x GROUP BY 1"
+    ),
+}
+
+
+def _label_sql(dims: list[str]) -> str:
+    return " || '|' || ".join(f"coalesce(CAST({d} AS VARCHAR), '-')" for d in dims)
+
+
+@query(
+    "build_gold",
+    ADVANTAGE.rstrip() + ",\n" + STYLED + " UNION ALL ".join(
+        f"SELECT '{name}' AS mart, {_label_sql(dims)} AS label, fights, wins FROM ({sql})"
+        for name, (dims, sql) in SEVEN.items()
+    ),
+)
+def build_gold(spark, sf):
+    """All rows of the seven views."""
+    database = f"gold_{uuid.uuid4().hex[:12]}"
+    b, p = _in(spark, sf)
+    views = gold.build_gold(spark, database, b, p, storage.new_folder(spark, database))
+    parts = []
+    for name, (dims, _) in SEVEN.items():
+        label = F.concat_ws("|", *(F.coalesce(F.col(d).cast("string"), F.lit("-")) for d in dims))
+        parts.append(views[name].select(F.lit(name).alias("mart"), label.alias("label"), "fights", "wins"))
+    return reduce(lambda x, y: x.unionAll(y), parts)

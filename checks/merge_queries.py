@@ -6,11 +6,14 @@ Queries that write do so in a new folder below the shared root and return what t
 from __future__ import annotations
 
 import uuid
-from datetime import timedelta
+from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import functions as F
 
-from checks.documents import BOUT_ROWS, EVENTS, event_documents, event_refs
+from checks.documents import (
+    BOUT_ROWS, EVENTS, PROFILE_ROWS, event_documents, event_refs, place_refs, profile_documents,
+)
 from checks.gold_queries import GOLD_STYLED, STANCE_MART, STYLE_MART
 from checks.inputs import (
     BOUTS, GOLD, TIEBREAK, UPSERT_PAIR, VERSIONED, bouts, profiles, upsert_source, upsert_target,
@@ -105,19 +108,17 @@ MIDDLE = middle_sql("events", "ts")
 
 @query(
     "watermark_resolve",
-    """SELECT strftime(greatest(CAST(max(ts) AS DATE), (SELECT CAST(max(o_orderdate) AS DATE)
-      FROM orders)), '%Y-%m-%d') AS last_event_date FROM events""",
+    "SELECT strftime(CAST(max(ts) AS DATE), '%Y-%m-%d') AS last_event_date FROM events",
 )
 def watermark_resolve(spark, sf):
-    """A mark saved by an earlier load, against two tables that have moved on."""
-    events = table(spark, sf, "events")
-    state = storage.new_folder(spark, "watermark")
-    early = windowing.advance_watermark(events, "ts", cap=_middle(events, "ts"))
-    tables.save_watermark(early, state)
+    """A mark saved by an earlier load, against two tables that do not reach it: it decides."""
+    events, orders = table(spark, sf, "events"), table(spark, sf, "orders")
+    state, middle = storage.new_folder(spark, "watermark"), F.lit(_middle(events, "ts"))
+    tables.save_watermark(windowing.advance_watermark(events, "ts"), state)
     return windowing.resolve_watermark(
         (tables.load_state(spark, state), "last_event_date"),
-        (events, "ts"),
-        (table(spark, sf, "orders"), "o_orderdate"),
+        (events.where(F.col("ts") < middle), "ts"),
+        (orders.where(F.col("o_orderdate") < middle), "o_orderdate"),
     )
 
 
@@ -140,7 +141,7 @@ def _daily(events):
 
 @query(
     "incremental_idempotent",
-    "SELECT event_id, event_type, value, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS day FROM events",
+    "SELECT event_id, event_type, value, strftime(ts, '%Y%m%d') AS day FROM events",
 )
 def incremental_idempotent(spark, sf):
     """First load up to the middle, then the rest with an overlap of a day, the latter twice."""
@@ -156,32 +157,35 @@ def incremental_idempotent(spark, sf):
 
 @query(
     "reject_null_partition",
-    """SELECT status, count(*) AS rows FROM (SELECT CASE WHEN o_orderstatus = 'P' THEN 'rejected'
-      ELSE 'valid' END AS status FROM orders) GROUP BY 1""",
+    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'rejected' ELSE 'valid' END AS status
+    FROM orders""",
 )
 def reject_null_partition(spark, sf):
     known = F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate"))
     orders = table(spark, sf, "orders").select("o_orderkey", known.alias("event_date"))
     orders = orders.withColumn("event_year", F.year("event_date"))
-    counts = quality.reject_counts(orders, ["event_date", "event_year"])
-    return quality.to_long(counts, "status", "rows")
+    valid, rejected = quality.split_rejects(orders, ["event_date", "event_year"])
+    marked = lambda df, status: df.select("o_orderkey", F.lit(status).alias("status"))
+    return marked(valid, "valid").union(marked(rejected, "rejected"))
 
 
 # --- sources, sinks, catalog --------------------------------------------------------------------
 
-RAW_SCHEMA = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE, ts TIMESTAMP_NTZ"
+RAW_SCHEMA = (
+    "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE, ts TIMESTAMP_NTZ, props STRING"
+)
 
 
 def _raw_events(spark, sf):
     path = storage.new_folder(spark, "raw")
-    events = table(spark, sf, "events").drop("props").withColumn("day", F.to_date("ts"))
+    events = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
     landing.mirror_raw(events, path, "day", ["event_id"], ["ts"])
     return path
 
 
 @query(
     "scan_raw_json",
-    """SELECT event_id, user_id, event_type, value, strftime(ts, '%Y-%m-%d') AS ingestion_date
+    """SELECT event_id, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d') AS ingestion_date
     FROM events""",
 )
 def scan_raw_json(spark, sf):
@@ -193,13 +197,13 @@ def scan_raw_json(spark, sf):
 
 @query(
     "raw_mirror_latest",
-    """SELECT user_id, event_id, event_type, value, strftime(ts, '%Y-%m-%d') AS ingestion_date
+    """SELECT user_id, event_id, event_type, value, props, strftime(ts, '%Y-%m-%d') AS ingestion_date
     FROM events QUALIFY row_number() OVER (PARTITION BY CAST(ts AS DATE), user_id
       ORDER BY events.ts DESC, event_id DESC) = 1""",
 )
 def raw_mirror_latest(spark, sf):
     path = storage.new_folder(spark, "raw")
-    events = table(spark, sf, "events").drop("props").withColumn("day", F.to_date("ts"))
+    events = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
     for _ in range(2):  # mirroring a day again replaces it
         landing.mirror_raw(events, path, "day", ["user_id"], ["ts"], ["event_id"])
     raw = landing.scan_raw_json(spark, path, f"{RAW_SCHEMA}, ingestion_date DATE")
@@ -222,17 +226,46 @@ def landing_roundtrip(spark, sf):
     return landed.select("doc_id", F.md5("text").alias("body"), "lang", "run_id")
 
 
+def _damaged(spark, path):
+    """Overwrite the pages of a parquet folder's files, their footers left as they are."""
+    fs, folder = storage._path(spark, path)
+    for status in fs.listStatus(folder):
+        if status.getPath().getName().startswith("part-"):
+            size = status.getLen()
+            stream = fs.open(status.getPath())
+            held = bytes(stream.readNBytes(size))
+            stream.close()
+            footer = int.from_bytes(held[-8:-4], "little") + 8
+            out = fs.create(status.getPath(), True)
+            out.write(bytearray(held[:4] + b"\x55" * (size - footer - 4) + held[-footer:]))
+            out.close()
+
+
 @query(
     "read_with_fallback",
-    "SELECT event_id, event_type, value FROM events",
+    f"""{with_(EVENTS)} SELECT source, event_id, event_name, country, status, num_fights
+    FROM event_rows, (VALUES ('good'), ('missing'), ('damaged')) v(source)""",
 )
 def read_with_fallback(spark, sf):
-    """The bronze table does not exist, so the rows come from the raw mirror."""
-    raw = _raw_events(spark, sf)
-    return landing.read_or_rebuild(
-        lambda: spark.read.parquet(storage.new_folder(spark, "missing")),
-        lambda: landing.scan_raw_json(spark, raw, RAW_SCHEMA),
-    ).select("event_id", "event_type", "value")
+    """Silver events out of a good bronze table, and out of the raw documents where that table is
+    missing or damaged. Every case starts from a table that would tell by its names."""
+    documents, day = event_documents(spark, sf), date(2025, 1, 1)
+    run = bronze.Run("20250101T000000Z", day)
+    parts = []
+    for source in ("good", "missing", "damaged"):
+        root = bronze.Bronze(storage.new_folder(spark, "bronze"))
+        if source != "missing":
+            rows = bronze.valid_events(documents, run)
+            if source == "damaged":
+                rows = rows.withColumn("event_name", F.lit("from damaged table")).coalesce(1)
+                rows.withColumn("event_year", F.lit(1)).drop("event_year").write.parquet(f"{root.events}/event_year=2000")
+                _damaged(spark, f"{root.events}/event_year=2000")
+            else:
+                tables.write_partitioned(rows, root.events, bronze.PARTITION)
+        found = silver.events_or_raw(spark, root, lambda: documents, run)
+        loaded = silver.load_events(spark, storage.new_folder(spark, "silver"), found)
+        parts.append(loaded.select(F.lit(source).alias("source"), "event_id", "event_name", "country", "status", "num_fights"))
+    return reduce(lambda x, y: x.unionAll(y), parts)
 
 
 @query("ids_or_fallback", "SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS athlete_id FROM orders")
@@ -393,7 +426,7 @@ def silver_events(spark, sf):
     path, middle = storage.new_folder(spark, "silver"), F.lit(_middle(events, "ts"))
     for part in (F.col("event_date") <= middle, F.col("event_date") > middle):
         loaded = silver.load_events(spark, path, shaped.where(part), ["venue"])
-    return loaded
+    return silver.published_events(loaded)
 
 
 @query(
@@ -447,4 +480,157 @@ def silver_profiles(spark, sf):
     path, middle = storage.new_folder(spark, "silver"), F.lit(_middle(rows, "ingestion_date"))
     for part in (F.col("ingestion_date") <= middle, F.col("ingestion_date") > middle):
         loaded = silver.load_profiles(spark, path, rows.where(part))
+    return silver.published_profiles(loaded)
+
+
+@query(
+    "silver_events_columns_appear",
+    """SELECT CAST(event_id AS VARCHAR) AS event_id, event_type AS event_name,
+      CASE WHEN event_id % 3 = 1 OR event_id % 300 = 2 THEN 'V' || value END AS venue,
+      CASE WHEN event_id % 300 = 2 THEN 'CZ' END AS country
+    FROM events""",
+)
+def silver_events_columns_appear(spark, sf):
+    """A venue that is empty in the first load, full in the second and rare in the third, and a
+    country of which the third load has the first values: none of them is lost."""
+    events, k = table(spark, sf, "events"), F.col("event_id")
+    rare = k % 300 == 2
+    shaped = events.select(
+        k.cast("string").alias("event_id"),
+        F.col("ts").alias("event_date"),
+        F.col("event_type").alias("event_name"),
+        F.when((k % 3 == 1) | rare, F.concat(F.lit("V"), F.col("value").cast("string"))).alias("venue"),
+        F.when(rare, F.lit("CZ")).alias("country"),
+        (k % 3).alias("load"),
+    )
+    path = storage.new_folder(spark, "silver")
+    for load in range(3):
+        loaded = silver.load_events(spark, path, shaped.where(F.col("load") == load).drop("load"))
+    return loaded.select("event_id", "event_name", "venue", "country")
+
+
+STRING_PARTITIONS = ["007", "7", "a b/c:1", "a=b%", "x"]
+
+
+@query(
+    "merge_string_partitions",
+    f"""SELECT c_custkey, CASE WHEN p = 'a b/c:1' OR c_custkey % 50 = 3 THEN '07' ELSE p END AS p,
+      CASE WHEN p = 'a b/c:1' OR c_custkey % 50 = 3 THEN 'moved' ELSE c_name END AS name
+    FROM (SELECT *, {STRING_PARTITIONS}[c_custkey % 5 + 1] AS p FROM customer)""",
+)
+def merge_string_partitions(spark, sf):
+    """Partitions whose names look like numbers or need escaping; rows move out of each of them,
+    and all of one."""
+    k = F.col("c_custkey")
+    names = F.array(*(F.lit(v) for v in STRING_PARTITIONS))
+    rows = table(spark, sf, "customer").select(
+        k, F.get(names, (k % 5).cast("int")).alias("p"), F.col("c_name").alias("name")
+    )
+    path = storage.new_folder(spark, "strings")
+    tables.merge_partitioned(spark, path, rows, ["c_custkey"], "p")
+    moved = rows.where((F.col("p") == "a b/c:1") | (k % 50 == 3))
+    moved = moved.withColumns({"p": F.lit("07"), "name": F.lit("moved")})
+    return tables.merge_partitioned(spark, path, moved, ["c_custkey"], "p")
+
+
+def _profile_versions(spark, sf, *versions):
+    """(athlete_id, loaded_at, payload) of customers whose names carry a version."""
+    k, name = F.col("c_custkey"), F.col("c_name")
+    customers = table(spark, sf, "customer")
+    parts = [
+        customers.where(where).select(
+            k.alias("athlete_id"),
+            F.lit(version).alias("loaded_at"),
+            payload(F.concat(name, F.lit(f" v{version}"))).alias("payload"),
+        )
+        for version, where, payload in versions
+    ]
+    return reduce(lambda x, y: x.unionAll(y), parts)
+
+
+def _named(name):
+    return F.to_json(F.struct(name.alias("fullName"), F.struct(F.lit(1e12).alias("centimeters")).alias("height")))
+
+
+def _failed(name):
+    return F.to_json(F.struct(F.lit("timed out").alias("error")))
+
+
+def _cut(name):
+    return F.concat(F.lit('{"fullName": "'), name)
+
+
+def _two_profile_loads(spark, sf, root):
+    """Two versions at once, in either order of their names; then a third for some, failed and
+    unreadable documents for others, and failed ones for athletes that nobody knows."""
+    k = F.col("c_custkey")
+    first = _profile_versions(spark, sf, (2, k % 7 != 6, _named), (1, k % 7 != 6, _named))
+    second = _profile_versions(spark, sf, (3, k % 4 == 0, _named), (4, k % 4 == 1, _failed), (5, k % 4 == 2, _cut))
+    for run_id, documents in (("20250101T000000Z", first), ("20250102T000000Z", second)):
+        run = bronze.Run(run_id, date(2025, 1, 1))
+        loaded = bronze.load_profiles(spark, root, documents, run, order=["loaded_at"])
     return loaded
+
+
+@query(
+    "bronze_profiles",
+    """SELECT CAST(c_custkey AS VARCHAR) AS athlete_id, CASE WHEN c_custkey % 4 = 0 THEN c_name || ' v3'
+      WHEN c_custkey % 7 <> 6 THEN c_name || ' v2' END AS full_name, CAST(NULL AS INTEGER) AS height_cm
+    FROM customer WHERE c_custkey % 7 <> 6 OR c_custkey % 4 < 2""",
+)
+def bronze_profiles(spark, sf):
+    loaded = _two_profile_loads(spark, sf, bronze.Bronze(storage.new_folder(spark, "bronze")))
+    return loaded.select("athlete_id", "full_name", "height_cm")
+
+
+@query(
+    "rejected_rows",
+    f"""{with_(EVENTS, BOUT_ROWS)} SELECT 'events' AS source, event_name AS name, NULL AS reason
+      FROM event_rows WHERE CAST(event_id AS BIGINT) % 7 = 0
+    UNION ALL SELECT 'bouts', bout_name, NULL FROM bout_rows WHERE CAST(event_id AS BIGINT) % 7 = 0
+    UNION ALL SELECT 'profiles', CAST(c_custkey AS VARCHAR),
+      CASE WHEN c_custkey % 4 = 1 THEN 'failed' ELSE 'unreadable' END
+      FROM customer WHERE c_custkey % 4 IN (1, 2)""",
+)
+def rejected_rows(spark, sf):
+    """What the gates hold back is stored; loading the same run again stores it once."""
+    root = bronze.Bronze(storage.new_folder(spark, "bronze"))
+    k, payload = F.col("event_id"), F.col("payload")
+    nameless = F.replace(payload, F.lit('"id":'), F.lit('"no_id":'))
+    documents = event_documents(spark, sf).withColumn("payload", F.when(k % 7 == 0, nameless).otherwise(payload))
+    for _ in range(2):
+        bronze.load_bronze(spark, root, documents, bronze.Run("20250101T000000Z", date(2025, 1, 1)))
+    _two_profile_loads(spark, sf, root)
+    none = F.lit(None).cast("string")
+    held = [
+        ("events", F.col("event_name"), none), ("bouts", F.col("bout_name"), none),
+        ("profiles", F.col("athlete_id"), F.col("reason")),
+    ]
+    parts = [
+        spark.read.parquet(root.rejects(source)).select(
+            F.lit(source).alias("source"), name.alias("name"), reason.alias("reason")
+        )
+        for source, name, reason in held
+    ]
+    return reduce(lambda x, y: x.unionAll(y), parts)
+
+
+@query(
+    "documents_to_gold",
+    f"""{with_(EVENTS, BOUT_ROWS, PROFILE_ROWS)}, known AS (
+      SELECT replace(lower(p.stance), ' ', '_') AS stance, b.fighter_a_winner AS won,
+             b.fighter_b_winner AS lost
+      FROM bout_rows b JOIN profile_rows p ON lower(b.fighter_a_name) = lower(p.full_name))
+    SELECT stance, NULL AS opp_stance, count(*) AS fights, count(*) FILTER (won) AS wins FROM known
+      GROUP BY 1
+    UNION ALL SELECT NULL, stance, count(*), count(*) FILTER (lost) FROM known GROUP BY 2""",
+)
+def documents_to_gold(spark, sf):
+    """The whole chain: documents, bronze, silver, and a mart over both."""
+    root = bronze.Bronze(storage.new_folder(spark, "bronze"))
+    run = bronze.Run("20250101T000000Z", date(2025, 1, 1))
+    _, bouts_ = bronze.load_bronze(spark, root, event_documents(spark, sf), run, event_refs(spark, sf))
+    people = bronze.load_profiles(spark, root, profile_documents(spark, sf), run, place_refs(spark, sf))
+    bouts_ = silver.load_bouts(spark, storage.new_folder(spark, "silver"), bouts_)
+    people = silver.load_profiles(spark, storage.new_folder(spark, "silver"), people)
+    return gold.stance_overall(bouts_, people).drop("win_rate")

@@ -49,12 +49,3 @@ def printable(df: DataFrame) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for a table that is read as fewer splits than there are cores.
-
-    Documents are built from compact rows here; read from files they would come in many splits.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -198,10 +198,25 @@ def test_profile_attributes(spark):
     assert profile(spark, stance={"name": "S"}, styles=[]).combat_style is None
 
 
-def test_failed_fetches_give_no_profile(spark):
+def test_failed_fetches_are_marked(spark):
     docs = documents(spark, {"error": "timed out"}, "{broken", {"fullName": "A"})
     rows = P.profile_rows(docs.withColumn("athlete_id", F.lit(1))).collect()
-    assert [r.full_name for r in rows] == ["A"]
+    assert [(r.full_name, r.failed) for r in rows] == [(None, True), ("A", False)]
+
+
+@pytest.mark.parametrize(
+    "fields",
+    [
+        {"heightCentimeters": 1e12, "reachCentimeters": 1e12}, {"height": 1e300, "reach": -1e300},
+        {"displayHeight": "999999999' 1", "displayReach": "1e99"},
+        {"displayHeight": "99999999999999999999' 1"}, {"displayHeight": "5' 99999999999"},
+        {"height": {"centimeters": 1e12}, "reach": {"cm": 1e12}},
+        {"measurements": [{"type": "height", "value": 1e12}, {"type": "reach", "value": 1e12}]},
+    ],
+)
+def test_numbers_out_of_range_give_null(spark, fields):
+    row = profile(spark, **fields)
+    assert (row.height_cm, row.reach_cm) == (None, None)
 
 
 def test_documents_are_parsed_once(spark, plan):

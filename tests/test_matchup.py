@@ -164,21 +164,41 @@ def test_team_marts(case):
     }
 
 
-def test_pairing_paths_agree(case, monkeypatch):
-    """The mixed path, the all-keys path and the one-record path count the same pairs."""
+def test_pairing_paths_agree(case):
+    """Pairs within records and pairs across records count the same where keys are unique."""
     rows, _, bouts, profiles = case
-    mixed = collected(gold.stance_overall(bouts, profiles), "stance", "opp_stance")
-    monkeypatch.setattr(matchup, "BROADCAST_KEYS", 1)
-    assert collected(gold.stance_overall(bouts, profiles), "stance", "opp_stance") == mixed
     once = bouts.withColumn("competition_id", F.col("event_id"))
     index = matchup.name_index(profiles, gold.PROFILE_NAMES, ["height_cm"])
-    args = (once, index, ["height_cm"], ["weight_class"], "competition_id")
+    within = matchup.attributed(
+        matchup.name_pairs(once, ["weight_class"]), index, ["height_cm"], ["weight_class"]
+    )
+    across = matchup.pairs_across_records(once, index, ["height_cm"], ["weight_class"], "competition_id")
 
     def counted(df):
         dims = ["weight_class", "height_cm", "opp_height_cm", "is_winner"]
         return Counter({tuple(r[:-1]): r[-1] for r in df.groupBy(*dims).agg(F.sum("weight")).collect()})
 
-    assert counted(matchup.pairs_within_record(*args)) == counted(matchup.pairs_across_records(*args))
+    assert counted(within) == counted(across) and sum(counted(within).values()) > len(rows)
+
+
+def test_a_thousand_namesakes_on_each_side_stay_few_rows(spark):
+    bouts = spark.createDataFrame(
+        [("1", "e", None, 2000, "X", "Same A", True, "Same B", False)], BOUT_SCHEMA
+    )
+    people = [
+        (f"{s}{i}", f"same {s}", None, f"stance {i % 5}", None, None, 150 + i % 50, 150 + i // 50)
+        for s in "ab" for i in range(1000)
+    ]
+    profiles = spark.createDataFrame(people, PROFILE_SCHEMA)
+    pairs = gold.advantage_pairs(bouts, profiles)
+    mart = gold.height_by_reach(bouts, profiles)
+    assert mart.agg(F.sum("fights")).first()[0] == 2 * 1000 * 1000
+    assert pairs.count() < 200
+    text = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" in text
+    index = matchup.name_index(profiles, gold.PROFILE_NAMES, ["stance"])
+    assert index.count() == 10
+    assert gold.stance_overall(bouts, profiles).agg(F.sum("fights")).first()[0] == 2 * 1000 * 1000
 
 
 def test_hot_competition_id_is_paired_on_summary_rows(spark):
@@ -232,8 +252,9 @@ def test_matrix(spark):
     assert {r.a: (r.x, r.y, r.z) for r in wide.collect()} == {
         "x": (0.5, 0.25, 0.0), "y": (0.75, 0.0, 0.0)
     }
-    found = matchup.matrix(rates, "a", "b", "r")
-    assert {r.a: (r.x, r.y) for r in found.collect()} == {"x": (0.5, 0.25), "y": (0.75, None)}
+    found = matchup.matrix(rates.union(spark.sql("SELECT 'x', NULL, 0.1D")), "a", "b", "r")
+    assert found.columns == ["a", "null", "x", "y"]
+    assert {r.a: tuple(r)[1:] for r in found.collect()} == {"x": (0.1, 0.5, 0.25), "y": (None, 0.75, None)}
 
 
 def test_gold_tables_and_views(case, spark, tmp_path):

@@ -140,6 +140,10 @@ def test_read_or_rebuild(spark, tmp_path):
     (damaged / "part-0.parquet").write_bytes(b"no parquet at all, not even close")
     broken = lambda: spark.read.schema("id BIGINT").parquet(str(damaged))
     assert landing.read_or_rebuild(broken, good).count() == 3
+    with pytest.raises(ZeroDivisionError):
+        landing.read_or_rebuild(lambda: 1 / 0, good)
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        landing.read_or_rebuild(lambda: spark.range(3).selectExpr("id / 0 AS x"), good)
 
 
 def test_silver_without_versions_only_adds(spark, tmp_path):
@@ -185,7 +189,9 @@ def test_bronze_gate_rejects_and_logs(spark, tmp_path):
     with pytest.raises(Exception):
         bronze.load_bronze(spark, root, docs.drop("payload"), bronze.Run("3", date(2024, 1, 2)))
     assert spark.read.parquet(root.runs).where("run_id = 3").first().status == "FAILED"
-    assert bronze.current_watermark(spark, root).first()[0] == date(2023, 12, 31)
+    assert bronze.current_watermark(spark, root).first()[0] == date(2024, 1, 1)
+    held = spark.read.parquet(root.rejects("events")).groupBy("run_id").count().collect()
+    assert {(int(r.run_id), r["count"]) for r in held} == {(1, 3), (2, 3)}
     assert bronze.current_watermark(spark, root, events).first()[0] == date(2024, 1, 1)
     tables.reset(spark, root.events, root.watermark)
     assert not storage.exists(spark, root.events)
@@ -199,10 +205,29 @@ def test_profiles_load_keeps_good_rows(spark, tmp_path):
         return bronze.load_profiles(spark, root, docs, bronze.Run(run_id, date(2024, 1, 1)))
 
     load("1", ("7", '{"fullName": "Good"}'), ("8", '{"fullName": "Old"}'))
-    table = load("2", ("7", '{"error": "timed out"}'), ("8", '{"fullName": "New"}'))
+    table = load(
+        "2", ("7", '{"error": "timed out"}'), ("8", '{"fullName": "New"}'), ("9", '{"error": "x"}'),
+        ("8", "{broken"), (None, '{"fullName": "Who"}'),
+    )
     assert {(r.athlete_id, r.full_name, r.run_id) for r in table.collect()} == {
-        ("7", "Good", "1"), ("8", "New", "2")
+        ("7", "Good", "1"), ("8", "New", "2"), ("9", None, "2")
     }
+    held = spark.read.parquet(root.rejects("profiles")).collect()
+    assert sorted((r.reason, r.athlete_id or "") for r in held) == [
+        ("failed", "7"), ("failed", "9"), ("no id", ""), ("unreadable", "8")
+    ]
+
+
+def test_the_later_payload_of_an_athlete_wins(spark, tmp_path):
+    for i in range(6):
+        root = bronze.Bronze(str(tmp_path / str(i)))
+        docs = spark.createDataFrame(
+            [("7", 1, f'{{"fullName": "Old {i}"}}'), ("7", 2, f'{{"fullName": "New {i}"}}')],
+            "athlete_id STRING, loaded_at INT, payload STRING",
+        )
+        run = bronze.Run("1", date(2024, 1, 1))
+        (row,) = bronze.load_profiles(spark, root, docs, run, order=["loaded_at"]).collect()
+        assert row.full_name == f"New {i}"
 
 
 def test_shared_root_comes_from_the_session(spark):

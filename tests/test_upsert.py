@@ -105,10 +105,36 @@ def test_merge_table_survives_a_cut_short_swap(spark, tmp_path):
 
 def test_batches_are_aligned_to_the_target(spark):
     t = spark.createDataFrame([(1, "a", "x")], "k INT, name STRING, venue STRING")
-    s = spark.createDataFrame([(2, 7, "b")], "k BIGINT, extra INT, name STRING")
+    s = spark.createDataFrame([(2, "b")], "k BIGINT, name STRING")
     result = U.upsert(t, s, ["k"])
     assert result.schema.simpleString() == "struct<k:int,name:string,venue:string>"
     assert sorted(map(tuple, result.collect())) == [(1, "a", "x"), (2, "b", None)]
+    with pytest.raises(ValueError, match="extra"):
+        U.upsert(t, s.withColumn("extra", F.lit(7)), ["k"])
+
+
+def test_repeated_keys_in_a_batch_raise(spark, tmp_path):
+    twice = spark.createDataFrame(TARGET[:2] + TARGET[:1], SCHEMA)
+    for merge, more in ((tables.merge_partitioned, ["year"]), (tables.merge_table, [])):
+        path = str(tmp_path / merge.__name__)
+        with pytest.raises(ValueError, match="more than once"):
+            merge(spark, path, twice, KEYS, *more)
+        merge(spark, path, twice.distinct(), KEYS, *more)
+        with pytest.raises(ValueError, match="more than once"):
+            merge(spark, path, twice, KEYS, *more)
+        assert spark.read.parquet(path).count() == 2
+
+
+def test_partition_names_are_kept_and_emptied(spark, tmp_path):
+    path = str(tmp_path / "names")
+    values = ["007", "7", "a b/c:1", "a=b%", None]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "k INT, p STRING")
+    tables.merge_partitioned(spark, path, rows, ["k"], "p")
+    moved = spark.createDataFrame([(i, "x") for i in range(5)], "k INT, p STRING")
+    some = tables.merge_partitioned(spark, path, moved.where("k IN (0, 2)"), ["k"], "p")
+    assert sorted(map(tuple, some.collect())) == [(0, "x"), (1, "7"), (2, "x"), (3, "a=b%"), (4, None)]
+    table = tables.merge_partitioned(spark, path, moved, ["k"], "p")
+    assert sorted(map(tuple, table.collect())) == [(i, "x") for i in range(5)]
 
 
 def test_latest_per_key(spark):

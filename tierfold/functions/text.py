@@ -84,19 +84,20 @@ FEET_INCHES = r"^(\d+)\s*'\s*(\d+)?\s*\"?"
 
 
 def parse_feet_inches(text: Column) -> Column:
-    """Inches as INT from text such as ``6' 1"``; NULL when it does not start that way."""
+    """Inches as INT from text such as ``6' 1"``; NULL when it does not start that way, or when the
+    number is out of range."""
     stripped = strip_text(text)
 
     def part(group: int) -> Column:
-        # An empty match becomes NULL first: casting it would raise inside every such row.
-        return F.nullif(F.regexp_extract(stripped, FEET_INCHES, group), F.lit("")).try_cast("int")
+        return F.nullif(F.regexp_extract(stripped, FEET_INCHES, group), F.lit(""))
 
-    return part(1) * 12 + F.coalesce(part(2), F.lit(0))
+    inches = F.coalesce(part(2), F.lit("0")).try_cast("int")
+    return F.try_add(F.try_multiply(part(1).try_cast("int"), F.lit(12)), inches)
 
 
 def format_feet_inches(inches: Column) -> Column:
     """Text such as ``6' 1"``; the rest is rounded half-even, so 71.6 gives ``5' 12"``."""
     value = inches.cast("double")
-    feet = F.floor(value / 12)
-    rest = F.rint(value - feet * 12).cast("int")
+    feet = F.floor(value / 12).try_cast("int")
+    rest = F.rint(value - F.floor(value / 12) * 12.0).try_cast("int")
     return F.concat(feet.cast("string"), F.lit("' "), rest.cast("string"), F.lit('"'))

@@ -1,25 +1,23 @@
 """Two-sided records: unpivoting, name resolution, opponent pairing and win rates.
 
 A record (bout) names two competitors, A and B. Attributes of a competitor are found by name, and
-one name may belong to several entities. Instead of producing every entity combination, each name
-carries its distinct attribute values with the number of entities behind them, and pairs carry a
-``weight``. Sums of weights equal the counts of the fully expanded pairs, while the data never
-grows beyond the number of distinct attribute values.
+one name may belong to several entities. Instead of producing every entity combination, pairs are
+counted by name first, and each name carries its distinct attribute values with the number of
+entities behind them; pairs carry a ``weight``. Sums of weights equal the counts of the fully
+expanded pairs. Attributes are attached to the counted pairs of names, one side after the other
+with counts in between, so namesakes multiply counts and not records.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierfold.functions.numbers import safe_ratio
 
-BROADCAST_KEYS = 100_000
-
 
 def unpivot_sides(
     df: DataFrame, common: Sequence[str], sides: dict[str, dict[str, str]]
@@ -75,43 +73,47 @@ def resolve_by_name(
     return rows.join(named, F.lower(F.col(name)) == F.col("_name"), "left").drop("_name")
 
 
+def _named(rows: DataFrame, name: str, index: DataFrame) -> DataFrame:
+    """Left join of ``rows`` with an index on its ``name``. Rows whose name is missing get a key of
+    their own from their other columns, or they would all meet in one shuffle partition."""
+    own = F.concat(F.lit("no name "), F.xxhash64(*rows.columns).cast("string"))
+    keyed = rows.withColumn("_key", F.coalesce(F.col(name), own))
+    side = index.withColumnRenamed("name", "_match")
+    return keyed.join(side, F.col("_key") == F.col("_match"), "left").drop("_key", "_match")
+
+
 def _resolved(
     rows: DataFrame, index: DataFrame, name: str, attrs: Sequence[str], prefix: str
 ) -> DataFrame:
-    side = index.select(
-        F.col("name").alias(f"_{prefix}match"),
-        *(F.col(a).alias(f"{prefix}{a}") for a in attrs),
-        F.col("copies").alias(f"_{prefix}copies"),
-    )
-    return rows.join(side, F.col(name) == F.col(f"_{prefix}match"), "left")
+    """``rows`` with the attributes of a name, their ``weight`` multiplied by the copies."""
+    side = index.select("name", *(F.col(a).alias(f"{prefix}{a}") for a in attrs), "copies")
+    weight = F.col("weight") * F.coalesce("copies", F.lit(1))
+    return _named(rows, name, side).withColumn("weight", weight).drop("copies")
 
 
-def pairs_within_record(
-    bouts: DataFrame, index: DataFrame, attrs: Sequence[str], dims: Sequence[str], key: str
-) -> DataFrame:
-    """Both orientations of each record's own A and B: no shuffle on the record key."""
-    wide = bouts.where(F.col(key).isNotNull()).select(
-        *dims,
-        F.lower("fighter_a_name").alias("_a"),
-        F.col("fighter_a_winner").alias("_a_won"),
-        F.lower("fighter_b_name").alias("_b"),
-        F.col("fighter_b_winner").alias("_b_won"),
-    )
-    found = _resolved(_resolved(wide, index, "_a", attrs, "a_"), index, "_b", attrs, "b_")
-    weight = F.coalesce("_a_copies", F.lit(1)) * F.coalesce("_b_copies", F.lit(1))
-
-    def oriented(me: str, you: str) -> Column:
-        return F.struct(
-            *(F.col(f"{me}_{a}").alias(a) for a in attrs),
-            *(F.col(f"{you}_{a}").alias(f"opp_{a}") for a in attrs),
-            F.col(f"_{me}_won").alias("is_winner"),
-        )
+def _counted(rows: DataFrame, *by: str) -> DataFrame:
+    return rows.groupBy(*by).agg(F.sum("weight").alias("weight"))
 
-    return found.select(
-        *dims,
-        weight.alias("weight"),
-        F.inline(F.array(oriented("a", "b"), oriented("b", "a"))),
-    )
+
+def name_pairs(bouts: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """(*dims, name, opp_name, is_winner, weight): each record's own A and B in both orientations,
+    counted."""
+    a, b = F.lower("fighter_a_name"), F.lower("fighter_b_name")
+
+    def oriented(me: Column, you: Column, won: str) -> Column:
+        return F.struct(me.alias("name"), you.alias("opp_name"), F.col(won).alias("is_winner"))
+
+    both = F.array(oriented(a, b, "fighter_a_winner"), oriented(b, a, "fighter_b_winner"))
+    rows = bouts.select(*dims, F.lit(1).cast("long").alias("weight"), F.inline(both))
+    return _counted(rows, *dims, "name", "opp_name", "is_winner")
+
+
+def attributed(pairs: DataFrame, index: DataFrame, attrs: Sequence[str], dims: Sequence[str]) -> DataFrame:
+    """Counted pairs of names as counted pairs of attribute values."""
+    theirs = [f"opp_{a}" for a in attrs]
+    mine = _counted(_resolved(pairs, index, "name", attrs, ""), *dims, *attrs, "opp_name", "is_winner")
+    both = _resolved(mine, index, "opp_name", attrs, "opp_")
+    return _counted(both, *dims, *attrs, *theirs, "is_winner")
 
 
 def pair_opponents(
@@ -151,64 +153,111 @@ def pair_opponents(
     )
 
 
-def pairs_across_records(
+def _side_values(
     bouts: DataFrame, index: DataFrame, attrs: Sequence[str], dims: Sequence[str], key: str
 ) -> DataFrame:
-    """Pairs of all A rows with all B rows of a key, on summary rows."""
-    rows = unpivot_sides(bouts, [key, *dims], FIGHTER_SIDES).withColumn(
-        "_name", F.lower("athlete_name")
-    )
-    found = _resolved(rows, index, "_name", attrs, "").withColumn(
-        "_copies", F.coalesce("_copies", F.lit(1))
+    """(key, *dims, side, is_winner, *attrs, weight): the competitors of each key, counted."""
+    rows = unpivot_sides(bouts, [key, *dims], FIGHTER_SIDES).select(
+        key, *dims, "side", "is_winner", F.lower("athlete_name").alias("name"),
+        F.lit(1).cast("long").alias("weight"),
     )
-    paired = pair_opponents(found, key, "side", [*dims, *attrs, "is_winner"], attrs, "_copies")
-    return paired.drop(key, "side", "opp_side")
+    found = _resolved(_counted(rows, key, "side", *dims, "name", "is_winner"), index, "name", attrs, "")
+    return _counted(found, key, *dims, "side", "is_winner", *attrs)
+
+
+def pairs_across_records(
+    bouts: DataFrame, index: DataFrame, attrs: Sequence[str], dims: Sequence[str], key: str
+) -> DataFrame:
+    """Pairs of all A rows with all B rows of a key, on summary rows of attribute values."""
+    found = _side_values(bouts, index, attrs, dims, key)
+    paired = pair_opponents(found, key, "side", [*dims, *attrs, "is_winner"], attrs, "weight")
+    return _counted(paired, *dims, *attrs, *(f"opp_{a}" for a in attrs), "is_winner")
 
 
 @dataclass(frozen=True)
 class KeySplit:
-    """Records whose key is theirs alone, and records that share theirs (None where there are
-    none)."""
+    """Records whose key is theirs alone, and records that share theirs."""
 
-    own: DataFrame | None
-    shared: DataFrame | None
+    own: DataFrame
+    shared: DataFrame
 
 
 def split_by_key(bouts: DataFrame, key: str = "competition_id") -> KeySplit:
-    """Find the keys that belong to several records, in a scan of the key column alone.
+    """Tell records that share their key from the others: a lazy plan, whose join the optimizer
+    chooses. Records without a key face nobody."""
+    shared = bouts.groupBy(key).count().where("count > 1").select(F.col(key).alias("_shared"))
+    marked = bouts.where(F.col(key).isNotNull()).join(shared, F.col(key) == F.col("_shared"), "left")
+    return KeySplit(
+        marked.where("_shared IS NULL").drop("_shared"), marked.where("_shared IS NOT NULL").drop("_shared")
+    )
+
+
+def weighted_pairs(
+    bouts: DataFrame | KeySplit,
+    index: DataFrame,
+    attrs: Sequence[str],
+    dims: Sequence[str] = (),
+    key: str = "competition_id",
+) -> DataFrame:
+    """Every competitor against every opponent of the same key, as counted rows of attribute values.
 
-    A few such keys are broadcast to split the input; with more than ``BROADCAST_KEYS`` of them
-    all records count as sharing. Runs a job: split once for several pairings.
+    Where a key belongs to one record, its pair is already in that record and is counted by names.
+    Only records that share a key need the pairing join.
     """
-    repeated = bouts.groupBy(key).count().where("count > 1").select(key)
-    found = repeated.limit(BROADCAST_KEYS + 1).count()
-    if found == 0:
-        return KeySplit(bouts, None)
-    if found > BROADCAST_KEYS:
-        return KeySplit(None, bouts)
-    listed = F.broadcast(repeated.where(F.col(key).isNotNull()))
-    return KeySplit(bouts.join(listed, key, "left_anti"), bouts.join(listed, key, "left_semi"))
+    split = bouts if isinstance(bouts, KeySplit) else split_by_key(bouts, key)
+    own = attributed(name_pairs(split.own, dims), index, attrs, dims)
+    return own.unionByName(pairs_across_records(split.shared, index, attrs, dims, key))
 
 
-def weighted_pairs(
+def _binned(
+    rows: DataFrame, attrs: Sequence[str], dims: Sequence[str], bins: Callable[[Column], Column]
+) -> DataFrame:
+    """Rows that carry their opponents' values as one array, as counted rows of bins.
+
+    The array is binned and counted inside the row, so values multiply no rows.
+    """
+    def counts(binned: Column) -> Column:
+        copies = lambda b: F.aggregate(
+            F.filter(binned, lambda x: x["bins"].eqNullSafe(b)), F.lit(0).cast("long"), lambda n, x: n + x["copies"]
+        )
+        distinct = F.array_distinct(F.transform(binned, lambda x: x["bins"]))
+        return F.transform(distinct, lambda b: F.struct(b.alias("bins"), copies(b).alias("copies")))
+
+    found = F.transform("values", lambda v: F.struct(bins(v).alias("bins"), v["copies"].alias("copies")))
+    # through a one-element array, so that the bins are found once
+    counted = F.get(F.transform(F.array(found), counts), F.lit(0))
+    long = rows.select(*dims, "is_winner", "weight", F.inline(counted))
+    weighed = long.select(*dims, "is_winner", "bins.*", (F.col("weight") * F.col("copies")).alias("weight"))
+    return _counted(weighed, *(c for c in weighed.columns if c != "weight"))
+
+
+def binned_pairs(
     bouts: DataFrame | KeySplit,
     index: DataFrame,
     attrs: Sequence[str],
+    bins: Callable[[Column], Column],
     dims: Sequence[str] = (),
     key: str = "competition_id",
 ) -> DataFrame:
-    """Every competitor against every opponent of the same key, as weighted rows.
+    """Pairs as counted rows of bins of both sides' values, for attributes that have many.
 
-    Where a key belongs to one record, its pair is already in that record. Only records that share
-    a key need the pairing join.
+    ``bins`` gives a struct from the opponent's attributes, with the own ones as columns.
     """
     split = bouts if isinstance(bouts, KeySplit) else split_by_key(bouts, key)
-    parts = []
-    if split.own is not None:
-        parts.append(pairs_within_record(split.own, index, attrs, dims, key))
-    if split.shared is not None:
-        parts.append(pairs_across_records(split.shared, index, attrs, dims, key))
-    return reduce(DataFrame.unionByName, parts)
+    kinds = index.schema
+    nobody = F.array(
+        F.struct(*(F.lit(None).cast(kinds[a].dataType).alias(a) for a in attrs), F.lit(1).cast("long").alias("copies"))
+    )
+    held = F.collect_list(F.struct(*attrs, "copies")).alias("values")
+    mine = _resolved(name_pairs(split.own, dims), index, "name", attrs, "")
+    mine = _counted(mine, *dims, *attrs, "opp_name", "is_winner")
+    own = _named(mine, "opp_name", index.groupBy("name").agg(held))
+    own = own.withColumn("values", F.coalesce("values", nobody)).drop("opp_name")
+    sides = _side_values(split.shared, index, attrs, dims, key)
+    theirs = _counted(sides, key, "side", *attrs).withColumnRenamed("weight", "copies")
+    theirs = theirs.groupBy(F.col(key).alias("_key"), F.col("side").alias("_side")).agg(held)
+    shared = sides.join(theirs, (F.col(key) == F.col("_key")) & (F.col("side") != F.col("_side")))
+    return _binned(own.unionByName(shared.select(own.columns)), attrs, dims, bins)
 
 
 def _wins(flag: str, weight: str | None) -> Column:
@@ -258,11 +307,14 @@ def matrix(
     values: Sequence[str] | None = None,
     fill: float | None = None,
 ) -> DataFrame:
-    """Pivot (row, column, value) into a matrix with one column per value.
+    """Pivot (row, column, value) into a matrix with one column per value, NULL included (as
+    ``null``).
 
-    With explicit ``values`` Spark needs no extra job to find them.
+    Without ``values`` they are taken from the data, which are a few labels. With them, a value
+    that is not listed has no column.
     """
-    grouped = df.groupBy(row)
-    pivoted = grouped.pivot(column, list(values)) if values else grouped.pivot(column)
-    wide = pivoted.agg(F.first(value))
+    shown = df.withColumn(column, F.coalesce(F.col(column), F.lit("null")))
+    if values is None:
+        values = sorted(r[0] for r in shown.select(column).distinct().collect())
+    wide = shown.groupBy(row).pivot(column, list(values)).agg(F.first(value))
     return wide if fill is None else wide.na.fill(fill)

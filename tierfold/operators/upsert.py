@@ -30,15 +30,37 @@ def is_later(order: Sequence[str]) -> Column:
     return F.coalesce(reduce(step, reversed(list(order)), None), F.lit(False))
 
 
-def _with_target_versions(
-    source: DataFrame, target: DataFrame, keys: Sequence[str], order: Sequence[str]
+def _matched(
+    source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:
-    versions = (
+    """The source with the given columns of its target row, and ``_known`` where there is one."""
+    known = (
         target.join(source.select(*keys), list(keys), "left_semi")
-        .select(*keys, *(F.col(c).alias(_old(c)) for c in order))
+        .select(*keys, *(F.col(c).alias(_old(c)) for c in columns))
         .withColumn("_known", F.lit(True))
     )
-    return source.join(versions, list(keys), "left")
+    return source.join(known, list(keys), "left")
+
+
+def applied_rows(
+    source: DataFrame,
+    target: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str] = (),
+    when: str = ALWAYS,
+    carry: Sequence[str] = (),
+) -> DataFrame:
+    """The source rows that are new to the target or replace its row, with ``_known`` (whether
+    there is one) and that row's ``carry`` columns, prefixed ``_old_``: one pass over the target."""
+    found = _matched(source, target, keys, list(dict.fromkeys([*order, *carry])))
+    unknown = F.col("_known").isNull()
+    if when == NEWER:
+        wins = F.col(_old(order[0])).isNull() | is_later(order)
+    else:
+        wins = {ALWAYS: F.lit(True), NEVER: F.lit(False)}.get(when)
+        wins = is_later(order) if wins is None else wins
+    kept = found.where(unknown | wins)
+    return kept.select(*source.columns, "_known", *(_old(c) for c in carry))
 
 
 def changed_rows(
@@ -53,14 +75,7 @@ def changed_rows(
         return source
     if when == NEVER:
         return new_rows(source, target, keys)
-    wins = is_later(order)
-    if when == NEWER:
-        wins = F.col(_old(order[0])).isNull() | wins
-    return (
-        _with_target_versions(source, target, keys, order)
-        .where(F.col("_known").isNull() | wins)
-        .select(*source.columns)
-    )
+    return applied_rows(source, target, keys, order, when).select(*source.columns)
 
 
 def new_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -70,7 +85,13 @@ def new_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataF
 
 
 def align(df: DataFrame, like: DataFrame) -> DataFrame:
-    """Give a batch the columns of the target: missing ones as NULL, extra ones dropped."""
+    """Give a batch the columns of the target, missing ones as NULL.
+
+    A column that the target lacks raises: dropping it would lose its values without a word.
+    """
+    unknown = [c for c in df.columns if c not in like.columns]
+    if unknown:
+        raise ValueError(f"the table has no columns {unknown}")
     return df.select(
         *(
             (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
@@ -79,6 +100,13 @@ def align(df: DataFrame, like: DataFrame) -> DataFrame:
     )
 
 
+def check_unique(batch: DataFrame, keys: Sequence[str]) -> None:
+    """Raise if a key occurs twice: which of its rows a merge would store is undefined."""
+    twice = batch.groupBy(*keys).count().where("count > 1").first()
+    if twice is not None:
+        raise ValueError(f"the batch holds the key {[twice[k] for k in keys]} more than once")
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,

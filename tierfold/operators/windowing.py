@@ -26,8 +26,8 @@ def resolve_watermark(*candidates: tuple[DataFrame, str]) -> DataFrame:
 def advance_watermark(batch: DataFrame, column: str, cap: date | None = None) -> DataFrame:
     """One row with the batch's latest date; no row for an empty batch.
 
-    A load window that reaches into the future must not move the mark past the run day, or later
-    results of earlier events would be skipped: pass the run day as ``cap``.
+    ``cap`` keeps the mark from passing a given day. Loads do not use it: their mark is the latest
+    date they have seen.
     """
     latest = F.max(F.col(column).cast("date"))
     if cap is not None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
@@ -11,11 +12,13 @@ from pyspark.sql import functions as F
 from tierfold.functions.dates import parse_iso_ts
 from tierfold.operators.dedupe import latest_per_key
 from tierfold.operators.quality import reject_counts, split_rejects
+from tierfold.operators.upsert import NEVER
 from tierfold.operators.windowing import advance_watermark, resolve_watermark
 from tierfold.plans.event_documents import bout_rows, event_rows
-from tierfold.plans.profile_documents import profile_rows
+from tierfold.plans.profile_documents import profile_rows, unreadable
 from tierfold.sources import storage, tables
 
+# Keys, partition column and columns of the bronze tables.
 EVENT_KEYS = ["event_id"]
 BOUT_KEYS = ["event_id", "competition_id"]
 PROFILE_KEYS = ["athlete_id"]
@@ -87,6 +90,19 @@ def bronze_profiles(documents: DataFrame, run: Run, refs: DataFrame | None = Non
     return stamped(profile_rows(documents, refs), run).select(*_columns(PROFILES_DDL))
 
 
+def empty(spark: SparkSession, ddl: str) -> DataFrame:
+    return spark.createDataFrame([], ddl)
+
+
+def valid_events(documents: DataFrame, run: Run) -> DataFrame:
+    """The rows that the gate lets through."""
+    return split_rejects(bronze_events(documents, run), [*EVENT_KEYS, "event_date", PARTITION])[0]
+
+
+def valid_bouts(documents: DataFrame, run: Run, refs: DataFrame | None = None) -> DataFrame:
+    return split_rejects(bronze_bouts(documents, run, refs), [*BOUT_KEYS, "event_date", PARTITION])[0]
+
+
 @dataclass(frozen=True)
 class Bronze:
     """Locations of the bronze tables below one root."""
@@ -113,6 +129,10 @@ class Bronze:
     def runs(self) -> str:
         return f"{self.root}/runs"
 
+    def rejects(self, table: str) -> str:
+        """Rows of a table's documents that its gate held back, by run."""
+        return f"{self.root}/rejects/{table}"
+
 
 def _tiebreak() -> list[Column]:
     """Settles equal dates by a short value instead of by whole documents."""
@@ -120,14 +140,17 @@ def _tiebreak() -> list[Column]:
 
 
 def load_rows(
-    spark: SparkSession, path: str, rows: DataFrame, keys: list[str]
+    spark: SparkSession, path: str, rows: DataFrame, keys: list[str], rejects: str | None = None
 ) -> tuple[DataFrame, Row]:
     """Gate, deduplicate and merge typed rows; returns the table and the counts of valid and
-    rejected rows. The documents are parsed once, into a staged copy."""
+    rejected rows. The documents are parsed once, into a staged copy. Rejected rows are stored
+    below ``rejects``, by run; running a load again replaces its own."""
     required = [*keys, "event_date", PARTITION]
     with storage.staged(rows, "typed") as typed:
         counts = reject_counts(typed, required).first()
-        valid, _ = split_rejects(typed, required)
+        valid, rejected = split_rejects(typed, required)
+        if rejects and counts["rejected"]:
+            tables.write_partitioned(rejected, rejects, "run_id")
         batch = latest_per_key(valid, keys, ["event_date"], _tiebreak())
         table = tables.merge_partitioned(spark, path, batch, keys, PARTITION)
     return table, counts
@@ -149,10 +172,14 @@ def load_bronze(
     if run.mode == "backfill":
         tables.reset(spark, bronze.events, bronze.bouts, bronze.watermark)
     try:
-        events, e = load_rows(spark, bronze.events, bronze_events(documents, run), EVENT_KEYS)
-        bouts, b = load_rows(spark, bronze.bouts, bronze_bouts(documents, run, refs), BOUT_KEYS)
+        events, e = load_rows(
+            spark, bronze.events, bronze_events(documents, run), EVENT_KEYS, bronze.rejects("events")
+        )
+        bouts, b = load_rows(
+            spark, bronze.bouts, bronze_bouts(documents, run, refs), BOUT_KEYS, bronze.rejects("bouts")
+        )
         loaded = events.where(F.col("run_id") == run.run_id)
-        tables.save_watermark(advance_watermark(loaded, "event_date", run.day), bronze.watermark)
+        tables.save_watermark(advance_watermark(loaded, "event_date"), bronze.watermark)
         counts, status = (e.valid, b.valid, e.rejected + b.rejected), "SUCCESS"
     finally:
         row = (run.run_id, started, datetime.now(timezone.utc), run.mode, run.years_back,
@@ -161,16 +188,41 @@ def load_bronze(
     return events, bouts
 
 
+# Columns of stored profile rejects.
+PROFILE_REJECTS_DDL = "athlete_id STRING, reason STRING, raw_payload STRING, ingestion_date DATE, run_id STRING"
+
+
 def load_profiles(
     spark: SparkSession,
     bronze: Bronze,
     documents: DataFrame,
     run: Run,
     refs: DataFrame | None = None,
+    order: Sequence[str] = (),
 ) -> DataFrame:
-    """One load of profile documents, the last payload per athlete winning."""
-    rows = latest_per_key(bronze_profiles(documents, run, refs), PROFILE_KEYS, _tiebreak())
-    return tables.merge_table(spark, bronze.profiles, rows, PROFILE_KEYS)
+    """One load of profile documents, the last payload per athlete winning.
+
+    ``order`` names the columns of ``documents`` that tell which payload came later; payloads that
+    came together are settled by their hash. A failed document (one with ``error``) gives a row to
+    an athlete who has none, but replaces no profile. Failed documents, and those that are no JSON
+    object or have no athlete, are stored as rejects with a reason.
+    """
+    required = F.nullif(F.col("athlete_id").cast("string"), F.lit("")).isNotNull()
+    broken = documents.where(unreadable(F.col("payload")) | ~required)
+    rows = stamped(profile_rows(documents.where(required), refs, carry=order), run)
+    with storage.staged(rows, "profiles") as typed:
+        reason = F.when(~required, F.lit("no id")).otherwise(F.lit("unreadable"))
+        rejected = stamped(
+            broken.select(F.col("athlete_id").cast("string").alias("athlete_id"), reason.alias("reason"), F.col("payload").alias("raw_payload")),
+            run,
+        ).unionByName(typed.where("failed").withColumn("reason", F.lit("failed")).select(*_columns(PROFILE_REJECTS_DDL)))
+        with storage.staged(rejected, "rejected") as held:
+            if not held.isEmpty():
+                tables.write_partitioned(held, bronze.rejects("profiles"), "run_id")
+        latest = latest_per_key(typed, PROFILE_KEYS, [~F.col("failed"), *order], _tiebreak())
+        good, failed = (latest.where(c).select(*_columns(PROFILES_DDL)) for c in ("NOT failed", "failed"))
+        tables.merge_table(spark, bronze.profiles, good, PROFILE_KEYS)
+        return tables.merge_table(spark, bronze.profiles, failed, PROFILE_KEYS, NEVER)
 
 
 def current_watermark(spark: SparkSession, bronze: Bronze, *tables_read: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from tierfold.functions.text import (
 from tierfold.operators.matchup import (
     FIGHTER_SIDES,
     KeySplit,
+    binned_pairs,
     matrix,
     name_index,
     name_rows,
@@ -108,28 +109,23 @@ def team_by_year(bouts: DataFrame, profiles: DataFrame) -> DataFrame:
 
 
 def advantage_pairs(bouts: Bouts, profiles: DataFrame) -> DataFrame:
-    """Weighted pairs with clipped and binned height and reach advantage, where the height
-    advantage is known."""
+    """Counted pairs by clipped and binned height and reach advantage, where the height advantage
+    is known."""
     body = ["height_cm", "reach_cm"]
-    pairs = weighted_pairs(bouts, name_index(profiles, PROFILE_NAMES, body), body)
-    height = F.col("height_cm") - F.col("opp_height_cm")
-    reach = F.col("reach_cm") - F.col("opp_reach_cm")
-    known = pairs.select("is_winner", "weight", height.alias("h"), reach.alias("r")).where(
-        "h IS NOT NULL OR r IS NOT NULL"
-    )
-    clipped = known.withColumns(
-        {
-            "h": clip(F.col("h"), HEIGHT_EDGES[0], HEIGHT_EDGES[-1]),
-            "r": clip(F.col("r"), REACH_EDGES[0], REACH_EDGES[-1]),
-        }
-    )
-    return clipped.select(
-        "is_winner",
-        "weight",
-        bin_label(F.col("h"), HEIGHT_EDGES).alias("height_adv_bin"),
-        bin_low(F.col("h"), HEIGHT_EDGES).alias("height_adv_low"),
-        bin_label(F.col("r"), REACH_EDGES).alias("reach_adv_bin"),
-    ).where("height_adv_bin IS NOT NULL")
+
+    def bins(opponent: Column) -> Column:
+        height = F.col("height_cm") - opponent["height_cm"]
+        reach = F.col("reach_cm") - opponent["reach_cm"]
+        height = clip(height, HEIGHT_EDGES[0], HEIGHT_EDGES[-1])
+        reach = clip(reach, REACH_EDGES[0], REACH_EDGES[-1])
+        return F.struct(
+            bin_label(height, HEIGHT_EDGES).alias("height_adv_bin"),
+            bin_low(height, HEIGHT_EDGES).alias("height_adv_low"),
+            bin_label(reach, REACH_EDGES).alias("reach_adv_bin"),
+        )
+
+    pairs = binned_pairs(bouts, name_index(profiles, PROFILE_NAMES, body), body, bins)
+    return pairs.where("height_adv_bin IS NOT NULL")
 
 
 def height_bins(bouts: Bouts, profiles: DataFrame) -> DataFrame:
@@ -162,7 +158,7 @@ def build_gold(
     Each pairing runs once, at its finest grain; coarser marts are rolled up from the stored one.
     """
     tables.create_database(spark, database, location)
-    paired = split_by_key(bouts)
+    paired = split_by_key(bouts)  # a lazy plan
 
     def publish(name: str, df: DataFrame) -> DataFrame:
         table = f"{database}.mv_{name}"

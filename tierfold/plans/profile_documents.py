@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,11 +66,11 @@ def country(profile: Column, birth_place: Column) -> Column:
 
 
 def _half_even(value: Column) -> Column:
-    return F.rint(value).cast("int")
+    return F.rint(value).try_cast("int")
 
 
 def _truncated(value: Column) -> Column:
-    return value.cast("int")
+    return value.try_cast("int")
 
 
 def _measured(profile: Column, kind: str) -> Column:
@@ -123,23 +125,28 @@ def combat_style(profile: Column) -> Column:
     return F.nullif(F.array_join(F.array_sort(distinct), ", "), F.lit(""))
 
 
+def unreadable(payload: Column) -> Column:
+    """Whether a document is missing or is not a JSON object."""
+    return F.json_object_keys(payload).isNull()
+
+
 def profile_rows(
     documents: DataFrame,
     refs: DataFrame | None = None,
     payload: str = "payload",
     id_column: str = "athlete_id",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per profile document. Failed fetches (unreadable documents and those with
-    ``error``) are left out, so that they cannot replace a good profile."""
-    parsed = documents.where(F.json_object_keys(payload).isNotNull()).select(
+    """One row per profile document that is a JSON object; ``failed`` marks those with ``error``.
+    Texts that are no object give no row: see :func:`unreadable`. ``carry`` keeps further columns."""
+    parsed = documents.where(~unreadable(F.col(payload))).select(
         F.col(id_column).cast("string").alias("athlete_id"),
         F.from_json(payload, PROFILE).alias("profile"),
         F.from_json(payload, OBJECTS).alias("objects"),
         F.col(payload).alias("raw_payload"),
+        *carry,
     )
-    parsed = parsed.where("profile.error IS NULL").withColumn(
-        "birth_place", F.col("profile.birthPlace")
-    )
+    parsed = parsed.withColumn("birth_place", F.col("profile.birthPlace"))
     if refs is not None:
         parsed = resolve_refs(parsed, refs, {"birth_place": PLACE}, ["athlete_id"])
     profile, objects = F.col("profile"), F.col("objects")
@@ -158,5 +165,7 @@ def profile_rows(
         profile["association"]["name"].alias("team"),
         combat_style(profile).alias("combat_style"),
         profile["headshot"]["href"].alias("image_url"),
+        profile["error"].isNotNull().alias("failed"),
         "raw_payload",
+        *carry,
     )

@@ -1,17 +1,23 @@
-"""Silver tables: cleaned, deduplicated, without sparse columns, merged incrementally."""
+"""Silver tables: cleaned, deduplicated, merged incrementally.
+
+A table stores every optional column. Which of them are too sparse to be published is decided on
+the whole table, when it is read for that, and never on a batch.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierfold.operators.dedupe import latest_per_key, version_columns
-from tierfold.operators.quality import dense_columns
+from tierfold.operators.quality import prune_sparse
 from tierfold.operators.upsert import NEVER, NEWER, VERSION
-from tierfold.sources import tables
+from tierfold.plans import bronze as bronze_plan
+from tierfold.sources import landing, tables
 
+# Optional columns of silver tables, and the columns that are trimmed.
 OPTIONAL_EVENT_COLUMNS = ["venue", "country", "status", "num_fights"]
 OPTIONAL_PROFILE_COLUMNS = [
     "country", "height", "height_cm", "reach_cm", "stance", "weight_class",
@@ -26,8 +32,57 @@ def _trimmed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.trim(c) for c in columns if c in df.columns})
 
 
+def _or_null(df: DataFrame, columns: Sequence[str], ddl: str) -> list[Column]:
+    kinds = dict(column.split() for column in ddl.split(", "))
+    return [
+        (F.col(c) if c in df.columns else F.lit(None)).cast(kinds[c]).alias(c) for c in columns
+    ]
+
+
+def published(table: DataFrame, optional: Sequence[str]) -> DataFrame:
+    """A silver table without the optional columns that are almost always NULL in all of it."""
+    return prune_sparse(table, [c for c in table.columns if c not in optional])
+
+
+def published_events(table: DataFrame) -> DataFrame:
+    return published(table, OPTIONAL_EVENT_COLUMNS)
+
+
+def published_profiles(table: DataFrame) -> DataFrame:
+    return published(table, OPTIONAL_PROFILE_COLUMNS)
+
+
+def events_or_raw(
+    spark: SparkSession, bronze: bronze_plan.Bronze, raw: Callable[[], DataFrame], run: bronze_plan.Run
+) -> DataFrame:
+    """Bronze events, or the same rows from the raw documents if the table cannot be read.
+
+    ``raw`` gives the documents, with column ``payload``.
+    """
+    like = bronze_plan.empty(spark, bronze_plan.EVENTS_DDL)
+    return landing.read_or_rebuild(
+        lambda: tables.stored(spark, bronze.events, like, bronze_plan.PARTITION),
+        lambda: bronze_plan.valid_events(raw(), run),
+    )
+
+
+def bouts_or_raw(
+    spark: SparkSession,
+    bronze: bronze_plan.Bronze,
+    raw: Callable[[], DataFrame],
+    run: bronze_plan.Run,
+    refs: DataFrame | None = None,
+) -> DataFrame:
+    """Bronze bouts, or the same rows from the raw documents if the table cannot be read."""
+    like = bronze_plan.empty(spark, bronze_plan.BOUTS_DDL)
+    return landing.read_or_rebuild(
+        lambda: tables.stored(spark, bronze.bouts, like, bronze_plan.PARTITION),
+        lambda: bronze_plan.valid_bouts(raw(), run, refs),
+    )
+
+
 def clean_events(events: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Latest row per event by event date, without sparse optional columns."""
+    """Latest row per event by event date; optional columns that are missing are NULL."""
     cleaned = latest_per_key(
         _trimmed(events, ["event_name", "venue", "country"]), ["event_id"], ["event_date"], tiebreak
     )
@@ -36,7 +91,7 @@ def clean_events(events: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
         "event_date",
         F.year("event_date").alias("event_year"),
         "event_name",
-        *dense_columns(cleaned, OPTIONAL_EVENT_COLUMNS),
+        *_or_null(cleaned, OPTIONAL_EVENT_COLUMNS, bronze_plan.EVENTS_DDL),
     )
 
 
@@ -70,7 +125,7 @@ def clean_bouts(bouts: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
 
 
 def clean_profiles(profiles: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Latest row per athlete by load version, without sparse optional columns."""
+    """Latest row per athlete by load version; optional columns that are missing are NULL."""
     cleaned = latest_per_key(
         _trimmed(profiles, PROFILE_TEXTS), ["athlete_id"], ["ingestion_date", "run_id"], tiebreak
     )
@@ -79,7 +134,7 @@ def clean_profiles(profiles: DataFrame, tiebreak: Sequence[str] = ()) -> DataFra
         "full_name",
         "display_name",
         "birth_date",
-        *dense_columns(cleaned, OPTIONAL_PROFILE_COLUMNS),
+        *_or_null(cleaned, OPTIONAL_PROFILE_COLUMNS, bronze_plan.PROFILES_DDL),
         "ingestion_date",
         "run_id",
     )

@@ -6,6 +6,7 @@ landing zone and ``ingestion_date=`` folders in the raw mirror.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 
 from py4j.protocol import Py4JJavaError
@@ -16,6 +17,7 @@ from pyspark.sql.types import StructType
 
 from tierfold.operators.dedupe import latest_per_key
 
+LOG = logging.getLogger(__name__)
 DYNAMIC = {"partitionOverwriteMode": "dynamic"}
 
 
@@ -65,19 +67,31 @@ def scan_raw_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).text(path).withColumnRenamed("value", "payload")
 
 
+# Spark's names for tables and files that cannot be read.
+UNREADABLE = (
+    "TABLE_OR_VIEW_NOT_FOUND", "PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "FAILED_READ_FILE",
+    "CANNOT_READ_FILE_FOOTER",
+)
+
+
 def read_or_rebuild(
     read: Callable[[], DataFrame], rebuild: Callable[[], DataFrame]
 ) -> DataFrame:
-    """The first table, or the rebuilt one if the first cannot be read.
+    """The first table, or the rebuilt one if the first is missing or damaged.
 
-    Reading is lazy, so the first table is counted: a missing or damaged file must show up here
-    and not in the middle of a later job.
+    Reading is lazy and a count reads file footers only, so all columns of the first table are
+    hashed: a damaged page must show up here and not in the middle of a later job. Any other
+    failure, such as a lost executor, is raised. The branch taken is logged.
     """
     try:
         df = read()
-        df.count()
+        df.agg(F.bit_xor(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)))).first()
         return df
-    except (PySparkException, Py4JJavaError):
+    except (PySparkException, Py4JJavaError) as e:
+        found = [name for name in UNREADABLE if f"[{name}" in str(e)]
+        if not found:
+            raise
+        LOG.warning("rebuilding, as the first table cannot be read: %s", found[0])
         return rebuild()
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -15,8 +17,8 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 def shared_root(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``, which every executor can reach.
 
-    A local session without the setting gets a temporary folder of its own; a cluster must name
-    one, since a machine-local folder would be lost with its machine.
+    A local session without the setting gets a temporary folder of its own, until it ends; a
+    cluster must name one, since a machine-local folder would be lost with its machine.
     """
     root = spark.conf.get(CHECKPOINT_SETTING, None)
     if root:
@@ -24,6 +26,7 @@ def shared_root(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
     root = tempfile.mkdtemp(prefix="tierfold-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
     spark.conf.set(CHECKPOINT_SETTING, root)
     return root
 

@@ -8,10 +8,12 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
-from tierfold.operators.upsert import ALWAYS, align, changed_rows, upsert
+from tierfold.operators.upsert import ALWAYS, align, applied_rows, check_unique, upsert
 from tierfold.sources import storage
 
+# Columns of the run log and of the watermark state.
 RUN_LOG_SCHEMA = (
     "run_id STRING, started_at TIMESTAMP, finished_at TIMESTAMP, run_mode STRING, "
     "years_back INT, overlap_days INT, events_count BIGINT, fights_count BIGINT, "
@@ -25,14 +27,6 @@ def create_database(spark: SparkSession, name: str, location: str | None = None)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
 
 
-def create_table(
-    spark: SparkSession, name: str, columns: str, partition: str | None = None
-) -> None:
-    """Declare an empty table once; an existing one is left alone."""
-    by = f" PARTITIONED BY ({partition})" if partition else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{by}")
-
-
 def write_partitioned(df: DataFrame, path: str, partition: str, mode: str = "overwrite") -> None:
     """Write by partition value, gathering each value's rows first.
 
@@ -48,12 +42,23 @@ def write_partitioned(df: DataFrame, path: str, partition: str, mode: str = "ove
     )
 
 
-def stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    """A parquet folder; one without files yet, after an empty load, has the columns of ``like``."""
+def stored(
+    spark: SparkSession, path: str, like: DataFrame, partition: str | None = None
+) -> DataFrame:
+    """A parquet folder with the columns of its files and the partition column as declared.
+
+    The type of ``partition`` is taken from ``like``: guessed from the folder names, the text
+    ``007`` would come back as a number. A folder without files, after an empty load, has the
+    columns of ``like``.
+    """
+    declared = [f for f in like.schema if f.name == partition]
     try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return spark.read.schema(like.schema).parquet(path)
+        files = spark.read.option("recursiveFileLookup", "true").parquet(path).schema
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        files = StructType([f for f in like.schema if f.name != partition])
+    return spark.read.schema(StructType([*files, *declared])).parquet(path)
 
 
 def merge_partitioned(
@@ -69,22 +74,23 @@ def merge_partitioned(
 
     Touched are the partitions the batch goes to and those its keys are in now, so a row that
     moves also leaves its old partition. Spark stages the new files and swaps them in when the
-    whole job has succeeded; running the same batch again gives the same table.
+    whole job has succeeded; running the same batch again gives the same table. The batch is
+    staged, so it is computed once; a key that it holds twice raises. Partition values are handled
+    one by one: the column must have few, such as years or days.
     """
     if not storage.exists(spark, path):
-        write_partitioned(source, path, partition)
-        return stored(spark, path, source)
-    target = stored(spark, path, source)
-    batch = changed_rows(align(source, target), target, keys, order, when)
-    with storage.staged(batch, "batch") as applied:
-        _replace_partitions(spark, path, target, applied, keys, partition)
+        with storage.staged(source, "batch") as batch:
+            check_unique(batch, keys)
+            write_partitioned(batch, path, partition)
+        return stored(spark, path, source, partition)
+    target = stored(spark, path, source, partition)
+    with storage.staged(align(source, target), "batch") as batch:
+        check_unique(batch, keys)
+        found = applied_rows(batch, target, keys, order, when, [partition])
+        with storage.staged(found, "applied") as applied:
+            _replace_partitions(spark, path, target, applied, keys, partition)
     spark.catalog.refreshByPath(path)
-    return stored(spark, path, source)
-
-
-def _values(df: DataFrame, partition: str) -> set:
-    """The partition values of a table: a short list, as there is a folder for each."""
-    return {r[0] for r in df.select(partition).distinct().collect()}
+    return stored(spark, path, source, partition)
 
 
 def _replace_partitions(
@@ -95,11 +101,12 @@ def _replace_partitions(
     keys: Sequence[str],
     partition: str,
 ) -> None:
-    goes_to = _values(applied, partition)
-    if not goes_to:
+    old = f"_old_{partition}"
+    moves = applied.select(partition, old, "_known").distinct().collect()
+    if not moves:
         return
-    moving = target.join(applied.select(*keys), list(keys), "left_semi")
-    left_behind = _values(moving, partition) - goes_to
+    goes_to = {m[partition] for m in moves}
+    left_behind = {m[old] for m in moves if m["_known"]} - goes_to
 
     def within(values: set) -> DataFrame:
         listed = F.col(partition).isin([v for v in values if v is not None])
@@ -108,11 +115,20 @@ def _replace_partitions(
     emptied = set()
     if left_behind:
         staying = within(left_behind).join(applied.select(*keys), list(keys), "left_anti")
-        emptied = left_behind - _values(staying, partition)
-    write_partitioned(upsert(within(goes_to | left_behind), applied, keys), path, partition)
-    for value in emptied:
-        folder = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-        storage.remove(spark, f"{path}/{partition}={folder}")
+        emptied = left_behind - {r[0] for r in staying.select(partition).distinct().collect()}
+    kept = within(goes_to | left_behind).join(applied.select(*keys), list(keys), "left_anti")
+    rows = kept.select(*target.columns).unionByName(applied.select(*target.columns))
+    write_partitioned(rows, path, partition)
+    for folder in _folders(spark, partition, emptied, target.schema[partition].dataType):
+        storage.remove(spark, f"{path}/{folder}")
+
+
+def _folders(spark: SparkSession, partition: str, values: set, kind: DataType) -> list[str]:
+    """Folder names of partition values, as Spark writes them."""
+    rows = spark.createDataFrame([(v,) for v in values], StructType([StructField("v", kind)]))
+    named = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    shown = rows.select(F.col("v").cast("string")).collect()
+    return [named.getPartitionPathString(partition, r[0]) for r in shown]
 
 
 def merge_table(
@@ -123,21 +139,26 @@ def merge_table(
     when: str = ALWAYS,
     order: Sequence[str] = (),
 ) -> DataFrame:
-    """Upsert into an unpartitioned parquet folder: write the next version beside it, then swap."""
+    """Upsert into an unpartitioned parquet folder: write the next version beside it, then swap.
+
+    The batch is staged; a key that it holds twice raises.
+    """
     following, previous = f"{path}.next", f"{path}.previous"
-    if not storage.exists(spark, path):
-        if not storage.exists(spark, previous):
-            source.write.parquet(path)
-            return spark.read.parquet(path)
+    if not storage.exists(spark, path) and storage.exists(spark, previous):
         storage.rename(spark, previous, path)  # a swap was cut short
-    target = spark.read.parquet(path)
-    upsert(target, source, keys, when, order).write.mode("overwrite").parquet(following)
+    with storage.staged(source, "batch") as batch:
+        check_unique(batch, keys)
+        if not storage.exists(spark, path):
+            batch.write.parquet(path)
+            return stored(spark, path, source)
+        target = stored(spark, path, source)
+        upsert(target, batch, keys, when, order).write.mode("overwrite").parquet(following)
     storage.remove(spark, previous)
     storage.rename(spark, path, previous)
     storage.rename(spark, following, path)
     storage.remove(spark, previous)
     spark.catalog.refreshByPath(path)
-    return spark.read.parquet(path)
+    return stored(spark, path, source)
 
 
 def reset(spark: SparkSession, *paths: str) -> None:
