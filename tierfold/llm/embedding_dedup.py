@@ -75,9 +75,9 @@ def _audited_width(graph: Graph, queries: np.ndarray, least: float) -> int | Non
 
 def _search(least: float):
     def run(key: tuple, graphs: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        found = [pd.DataFrame({"id": [], "links": [], "a": [], "b": []}, dtype="Int64")]
+        columns = ["id", "links", "a", "b"]
         if not len(graphs) or not len(rows):
-            return found[0]
+            return pd.DataFrame(columns=columns, dtype="Int64")
         ids, copies, units, graph = _unpacked(graphs["graph"].iloc[0])
         own, queries = rows["id"].to_numpy(), _units(rows["e"])
         single = queries.astype(np.float32)
@@ -96,8 +96,9 @@ def _search(least: float):
             links += np.bincount(q, copies[node], minlength=len(own)).astype(np.int64)
             a, b = spanning_edges(np.concatenate([a, own[q]]), np.concatenate([b, ids[node]]))
         some = links > 0
-        found += [pd.DataFrame({"id": own[some], "links": links[some]}), pd.DataFrame({"a": a, "b": b})]
-        return pd.concat(found).astype("Int64")
+        counted = pd.DataFrame({"id": own[some], "links": links[some]}, dtype="Int64")
+        edges = pd.DataFrame({"a": a, "b": b}, dtype="Int64")
+        return pd.concat([counted.reindex(columns=columns), edges.reindex(columns=columns)]).astype("Int64")
 
     return run
 
