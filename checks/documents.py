@@ -20,6 +20,15 @@ def _none(kind: str) -> Column:
     return F.lit(None).cast(kind)
 
 
+#: Documents would be read from files in many splits; the compact rows that they are made of come
+#: in one, so they are dealt out, the same way at every size.
+PARTS = 32
+
+
+def _dealt(rows: DataFrame, key: str) -> DataFrame:
+    return rows.repartition(PARTS, key)
+
+
 def athlete_url(key: Column) -> Column:
     return F.concat(F.lit("http://x/athletes/"), key.cast("string"), F.lit("?lang=en"))
 
@@ -92,7 +101,7 @@ def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = F.when(k % 10 == 3, F.to_json(_obj(header=event))).otherwise(
         F.to_json(event)
     )
-    return table(spark, sf_dir, "orders").select(
+    return _dealt(table(spark, sf_dir, "orders"), "o_orderkey").select(
         F.to_date("o_orderdate").alias("day"), k.alias("event_id"), payload.alias("payload")
     )
 
@@ -220,7 +229,7 @@ def profile_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         styles=F.when(k % 3 == 0, F.array(judo, boxing, judo)).when(k % 3 == 1, F.array(karate)),
         headshot=_obj(href=F.concat(F.lit("http://x/img/"), k.cast("string"))),
     )
-    return table(spark, sf_dir, "customer").select(
+    return _dealt(table(spark, sf_dir, "customer"), "c_custkey").select(
         k.alias("athlete_id"), F.to_json(body).alias("payload")
     )
 
