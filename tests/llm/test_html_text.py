@@ -48,6 +48,8 @@ def test_odd_pages():
     assert main_text("just words") == "just words"
     assert main_text("<a href='" * 20_000) is not None
     assert main_text("<" * 50_000 + "<p " * 20_000) is not None
+    assert main_text("<div>x" * 30_000).count("x") > 0
+    assert main_text("<b>" * 30_000 + "</i>" * 30_000 + BODY) == BODY
     many = "<article>" + "<div>" * 3000 + f"<p>{BODY}</p>" * 300
     assert main_text(many).count(BODY) == 300
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -59,54 +60,96 @@ SMOOTHING = ((-1, 0.25), (0, 0.5), (1, 0.25))
 THRESHOLD = 0.1
 
 
+@dataclass(frozen=True)
+class Path:
+    """A tag path as its last step and the path above; compared by identity, so deep pages stay
+    cheap. article: the outermost path above or here that ends in an article element. heading_in:
+    what the first heading on the path stands in."""
+
+    above: Path | None
+    step: str
+    article: Path | None
+    heading_in: Path | None
+    __hash__ = object.__hash__
+    __eq__ = object.__eq__
+
+
+ROOT = Path(None, "", None, None)
+
+
 @dataclass
 class Node:
-    path: tuple[str, ...]
+    path: Path
     block: int
     text: str
     linked: bool
 
 
+@dataclass
+class _Open:
+    """An open element: its name, path, whether it is left out, whether it is inside a link."""
+
+    tag: str
+    path: Path
+    out: bool
+    linked: bool
+
+
 @dataclass
 class _Parser:
     nodes: list[Node] = field(default_factory=list)
-    stack: list[tuple[str, str, bool]] = field(default_factory=list)  # element, its step of a path, left out
+    stack: list[_Open] = field(default_factory=lambda: [_Open("", ROOT, False, False)])
+    known: dict[tuple[Path, str], Path] = field(default_factory=dict)
+    counts: Counter = field(default_factory=Counter)  # open elements by name
     block: int = 0
 
-    def left_out(self) -> bool:
-        return bool(self.stack) and self.stack[-1][2]
-
     def text(self, raw: str) -> None:
-        if raw and not self.left_out():
-            path = tuple(step for _, step, _ in self.stack)
-            linked = any(tag == "a" for tag, _, _ in self.stack)
-            self.nodes.append(Node(path, self.block, html.unescape(raw), linked))
+        top = self.stack[-1]
+        if raw and not top.out:
+            self.nodes.append(Node(top.path, self.block, html.unescape(raw), top.linked))
 
     def space(self) -> None:
         if self.nodes and self.nodes[-1].block == self.block:
             self.nodes[-1].text += " "
 
+    def cut(self, at: int) -> None:
+        self.counts.subtract(x.tag for x in self.stack[at:])
+        del self.stack[at:]
+
+    def path(self, above: Path, tag: str, step: str) -> Path:
+        found = self.known.get((above, step))
+        if found is None:
+            heading_in = above.heading_in or (above if tag in HEADINGS else None)
+            found = Path(above, step, above.article, heading_in)
+            if found.article is None and tag in ARTICLE:
+                object.__setattr__(found, "article", found)
+            self.known[above, step] = found
+        return found
+
     def end(self, tag: str) -> None:
-        for at in range(len(self.stack) - 1, -1, -1):
-            if self.stack[at][0] == tag:
-                del self.stack[at:]
-                return
+        if self.counts[tag] > 0:
+            at = len(self.stack) - 1
+            while self.stack[at].tag != tag:
+                at -= 1
+            self.cut(at)
 
     def close_sibling(self, tag: str) -> None:
-        for at in range(len(self.stack) - 1, -1, -1):
-            open_ = self.stack[at][0]
+        for at in range(len(self.stack) - 1, 0, -1):
+            open_ = self.stack[at].tag
             if open_ in SIBLINGS[tag]:
-                del self.stack[at:]
+                self.cut(at)
                 return
             if open_ in CONTAINERS:
                 return
 
     def close_paragraph(self) -> None:
-        for at in range(len(self.stack) - 1, -1, -1):
-            if self.stack[at][0] == "p":
-                del self.stack[at:]
+        if self.counts["p"] <= 0:
+            return
+        for at in range(len(self.stack) - 1, 0, -1):
+            if self.stack[at].tag == "p":
+                self.cut(at)
                 return
-            if self.stack[at][0] in BLOCKS:
+            if self.stack[at].tag in BLOCKS:
                 return
 
     def start(self, tag: str, attributes: str) -> None:
@@ -116,12 +159,15 @@ class _Parser:
             self.close_sibling(tag)
         if tag in VOID:
             return
-        inside = any(t in ARTICLE for t, _, _ in self.stack)
-        names = [w for m in HINTED.finditer(attributes) for w in re.split(r"[^a-z0-9]+", "".join(g or "" for g in m.groups()).lower())]
+        top, names = self.stack[-1], []
+        for found in HINTED.finditer(attributes):
+            names += re.split(r"[^a-z0-9]+", "".join(g or "" for g in found.groups()).lower())
         named = tag not in ARTICLE and tag not in ("html", "body") and bool(HINTS.intersection(names))
-        out = self.left_out() or tag in NOT_TEXT or named or (tag == "header" and not inside)
+        out = top.out or tag in NOT_TEXT or named or (tag == "header" and top.path.article is None)
         out = out or bool(attributes and HIDDEN.search(attributes))
-        self.stack.append((tag, tag + "." + names[0] if names and tag in BLOCKS else tag, out))
+        step = f"{tag}.{names[0]}" if names and tag in BLOCKS else tag
+        self.stack.append(_Open(tag, self.path(top.path, tag, step), out, top.linked or tag == "a"))
+        self.counts[tag] += 1
 
 
 def text_nodes(page: str) -> list[Node]:
@@ -150,13 +196,13 @@ def text_nodes(page: str) -> list[Node]:
             parser.start(tag, attributes)
 
 
-def content_paths(nodes: list[Node]) -> set[tuple[str, ...]]:
+def content_paths(nodes: list[Node]) -> set[Path]:
     """The paths whose smoothed, fused ratio of text and punctuation is not far below the best.
 
     With them go the other paths of an article element that holds one, unless they are mostly
     links, and the headings beside one.
     """
-    totals: dict[tuple[str, ...], list[int]] = {}
+    totals: dict[Path, list[int]] = {}
     for node in nodes:
         sums = totals.setdefault(node.path, [0, 0, 0, 0])
         sums[0] += 1
@@ -166,7 +212,7 @@ def content_paths(nodes: list[Node]) -> set[tuple[str, ...]]:
             sums[2] += len(PUNCTUATION.findall(node.text))
     fused = {p: (chars / n * (1 + marks / n)) ** 0.5 for p, (n, chars, marks, _) in totals.items()}
     raw = [fused[node.path] for node in nodes]
-    means: dict[tuple[str, ...], list[float]] = {}
+    means: dict[Path, list[float]] = {}
     for i, node in enumerate(nodes):
         near = [(w, raw[i + d]) for d, w in SMOOTHING if 0 <= i + d < len(raw)]
         means.setdefault(node.path, []).append(sum(w * x for w, x in near) / sum(w for w, _ in near))
@@ -174,22 +220,22 @@ def content_paths(nodes: list[Node]) -> set[tuple[str, ...]]:
     best = max(smooth.values(), default=0)
     # a neighbour's score alone does not make a path content: it needs text of its own
     chosen = {p for p, x in smooth.items() if best and x >= THRESHOLD * best and fused[p] >= THRESHOLD * best}
-    holders = {p[: at + 1] for p in chosen for at, step in enumerate(p) if _name(step) in ARTICLE}
-    parents = {p[:at] for p in chosen for at in range(len(p))}
-    within = {p for p, (_, chars, _, all_) in totals.items() if 2 * chars >= all_ and any(p[: len(h)] == h for h in holders)}
-    headings = {p for p in totals for at, step in enumerate(p) if _name(step) in HEADINGS and p[:at] in parents}
-    return chosen | within | headings
-
-
-def _name(step: str) -> str:
-    return step.split(".")[0]
+    holders = {p.article for p in chosen if p.article is not None}
+    within = {p for p, (_, chars, _, all_) in totals.items() if 2 * chars >= all_ and p.article in holders}
+    around: set[Path] = set()
+    for p in chosen:
+        above = p.above
+        while above is not None and above not in around:
+            around.add(above)
+            above = above.above
+    return chosen | within | {p for p in totals if p.heading_in in around}
 
 
 def main_text(page: str | None) -> str:
     """The article of a page, its blocks joined by an empty line; null and empty pages give ""."""
     nodes = text_nodes(page or "")
     solid = [n for n in nodes if n.text.strip()]
-    in_article = [n for n in solid if ARTICLE.intersection(map(_name, n.path))]
+    in_article = [n for n in solid if n.path.article is not None]
     solid = in_article or solid
     content = content_paths(solid)
     blocks: dict[int, list[str]] = {}
