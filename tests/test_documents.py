@@ -114,7 +114,8 @@ def test_pointers_to_one_hot_document(spark):
                             F.lit(None).cast("string").alias("name"))).alias("o"),
     )
     kind = "STRUCT<`$ref`: STRING, name: STRING>"
-    found = resolve_refs(rows, references(spark, hot={"name": "shared"}), {"o": kind}, ["id"])
+    once = references(spark, hot={"name": "shared"})
+    found = resolve_refs(rows, once.union(once), {"o": kind}, ["id"])
     counts = {r["name"]: r["count"] for r in found.groupBy("o.name").count().collect()}
     assert counts == {"shared": 100, "inline": 100, None: 100}
 

@@ -23,7 +23,8 @@ def resolve_refs(
     """Replace objects that are pointers by the (url, payload) documents they point to.
 
     ``columns`` maps STRUCT columns, which have a field ``$ref``, to their type text; a document is
-    parsed to the same type. ``documents`` holds each url once. A pointer without a document
+    parsed to the same type. A url that ``documents`` holds more than once counts once, with the
+    last of its payloads in text order, so that it multiplies no rows. A pointer without a document
     becomes an object without values; objects that are no pointers stay. ``text_of`` names the
     columns that hold an object's JSON text and are to follow the pointer too.
 
@@ -31,7 +32,7 @@ def resolve_refs(
     would all meet in one shuffle partition. A url that very many rows point to is split by AQE,
     as it sits on the streamed side of the join.
     """
-    found = documents.select(F.col("url").alias("_url"), F.col("payload").alias("_payload"))
+    found = documents.groupBy(F.col("url").alias("_url")).agg(F.max("payload").alias("_payload"))
     spread = F.concat(F.lit("inline "), F.xxhash64(*spread_by).cast("string"))
     for c, kind in columns.items():
         url = F.nullif(F.col(c)[REF], F.lit(""))
