@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierfold.llm.common import table, written
+from tierfold.llm.common import release, table, written
 from tierfold.llm.line_dedup import documents_without_lines
 from tierfold.llm.mixing import mixed_documents
 from tierfold.llm.packing import packed
@@ -18,22 +18,27 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark, keep=docs)  # what earlier stages have written on their way
     return keep_good(docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark, keep=docs)  # what earlier stages have written on their way
     return documents_without_lines(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark, keep=docs)  # what earlier stages have written on their way
     return keep_one_of_each(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark, keep=docs)  # what earlier stages have written on their way
     return mixed_documents(docs)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark, keep=docs)
     return packed(docs, *tokenizer_files(), with_ids=False).drop("ids")
 
 

@@ -22,10 +22,14 @@ def name_of(column: str) -> Column:
     return F.col("`" + column.replace("`", "``") + "`")
 
 
-def boxed(df: DataFrame, **columns: Column) -> DataFrame:
-    """The whole input row as one struct ``row`` beside the columns an operator works on, so that
-    further input columns may have any name."""
-    row = F.struct(*(name_of(c) for c in df.columns)).alias("row")
+def row_of(columns: list[str]) -> Column:
+    return F.struct(*(name_of(c) for c in columns))
+
+
+def boxed(df: DataFrame, carry: list[str] | None = None, **columns: Column) -> DataFrame:
+    """The input row, or the columns ``carry`` of it, as one struct ``row`` beside the columns an
+    operator works on, so that further input columns may have any name."""
+    row = row_of(df.columns if carry is None else carry).alias("row")
     return df.select(row, *(c.alias(n) for n, c in columns.items()))
 
 
@@ -47,9 +51,10 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
 
-def text_of(column: str = "text") -> Column:
+def text_of(column: str | Column = "text") -> Column:
     """A text column as a string without nulls."""
-    return F.coalesce(name_of(column).cast("string"), F.lit(""))
+    column = name_of(column) if isinstance(column, str) else column
+    return F.coalesce(column.cast("string"), F.lit(""))
 
 
 def document_key(doc_id: Column, text: Column) -> dict[str, Column]:
@@ -68,18 +73,26 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_written(df: DataFrame) -> None:
-    """Remove the tables that ``df`` reads, once nothing needs them any more."""
+def _read_by(df: DataFrame) -> list[tuple[SparkSession, str]]:
+    """The written tables that ``df`` reads."""
     folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
-    for entry in [e for e in _WRITTEN if any(f.endswith(e[1].split(":", 1)[-1]) for f in folders)]:
-        storage.remove(*entry)
-        _WRITTEN.remove(entry)
+    return [e for e in _WRITTEN if any(f.endswith(e[1].split(":", 1)[-1]) for f in folders)]
+
+
+def drop_written(*tables: DataFrame) -> None:
+    """Remove the tables that these read, once nothing needs them any more."""
+    for df in tables:
+        for entry in _read_by(df):
+            storage.remove(*entry)
+            _WRITTEN.remove(entry)
 
 
-def release(spark: SparkSession) -> None:
-    """Remove all tables that :func:`written` has left; results that read them end with them."""
+def release(spark: SparkSession, keep: DataFrame | None = None) -> None:
+    """Remove all tables that :func:`written` has left, but for those that ``keep`` reads; other
+    results that read them end with them."""
+    kept = _read_by(keep) if keep is not None else []
     for entry in list(_WRITTEN):
-        if entry[0] is spark:
+        if entry[0] is spark and entry not in kept:
             storage.remove(*entry)
             _WRITTEN.remove(entry)
 

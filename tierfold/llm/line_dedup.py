@@ -19,7 +19,18 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierfold.llm.common import boxed, document_key, let, name_of, text_of, unboxed, with_text, words, written
+from tierfold.llm.common import (
+    boxed,
+    document_key,
+    drop_written,
+    let,
+    name_of,
+    text_of,
+    unboxed,
+    with_text,
+    words,
+    written,
+)
 
 WILDCARD = "<*>"
 
@@ -75,50 +86,55 @@ def _templates(lines: DataFrame, rules: LineRules) -> DataFrame:
 
 def _dropped(df: DataFrame, rules: LineRules) -> DataFrame:
     """(k1, k2, gone): the places of the lines that a document loses."""
-    lines = written(_document_lines(df, rules), "document-lines")
-    leaves = written(_in_many(lines, rules, "leaf"), "leaves")
-    lines = lines.join(leaves.select("leaf"), "leaf")
-    lines = written(lines, "candidate-lines")
-    templates = written(_templates(lines, rules).where("template IS NOT NULL"), "templates")
-    lines = written(lines.join(templates, ["leaf", "line"]).drop("line"), "template-lines")
+    all_lines = written(_document_lines(df, rules), "document-lines")
+    leaves = written(_in_many(all_lines, rules, "leaf"), "leaves")
+    candidates = written(all_lines.join(leaves.select("leaf"), "leaf"), "candidate-lines")
+    drop_written(all_lines, leaves)
+    templates = written(_templates(candidates, rules).where("template IS NOT NULL"), "templates")
+    lines = written(candidates.join(templates, ["leaf", "line"]).drop("line"), "template-lines")
     recurring = _in_many(lines, rules, "leaf", "template").select("leaf", "template")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k2", "pos")
     first = lines.groupBy("leaf", "template").agg(F.min(place).alias("first"))
     first = written(first.join(recurring, ["leaf", "template"]), "first-lines")
     gone = lines.join(first, ["leaf", "template"]).where(~place.eqNullSafe(F.col("first")))
-    return gone.groupBy("k1", "k2").agg(F.collect_set("pos").alias("gone"))
-
+    gone = written(gone.groupBy("k1", "k2").agg(F.collect_set("pos").alias("gone")), "gone")
+    drop_written(candidates, templates, lines, first)
+    return gone
 
-def line_dedup(docs: DataFrame, rules: LineRules | None = None) -> DataFrame:
-    """``docs`` with the text of each row without its dropped lines, and ``n_lines`` and
-    ``n_dropped``, the lines it had and lost.
 
-    Lines are what ``\\n`` separates; the first line of a template, by doc_id (nulls last) and
-    place, stays. A null text stays null and has no lines, an empty one has one. Rows that repeat
-    both id and text are one document and lose the same lines. An empty table gives an empty
-    result. Input columns named like the added ones give way to them.
-    """
-    rules = rules or LineRules()
+def _without_lines(docs: DataFrame, rules: LineRules) -> DataFrame:
+    """(row, new, n_lines, n_dropped) for each row of ``docs``."""
     keys = document_key(name_of("doc_id"), name_of("text"))
-    gone = written(_dropped(docs.select(*(c.alias(k) for k, c in keys.items()), "doc_id", text_of().alias("text")), rules), "gone")
-    df = boxed(docs, **keys, old=name_of("text")).join(gone, ["k1", "k2"], "left")
+    gone = _dropped(docs.select(*(c.alias(k) for k, c in keys.items()), "doc_id", text_of().alias("text")), rules)
+    df = boxed(docs, **keys).join(gone, ["k1", "k2"], "left").withColumn("old", F.col("row.text"))
     lines = F.split("old", "\n")
     places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone")
     left = let(lines, lambda all_: F.array_join(F.transform(places, lambda i: F.get(all_, i)), "\n"))
-    df = df.select(
+    return df.select(
         "row",
         F.when(F.col("gone").isNull(), F.col("old")).otherwise(left).alias("new"),
         F.when(F.col("old").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
     )
+
+
+def line_dedup(docs: DataFrame, rules: LineRules | None = None) -> DataFrame:
+    """``docs`` with the text of each row without its dropped lines, and ``n_lines`` and
+    ``n_dropped``, the lines it had and lost.
+
+    Lines are what ``\\n`` separates; the first line of a template, by doc_id (nulls last) and
+    place, stays. A null text stays null and has no lines, an empty one has one. Rows that repeat
+    both id and text are one document and lose the same lines. An empty table gives an empty
+    result. Input columns named like the added ones give way to them.
+    """
+    df = _without_lines(docs, rules or LineRules())
     return unboxed(df, "n_lines", "n_dropped", replace={"text": "new"})
 
 
 def documents_without_lines(docs: DataFrame, rules: LineRules | None = None) -> DataFrame:
     """:func:`line_dedup` with the columns of ``docs``; ``n_chars`` follows the text if there."""
-    row = F.struct(*(name_of(c) for c in docs.columns)).alias("document")
-    cut = line_dedup(docs.select("doc_id", "text", row), rules)
-    return with_text(cut, "text", docs.columns)
+    df = _without_lines(docs, rules or LineRules()).withColumnRenamed("row", "document")
+    return with_text(df, "new", docs.columns)
 
 
 #: The same for DuckDB, over documents with ids of their own.

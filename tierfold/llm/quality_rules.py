@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierfold.llm.common import WORD, boxed, name_of, text_of, unboxed, words, written
+from tierfold.llm.common import WORD, boxed, row_of, text_of, unboxed, words, written
 
 SYMBOLS = r"[#*$%&|<>]"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -177,16 +177,18 @@ def fit_label_model(votes: DataFrame, columns: list[str]) -> LabelModel:
     return model
 
 
-def quality_rules(docs: DataFrame, rules: list[Rule] | None = None, text: str = "text") -> DataFrame:
+def quality_rules(
+    docs: DataFrame, rules: list[Rule] | None = None, text: str | Column = "text", carry: list[str] | None = None
+) -> DataFrame:
     """Adds counts, votes, ``p_good``, ``base_failed`` and ``kept`` to every row of ``docs``.
 
     A null text has no words and fails the base rule. Each row is judged by itself, so repeated
     rows are judged alike. An empty table gives an empty result. A column of ``docs`` that is named
-    like an added one is replaced.
+    like an added one is replaced. ``carry`` names the columns that the result needs, all unless given.
     """
     rules = default_rules() if rules is None else rules
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    df = text_counts(boxed(docs, text=text_of(text))).withColumn("base_failed", base)
+    df = text_counts(boxed(docs, carry, text=text_of(text))).withColumn("base_failed", base)
     votes = [f"vote_{r.name}" for r in rules]
     df = written(df.withColumns({v: r.vote() for v, r in zip(votes, rules, strict=True)}), "quality")
     model = fit_label_model(df, votes)
@@ -195,8 +197,7 @@ def quality_rules(docs: DataFrame, rules: list[Rule] | None = None, text: str =
     return unboxed(df, *COUNTS, "base_failed", "kept", "n_lines", *votes, "p_good")
 
 
-def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
+def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with the columns of ``docs``."""
-    row = F.struct(*(name_of(c) for c in docs.columns))
-    judged = quality_rules(docs.select(name_of(text).alias("text"), row.alias("document")))
+    judged = quality_rules(docs.select(row_of(docs.columns).alias("document")), text=F.col("document.text"))
     return judged.where("kept").select("document.*")

@@ -41,7 +41,7 @@ def query(name: str, sql: str | None = None):
 
 @query("op8_quality_rules")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    return quality_rules(table(spark, sf_dir, "documents"), carry=["doc_id"])
 
 
 @query("op9_simhash_dedup")
