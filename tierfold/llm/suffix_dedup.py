@@ -30,7 +30,7 @@ from tierfold.llm.common import name_of, written
 LENGTH, GRAM = 100, 32
 WINDOW = LENGTH - GRAM + 1
 #: Bytes that are hashed at once; positions within them take POSITION_BITS bits.
-SEGMENT, POSITION_BITS = 4 << 20, 24
+SEGMENT, POSITION_BITS = 1 << 20, 24
 #: Bits of the filter of repeated marks that is broadcast: 16 MB whatever the corpus. More bits let
 #: fewer unique marks through; those change no result.
 FILTER_BITS, FILTER_PARTS = 27, 128
@@ -272,14 +272,15 @@ def _settle(rows: pd.DataFrame) -> pd.DataFrame:
     repeat[order[np.flatnonzero(np.diff(cls) == 0) + 1]] = True
     r, low, high = _runs(row[repeat], window[repeat])
     spans.append(pd.DataFrame({"doc": doc[r], "k2": k2[r], "first": first[r] + low, "end": first[r] + high + LENGTH}))
-    out = pd.concat(spans).rename(columns={"first": "start"}).assign(a=None, b=None)
+    out = pd.concat(spans).rename(columns={"first": "start"})
+    out = out.assign(a=pd.array([pd.NA] * len(out), "Int64"), b=pd.array([pd.NA] * len(out), "Int64"))
     open_ = np.flatnonzero(~repeat & (rows["salts"].to_numpy() > 1)[row]) if len(rows) else np.empty(0, int)
     digests = b"".join(xxhash.xxh3_128_digest(data[s : s + LENGTH]) for s in start[open_].tolist())
     hashes = np.frombuffer(digests, np.int64).reshape(-1, 2)
     r = row[open_]
     left = {"doc": doc[r], "k2": k2[r], "start": at[open_], "end": at[open_] + LENGTH, "a": hashes[:, 0], "b": hashes[:, 1]}
-    parts = [x for x in (out, pd.DataFrame(left)) if len(x)]
-    return pd.concat(parts).astype({"a": "Int64", "b": "Int64"}) if parts else out
+    left = pd.DataFrame(left).astype({"a": "Int64", "b": "Int64"})
+    return pd.concat([out, left]) if len(left) else out
 
 
 def _filter_part(rows: pd.DataFrame) -> pd.DataFrame:
