@@ -4,6 +4,8 @@ import hashlib
 import random
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 from tierfold.llm import suffix_dedup as sd
@@ -95,5 +97,43 @@ def test_equal_windows_have_equal_marks():
     assert all(places[0][1000 + k] == places[1][77 + k] for k in range(1900))
 
 
+def test_runs_of_a_short_period_are_a_span_and_a_few_windows():
+    texts_ = [b" " * 300_000, b"-=" * 50_000 + b"end", b"one two three four five. " * 8_000, b"\0" * 99]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(4), pa.int64()), pa.array([5] * 4, pa.int64()), pa.array(texts_, pa.binary())], names=["doc", "k2", "bytes"]
+    )
+    kept = type("Broadcast", (), {"value": b"\xff" * 16})
+    rows = [r for out in sd._candidates(kept, 7)(iter([batch])) for r in out.to_pylist()]
+    assert len(rows) < 100
+    assert sum(b.num_rows for b in sd._all_marks(iter([batch]))) == sum(r["mark"] != sd.RUN for r in rows)
+    for doc, text in enumerate(texts_):
+        windows = sorted((r["first"], r["windows"]) for r in rows if r["doc"] == doc)
+        assert sum(n for _, n in windows) == max(0, len(text) - 99)
+
+
+def test_long_runs_against_all_windows(spark, monkeypatch):
+    monkeypatch.setattr(sd, "MARK_ROWS", 3)
+    monkeypatch.setattr(sd, "SEGMENT", 5000)
+    line = "".join(random.Random(5).choices("abcdefgh ", k=230))
+    texts_ = [" " * 20_000, "x" + " " * 9000 + "y", "ab " * 4000, line * 60, line * 3 + " " * 300, "ab " * 50 + "abab" * 90]
+    rows = list(enumerate(texts_))
+    got = sd.suffix_dedup(spark.createDataFrame([(*r, 0) for r in rows], SCHEMA)).collect()
+    assert {r.doc_id: tuple(r)[1:5] for r in got} == plain(rows)
+
+
+def test_a_hot_mark_of_one_document_goes_to_several_tasks(spark):
+    candidates = spark.range(50_000).selectExpr("7L AS h", "1L AS doc", "2L AS k2", "id * 200 AS first")
+    counts = candidates.groupBy("h").count().withColumnRenamed("count", "n")
+    tasks = sd._dealt(candidates, counts, 50_000).groupBy("h", "salt").count().collect()
+    assert max(r["count"] for r in tasks) < 2 * sd.MARK_ROWS
+
+
+def test_touching_spans_leave_a_task_as_one():
+    n = 500
+    rows = pd.DataFrame({"h": 1, "doc": 3, "k2": 4, "first": np.arange(n) * 50, "windows": 1, "mark": 0, "bytes": b"z" * 100, "salts": 1, "salt": 0})
+    spans = sd._settle(rows)
+    assert spans[["doc", "k2", "start", "end"]].to_numpy().tolist() == [[3, 4, 50, 50 * (n - 1) + 100]]
+
+
 def test_empty_table(spark):
     assert sd.suffix_dedup(spark.createDataFrame([], SCHEMA)).collect() == []

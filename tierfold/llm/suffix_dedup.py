@@ -8,8 +8,12 @@ identical surroundings are collapsed first, then a multikey quicksort splits the
 bytes at a time down to a shallow depth, and blind tries order the groups that still agree. Windows
 that turn out equal are all repeats but for the earliest.
 
-A mark shared by very many documents is dealt over several tasks. Each of them settles its own
-windows; the earliest ones it found meet again by a 128-bit hash of their bytes.
+In a run of a short period, such as a megabyte of blanks, the windows of a mark are those of the
+mark before, one period on. These are repeats whatever else the corpus holds, so they leave the map
+task as one span for a run and only the windows at its begin travel.
+
+A mark that occurs very often is dealt over several tasks, by document and position. Each of them
+settles its own windows; the earliest ones it found meet again by a 128-bit hash of their bytes.
 """
 
 from __future__ import annotations
@@ -80,6 +84,25 @@ def marks(data: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, ...]:
     return h[at[first]], at[first], valid[first], valid[last]
 
 
+def own_repeats(data: bytes, begins: np.ndarray, found: tuple[np.ndarray, ...]) -> np.ndarray:
+    """Whether all windows of each mark repeat those that lie before them by the distance from the
+    mark before, in the same piece of text. ``begins``: where the pieces of ``data`` begin."""
+    h, at, first, last = found
+    step, out = np.diff(at, prepend=at[:1]), np.zeros(len(h), bool)
+    near = np.flatnonzero((step > 0) & (h == np.roll(h, 1)))
+    near = near[first[near] - step[near] >= begins[np.searchsorted(begins, first[near], "right") - 1]]
+    for p in np.unique(step[near]).tolist():
+        rows = near[step[near] == p]
+        low, high = first[rows], last[rows] + LENGTH
+        if len(rows) < 1000:
+            out[rows] = [data[a:b] == data[a - p : b - p] for a, b in zip(low.tolist(), high.tolist(), strict=True)]
+        else:
+            bytes_ = np.frombuffer(data, np.uint8)
+            differ = np.concatenate([[0], np.cumsum(bytes_[p:] != bytes_[:-p])])
+            out[rows] = differ[high - p] == differ[low - p]
+    return out
+
+
 def _segments(texts: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray]]:
     """Pieces of several texts laid end to end: (bytes, starts of windows, begin of each text's
     piece, and where that piece begins in its text as (text, offset) rows)."""
@@ -105,37 +128,47 @@ def _segments(texts: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarra
 
 def _all_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for data, valid, _, _ in _segments(batch.column(2).to_pylist()):
-            found = marks(np.frombuffer(data, np.uint8), valid)[0]
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["h"])
+        for data, valid, begins, _ in _segments(batch.column(2).to_pylist()):
+            found = marks(np.frombuffer(data, np.uint8), valid)
+            h = found[0][~own_repeats(data, begins, found)]
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
 
 
+#: A row without bytes and with the mark RUN is a run of windows that are repeats already.
+RUN = -1
 CANDIDATES = "h LONG, doc LONG, k2 LONG, first LONG, windows INT, mark INT, bytes BINARY"
 
 
 def _candidates(repeated: bytes, bits: int):
-    """Marks that the filter lets through, with the bytes of their windows."""
+    """Marks that the filter lets through, with the bytes of their windows, and runs of repeats."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = np.frombuffer(repeated.value, np.uint8)
         for batch in batches:
             docs, k2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for data, valid, begins, origins in _segments(batch.column(2).to_pylist()):
-                h, at, first, last = marks(np.frombuffer(data, np.uint8), valid)
+                h, at, first, last = found = marks(np.frombuffer(data, np.uint8), valid)
+                gone = own_repeats(data, begins, found)
+                run_first, run_last = _joined(first[gone], last[gone])
                 slot = (h & np.uint64((1 << bits) - 1)).astype(np.int64)
-                hit = kept[slot >> 3] >> (slot & 7) & 1 == 1
+                hit = (kept[slot >> 3] >> (slot & 7) & 1 == 1) & ~gone
                 h, at, first, last = h[hit], at[hit], first[hit], last[hit]
-                piece = np.searchsorted(begins, at, "right") - 1
-                text, offset = origins[piece, 0], origins[piece, 1]
                 own = [data[a:b] for a, b in zip(first.tolist(), (last + LENGTH).tolist(), strict=True)]
+                own += [b""] * len(run_first)
+                mark = np.concatenate([at - first, np.full(len(run_first), RUN)])
+                first, last = np.concatenate([first, run_first]), np.concatenate([last, run_last])
+                piece = np.searchsorted(begins, first, "right") - 1
+                text, offset = origins[piece, 0], origins[piece, 1]
+                start = first - begins[piece] + offset
+                spread = (k2[text] ^ start)[len(h) :]  # runs need no mark of theirs: they go to any task
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(h.view(np.int64)),
+                        pa.array(np.concatenate([h.view(np.int64), spread])),
                         pa.array(docs[text], pa.int64()),
                         pa.array(k2[text], pa.int64()),
-                        pa.array(first - begins[piece] + offset, pa.int64()),
+                        pa.array(start, pa.int64()),
                         pa.array(last - first + 1, pa.int32()),
-                        pa.array(at - first, pa.int32()),
+                        pa.array(mark, pa.int32()),
                         pa.array(own, pa.binary()),
                     ],
                     names=["h", "doc", "k2", "first", "windows", "mark", "bytes"],
@@ -246,6 +279,36 @@ def _runs(row: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return row[first], window[first], window[last]
 
 
+def _joined(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rising ranges of windows, neighbouring ones as one."""
+    if not len(first):
+        return first, last
+    cut = np.flatnonzero(first[1:] != last[:-1] + 1) + 1
+    return first[np.concatenate([[0], cut])], last[np.concatenate([cut, [len(first)]]) - 1]
+
+
+def merged(group: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans of each group in order, those that overlap or touch as one."""
+    if not len(start):
+        return group, start, end
+    order = np.lexsort((start, group))
+    group, start = group[order], start[order]
+    above = group * (int(end.max()) + 1)  # ends of a later group are above those of an earlier one
+    reach = np.maximum.accumulate(end[order] + above) - above
+    new = np.flatnonzero((np.diff(group) != 0) | (start[1:] > reach[:-1])) + 1
+    at = np.concatenate([[0], new])
+    return group[at], start[at], reach[np.concatenate([new, [len(start)]]) - 1]
+
+
+def _merged_spans(spans: pd.DataFrame) -> pd.DataFrame:
+    """(doc, k2, first, end) with the spans of a document merged."""
+    if not len(spans):
+        return spans[["doc", "k2", "first", "end"]]
+    keys, at = np.unique(spans[["doc", "k2"]].to_numpy(np.int64), axis=0, return_inverse=True)
+    group, first, end = merged(at.reshape(-1), spans["first"].to_numpy(np.int64), spans["end"].to_numpy(np.int64))
+    return pd.DataFrame({"doc": keys[group, 0], "k2": keys[group, 1], "first": first, "end": end})
+
+
 FOUND = "doc LONG, k2 LONG, start LONG, end LONG, a LONG, b LONG"
 
 
@@ -253,7 +316,7 @@ def _settle(rows: pd.DataFrame) -> pd.DataFrame:
     """Repeats among the windows of some marks, as spans; for dealt marks also the windows that are
     the earliest here, with a hash (a, b) of their bytes."""
     rows = rows.sort_values(["doc", "k2", "first"], kind="stable").drop_duplicates(["doc", "k2", "first"])
-    again = rows.duplicated(["h", "salt", "mark", "bytes"])
+    again = rows.duplicated(["h", "salt", "mark", "bytes"]) | (rows["mark"] == RUN)
     whole, rows = rows[again], rows[~again].reset_index(drop=True)
     spans = [whole[["doc", "k2", "first"]].assign(end=whole["first"] + whole["windows"] - 1 + LENGTH)]
     shared = rows.duplicated(["h", "salt"], keep=False).to_numpy() | (rows["salts"] > 1).to_numpy()
@@ -272,7 +335,7 @@ def _settle(rows: pd.DataFrame) -> pd.DataFrame:
     repeat[order[np.flatnonzero(np.diff(cls) == 0) + 1]] = True
     r, low, high = _runs(row[repeat], window[repeat])
     spans.append(pd.DataFrame({"doc": doc[r], "k2": k2[r], "first": first[r] + low, "end": first[r] + high + LENGTH}))
-    out = pd.concat(spans).rename(columns={"first": "start"})
+    out = _merged_spans(pd.concat(spans)).rename(columns={"first": "start"})
     out = out.assign(a=pd.array([pd.NA] * len(out), "Int64"), b=pd.array([pd.NA] * len(out), "Int64"))
     open_ = np.flatnonzero(~repeat & (rows["salts"].to_numpy() > 1)[row]) if len(rows) else np.empty(0, int)
     digests = b"".join(xxhash.xxh3_128_digest(data[s : s + LENGTH]) for s in start[open_].tolist())
@@ -290,6 +353,15 @@ def _filter_part(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"part": rows["part"][:1], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
 
 
+def _dealt(candidates: DataFrame, counts: DataFrame, total: int) -> DataFrame:
+    """``candidates`` with the number of tasks ``salts`` of their mark and the one of each, ``salt``."""
+    # no more than MOST_DEALT marks can have so large a share of all
+    least = max(2 * MARK_ROWS, total // MOST_DEALT)
+    dealt = counts.where(F.col("n") >= least).select("h", F.ceil(F.col("n") / MARK_ROWS).cast("int").alias("salts"))
+    candidates = candidates.join(F.broadcast(dealt), "h", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+    return candidates.withColumn("salt", F.pmod(F.xxhash64("doc", "k2", "first"), F.col("salts")).cast("int"))
+
+
 def repeated_spans(docs: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
     """(doc, k2, start, end): spans of repeated bytes, in any number and overlapping, of documents
     with the order key ``doc``, ``k2`` and ``bytes``."""
@@ -306,11 +378,7 @@ def repeated_spans(docs: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame
     for r in parts:
         bits[r["part"] * size // 8 : (r["part"] + 1) * size // 8] = r["bits"]
     candidates = docs.mapInArrow(_candidates(spark.sparkContext.broadcast(bytes(bits)), filter_bits), CANDIDATES)
-    # no more than MOST_DEALT marks can have so large a share of all
-    least = max(2 * MARK_ROWS, total // MOST_DEALT)
-    dealt = counts.where(F.col("n") >= least).select("h", F.ceil(F.col("n") / MARK_ROWS).cast("int").alias("salts"))
-    candidates = candidates.join(F.broadcast(dealt), "h", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
-    candidates = candidates.withColumn("salt", F.pmod(F.xxhash64("doc", "k2"), F.col("salts")).cast("int"))
+    candidates = _dealt(candidates, counts, total)
     tasks = max(4 * spark.sparkContext.defaultParallelism, total // TASK_ROWS)
     task = F.pmod(F.xxhash64("h", "salt"), F.lit(tasks))
     found = written(candidates.groupBy(task.alias("task")).applyInPandas(_settle, FOUND), "repeats")
@@ -322,17 +390,6 @@ def repeated_spans(docs: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame
     return spans.union(later.select("doc", "k2", "start", "end"))
 
 
-def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Spans in order, those that overlap or touch as one."""
-    out: list[tuple[int, int]] = []
-    for start, end in sorted(spans):
-        if out and start <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], end))
-        else:
-            out.append((start, end))
-    return out
-
-
 def _order_keys(doc_id: Column, text: Column) -> dict[str, Column]:
     return {"doc": F.coalesce(doc_id.cast("long"), F.lit(NULL_ID)), "k2": F.xxhash64(text)}
 
@@ -354,8 +411,12 @@ def suffix_dedup(docs: DataFrame, with_bytes: bool = True, filter_bits: int = FI
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc_id, data, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                gone = merged([(s["start"], s["end"]) for s in spans or []])
+            for doc_id, data, spans in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                data, gone = data.as_py(), []
+                if spans.is_valid:
+                    start, end = (spans.values.field(c).to_numpy() for c in ("start", "end"))
+                    _, start, end = merged(np.zeros(len(start), np.int64), start, end)
+                    gone = list(zip(start.tolist(), end.tolist(), strict=True))
                 edges = [0, *(x for span in gone for x in span), len(data)]
                 kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
                 digest = hashlib.sha256(kept).hexdigest()
