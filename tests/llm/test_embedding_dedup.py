@@ -1,7 +1,9 @@
 """Links and groups against all pairs in double precision."""
 
 import numpy as np
+import pytest
 
+from tierfold.llm import embedding_dedup as ed
 from tierfold.llm.embedding_dedup import embedding_dedup
 from tierfold.llm.hnsw import Graph
 
@@ -65,5 +67,47 @@ def test_graph_finds_neighbours():
     assert len(graph.within(x[:3000], 0.9, 48)[0]) > 0.98 * exact
 
 
+def clustered(hot, pairs, dim=24, seed=3):
+    """Unit vectors: one cluster of ``hot`` and ``pairs`` pairs of near ones, in any order."""
+    rng = np.random.default_rng(seed)
+    one = rng.normal(size=(pairs, dim))
+    x = np.concatenate([rng.normal(size=dim) + 0.02 * rng.normal(size=(hot, dim)), one, one + 0.05 * rng.normal(size=one.shape)])
+    x = rng.permutation(x / np.linalg.norm(x, axis=1, keepdims=True))
+    return x.astype(np.float32)
+
+
+class Lossy:
+    """A graph that finds all links of hot queries, and none but themselves of the others."""
+
+    def __init__(self, vectors):
+        self.vectors = vectors
+
+    def within(self, queries, least, width):
+        near = queries @ self.vectors.T
+        found = near >= least
+        return np.nonzero(found & ((found.sum(axis=1) > 100)[:, None] | (near > 0.99999)))
+
+
+@pytest.mark.parametrize("hot", [0, 2000])
+def test_a_hot_cluster_hides_no_loss(monkeypatch, hot):
+    x = clustered(hot, 1000)
+    monkeypatch.setattr(ed, "ENOUGH", 300, raising=False)
+    assert ed._audited_width(Lossy(x), x, 0.9) is None
+
+
+def test_blocks_without_links_are_compared_with_all(monkeypatch):
+    x = clustered(0, 1000)
+    monkeypatch.setattr(ed, "ENOUGH", 300, raising=False)
+    far = -x  # hardly any has a link
+    assert ed._audited_width(Lossy(x), far, 0.9) is None
+
+
+def test_a_graph_that_misses_nothing_passes(monkeypatch):
+    x = clustered(300, 1000)
+    monkeypatch.setattr(ed, "ENOUGH", 300, raising=False)
+    width = ed._audited_width(Graph.build(x), x, 0.9)
+    assert width is not None and width < len(x)
+
+
 def test_empty_table(spark):
     assert embedding_dedup(spark.createDataFrame([], SCHEMA)).collect() == []

@@ -2,8 +2,9 @@
 
 Equal vectors are one node with a number of copies. Nodes are dealt over shards by hash, and blocks
 of nodes are searched for in the graph of each shard. Every such search is audited against a
-comparison of some of its vectors with the whole shard: as long as one link is missed the beam is
-widened, in the end to the whole shard. Links are verified in double precision. A task counts the
+comparison of vectors drawn from the whole block with the whole shard: as long as any of them misses
+a link the beam is widened, in the end to the whole shard. A block too few of whose vectors have
+links outside hot clusters to tell by is compared with the whole shard at once. Links are verified in double precision. A task counts the
 links of each vector and reduces them to a spanning forest, so pairs within a group never leave it.
 """
 
@@ -23,8 +24,9 @@ from tierfold.llm.hnsw import Graph, Layer
 LEAST = 0.9
 #: At least so many shards; nodes of a shard and of a block of queries; queries searched at once.
 MIN_SHARDS, SHARD_ROWS, BLOCK_ROWS, AT_ONCE = 4, 32_768, 16_384, 256
-#: First beam; queries of a block that are audited; share of their links that must be found.
-WIDTH, AUDITED, RECALL = 48, 512, 0.999
+#: First beam; audited queries with links, but no hot cluster of them, that no link is missed of;
+#: queries after which it is judged whether a block has so many.
+WIDTH, ENOUGH, JUDGED = 48, 3000, 1024
 #: Single precision may be off by so much; what it finds is verified.
 SLACK = 1e-5
 
@@ -61,15 +63,30 @@ def _build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"dim": [key[0]], "shard": [key[1]], "graph": [raw]})
 
 
-def _audited_width(graph: Graph, queries: np.ndarray, least: float) -> int | None:
-    """The beam whose search misses too few links of the audited queries; None: compare with all."""
-    exact = queries @ graph.vectors.T >= least
-    width = WIDTH
-    while width < len(graph.vectors):
-        q, node = graph.within(queries, least, width)
-        if len(q) >= RECALL * exact.sum():
+def _audited_width(graph: Graph, queries: np.ndarray, least: float, own: np.ndarray | None = None) -> int | None:
+    """The beam whose search misses no link of any audited query; None: compare with all.
+
+    ``own`` tells which queries are nodes of the shard: these find themselves, which tells nothing.
+    """
+    n, width, telling = len(queries), WIDTH, 0
+    own = np.zeros(n, bool) if own is None else own
+    order = np.random.default_rng(n).permutation(n)
+    for at in range(0, n if n >= ENOUGH else 0, AT_ONCE):
+        drawn = order[at : at + AT_ONCE]
+        exact = queries[drawn] @ graph.vectors.T >= least + SLACK / 2  # rounding may part the two below that
+        links = exact.sum(axis=1) - own[drawn]
+        telling += int(((links > 0) & (links < WIDTH)).sum())
+        while width < len(graph.vectors):
+            missed = exact.copy()
+            missed[graph.within(queries[drawn], least, width)] = False
+            if not missed.any():
+                break
+            width *= 2
+        done = at + len(drawn)
+        if width >= len(graph.vectors) or done >= JUDGED and telling * n < ENOUGH * done:
+            return None
+        if telling >= ENOUGH:
             return width
-        width *= 2
     return None
 
 
@@ -81,7 +98,7 @@ def _search(least: float):
         ids, copies, units, graph = _unpacked(graphs["graph"].iloc[0])
         own, queries = rows["id"].to_numpy(), _units(rows["e"])
         single = queries.astype(np.float32)
-        width = _audited_width(graph, single[:AUDITED], least - SLACK)
+        width = _audited_width(graph, single, least - SLACK, np.isin(own, ids))
         links = np.zeros(len(own), np.int64)
         a, b = np.empty(0, np.int64), np.empty(0, np.int64)
         for at in range(0, len(own), AT_ONCE):
