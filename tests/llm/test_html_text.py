@@ -54,6 +54,25 @@ def test_odd_pages():
     assert main_text(many).count(BODY) == 300
 
 
+def test_layout_words_round_the_page_take_nothing():
+    inner = f"<h1>A title</h1><p>{BODY}</p><p>Short.</p>"
+    expected = f"A title\n\n{BODY}\n\nShort."
+    around = "<div class='ad'>Buy, buy, buy now.</div>"
+    for opened, closed in (("<div class='no-sidebar'>", "</div>"), ("<div class='content has-sidebar'>", "</div>"), ("<form id='aspnetForm'>", "</form>")):
+        for wrap in ("article", "div"):
+            assert main_text(page(inner, opened + around, around + closed, wrap)) == expected
+
+
+def test_the_head_of_an_article_keeps_its_title():
+    assert main_text(page(f"<div class='entry-header'><h1>A title</h1></div><p>{BODY}</p>")) == f"A title\n\n{BODY}"
+
+
+def test_teasers_in_articles_take_no_main_text():
+    teasers = "".join(f"<article><h2>Teaser {i}</h2><p>Read on, here.</p></article>" for i in range(4))
+    for before, after in ((teasers, ""), ("", teasers)):
+        assert main_text(page(f"<h1>A title</h1><p>{BODY}</p>", before, after, "div")) == f"A title\n\n{BODY}"
+
+
 def test_table(spark):
     rows = [(1, "u", page(f"<p>{BODY}</p>"), "x"), (None, None, None, "y"), (1, "u", page(f"<p>{BODY}</p>"), "x")]
     pages = spark.createDataFrame(rows, "page_id LONG, url STRING, html STRING, text STRING")

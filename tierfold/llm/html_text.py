@@ -3,8 +3,10 @@
 Every text node has a tag path, from the root to its element. Per page and path, the length of text
 outside links and the punctuation per node are aggregated and fused into one score; scores are
 smoothed over the nodes in page order, and paths whose mean is not far below the best are content.
-All nodes of a content path belong to the text, so short paragraphs stay beside long ones. Elements
-that are never an article's text (menus, forms, scripts, adverts and the like) are left out first.
+All nodes of a content path belong to the text, so short paragraphs stay beside long ones. Scripts,
+styles, nav and footer are left out first. Elements that rarely are an article's text by their name
+or by a word of their class, id or role (forms, adverts and the like) only score less, and not at
+all less if most of the page's text is in them.
 
 Pages are independent: each is parsed by itself inside a task.
 """
@@ -37,9 +39,10 @@ CELLS = frozenset("td th br".split())
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}}
 SIBLINGS |= {"th": {"td", "th"}, "option": {"option"}}
 CONTAINERS = frozenset("ul ol dl table tbody thead tfoot select article section div body".split())
-NOT_TEXT = frozenset("head nav footer aside form button select dialog menu label fieldset".split())
+NOT_TEXT = frozenset("head nav footer".split())
+RARELY_TEXT = frozenset("aside form button select dialog menu label fieldset".split())
 ARTICLE = frozenset("article main".split())
-#: Words of class, id or role that name what is not an article's text.
+#: Words of class, id or role that name what rarely is an article's text.
 HINTS = frozenset(
     "ad ads advert advertisement advertising advertorial sponsor sponsored promo promotion banner sidebar nav navbar "
     "navigation menu menubar breadcrumb breadcrumbs header masthead footer cookie cookies consent gdpr notice notices "
@@ -47,6 +50,8 @@ HINTS = frozenset(
     "share sharing social related recommended widget toolbar pagination pager copyright search contentinfo "
     "complementary dialog hidden".split()
 )
+#: Of these, words that within an article name the head of its own.
+OWN_HEAD = frozenset("header masthead".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？、]")
 TOKEN = re.compile(
     r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*+(?:>|\Z)"""
@@ -58,6 +63,10 @@ HIDDEN = re.compile(r"""(?:^|\s)hidden(?:[\s=/]|$)|aria-hidden\s*=\s*["']?true|d
 SMOOTHING = ((-1, 0.25), (0, 0.5), (1, 0.25))
 #: Least share of the best path's score that makes a path content.
 THRESHOLD = 0.1
+#: Factor on the score of what rarely is text; from so many characters on an element with over half
+#: of the page's text outside links is spared it; least share of the text of the best article, or of
+#: what is outside articles, that keeps another one.
+PENALTY, SPARED_CHARS, SHARE = 0.05, 250, 0.5
 
 
 @dataclass(frozen=True)
@@ -77,22 +86,38 @@ class Path:
 ROOT = Path(None, "", None, None)
 
 
+@dataclass(eq=False)
+class Doubt:
+    """An element that rarely is text, the one around it, and its characters outside links."""
+
+    above: Doubt | None
+    chars: int = 0
+    counts: bool = False
+
+
 @dataclass
 class Node:
     path: Path
     block: int
     text: str
     linked: bool
+    doubt: Doubt | None = None
+
+    @property
+    def key(self) -> tuple[Path, bool]:
+        return self.path, self.doubt is not None and self.doubt.counts
 
 
 @dataclass
 class _Open:
-    """An open element: its name, path, whether it is left out, whether it is inside a link."""
+    """An open element: its name, path, whether it is left out, whether it is inside a link, the
+    innermost element here or above that rarely is text."""
 
     tag: str
     path: Path
     out: bool
     linked: bool
+    doubt: Doubt | None = None
 
 
 @dataclass
@@ -102,11 +127,12 @@ class _Parser:
     known: dict[tuple[Path, str], Path] = field(default_factory=dict)
     counts: Counter = field(default_factory=Counter)  # open elements by name
     block: int = 0
+    doubts: list[Doubt] = field(default_factory=list)  # those around others before them
 
     def text(self, raw: str) -> None:
         top = self.stack[-1]
         if raw and not top.out:
-            self.nodes.append(Node(top.path, self.block, html.unescape(raw), top.linked))
+            self.nodes.append(Node(top.path, self.block, html.unescape(raw), top.linked, top.doubt))
 
     def space(self) -> None:
         if self.nodes and self.nodes[-1].block == self.block:
@@ -162,22 +188,29 @@ class _Parser:
         top, names = self.stack[-1], []
         for found in HINTED.finditer(attributes):
             names += re.split(r"[^a-z0-9]+", "".join(g or "" for g in found.groups()).lower())
-        named = tag not in ARTICLE and tag not in ("html", "body") and bool(HINTS.intersection(names))
-        out = top.out or tag in NOT_TEXT or named or (tag == "header" and top.path.article is None)
-        out = out or bool(attributes and HIDDEN.search(attributes))
+        hints = HINTS.intersection(names) if tag not in ARTICLE and tag not in ("html", "body") else frozenset()
+        if top.path.article is not None:
+            hints = hints - OWN_HEAD
+        rarely = tag in RARELY_TEXT or bool(hints) or (tag == "header" and top.path.article is None)
+        doubt = top.doubt
+        if rarely or attributes and HIDDEN.search(attributes):
+            doubt = Doubt(doubt)
+            self.doubts.append(doubt)
+        out = top.out or tag in NOT_TEXT
         step = f"{tag}.{names[0]}" if names and tag in BLOCKS else tag
-        self.stack.append(_Open(tag, self.path(top.path, tag, step), out, top.linked or tag == "a"))
+        self.stack.append(_Open(tag, self.path(top.path, tag, step), out, top.linked or tag == "a", doubt))
         self.counts[tag] += 1
 
 
 def text_nodes(page: str) -> list[Node]:
-    """Text nodes in page order, without those of elements that hold no article text."""
+    """Text nodes in page order, without those of elements that hold no article text. A doubt counts
+    unless most of the text is in its element."""
     parser, at = _Parser(), 0
     while True:
         token = TOKEN.search(page, at)
         parser.text(page[at : token.start()] if token else page[at:])
         if not token:
-            return parser.nodes
+            break
         at = token.end()
         closing, tag, attributes = token.group(1, 2, 3) if token.group(2) else token.group(4, 5, 6)
         if not tag:
@@ -194,54 +227,76 @@ def text_nodes(page: str) -> list[Node]:
             at = end.end() if end else len(page)
         else:
             parser.start(tag, attributes)
+    total = 0
+    for node in parser.nodes:
+        if not node.linked:
+            chars = len(node.text.strip())
+            total += chars
+            if node.doubt is not None:
+                node.doubt.chars += chars
+    for doubt in reversed(parser.doubts):
+        if doubt.above is not None:
+            doubt.above.chars += doubt.chars
+    for doubt in parser.doubts:
+        spared = doubt.chars >= SPARED_CHARS and 2 * doubt.chars > total
+        doubt.counts = not spared or doubt.above is not None and doubt.above.counts
+    return parser.nodes
+
+
+Key = tuple[Path, bool]
 
 
-def content_paths(nodes: list[Node]) -> set[Path]:
-    """The paths whose smoothed, fused ratio of text and punctuation is not far below the best.
+def content_paths(nodes: list[Node]) -> set[Key]:
+    """The paths whose smoothed, fused ratio of text and punctuation is not far below the best, each
+    apart for nodes that rarely are text.
 
-    With them go the other paths of an article element that holds one, unless they are mostly
-    links, and the headings beside one.
+    Of articles and what is outside them, only those with much of the text found so stay. With them
+    go the other paths of an article element that holds one, unless they are mostly links, and the
+    headings beside one.
     """
-    totals: dict[Path, list[int]] = {}
+    totals: dict[Key, list[int]] = {}
     for node in nodes:
-        sums = totals.setdefault(node.path, [0, 0, 0, 0])
+        sums = totals.setdefault(node.key, [0, 0, 0, 0])
         sums[0] += 1
         sums[3] += len(node.text)
         if not node.linked:
             sums[1] += len(node.text)
             sums[2] += len(PUNCTUATION.findall(node.text))
-    fused = {p: (chars / n * (1 + marks / n)) ** 0.5 for p, (n, chars, marks, _) in totals.items()}
-    raw = [fused[node.path] for node in nodes]
-    means: dict[Path, list[float]] = {}
+    factor = {k: PENALTY if k[1] else 1 for k in totals}
+    fused = {k: factor[k] * (chars / n * (1 + marks / n)) ** 0.5 for k, (n, chars, marks, _) in totals.items()}
+    raw = [fused[node.key] for node in nodes]
+    means: dict[Key, list[float]] = {}
     for i, node in enumerate(nodes):
         near = [(w, raw[i + d]) for d, w in SMOOTHING if 0 <= i + d < len(raw)]
-        means.setdefault(node.path, []).append(sum(w * x for w, x in near) / sum(w for w, _ in near))
-    smooth = {p: sum(x) / len(x) for p, x in means.items()}
+        means.setdefault(node.key, []).append(sum(w * x for w, x in near) / sum(w for w, _ in near))
+    smooth = {k: sum(x) / len(x) for k, x in means.items()}
     best = max(smooth.values(), default=0)
     # a neighbour's score alone does not make a path content: it needs text of its own
-    chosen = {p for p, x in smooth.items() if best and x >= THRESHOLD * best and fused[p] >= THRESHOLD * best}
-    holders = {p.article for p in chosen if p.article is not None}
-    within = {p for p, (_, chars, _, all_) in totals.items() if 2 * chars >= all_ and p.article in holders}
+    chosen = {k for k, x in smooth.items() if best and x >= THRESHOLD * best and fused[k] >= THRESHOLD * best}
+    weights: dict[Path | None, float] = {}
+    for k in chosen:
+        weights[k[0].article] = weights.get(k[0].article, 0) + factor[k] * totals[k][1]
+    kept = {a for a, w in weights.items() if w >= SHARE * max(weights.values())}
+    chosen = {k for k in chosen if k[0].article in kept}
+    within = {k for k, (_, chars, _, all_) in totals.items() if 2 * chars >= all_ and not k[1] and k[0].article in kept - {None}}
     around: set[Path] = set()
-    for p in chosen:
+    for p, _ in chosen:
         above = p.above
         while above is not None and above not in around:
             around.add(above)
             above = above.above
-    return chosen | within | {p for p in totals if p.heading_in in around}
+    return chosen | within | {k for k in totals if not k[1] and k[0].heading_in in around and k[0].article in kept}
 
 
 def main_text(page: str | None) -> str:
     """The article of a page, its blocks joined by an empty line; null and empty pages give ""."""
     nodes = text_nodes(page or "")
     solid = [n for n in nodes if n.text.strip()]
-    in_article = [n for n in solid if n.path.article is not None]
-    solid = in_article or solid
     content = content_paths(solid)
     blocks: dict[int, list[str]] = {}
-    wanted = {n.block for n in solid if n.path in content}
+    wanted = {n.block for n in solid if n.key in content}
     for n in nodes:
-        if n.block in wanted:
+        if n.block in wanted and (not n.key[1] or n.key in content):
             blocks.setdefault(n.block, []).append(n.text)
     return "\n\n".join(" ".join("".join(parts).split()) for _, parts in sorted(blocks.items()))
 
