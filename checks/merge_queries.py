@@ -226,19 +226,35 @@ def landing_roundtrip(spark, sf):
     return landed.select("doc_id", F.md5("text").alias("body"), "lang", "run_id")
 
 
+#: Bytes behind the header of a parquet file that are overwritten to damage it.
+DAMAGED_BYTES = 64
+
+
 def _damaged(spark, path):
-    """Overwrite the pages of a parquet folder's files, their footers left as they are."""
+    """Overwrite a few bytes behind the header of the smallest file of a parquet folder, its footer
+    left as it is. The rest is copied as a stream and never held."""
     fs, folder = storage._path(spark, path)
-    for status in fs.listStatus(folder):
+    files, found = fs.listFiles(folder, True), []
+    while files.hasNext():
+        status = files.next()
         if status.getPath().getName().startswith("part-"):
-            size = status.getLen()
-            stream = fs.open(status.getPath())
-            held = bytes(stream.readNBytes(size))
-            stream.close()
-            footer = int.from_bytes(held[-8:-4], "little") + 8
-            out = fs.create(status.getPath(), True)
-            out.write(bytearray(held[:4] + b"\x55" * (size - footer - 4) + held[-footer:]))
-            out.close()
+            found.append((status.getLen(), status.getPath().toString()))
+    if not found:
+        return
+    size, name = min(found)
+    _, file = storage._path(spark, name)
+    _, copy = storage._path(spark, f"{folder.toString()}/_copy")
+    stream, out = fs.open(file), fs.create(copy, True)
+    stream.seek(size - 8)
+    pages = size - 12 - int.from_bytes(bytes(stream.readNBytes(4)), "little")
+    stream.seek(0)
+    header = bytes(stream.readNBytes(4))
+    junk = b"\x55" * min(DAMAGED_BYTES, pages)
+    out.write(bytearray(header + junk))
+    stream.seek(4 + len(junk))
+    spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 65_536, True)
+    fs.delete(file, False)
+    storage.rename(spark, copy.toString(), name)
 
 
 @query(
@@ -257,11 +273,10 @@ def read_with_fallback(spark, sf):
         if source != "missing":
             rows = bronze.valid_events(documents, run)
             if source == "damaged":
-                rows = rows.withColumn("event_name", F.lit("from damaged table")).coalesce(1)
-                rows.withColumn("event_year", F.lit(1)).drop("event_year").write.parquet(f"{root.events}/event_year=2000")
-                _damaged(spark, f"{root.events}/event_year=2000")
-            else:
-                tables.write_partitioned(rows, root.events, bronze.PARTITION)
+                rows = rows.withColumn("event_name", F.lit("from damaged table"))
+            tables.write_partitioned(rows, root.events, bronze.PARTITION)
+            if source == "damaged":
+                _damaged(spark, root.events)
         found = silver.events_or_raw(spark, root, lambda: documents, run)
         loaded = silver.load_events(spark, storage.new_folder(spark, "silver"), found)
         parts.append(loaded.select(F.lit(source).alias("source"), "event_id", "event_name", "country", "status", "num_fights"))
