@@ -51,13 +51,12 @@ def test_costs_are_balanced():
 
 def test_pieces_hold_all_ids_once(spark):
     rng = random.Random(4)
-    odd = [None, "", " ", "a  b\t\n c", "été　größe 日本 \U0001f600", "<|endoftext|> don't 123", " " * 600_000, "x" * 5000]
+    odd = [None, "", " ", "a  b\t\n c", "été　größe 日本 \U0001f600", "<|endoftext|> don't 123", "a <|endoftext|><|endoftext|>b <|endoftext|", "<|endoftext|>" + " " * 600_000, "x" * 5000]
     texts = odd + [" ".join(rng.choices(["the", "Of.", "naïve", "\n", "x1"], k=rng.choice([5, 900, 9000]))) for _ in range(60)]
     rows = [(None if i == 3 else i // 2, t, i) for i, t in enumerate(texts)]
     docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
     got = packed(docs, *FILES, chunk_tokens=20_000).collect()
     tokenizer = Tokenizer.from_file(FILES[0])
-    tokenizer.encode_special_tokens = True
     expected = defaultdict(list)
     for doc_id, text, _ in rows:
         expected[doc_id].append([*tokenizer.encode(text or "", add_special_tokens=False).ids, 1])

@@ -13,6 +13,7 @@ tokens. Nothing is shuffled, and a task that is run again gives the same sequenc
 from __future__ import annotations
 
 import base64
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -35,7 +36,8 @@ SCHEMA = (
 
 
 class TokenIds:
-    """Ids of the byte-level BPE of the public tokenizer files.
+    """Ids of the byte-level BPE of the public tokenizer files, as the tokenizer file gives them with
+    ``add_special_tokens=False``: its added tokens are found in a text, too.
 
     The rank file of the same vocabulary gives the same ids several times faster; texts that are
     beyond its pattern matcher, such as a million blanks in a row, go to the tokenizer file itself.
@@ -47,14 +49,16 @@ class TokenIds:
 
         with open(ranks, "rb") as lines:
             vocabulary = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        with open(tokenizer, encoding="utf-8") as file:
+            added = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
         self._fast = tiktoken.Encoding(
-            "byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=vocabulary, special_tokens={}
+            "byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=vocabulary, special_tokens=added
         )
         self._file = tokenizer
 
     def __call__(self, text: str) -> np.ndarray:
         try:
-            return self._fast.encode_to_numpy(text, disallowed_special=())
+            return self._fast.encode_to_numpy(text, allowed_special="all")
         except ValueError:
             return np.array(self._slow(text), np.uint32)
 
@@ -62,13 +66,11 @@ class TokenIds:
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        tokenizer = Tokenizer.from_file(self._file)
-        tokenizer.encode_special_tokens = True
-        return tokenizer.encode(text, add_special_tokens=False).ids
+        return Tokenizer.from_file(self._file).encode(text, add_special_tokens=False).ids
 
 
 @lru_cache(1)
-def _token_ids(tokenizer: str, ranks: str) -> TokenIds:
+def token_ids(tokenizer: str, ranks: str) -> TokenIds:
     return TokenIds(tokenizer, ranks)
 
 
@@ -121,7 +123,7 @@ def packed(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _token_ids(tokenizer, ranks)
+        encode = token_ids(tokenizer, ranks)
         base, tokens = TaskContext.get().partitionId() << 40, 0
         doc_ids, ids, out = [], [], []
 
