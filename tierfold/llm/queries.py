@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tierfold.llm.bin_slack import slack_packed
+from tierfold.llm.centroids import CLUSTERS_SQL, centroid_clusters
 from tierfold.llm.chat import CHAT_SQL, conversation_digests, format_conversations, messages_from_turns
 from tierfold.llm.common import table
 from tierfold.llm.embedding_dedup import embedding_dedup
+from tierfold.llm.hard_negatives import NEGATIVES_SQL, hard_negatives, relabelled
 from tierfold.llm.html_text import extract_text
 from tierfold.llm.line_dedup import LINE_SQL, line_dedup
 from tierfold.llm.mixing import MIX_SQL, mix
@@ -92,3 +96,18 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_embedding_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query("op11_hard_negatives", NEGATIVES_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(relabelled(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 100 == 0)
+
+
+@query("op12_centroid_clusters", CLUSTERS_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_best_fit_packing")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return slack_packed(table(spark, sf_dir, "documents"), *tokenizer_files(), with_ids=False).drop("ids")
