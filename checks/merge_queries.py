@@ -122,6 +122,30 @@ def watermark_resolve(spark, sf):
     )
 
 
+@query(
+    "watermark_survives",
+    """SELECT 'whole' AS state, strftime(CAST(max(ts) AS DATE), '%Y-%m-%d') AS last_event_date FROM events
+    UNION ALL SELECT 'cut short', strftime(CAST(max(ts) AS DATE), '%Y-%m-%d') FROM events
+    UNION ALL SELECT 'next', strftime(CAST(max(o_orderdate) AS DATE), '%Y-%m-%d') FROM orders""",
+)
+def watermark_survives(spark, sf):
+    """A mark, then a write of the next one that ends before it is complete, then a whole one."""
+    events, orders = table(spark, sf, "events"), table(spark, sf, "orders")
+    state, marks = storage.new_folder(spark, "watermark"), []
+
+    def resolve(name):
+        mark = windowing.resolve_watermark((tables.load_state(spark, state), "last_event_date")).first()[0]
+        marks.append((name, mark))
+
+    tables.save_watermark(windowing.advance_watermark(events, "ts"), state)
+    resolve("whole")
+    storage.write_text(spark, f"{state}/{tables.GENERATION}{2:012d}/part-00000.parquet", "PAR1")
+    resolve("cut short")
+    tables.save_watermark(windowing.advance_watermark(orders, "o_orderdate"), state)
+    resolve("next")
+    return spark.createDataFrame(marks, "state STRING, last_event_date DATE")
+
+
 @query(
     "incremental_window",
     f"""SELECT event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM events
@@ -548,6 +572,62 @@ def merge_string_partitions(spark, sf):
     return tables.merge_partitioned(spark, path, moved, ["c_custkey"], "p")
 
 
+class Stopped(Exception):
+    """A merge that ended at one of its steps."""
+
+
+def _stop_at(step, time):
+    """A step function that ends a merge the n-th time it comes to this step."""
+    met = []
+
+    def check(name):
+        met.extend([name] * (name == step))
+        if len(met) == time:
+            raise Stopped(f"{step} {time}")
+
+    return check
+
+
+#: Steps at which merges are stopped; before the third of them the table has not changed.
+STOPS = [("write", 1), ("plan", 1), ("move", 2), ("clean", 1), ("forget", 1)]
+
+
+@query(
+    "merge_recovers",
+    f"""SELECT stop, seen, c_custkey,
+      CASE WHEN c_custkey % 7 > last THEN 'p' || c_custkey % 7 WHEN c_custkey % 2 = 0 THEN 'a' ELSE 'b' END AS p,
+      CASE WHEN c_custkey % 7 > last THEN c_name ELSE 'batch ' || c_custkey % 7 END AS name
+    FROM customer, (
+      SELECT stop, seen, CASE WHEN seen = 'stopped' AND stop < 2 THEN stop - 1 ELSE stop END AS last
+      FROM (SELECT CAST(unnest(range({len(STOPS)})) AS INTEGER) AS stop), (VALUES ('stopped'), ('again')) v(seen))""",
+)
+def merge_recovers(spark, sf):
+    """Batches that empty a partition into two others each. Their merges are stopped at one step
+    after the other, the table is read, and the batch is merged again."""
+    k = F.col("c_custkey")
+    rows = table(spark, sf, "customer").select(
+        k, F.concat(F.lit("p"), (k % 7).cast("string")).alias("p"), F.col("c_name").alias("name")
+    )
+    path, states = storage.new_folder(spark, "journal"), []
+    tables.merge_partitioned(spark, path, rows, ["c_custkey"], "p")
+
+    def keep(state, stop, seen):
+        copy = storage.new_folder(spark, "journal-state")
+        state.write.parquet(copy)
+        states.append(spark.read.parquet(copy).select(F.lit(stop).alias("stop"), F.lit(seen).alias("seen"), "c_custkey", "p", "name"))
+
+    for stop, (step, time) in enumerate(STOPS):
+        batch = rows.where(k % 7 == stop).withColumns(
+            {"p": F.when(k % 2 == 0, "a").otherwise("b"), "name": F.lit(f"batch {stop}")}
+        )
+        try:
+            tables.merge_partitioned(spark, path, batch, ["c_custkey"], "p", step=_stop_at(step, time))
+        except Stopped:
+            keep(tables.stored(spark, path, rows, "p"), stop, "stopped")
+        keep(tables.merge_partitioned(spark, path, batch, ["c_custkey"], "p"), stop, "again")
+    return reduce(lambda x, y: x.unionAll(y), states)
+
+
 def _profile_versions(spark, sf, *versions):
     """(athlete_id, loaded_at, payload) of customers whose names carry a version."""
     k, name = F.col("c_custkey"), F.col("c_name")
@@ -608,13 +688,15 @@ def bronze_profiles(spark, sf):
       FROM customer WHERE c_custkey % 4 IN (1, 2)""",
 )
 def rejected_rows(spark, sf):
-    """What the gates hold back is stored; loading the same run again stores it once."""
+    """What the gates hold back is stored, by run. A run that is loaded again without its faults keeps
+    none of them."""
     root = bronze.Bronze(storage.new_folder(spark, "bronze"))
     k, payload = F.col("event_id"), F.col("payload")
     nameless = F.replace(payload, F.lit('"id":'), F.lit('"no_id":'))
-    documents = event_documents(spark, sf).withColumn("payload", F.when(k % 7 == 0, nameless).otherwise(payload))
-    for _ in range(2):
-        bronze.load_bronze(spark, root, documents, bronze.Run("20250101T000000Z", date(2025, 1, 1)))
+    documents = event_documents(spark, sf)
+    faulty = documents.withColumn("payload", F.when(k % 7 == 0, nameless).otherwise(payload))
+    for run_id, loaded in (("20250101T000000Z", faulty), ("20250102T000000Z", faulty), ("20250102T000000Z", documents)):
+        bronze.load_bronze(spark, root, loaded, bronze.Run(run_id, date(2025, 1, 1)))
     _two_profile_loads(spark, sf, root)
     none = F.lit(None).cast("string")
     held = [

@@ -93,16 +93,6 @@ def test_first_load_may_be_empty(spark, tmp_path):
     assert bag(tables.merge_partitioned(spark, path, s, KEYS, "year")) == sorted(SOURCE, key=str)
 
 
-def test_merge_table_survives_a_cut_short_swap(spark, tmp_path):
-    path = str(tmp_path / "table")
-    t, s = spark.createDataFrame(TARGET, SCHEMA), spark.createDataFrame(SOURCE, SCHEMA)
-    tables.merge_table(spark, path, t, KEYS)
-    storage.rename(spark, path, f"{path}.previous")
-    table = tables.merge_table(spark, path, s, KEYS, U.VERSION, ORDER)
-    assert bag(table) == merged(TARGET, SOURCE, U.VERSION)
-    assert not storage.exists(spark, f"{path}.previous")
-
-
 def test_batches_are_aligned_to_the_target(spark):
     t = spark.createDataFrame([(1, "a", "x")], "k INT, name STRING, venue STRING")
     s = spark.createDataFrame([(2, "b")], "k BIGINT, name STRING")

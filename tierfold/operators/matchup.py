@@ -5,7 +5,8 @@ one name may belong to several entities. Instead of producing every entity combi
 counted by name first, and each name carries its distinct attribute values with the number of
 entities behind them; pairs carry a ``weight``. Sums of weights equal the counts of the fully
 expanded pairs. Attributes are attached to the counted pairs of names, one side after the other
-with counts in between, so namesakes multiply counts and not records.
+with counts in between, so namesakes multiply counts and not records. A pair is carried once, A
+against B with both results, and turned round when nothing is left but attribute values.
 """
 
 from __future__ import annotations
@@ -95,25 +96,49 @@ def _counted(rows: DataFrame, *by: str) -> DataFrame:
     return rows.groupBy(*by).agg(F.sum("weight").alias("weight"))
 
 
+@dataclass(frozen=True)
+class KeySplit:
+    """Records whose key is theirs alone, and records that share theirs."""
+
+    own: DataFrame
+    shared: DataFrame
+
+
+RESULTS = ["is_winner", "opp_winner"]
+
+
+def _one() -> Column:
+    return F.lit(1).cast("long")
+
+
 def name_pairs(bouts: DataFrame, dims: Sequence[str]) -> DataFrame:
-    """(*dims, name, opp_name, is_winner, weight): each record's own A and B in both orientations,
-    counted."""
-    a, b = F.lower("fighter_a_name"), F.lower("fighter_b_name")
+    """(*dims, name, opp_name, is_winner, opp_winner, weight): each record's own A and B, counted
+    in the one order."""
+    a, b = F.lower("fighter_a_name").alias("name"), F.lower("fighter_b_name").alias("opp_name")
+    won = F.col("fighter_a_winner").alias("is_winner"), F.col("fighter_b_winner").alias("opp_winner")
+    rows = bouts.select(*dims, a, b, *won, _one().alias("weight"))
+    return _counted(rows, *dims, "name", "opp_name", *RESULTS)
 
-    def oriented(me: Column, you: Column, won: str) -> Column:
-        return F.struct(me.alias("name"), you.alias("opp_name"), F.col(won).alias("is_winner"))
 
-    both = F.array(oriented(a, b, "fighter_a_winner"), oriented(b, a, "fighter_b_winner"))
-    rows = bouts.select(*dims, F.lit(1).cast("long").alias("weight"), F.inline(both))
-    return _counted(rows, *dims, "name", "opp_name", "is_winner")
+def _both_ways(
+    rows: DataFrame, dims: Sequence[str], mine: Sequence[Column], theirs: Sequence[Column]
+) -> DataFrame:
+    """Each row as a row of its own competitor and as one of the opponent's."""
+    won = [F.col(c).alias("is_winner") for c in RESULTS]
+    return rows.select(*dims, "weight", F.inline(F.array(F.struct(*mine, won[0]), F.struct(*theirs, won[1]))))
 
 
 def attributed(pairs: DataFrame, index: DataFrame, attrs: Sequence[str], dims: Sequence[str]) -> DataFrame:
-    """Counted pairs of names as counted pairs of attribute values."""
-    theirs = [f"opp_{a}" for a in attrs]
-    mine = _counted(_resolved(pairs, index, "name", attrs, ""), *dims, *attrs, "opp_name", "is_winner")
+    """Counted pairs of names as weighted pairs of attribute values, in both orders."""
+    mine = _counted(_resolved(pairs, index, "name", attrs, ""), *dims, *attrs, "opp_name", *RESULTS)
     both = _resolved(mine, index, "opp_name", attrs, "opp_")
-    return _counted(both, *dims, *attrs, *theirs, "is_winner")
+
+    def columns(me: str, you: str) -> list[Column]:
+        return [*(F.col(f"{me}{a}").alias(a) for a in attrs), *(F.col(f"{you}{a}").alias(f"opp_{a}") for a in attrs)]
+
+    return _both_ways(both, dims, columns("", "opp_"), columns("opp_", "")).select(
+        *dims, *attrs, *(f"opp_{a}" for a in attrs), "is_winner", "weight"
+    )
 
 
 def pair_opponents(
@@ -158,28 +183,36 @@ def _side_values(
 ) -> DataFrame:
     """(key, *dims, side, is_winner, *attrs, weight): the competitors of each key, counted."""
     rows = unpivot_sides(bouts, [key, *dims], FIGHTER_SIDES).select(
-        key, *dims, "side", "is_winner", F.lower("athlete_name").alias("name"),
-        F.lit(1).cast("long").alias("weight"),
+        key, *dims, "side", "is_winner", F.lower("athlete_name").alias("name"), _one().alias("weight"),
     )
     found = _resolved(_counted(rows, key, "side", *dims, "name", "is_winner"), index, "name", attrs, "")
     return _counted(found, key, *dims, "side", "is_winner", *attrs)
 
 
-def pairs_across_records(
+def _facing(
     bouts: DataFrame, index: DataFrame, attrs: Sequence[str], dims: Sequence[str], key: str
 ) -> DataFrame:
-    """Pairs of all A rows with all B rows of a key, on summary rows of attribute values."""
-    found = _side_values(bouts, index, attrs, dims, key)
-    paired = pair_opponents(found, key, "side", [*dims, *attrs, "is_winner"], attrs, "weight")
-    return _counted(paired, *dims, *attrs, *(f"opp_{a}" for a in attrs), "is_winner")
+    """(*dims, *attrs, is_winner, weight, values): the competitors of each key, counted, each with
+    the counted attribute values of all its opponents, whichever records they are in.
 
+    A key is one row of its distinct values, however many records share it.
+    """
+    sides = _side_values(bouts, index, attrs, dims, key)
+    every = F.collect_list(F.struct("side", *dims, *attrs, "is_winner", "weight")).alias("every")
+    rows = sides.groupBy(key).agg(every).select(F.col("every"), F.explode("every").alias("own"))
+    others = F.filter("every", lambda x: x["side"] != F.col("own.side"))
+    values = F.transform(others, lambda x: F.struct(*(x[a].alias(a) for a in attrs), x["weight"].alias("copies")))
+    return rows.select(*(F.col(f"own.{c}") for c in [*dims, *attrs, "is_winner", "weight"]), values.alias("values"))
 
-@dataclass(frozen=True)
-class KeySplit:
-    """Records whose key is theirs alone, and records that share theirs."""
 
-    own: DataFrame
-    shared: DataFrame
+def pairs_across_records(
+    bouts: DataFrame, index: DataFrame, attrs: Sequence[str], dims: Sequence[str], key: str
+) -> DataFrame:
+    """Pairs of all A rows with all B rows of a key, as weighted rows of attribute values."""
+    found = _facing(bouts, index, attrs, dims, key)
+    long = found.select(*dims, *attrs, "is_winner", "weight", F.explode("values").alias("opp"))
+    theirs = [F.col(f"opp.{a}").alias(f"opp_{a}") for a in attrs]
+    return long.select(*dims, *attrs, *theirs, "is_winner", (F.col("weight") * F.col("opp.copies")).alias("weight"))
 
 
 def split_by_key(bouts: DataFrame, key: str = "competition_id") -> KeySplit:
@@ -192,6 +225,10 @@ def split_by_key(bouts: DataFrame, key: str = "competition_id") -> KeySplit:
     )
 
 
+def _split(bouts: DataFrame | KeySplit, key: str) -> KeySplit:
+    return bouts if isinstance(bouts, KeySplit) else split_by_key(bouts, key)
+
+
 def weighted_pairs(
     bouts: DataFrame | KeySplit,
     index: DataFrame,
@@ -199,65 +236,89 @@ def weighted_pairs(
     dims: Sequence[str] = (),
     key: str = "competition_id",
 ) -> DataFrame:
-    """Every competitor against every opponent of the same key, as counted rows of attribute values.
+    """Every competitor against every opponent of the same key, as weighted rows of attribute values.
 
-    Where a key belongs to one record, its pair is already in that record and is counted by names.
-    Only records that share a key need the pairing join.
+    A record's own pair is in the record and is counted by names. Records that share a key give all
+    pairs of that key instead, by a join of summary rows.
     """
-    split = bouts if isinstance(bouts, KeySplit) else split_by_key(bouts, key)
+    split = _split(bouts, key)
     own = attributed(name_pairs(split.own, dims), index, attrs, dims)
     return own.unionByName(pairs_across_records(split.shared, index, attrs, dims, key))
 
 
+#: Whole numbers to be binned, as a struct, from the own and the opponent's attributes.
+Measures = Callable[[Column, Column], Column]
+
+
+def _low(value: Column, edges: Sequence[int]) -> Column:
+    """Lower edge of the bin of a clipped value, as one short expression: inside lambdas, a chain of
+    conditions costs more to plan than to run."""
+    return F.array_max(F.filter(F.array(*map(F.lit, edges[:-1])), lambda e: e <= value))
+
+
 def _binned(
-    rows: DataFrame, attrs: Sequence[str], dims: Sequence[str], bins: Callable[[Column], Column]
+    rows: DataFrame, attrs: Sequence[str], dims: Sequence[str], measures: Measures, edges: dict[str, Sequence[int]]
 ) -> DataFrame:
-    """Rows that carry their opponents' values as one array, as counted rows of bins.
+    """Rows that carry their opponents' values as one array, as counted rows of bins, a bin being
+    its lower edge. Rows that are ``mirrored`` also tell what their opponents see.
 
     The array is binned and counted inside the row, so values multiply no rows.
     """
+    me, sides = F.struct(*attrs), ["mine", "theirs"]
+
+    def measured(v: Column) -> Column:
+        found = F.struct(measures(me, v).alias("mine"), measures(v, me).alias("theirs"))
+        return F.struct(found.alias("bins"), v["copies"].alias("copies"))
+
+    def low(x: Column) -> Column:
+        found = (F.struct(*(_low(x["bins"][s][c], e).alias(c) for c, e in edges.items())).alias(s) for s in sides)
+        return F.struct(F.struct(*found).alias("bins"), x["copies"].alias("copies"))
+
     def counts(binned: Column) -> Column:
         copies = lambda b: F.aggregate(
             F.filter(binned, lambda x: x["bins"].eqNullSafe(b)), F.lit(0).cast("long"), lambda n, x: n + x["copies"]
         )
         distinct = F.array_distinct(F.transform(binned, lambda x: x["bins"]))
-        return F.transform(distinct, lambda b: F.struct(b.alias("bins"), copies(b).alias("copies")))
+        each = F.transform(distinct, lambda b: F.struct(b.alias("bins"), copies(b).alias("copies")))
+        return F.when(F.size(binned) == 1, binned).otherwise(each)
 
-    found = F.transform("values", lambda v: F.struct(bins(v).alias("bins"), v["copies"].alias("copies")))
     # through a one-element array, so that the bins are found once
-    counted = F.get(F.transform(F.array(found), counts), F.lit(0))
-    long = rows.select(*dims, "is_winner", "weight", F.inline(counted))
-    weighed = long.select(*dims, "is_winner", "bins.*", (F.col("weight") * F.col("copies")).alias("weight"))
-    return _counted(weighed, *(c for c in weighed.columns if c != "weight"))
+    counted = F.get(F.transform(F.array(F.transform(F.transform("values", measured), low)), counts), F.lit(0))
+    long = rows.select(*dims, *RESULTS, "mirrored", "weight", F.inline(counted))
+    weight = F.col("weight") * F.col("copies")
+    ways = F.array(
+        F.struct(F.col("is_winner").alias("won"), F.col("bins.mine").alias("bins"), weight.alias("n")),
+        F.struct(F.col("opp_winner").alias("won"), F.col("bins.theirs").alias("bins"), F.when(F.col("mirrored"), weight).alias("n")),
+    )
+    each = long.select(*dims, F.inline(ways)).where("n IS NOT NULL")
+    each = each.select(*dims, F.col("won").alias("is_winner"), "bins.*", F.col("n").alias("weight"))
+    return _counted(each, *dims, *edges, "is_winner")
 
 
 def binned_pairs(
     bouts: DataFrame | KeySplit,
     index: DataFrame,
     attrs: Sequence[str],
-    bins: Callable[[Column], Column],
+    measures: Measures,
+    edges: dict[str, Sequence[int]],
     dims: Sequence[str] = (),
     key: str = "competition_id",
 ) -> DataFrame:
     """Pairs as counted rows of bins of both sides' values, for attributes that have many.
 
-    ``bins`` gives a struct from the opponent's attributes, with the own ones as columns.
+    ``edges`` gives the bins of each field of ``measures``; a bin is its lower edge.
     """
-    split = bouts if isinstance(bouts, KeySplit) else split_by_key(bouts, key)
+    split = _split(bouts, key)
     kinds = index.schema
-    nobody = F.array(
-        F.struct(*(F.lit(None).cast(kinds[a].dataType).alias(a) for a in attrs), F.lit(1).cast("long").alias("copies"))
-    )
+    nobody = F.array(F.struct(*(F.lit(None).cast(kinds[a].dataType).alias(a) for a in attrs), _one().alias("copies")))
     held = F.collect_list(F.struct(*attrs, "copies")).alias("values")
     mine = _resolved(name_pairs(split.own, dims), index, "name", attrs, "")
-    mine = _counted(mine, *dims, *attrs, "opp_name", "is_winner")
+    mine = _counted(mine, *dims, *attrs, "opp_name", *RESULTS)
     own = _named(mine, "opp_name", index.groupBy("name").agg(held))
-    own = own.withColumn("values", F.coalesce("values", nobody)).drop("opp_name")
-    sides = _side_values(split.shared, index, attrs, dims, key)
-    theirs = _counted(sides, key, "side", *attrs).withColumnRenamed("weight", "copies")
-    theirs = theirs.groupBy(F.col(key).alias("_key"), F.col("side").alias("_side")).agg(held)
-    shared = sides.join(theirs, (F.col(key) == F.col("_key")) & (F.col("side") != F.col("_side")))
-    return _binned(own.unionByName(shared.select(own.columns)), attrs, dims, bins)
+    own = own.withColumns({"values": F.coalesce("values", nobody), "mirrored": F.lit(True)}).drop("opp_name")
+    shared = _facing(split.shared, index, attrs, dims, key)
+    shared = shared.withColumns({"opp_winner": F.lit(None).cast("boolean"), "mirrored": F.lit(False)})
+    return _binned(own.unionByName(shared.select(own.columns)), attrs, dims, measures, edges)
 
 
 def _wins(flag: str, weight: str | None) -> Column:

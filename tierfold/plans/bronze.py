@@ -139,18 +139,29 @@ def _tiebreak() -> list[Column]:
     return [F.xxhash64("raw_payload")]
 
 
+def store_rejects(spark: SparkSession, path: str, rejected: DataFrame, run: Run, count: int) -> None:
+    """Make these the rejects of the run."""
+    if count or storage.exists(spark, path):
+        tables.replace_partitions(spark, path, rejected, "run_id", [run.run_id])
+
+
 def load_rows(
-    spark: SparkSession, path: str, rows: DataFrame, keys: list[str], rejects: str | None = None
+    spark: SparkSession,
+    path: str,
+    rows: DataFrame,
+    keys: list[str],
+    rejects: str | None = None,
+    run: Run | None = None,
 ) -> tuple[DataFrame, Row]:
     """Gate, deduplicate and merge typed rows; returns the table and the counts of valid and
-    rejected rows. The documents are parsed once, into a staged copy. Rejected rows are stored
-    below ``rejects``, by run; running a load again replaces its own."""
+    rejected rows. The documents are parsed once, into a staged copy. Rejected rows of ``run`` are
+    stored below ``rejects``; running a load again replaces its own, by none if it has none now."""
     required = [*keys, "event_date", PARTITION]
     with storage.staged(rows, "typed") as typed:
         counts = reject_counts(typed, required).first()
         valid, rejected = split_rejects(typed, required)
-        if rejects and counts["rejected"]:
-            tables.write_partitioned(rejected, rejects, "run_id")
+        if rejects:
+            store_rejects(spark, rejects, rejected, run, counts["rejected"])
         batch = latest_per_key(valid, keys, ["event_date"], _tiebreak())
         table = tables.merge_partitioned(spark, path, batch, keys, PARTITION)
     return table, counts
@@ -173,10 +184,10 @@ def load_bronze(
         tables.reset(spark, bronze.events, bronze.bouts, bronze.watermark)
     try:
         events, e = load_rows(
-            spark, bronze.events, bronze_events(documents, run), EVENT_KEYS, bronze.rejects("events")
+            spark, bronze.events, bronze_events(documents, run), EVENT_KEYS, bronze.rejects("events"), run
         )
         bouts, b = load_rows(
-            spark, bronze.bouts, bronze_bouts(documents, run, refs), BOUT_KEYS, bronze.rejects("bouts")
+            spark, bronze.bouts, bronze_bouts(documents, run, refs), BOUT_KEYS, bronze.rejects("bouts"), run
         )
         loaded = events.where(F.col("run_id") == run.run_id)
         tables.save_watermark(advance_watermark(loaded, "event_date"), bronze.watermark)
@@ -217,8 +228,7 @@ def load_profiles(
             run,
         ).unionByName(typed.where("failed").withColumn("reason", F.lit("failed")).select(*_columns(PROFILE_REJECTS_DDL)))
         with storage.staged(rejected, "rejected") as held:
-            if not held.isEmpty():
-                tables.write_partitioned(held, bronze.rejects("profiles"), "run_id")
+            store_rejects(spark, bronze.rejects("profiles"), held, run, held.count())
         latest = latest_per_key(typed, PROFILE_KEYS, [~F.col("failed"), *order], _tiebreak())
         good, failed = (latest.where(c).select(*_columns(PROFILES_DDL)) for c in ("NOT failed", "failed"))
         tables.merge_table(spark, bronze.profiles, good, PROFILE_KEYS)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierfold.functions.numbers import bin_label, bin_low, clip, safe_ratio
+from tierfold.functions.numbers import bin_label, clip, safe_ratio
 from tierfold.functions.text import (
     DEFAULT_STYLE,
     STYLE_BUCKETS,
@@ -113,19 +113,23 @@ def advantage_pairs(bouts: Bouts, profiles: DataFrame) -> DataFrame:
     is known."""
     body = ["height_cm", "reach_cm"]
 
-    def bins(opponent: Column) -> Column:
-        height = F.col("height_cm") - opponent["height_cm"]
-        reach = F.col("reach_cm") - opponent["reach_cm"]
-        height = clip(height, HEIGHT_EDGES[0], HEIGHT_EDGES[-1])
-        reach = clip(reach, REACH_EDGES[0], REACH_EDGES[-1])
+    def advantages(own: Column, opponent: Column) -> Column:
+        height = own["height_cm"] - opponent["height_cm"]
+        reach = own["reach_cm"] - opponent["reach_cm"]
         return F.struct(
-            bin_label(height, HEIGHT_EDGES).alias("height_adv_bin"),
-            bin_low(height, HEIGHT_EDGES).alias("height_adv_low"),
-            bin_label(reach, REACH_EDGES).alias("reach_adv_bin"),
+            clip(height, HEIGHT_EDGES[0], HEIGHT_EDGES[-1]).alias("height_adv_low"),
+            clip(reach, REACH_EDGES[0], REACH_EDGES[-1]).alias("reach_adv_low"),
         )
 
-    pairs = binned_pairs(bouts, name_index(profiles, PROFILE_NAMES, body), body, bins)
-    return pairs.where("height_adv_bin IS NOT NULL")
+    edges = {"height_adv_low": HEIGHT_EDGES, "reach_adv_low": REACH_EDGES}
+    index = name_index(profiles, PROFILE_NAMES, body)
+    pairs = binned_pairs(bouts, index, body, advantages, edges).where("height_adv_low IS NOT NULL")
+    return pairs.withColumns(
+        {
+            "height_adv_bin": bin_label(F.col("height_adv_low"), HEIGHT_EDGES),
+            "reach_adv_bin": bin_label(F.col("reach_adv_low"), REACH_EDGES),
+        }
+    )
 
 
 def height_bins(bouts: Bouts, profiles: DataFrame) -> DataFrame:

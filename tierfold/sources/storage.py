@@ -58,6 +58,60 @@ def rename(spark: SparkSession, path: str, new_path: str) -> None:
         raise OSError(f"could not rename {path} to {new_path}")
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _path(spark, path)
+    fs.mkdirs(p)
+
+
+def move(spark: SparkSession, path: str, new_path: str) -> None:
+    """Rename a file, or find that this has been done."""
+    fs, p = _path(spark, path)
+    new = spark._jvm.org.apache.hadoop.fs.Path(new_path)
+    if fs.exists(p):
+        fs.delete(new, False)  # left by a file system that copies to rename
+        if fs.rename(p, new):
+            return
+    if not fs.exists(new):
+        raise OSError(f"could not rename {path} to {new_path}")
+
+
+def data_files(spark: SparkSession, path: str, deep: bool = True) -> list[str]:
+    """Paths below a folder of the files that Spark reads: none whose name starts with _ or a dot."""
+    fs, folder = _path(spark, path)
+    if not fs.exists(folder):
+        return []
+    root, files, found = fs.makeQualified(folder).toString().rstrip("/") + "/", fs.listFiles(folder, deep), []
+    while files.hasNext():
+        file = files.next().getPath()
+        if not file.getName().startswith(("_", ".")):
+            found.append(file.toString().removeprefix(root))
+    return sorted(found)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _path(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _path(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it is missing."""
+    fs, p = _path(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+
+
 @contextmanager
 def staged(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
     """A result written below the shared root, so that it is computed once and outlives the

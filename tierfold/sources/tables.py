@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
 from tierfold.operators.upsert import ALWAYS, align, applied_rows, check_unique, upsert
-from tierfold.sources import storage
+from tierfold.sources import journal, storage
 
 # Columns of the run log and of the watermark state.
 RUN_LOG_SCHEMA = (
@@ -21,6 +21,9 @@ RUN_LOG_SCHEMA = (
 )
 WATERMARK_SCHEMA = "last_event_date DATE, updated_at TIMESTAMP"
 
+#: Folder names of the generations of a state, before their number.
+GENERATION = "generation-"
+
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     where = f" LOCATION '{location}'" if location else ""
@@ -49,8 +52,9 @@ def stored(
 
     The type of ``partition`` is taken from ``like``: guessed from the folder names, the text
     ``007`` would come back as a number. A folder without files, after an empty load, has the
-    columns of ``like``.
+    columns of ``like``. A merge that was cut short is finished first.
     """
+    journal.recover(spark, path)
     declared = [f for f in like.schema if f.name == partition]
     try:
         files = spark.read.option("recursiveFileLookup", "true").parquet(path).schema
@@ -69,61 +73,56 @@ def merge_partitioned(
     partition: str,
     when: str = ALWAYS,
     order: Sequence[str] = (),
+    step: journal.Step = journal._nothing,
 ) -> DataFrame:
     """Upsert into a partitioned parquet folder, rewriting only the partitions it touches.
 
     Touched are the partitions the batch goes to and those its keys are in now, so a row that
-    moves also leaves its old partition. Spark stages the new files and swaps them in when the
-    whole job has succeeded; running the same batch again gives the same table. The batch is
-    staged, so it is computed once; a key that it holds twice raises. Partition values are handled
-    one by one: the column must have few, such as years or days.
+    moves also leaves its old partition. They are replaced through a journal: a merge that is cut
+    short has either changed nothing or is finished by the next reader or merge, and running the
+    same batch again gives the same table. The batch is staged, so it is computed once; a key that
+    it holds twice raises. Partition values are handled one by one: the column must have few, such
+    as years or days.
     """
+    journal.recover(spark, path)
     if not storage.exists(spark, path):
         with storage.staged(source, "batch") as batch:
             check_unique(batch, keys)
-            write_partitioned(batch, path, partition)
+            replace_partitions(spark, path, batch, partition, step=step)
         return stored(spark, path, source, partition)
     target = stored(spark, path, source, partition)
     with storage.staged(align(source, target), "batch") as batch:
         check_unique(batch, keys)
         found = applied_rows(batch, target, keys, order, when, [partition])
         with storage.staged(found, "applied") as applied:
-            _replace_partitions(spark, path, target, applied, keys, partition)
-    spark.catalog.refreshByPath(path)
+            old = f"_old_{partition}"
+            moves = applied.select(partition, old, "_known").distinct().collect()
+            touched = {m[partition] for m in moves} | {m[old] for m in moves if m["_known"]}
+            if touched:
+                listed = F.col(partition).isin([v for v in touched if v is not None])
+                within = target.where(listed | F.col(partition).isNull() if None in touched else listed)
+                kept = within.join(applied.select(*keys), list(keys), "left_anti")
+                rows = kept.select(*target.columns).unionByName(applied.select(*target.columns))
+                replace_partitions(spark, path, rows, partition, touched, step)
     return stored(spark, path, source, partition)
 
 
-def _replace_partitions(
+def replace_partitions(
     spark: SparkSession,
     path: str,
-    target: DataFrame,
-    applied: DataFrame,
-    keys: Sequence[str],
+    rows: DataFrame,
     partition: str,
+    values: Iterable = (),
+    step: journal.Step = journal._nothing,
 ) -> None:
-    old = f"_old_{partition}"
-    moves = applied.select(partition, old, "_known").distinct().collect()
-    if not moves:
-        return
-    goes_to = {m[partition] for m in moves}
-    left_behind = {m[old] for m in moves if m["_known"]} - goes_to
-
-    def within(values: set) -> DataFrame:
-        listed = F.col(partition).isin([v for v in values if v is not None])
-        return target.where(listed | F.col(partition).isNull() if None in values else listed)
-
-    emptied = set()
-    if left_behind:
-        staying = within(left_behind).join(applied.select(*keys), list(keys), "left_anti")
-        emptied = left_behind - {r[0] for r in staying.select(partition).distinct().collect()}
-    kept = within(goes_to | left_behind).join(applied.select(*keys), list(keys), "left_anti")
-    rows = kept.select(*target.columns).unionByName(applied.select(*target.columns))
-    write_partitioned(rows, path, partition)
-    for folder in _folders(spark, partition, emptied, target.schema[partition].dataType):
-        storage.remove(spark, f"{path}/{folder}")
+    """Make ``rows`` the contents of the partitions they belong to and of those listed in
+    ``values``: one of these without rows goes. What is cut short is finished by the next reader."""
+    gathered = rows.hint("rebalance", F.col(partition))
+    folders = _folders(spark, partition, values, rows.schema[partition].dataType)
+    journal.replace(spark, path, gathered, partition, folders, step)
 
 
-def _folders(spark: SparkSession, partition: str, values: set, kind: DataType) -> list[str]:
+def _folders(spark: SparkSession, partition: str, values: Iterable, kind: DataType) -> list[str]:
     """Folder names of partition values, as Spark writes them."""
     rows = spark.createDataFrame([(v,) for v in values], StructType([StructField("v", kind)]))
     named = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
@@ -138,32 +137,26 @@ def merge_table(
     keys: Sequence[str],
     when: str = ALWAYS,
     order: Sequence[str] = (),
+    step: journal.Step = journal._nothing,
 ) -> DataFrame:
-    """Upsert into an unpartitioned parquet folder: write the next version beside it, then swap.
+    """Upsert into an unpartitioned parquet folder, all of which is replaced through a journal.
 
     The batch is staged; a key that it holds twice raises.
     """
-    following, previous = f"{path}.next", f"{path}.previous"
-    if not storage.exists(spark, path) and storage.exists(spark, previous):
-        storage.rename(spark, previous, path)  # a swap was cut short
+    journal.recover(spark, path)
     with storage.staged(source, "batch") as batch:
         check_unique(batch, keys)
-        if not storage.exists(spark, path):
-            batch.write.parquet(path)
-            return stored(spark, path, source)
-        target = stored(spark, path, source)
-        upsert(target, batch, keys, when, order).write.mode("overwrite").parquet(following)
-    storage.remove(spark, previous)
-    storage.rename(spark, path, previous)
-    storage.rename(spark, following, path)
-    storage.remove(spark, previous)
-    spark.catalog.refreshByPath(path)
+        merged = batch
+        if storage.exists(spark, path):
+            merged = upsert(stored(spark, path, source), batch, keys, when, order)
+        journal.replace(spark, path, merged, step=step)
     return stored(spark, path, source)
 
 
 def reset(spark: SparkSession, *paths: str) -> None:
     """Backfill reset: forget tables and watermark so that the next load starts afresh."""
     for path in paths:
+        journal.forget(spark, path)
         storage.remove(spark, path)
 
 
@@ -180,21 +173,35 @@ def publish_view(spark: SparkSession, view: str, table: str) -> DataFrame:
     return spark.table(view)
 
 
+def _generations(spark: SparkSession, path: str) -> list[str]:
+    """Complete generations of a state folder, oldest first: those Spark's writer has finished."""
+    named = [f for f in storage.subfolders(spark, path) if f.startswith(GENERATION)]
+    return [f"{path}/{f}" for f in named if storage.exists(spark, f"{path}/{f}/_SUCCESS")]
+
+
 def save_watermark(mark: DataFrame, path: str) -> None:
-    """Replace the one-row state table; an empty mark leaves it as it is."""
+    """Add the mark to the state folder as its next generation; an empty mark adds none.
+
+    The last complete generation counts, so a write that is cut short leaves the mark before it.
+    The one before the last is kept, older ones go.
+    """
     row = mark.first()
     if row is None:
         return
-    state = mark.sparkSession.createDataFrame(
-        [(row["last_event_date"], datetime.now())], WATERMARK_SCHEMA
-    )
-    state.coalesce(1).write.mode("overwrite").parquet(path)
+    spark = mark.sparkSession
+    state = spark.createDataFrame([(row["last_event_date"], datetime.now())], WATERMARK_SCHEMA)
+    taken = [int(f.removeprefix(GENERATION)) for f in storage.subfolders(spark, path) if f.startswith(GENERATION)]
+    following = f"{path}/{GENERATION}{max(taken, default=0) + 1:012d}"
+    state.coalesce(1).write.parquet(following)
+    for older in _generations(spark, path)[:-2]:
+        storage.remove(spark, older)
 
 
 def load_state(spark: SparkSession, path: str) -> DataFrame:
     """The saved watermark, or an empty table of the same shape."""
-    if storage.exists(spark, path):
-        return spark.read.schema(WATERMARK_SCHEMA).parquet(path)
+    complete = _generations(spark, path)
+    if complete:
+        return spark.read.schema(WATERMARK_SCHEMA).parquet(complete[-1])
     return spark.createDataFrame([], WATERMARK_SCHEMA)
 
 
