@@ -41,6 +41,41 @@ def json_bout_rows(spark, sf):
     return E.bout_rows(event_documents(spark, sf), event_refs(spark, sf)).drop("raw_payload")
 
 
+# Flags as documents may hold them, and whether each counts as true.
+FLAGS = {
+    "true": True, "false": False, '"false"': True, '"true"': True, '""': False, '"0"': True, "0": False,
+    "1": True, "0.0": False, "-0.5": True, "1e3": True, "null": None, "": None, "{}": False, "[]": False,
+    '{"x": 0}': True, "[0]": True,
+}
+
+
+@query(
+    "typed_flags",
+    f"""SELECT CAST(o_orderkey AS VARCHAR) AS competition_id, f[1 + o_orderkey % {len(FLAGS)}] AS fighter_a_winner,
+      f[1 + o_custkey % {len(FLAGS)}] AS fighter_b_winner
+    FROM orders, (SELECT [{", ".join("NULL" if f is None else str(f).lower() for f in FLAGS.values())}] AS f)""",
+)
+def typed_flags(spark, sf):
+    """Winners given as flags, texts, numbers, lists, objects or not at all; every other second
+    competitor is behind a pointer."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    written = F.array(*(F.lit(f', "winner": {flag}' if flag else "") for flag in FLAGS))
+    flag = lambda key: F.get(written, (key % len(FLAGS)).cast("int"))
+    url = F.concat(F.lit("http://x/competitors/"), (c % len(FLAGS)).cast("string"))
+    inline = F.concat(F.lit('{"athlete": {}'), flag(c), F.lit("}"))
+    second = F.when(k % 2 == 0, inline).otherwise(F.concat(F.lit('{"$ref": "'), url, F.lit('"}')))
+    payload = F.concat(
+        F.lit('{"id": 1, "competitions": [{"id": '), k.cast("string"), F.lit(', "competitors": [{"athlete": {}'),
+        flag(k), F.lit("}, "), second, F.lit("]}]}"),
+    )
+    documents = table(spark, sf, "orders").select(payload.alias("payload"))
+    pointed = table(spark, sf, "orders").select(
+        url.alias("url"), F.concat(F.lit('{"uid": 1'), flag(c), F.lit("}")).alias("payload")
+    )
+    rows = E.bout_rows(documents, pointed)
+    return rows.select("competition_id", "fighter_a_winner", "fighter_b_winner")
+
+
 @query(
     "json_stats_map",
     f"""{with_(EVENTS)} SELECT CAST(k * 10 + i AS VARCHAR) AS competition_id, stat,

@@ -24,7 +24,7 @@ EVENT = struct_of(**EVENT_FIELDS, header=struct_of(**EVENT_FIELDS))
 FIRST_BOUT = struct_of(date="STRING", name="STRING", notes=NOTES, venue=VENUE, status=NAMED)
 ATHLETE = struct_of(**POINTER, displayName="STRING", fullName="STRING")
 # Statistics are a list or an object around one, so they stay text for now.
-COMPETITOR = struct_of(**POINTER, winner="STRING", athlete=ATHLETE, statistics="STRING")
+COMPETITOR = struct_of(**POINTER, winner="VARIANT", athlete=ATHLETE, statistics="STRING")
 COMPETITORS = f"ARRAY<{COMPETITOR}>"
 BOUT = struct_of(
     **POINTER, id="STRING", name="STRING", notes=NOTES, type="STRUCT<text: STRING>",
