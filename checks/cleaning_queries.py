@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from checks.gold_queries import bin_sql, style_sql
@@ -10,7 +12,7 @@ from checks.inputs import (
 )
 from checks.registry import query, table
 from tierfold import functions as fn
-from tierfold.operators import dedupe, quality, sampling, windowing
+from tierfold.operators import dedupe, quality, ranks, sampling, windowing
 from tierfold.plans import gold
 
 
@@ -263,6 +265,40 @@ def percentile_profile(spark, sf):
     return sampling.percentile_by(texts, ["lang"], "chars", 0.9, "p90")
 
 
+def _share_sql(share: float) -> str:
+    at = f"(n - 1) * CAST({share} AS DOUBLE)"
+    low, high = (f"max(x) FILTER (i = {f}({at}))" for f in ("floor", "ceil"))
+    return f"{low} + ({high} - {low}) * max({at} - floor({at}))"
+
+
+@query(
+    "percentile_ranks",
+    f"""WITH m AS (
+      SELECT 'price' AS measure, l_returnflag AS part, l_extendedprice AS x FROM lineitem
+      UNION ALL SELECT 'ts', event_type, CAST(epoch_us(ts) AS DOUBLE) FROM events
+      UNION ALL SELECT 'all prices', NULL, l_extendedprice FROM lineitem),
+    r AS (SELECT *, row_number() OVER (PARTITION BY measure, part ORDER BY x) - 1 AS i,
+      count(*) OVER (PARTITION BY measure, part) AS n FROM m)
+    SELECT measure, part, {_share_sql(0.5)} AS p50, {_share_sql(0.999)} AS p999 FROM r GROUP BY ALL""",
+)
+def percentile_ranks(spark, sf):
+    """Percentiles of measures with about as many values as rows: prices, and times to the microsecond."""
+    shares, prices = {"p50": 0.5, "p999": 0.999}, table(spark, sf, "lineitem")
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts").cast("timestamp_ntz"))
+    times = table(spark, sf, "events").select("event_type", micros.alias("us"))
+    parts = [
+        ("price", prices.select(F.col("l_returnflag").alias("part"), F.col("l_extendedprice").alias("x")), ["part"]),
+        ("ts", times.select(F.col("event_type").alias("part"), F.col("us").alias("x")), ["part"]),
+        ("all prices", prices.select(F.col("l_extendedprice").alias("x")), []),
+    ]
+    found = []
+    for measure, rows, dims in parts:
+        one = ranks.percentiles(ranks.ranged_counts(rows, "x", dims), "x", shares, dims)
+        part = F.col("part") if dims else F.lit(None).cast("string")
+        found.append(one.select(F.lit(measure).alias("measure"), part.alias("part"), "p50", "p999"))
+    return reduce(lambda a, b: a.unionAll(b), found)
+
+
 SPAN = """span AS (
   SELECT CAST(min(o_orderdate) AS DATE) AS first_day, CAST(max(o_orderdate) AS DATE) AS last_day
   FROM orders)"""
@@ -331,3 +367,26 @@ def workload_profile(spark, sf):
 def even_sample(spark, sf):
     days = table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("day"))
     return sampling.even_sample(days, "day", 12)
+
+
+def _even_sql(source: str, k: int) -> str:
+    return f"""SELECT v FROM (SELECT v, row_number() OVER (ORDER BY v) - 1 AS i, count(*) OVER () AS n
+      FROM (SELECT DISTINCT {source})) WHERE i IN (
+        SELECT CAST(round_even(step * (n - 1) / {k - 1}.0, 0) AS BIGINT) FROM range({k}) r(step))"""
+
+
+@query(
+    "even_sample_values",
+    f"""SELECT 'price' AS source, CAST(v AS VARCHAR) AS value FROM ({_even_sql("CAST(round(l_extendedprice * 100) AS BIGINT) AS v FROM lineitem", 25)})
+    UNION ALL SELECT 'name', v FROM ({_even_sql("c_name AS v FROM customer", 8)})""",
+)
+def even_sample_values(spark, sf):
+    """Evenly spaced prices in hundredths, and names, of which nearly every row has its own."""
+    prices = table(spark, sf, "lineitem").select(F.round(F.col("l_extendedprice") * 100).cast("long").alias("v"))
+    names = table(spark, sf, "customer").select(F.col("c_name").alias("v"))
+    parts = [("price", prices, 25), ("name", names, 8)]
+    picked = [
+        sampling.even_sample(df, "v", k).select(F.lit(source).alias("source"), F.col("v").cast("string").alias("value"))
+        for source, df, k in parts
+    ]
+    return picked[0].unionAll(picked[1])

@@ -3,25 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierfold.operators import ranks
+
 
 def percentile_by(
     df: DataFrame, dims: Sequence[str], value: str, share: float, alias: str
 ) -> DataFrame:
-    """Exact interpolated percentile and mean of a whole-number measure per group.
+    """Number of rows, mean and exact interpolated percentile of a numeric measure per group.
 
-    Equal values are counted first, so the percentile holds one entry per distinct value and not
-    one per row; the measure must have a limited range (lengths, counts).
+    The percentile comes from ranges of the values that are put in order one by one, so a group may
+    have any number of rows and of distinct values. A group without values has neither.
     """
-    counted = df.groupBy(*dims, value).agg(F.count(F.lit(1)).alias("_n"))
-    return counted.groupBy(*dims).agg(
-        F.sum("_n").alias("rows"),
-        (F.sum(F.col(value) * F.col("_n")) / F.sum("_n")).alias("mean"),
-        F.percentile(value, share, F.col("_n")).alias(alias),
+    ranged = ranks.ranged_counts(df.select(*dims, value), value, dims)
+    known = F.when(F.col(value).isNotNull(), F.col("_n"))
+    totals = ranged.groupBy(*dims).agg(
+        F.sum("_n").alias("rows"), F.try_divide(F.sum(F.col(value) * F.col("_n")), F.sum(known)).alias("mean")
     )
+    found = ranks.percentiles(ranged, value, {alias: share}, dims)
+    if not dims:
+        return totals.select("rows", "mean", found.scalar().alias(alias))
+    theirs = found.select(*(F.col(d).alias(f"_r_{d}") for d in dims), alias)
+    same = reduce(lambda a, b: a & b, (F.col(d).eqNullSafe(F.col(f"_r_{d}")) for d in dims))
+    return totals.join(theirs, same, "left").drop(*(f"_r_{d}" for d in dims))
 
 
 def workload_profile(
@@ -64,28 +72,20 @@ def workload_profile(
 
 
 def even_sample(days: DataFrame, column: str, k: int) -> DataFrame:
-    """k evenly spaced values out of the ordered distinct values of a calendar-sized column.
+    """k evenly spaced values out of the ordered distinct values of a column of any size.
 
     Positions are i * (n - 1) / (k - 1) rounded half-even, first and last included; all values
-    when there are at most k, the first alone when k is 1. The numbering runs over distinct days,
-    a list no longer than the calendar.
+    when there are at most k, the first alone when k is 1.
     """
-    numbered = (
-        days.select(column)
-        .distinct()
-        .select(
-            column,
-            (F.row_number().over(Window.orderBy(column)) - 1).alias("_i"),
-            F.count(F.lit(1)).over(Window.partitionBy()).alias("_n"),
-        )
-    )
-    n, i = F.col("_n"), F.col("_i")
-    if k <= 1:
-        wanted = i == 0
-    else:
-        positions = F.transform(
-            F.sequence(F.lit(0), F.lit(k - 1)),
-            lambda step: F.rint(step * (n - 1) / F.lit(k - 1)).cast("int"),
+
+    def positions(n: Column) -> Column:
+        if k <= 1:
+            return F.array(F.lit(0))
+        spread = F.transform(
+            F.sequence(F.lit(0), F.lit(k - 1)), lambda step: F.rint(step * (n - 1) / F.lit(k - 1)).cast("long")
         )
-        wanted = (n <= k) | F.array_contains(positions, i)
-    return numbered.where(wanted).select(column)
+        every = F.sequence(F.lit(0).cast("long"), F.least(n, F.lit(k)) - 1)
+        return F.when(n <= k, every).otherwise(spread)
+
+    ranged = ranks.ranged_counts(days.select(column).distinct(), column)
+    return ranks.at_ranks(ranged, column, positions).select(column)
