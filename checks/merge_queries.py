@@ -234,6 +234,44 @@ def raw_mirror_latest(spark, sf):
     return raw.drop("ts")
 
 
+# Runs, the events they land, and what they add to the values; the last comes late.
+RUNS = [("20250101T060000Z", 0, 0), ("20250101T120000Z", 1, 0), ("20250102T000000Z", 2, 0), ("20250101T180000Z", 0, 1)]
+
+
+@query(
+    "mirror_landed",
+    f"""WITH landed AS (SELECT e.*, run_id, value + more AS v, strptime(run_id[:8], '%Y%m%d') AS day
+      FROM events e JOIN (VALUES {", ".join(map(str, RUNS))}) r(run_id, third, more)
+        ON event_id % 3 = third AND (more = 0 OR event_id % 2 = 0))
+    SELECT user_id, event_id, v AS value, run_id, strftime(day, '%Y-%m-%d') AS ingestion_date, true AS read_new_only
+    FROM landed QUALIFY row_number() OVER (PARTITION BY day, user_id ORDER BY run_id DESC, event_id DESC) = 1""",
+)
+def mirror_landed(spark, sf):
+    """Three runs land and are mirrored; a second call finds nothing; a late run of the first day
+    lands and is mirrored without the others being read."""
+    folders = [storage.new_folder(spark, name) for name in ("landing", "raw", "ledger")]
+    events, k = table(spark, sf, "events").select("user_id", "event_id", "value"), F.col("event_id")
+
+    def land(run_id, third, more):
+        some = events.where((k % 3 == third) & (F.lit(more == 0) | (k % 2 == 0)))
+        landing.write_landing(some.withColumn("value", F.col("value") + more), folders[0], run_id)
+
+    def mirror():
+        schema = "user_id BIGINT, event_id BIGINT, value DOUBLE"
+        return landing.mirror_landing(spark, *folders, schema, ["user_id"], ["run_id"], ["event_id"])
+
+    for run in RUNS[:3]:
+        land(*run)
+    first, second = mirror(), mirror()
+    land(*RUNS[3])
+    late = landing.landed_files(spark, folders[0]).where(F.col("run_id") == RUNS[3][0]).count()
+    new_only = first > 0 and second == 0 and mirror() == late
+    raw = landing.scan_raw_json(
+        spark, folders[1], "user_id BIGINT, event_id BIGINT, value DOUBLE, run_id STRING, ingestion_date DATE"
+    )
+    return raw.withColumn("read_new_only", F.lit(new_only))
+
+
 @query(
     "landing_roundtrip",
     """SELECT doc_id, md5(text) AS body, lang, run_id FROM documents,

@@ -56,6 +56,7 @@ def replace(
     partition: str | None = None,
     folders: Iterable[str] = ("",),
     step: Step = _nothing,
+    form: str = "parquet",
 ) -> None:
     """Make ``rows`` the contents of some parts of a table: of all of it, or of the partition
     folders ``folders``. Rows of other partitions replace those, too; a folder without rows goes.
@@ -65,7 +66,7 @@ def replace(
     step("write")
     new = f"{_journal(path)}/rows"
     writer = rows.write if partition is None else rows.write.partitionBy(partition)
-    writer.parquet(new)
+    writer.format(form).save(new)
     step("plan")
     plan: dict[str, list[str]] = {folder: [] for folder in folders}
     for file in storage.data_files(spark, new):

@@ -11,11 +11,12 @@ from collections.abc import Callable, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tierfold.operators.dedupe import latest_per_key
+from tierfold.sources import journal, storage, tables
 
 LOG = logging.getLogger(__name__)
 DYNAMIC = {"partitionOverwriteMode": "dynamic"}
@@ -52,6 +53,77 @@ def mirror_raw(
     )
 
 
+# Columns of the ledger of mirrored files.
+LEDGER_SCHEMA = "file STRING, run_id STRING, bytes BIGINT, landed_at TIMESTAMP"
+
+
+def landed_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, run_id, bytes, landed_at) of the files in the landing zone; none of them is opened."""
+    if not storage.exists(spark, path):
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    files = listed.option("pathGlobFilter", "part-*").load(path)
+    return files.select(
+        F.col("path").alias("file"),
+        F.regexp_extract("path", r"/run_id=([^/]+)/", 1).alias("run_id"),
+        F.col("length").alias("bytes"),
+        F.col("modificationTime").alias("landed_at"),
+    )
+
+
+def new_files(spark: SparkSession, path: str, ledger: str) -> DataFrame:
+    """The landed files that the ledger does not have as they are now."""
+    landed = landed_files(spark, path)
+    if not storage.exists(spark, ledger):
+        return landed
+    mirrored = spark.read.schema(LEDGER_SCHEMA).parquet(ledger)
+    return landed.join(mirrored, ["file", "bytes", "landed_at"], "left_anti").select(landed.columns)
+
+
+def run_day(run_id: Column) -> Column:
+    """The day of a run, whose id starts with it."""
+    return F.to_date(F.substring(run_id, 1, 8), "yyyyMMdd")
+
+
+def mirror_landing(
+    spark: SparkSession,
+    path: str,
+    raw: str,
+    ledger: str,
+    schema: str,
+    keys: Sequence[str],
+    order: Sequence[str] = ("run_id",),
+    tiebreak: Sequence[str] = (),
+) -> int:
+    """Bring what has landed since the last call into the raw mirror; returns the number of files.
+
+    Only runs with files that the ledger does not have are read. Their documents go to the day of
+    their run, where the last one per entity by ``order`` stays, be it one mirrored before or a late
+    one. A run that lands again takes the place of what was mirrored of it. The
+    days are replaced through a journal and the ledger is written after them, so a call that is cut
+    short is made good by the next one: the same documents change nothing. The mirror keeps the
+    columns of ``schema`` and ``run_id``. File names are listed by the driver, as a scan lists them.
+    """
+    journal.recover(spark, raw)
+    found = new_files(spark, path, ledger).collect()
+    if not found:
+        return 0
+    columns, runs = f"{schema}, run_id STRING", {f.run_id for f in found}
+    read = [f"{path}/run_id={run}" for run in sorted(runs)]
+    files = spark.read.schema(columns).option("basePath", path).json(read)
+    with storage.staged(files.withColumn("ingestion_date", run_day(F.col("run_id"))), "landed") as documents:
+        days = [r[0] for r in documents.select("ingestion_date").distinct().collect()]
+        every = documents
+        if storage.exists(spark, raw):
+            held = scan_raw_json(spark, raw, f"{columns}, ingestion_date DATE")
+            others = F.col("ingestion_date").isin(days) & ~F.col("run_id").isin(*runs)
+            every = every.unionByName(held.where(others))
+        latest = latest_per_key(every, ["ingestion_date", *keys], order, tiebreak)
+        tables.replace_partitions(spark, raw, latest, "ingestion_date", days, form="json")
+    spark.createDataFrame(found, LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(ledger)
+    return len(found)
+
+
 def scan_raw_json(
     spark: SparkSession, path: str, schema: StructType | str, glob: str | None = None
 ) -> DataFrame:

@@ -114,12 +114,13 @@ def replace_partitions(
     partition: str,
     values: Iterable = (),
     step: journal.Step = journal._nothing,
+    form: str = "parquet",
 ) -> None:
     """Make ``rows`` the contents of the partitions they belong to and of those listed in
     ``values``: one of these without rows goes. What is cut short is finished by the next reader."""
     gathered = rows.hint("rebalance", F.col(partition))
     folders = _folders(spark, partition, values, rows.schema[partition].dataType)
-    journal.replace(spark, path, gathered, partition, folders, step)
+    journal.replace(spark, path, gathered, partition, folders, step, form)
 
 
 def _folders(spark: SparkSession, partition: str, values: Iterable, kind: DataType) -> list[str]:
