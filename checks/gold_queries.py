@@ -12,7 +12,7 @@ from checks.registry import query, table
 from tierfold.functions import dates
 from tierfold.operators import matchup
 from tierfold.plans import gold
-from tierfold.sources import storage
+from tierfold.sources import journal, publishing, storage
 
 # Fixed values, written out here and not taken from the library that is checked: separators, the
 # tokens of each style bucket, bin edges, and the stances of the made-up profiles.
@@ -396,3 +396,66 @@ def build_gold(spark, sf):
         label = F.concat_ws("|", *(F.coalesce(F.col(d).cast("string"), F.lit("-")) for d in dims))
         parts.append(views[name].select(F.lit(name).alias("mart"), label.alias("label"), "fights", "wins"))
     return reduce(lambda x, y: x.unionAll(y), parts)
+
+
+#: The marts of a refresh in SQL.
+REFRESHED = {
+    "stance_matchups": GOLD + STANCE_MART,
+    "stance_matchups_overall": GOLD + STANCE_OVERALL,
+    "style_matchups_overall": GOLD_STYLED + STYLE_MART,
+    "team_performance": f"{GOLD} SELECT {TEAM} AS team_norm, {TEAM_RATES} GROUP BY 1",
+    "team_performance_year": f"{GOLD} SELECT {TEAM} AS team_norm, event_year, {TEAM_RATES} GROUP BY 1, 2",
+    "height_vs_reach_heatmap": f"{ADVANTAGE} SELECT height_adv_bin, reach_adv_bin, {RATES} FROM x GROUP BY 1, 2",
+    "height_advantage_bins_overall": f"{ADVANTAGE} SELECT height_adv_bin, {RATES} FROM x GROUP BY 1",
+}
+
+
+def _totals_sql(state: str, bouts_where: str) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{state}' AS state, '{mart}' AS mart, count(*) AS groups, CAST(sum(fights) AS BIGINT) AS fights,
+        CAST(sum(wins) AS BIGINT) AS wins FROM ({sql.replace("FROM orders)", f"FROM orders WHERE {bouts_where})")})"""
+        for mart, sql in REFRESHED.items()
+    )
+
+
+class Stopped(Exception):
+    """A refresh that ended at one of its steps."""
+
+
+def _stop_at(step: str, time: int) -> journal.Step:
+    """A step function that ends a job the n-th time it comes to this step."""
+    met = []
+
+    def check(name):
+        met.extend([name] * (name == step))
+        if len(met) == time:
+            raise Stopped(f"{step} {time}")
+
+    return check
+
+
+@query(
+    "gold_published_at_once",
+    f"""{_totals_sql("stopped among the marts", "o_orderkey % 2 = 0")}
+    UNION ALL {_totals_sql("stopped among the views", "true")}""",
+)
+def gold_published_at_once(spark, sf):
+    """A refresh over half of the bouts; one over all of them that ends at its fourth mart, after
+    which all views show the first; one that ends among its views, which the next reader finishes."""
+    b, p = _in(spark, sf)
+    database = f"gold_{uuid.uuid4().hex[:12]}"
+    location, states = storage.new_folder(spark, database), []
+
+    def keep(state):
+        totals = [F.count(F.lit(1)).alias("groups"), F.sum("fights").alias("fights"), F.sum("wins").alias("wins")]
+        for mart in REFRESHED:
+            found = publishing.read_mart(spark, database, mart).agg(*totals).first()
+            states.append((state, mart, *found))
+
+    gold.build_gold(spark, database, b.where(F.col("competition_id").cast("long") % 2 == 0), p, location)
+    for state, step, time in (("stopped among the marts", "mart", 4), ("stopped among the views", "turn", 3)):
+        try:
+            gold.build_gold(spark, database, b, p, location, _stop_at(step, time))
+        except Stopped:
+            keep(state)
+    return spark.createDataFrame(states, "state STRING, mart STRING, groups LONG, fights LONG, wins LONG")

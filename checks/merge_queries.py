@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from checks.documents import (
     BOUT_ROWS, EVENTS, PROFILE_ROWS, event_documents, event_refs, place_refs, profile_documents,
 )
-from checks.gold_queries import GOLD_STYLED, STANCE_MART, STYLE_MART
+from checks.gold_queries import GOLD_STYLED, STANCE_MART, STYLE_MART, Stopped, _stop_at
 from checks.inputs import (
     BOUTS, GOLD, TIEBREAK, UPSERT_PAIR, VERSIONED, bouts, profiles, upsert_source, upsert_target,
     versioned, with_,
@@ -610,22 +610,6 @@ def merge_string_partitions(spark, sf):
     return tables.merge_partitioned(spark, path, moved, ["c_custkey"], "p")
 
 
-class Stopped(Exception):
-    """A merge that ended at one of its steps."""
-
-
-def _stop_at(step, time):
-    """A step function that ends a merge the n-th time it comes to this step."""
-    met = []
-
-    def check(name):
-        met.extend([name] * (name == step))
-        if len(met) == time:
-            raise Stopped(f"{step} {time}")
-
-    return check
-
-
 #: Steps at which merges are stopped; before the third of them the table has not changed.
 STOPS = [("write", 1), ("plan", 1), ("move", 2), ("clean", 1), ("forget", 1)]
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tierfold.operators import matchup
 from tierfold.plans import gold
+from tierfold.sources import publishing
 
 BOUT_SCHEMA = (
     "competition_id STRING, event_id STRING, event_date TIMESTAMP, event_year INT, "
@@ -264,6 +265,8 @@ def test_gold_tables_and_views(case, spark, tmp_path):
     for _ in range(2):  # a second run replaces every mart
         marts = gold.build_gold(spark, database, bouts, profiles, str(tmp_path / "gold"))
     assert len(marts) == 7 and spark.catalog.tableExists(f"{database}.v_team_performance")
+    versions = {t.name[-6:] for t in spark.catalog.listTables(database) if t.tableType != "VIEW"}
+    assert versions == {"000001", "000002"} and publishing.published_version(spark, database) == 2
     assert collected(marts["height_advantage_bins_overall"], "height_adv_bin") == collected(
         gold.height_bins(bouts, profiles), "height_adv_bin"
     )

@@ -29,7 +29,7 @@ from tierfold.operators.matchup import (
     win_rate,
     with_win_rate,
 )
-from tierfold.sources import tables
+from tierfold.sources import journal, publishing, tables
 
 Bouts = DataFrame | KeySplit
 PROFILE_NAMES = ["full_name", "display_name"]
@@ -155,37 +155,26 @@ def rolled_up(mart: DataFrame, dims: Sequence[str]) -> DataFrame:
 
 def build_gold(
     spark: SparkSession, database: str, bouts: DataFrame, profiles: DataFrame,
-    location: str | None = None,
+    location: str | None = None, step: journal.Step = journal._nothing,
 ) -> dict[str, DataFrame]:
-    """Replace every mart (``mv_*``) and its view (``v_*``); returns the views by name.
+    """Refresh every mart and turn its views (``mv_*``, ``v_*``) to it; returns the views by name.
 
     Each pairing runs once, at its finest grain; coarser marts are rolled up from the stored one.
+    Readers see the marts of the last refresh until all of this one stand.
     """
     tables.create_database(spark, database, location)
     paired = split_by_key(bouts)  # a lazy plan
-
-    def publish(name: str, df: DataFrame) -> DataFrame:
-        table = f"{database}.mv_{name}"
-        tables.materialize_mart(df, table)
-        return tables.publish_view(spark, f"{database}.v_{name}", table)
-
-    marts = {}
-    marts["stance_matchups"] = publish("stance_matchups", stance_by_class(paired, profiles))
-    marts["stance_matchups_overall"] = publish(
-        "stance_matchups_overall", rolled_up(marts["stance_matchups"], ["stance", "opp_stance"])
-    )
-    marts["style_matchups_overall"] = publish(
-        "style_matchups_overall", style_overall(paired, profiles)
-    )
-    marts["team_performance"] = publish("team_performance", team_overall(bouts, profiles))
-    marts["team_performance_year"] = publish(
-        "team_performance_year", team_by_year(bouts, profiles)
-    )
-    marts["height_vs_reach_heatmap"] = publish(
-        "height_vs_reach_heatmap", height_by_reach(paired, profiles)
-    )
-    marts["height_advantage_bins_overall"] = publish(
-        "height_advantage_bins_overall",
-        rolled_up(marts["height_vs_reach_heatmap"], ["height_adv_bin"]),
-    )
-    return marts
+    version, marts = publishing.next_version(spark, database), {}
+
+    def store(name: str, df: DataFrame) -> None:
+        step("mart")
+        marts[name] = tables.materialize_mart(df, publishing.table_of(database, name, version))
+
+    store("stance_matchups", stance_by_class(paired, profiles))
+    store("stance_matchups_overall", rolled_up(marts["stance_matchups"], ["stance", "opp_stance"]))
+    store("style_matchups_overall", style_overall(paired, profiles))
+    store("team_performance", team_overall(bouts, profiles))
+    store("team_performance_year", team_by_year(bouts, profiles))
+    store("height_vs_reach_heatmap", height_by_reach(paired, profiles))
+    store("height_advantage_bins_overall", rolled_up(marts["height_vs_reach_heatmap"], ["height_adv_bin"]))
+    return publishing.publish(spark, database, list(marts), version, step)
