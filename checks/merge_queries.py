@@ -23,7 +23,7 @@ from checks.registry import query, table
 from tierfold.operators import quality, refs, upsert, windowing
 from tierfold.operators.dedupe import latest_per_key
 from tierfold.plans import bronze, gold, silver
-from tierfold.sources import landing, storage, tables
+from tierfold.sources import landing, null_counts, storage, tables
 
 KEYS = ["event_id", "competition_id"]
 TEXT_DATES = """event_id, competition_id, strftime(event_date, '%Y-%m-%d %H:%M:%S') AS event_date,
@@ -586,6 +586,39 @@ def silver_events_columns_appear(spark, sf):
     return loaded.select("event_id", "event_name", "venue", "country")
 
 
+@query(
+    "null_counts_kept",
+    """WITH t AS (SELECT o_orderkey % 4 = 0 AS moved, o_orderkey % 3 <> 0 AS has_venue, o_orderkey % 200 = 4 AS has_country
+      FROM orders WHERE o_orderkey % 5 <> 4 OR o_orderkey % 4 = 0)
+    SELECT "column", (SELECT count(*) FROM t) AS rows, nulls, false AS counted_again, true AS country_left_out
+    FROM (SELECT 'venue' AS "column", count(*) FILTER (NOT has_venue) AS nulls FROM t
+      UNION ALL SELECT 'country', count(*) FILTER (NOT has_country) FROM t
+      UNION ALL SELECT 'status', 0)""",
+)
+def null_counts_kept(spark, sf):
+    """Counts after first rows and after a load that brings new ones and moves others to another year,
+    which empties a year; asking for them and publishing then counts nothing."""
+    orders, k = table(spark, sf, "orders"), F.col("o_orderkey")
+    day = lambda year: F.make_timestamp(year, *(F.lit(1),) * 2, *(F.lit(0),) * 2, F.lit(0).cast("decimal(8,6)"))
+
+    def rows(where, year):
+        return orders.where(where).select(
+            k.cast("string").alias("event_id"), day(year).alias("event_date"),
+            F.lit("e").alias("event_name"), F.when(k % 3 != 0, "v").alias("venue"),
+            F.when(k % 200 == 4, "c").alias("country"), F.lit("s").alias("status"), F.lit(None).cast("int").alias("num_fights"),
+        )
+
+    path = storage.new_folder(spark, "silver")
+    silver.load_events(spark, path, rows(k % 5 != 4, F.when(k % 4 == 0, 2000).otherwise(2001 + (k % 3).cast("int"))))
+    loaded = silver.load_events(spark, path, rows(k % 4 == 0, F.lit(2010)))
+    again = bool(null_counts.renew(spark, path, loaded, "event_year"))
+    left_out = "country" not in silver.publish_events(spark, path, loaded).columns
+    counts = null_counts.null_counts(spark, path, loaded, "event_year")
+    return counts.where(F.col("column").isin("venue", "country", "status")).select(
+        "column", "rows", "nulls", F.lit(again).alias("counted_again"), F.lit(left_out).alias("country_left_out")
+    )
+
+
 STRING_PARTITIONS = ["007", "7", "a b/c:1", "a=b%", "x"]
 
 

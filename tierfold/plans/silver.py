@@ -12,10 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierfold.operators.dedupe import latest_per_key, version_columns
-from tierfold.operators.quality import prune_sparse
+from tierfold.operators.quality import SPARSE_THRESHOLD, prune_sparse
 from tierfold.operators.upsert import NEVER, NEWER, VERSION
 from tierfold.plans import bronze as bronze_plan
-from tierfold.sources import landing, tables
+from tierfold.sources import landing, null_counts, tables
 
 # Optional columns of silver tables, and the columns that are trimmed.
 OPTIONAL_EVENT_COLUMNS = ["venue", "country", "status", "num_fights"]
@@ -52,6 +52,15 @@ def published_profiles(table: DataFrame) -> DataFrame:
     return published(table, OPTIONAL_PROFILE_COLUMNS)
 
 
+def publish_events(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """The stored silver events as :func:`published_events` gives them, chosen by the counts that are
+    kept beside the table."""
+    counts = null_counts.null_counts(spark, path, like, "event_year").collect()  # one row a column
+    sparse = [r.column for r in counts if r.rows and r.nulls / r.rows >= SPARSE_THRESHOLD]
+    table = tables.stored(spark, path, like, "event_year")
+    return table.drop(*(c for c in sparse if c in OPTIONAL_EVENT_COLUMNS))
+
+
 def events_or_raw(
     spark: SparkSession, bronze: bronze_plan.Bronze, raw: Callable[[], DataFrame], run: bronze_plan.Run
 ) -> DataFrame:
@@ -144,10 +153,12 @@ def load_events(
     spark: SparkSession, path: str, events: DataFrame, tiebreak: Sequence[str] = ()
 ) -> DataFrame:
     """First load or merge; a stored event changes only for a later event date."""
-    return tables.merge_partitioned(
+    loaded = tables.merge_partitioned(
         spark, path, clean_events(events, tiebreak), ["event_id"], "event_year", NEWER,
         ["event_date"],
     )
+    null_counts.renew(spark, path, loaded, "event_year")
+    return loaded
 
 
 def load_bouts(

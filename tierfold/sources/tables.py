@@ -159,6 +159,7 @@ def reset(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         journal.forget(spark, path)
         storage.remove(spark, path)
+        storage.remove(spark, f"{path}.counts")
 
 
 def materialize_mart(df: DataFrame, table: str) -> DataFrame:
