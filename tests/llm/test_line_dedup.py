@@ -20,6 +20,10 @@ def mask(word):
 def plain(docs, depth=3, least=5):
     """{doc_id: (text, n_lines, n_dropped)} for documents with ids of their own."""
     lines = [(i, k, line) for i, t in docs if t is not None for k, line in enumerate(t.split("\n"))]
+    equal = defaultdict(list)
+    for i, k, x in lines:
+        if words(x):
+            equal[x].append((i, k))
     lines = [(i, k, x, (len(words(x)), *map(mask, words(x)[:depth]))) for i, k, x in lines if len(words(x)) >= 5]
     in_leaf = defaultdict(set)
     for i, _, _, leaf in lines:
@@ -42,6 +46,9 @@ def plain(docs, depth=3, least=5):
         if (leaf, x) in templates:
             found[templates[leaf, x]].append((i, k))
     gone = set()
+    for places in equal.values():
+        if len({i for i, _ in places}) >= 2:
+            gone |= set(places) - {min(places)}
     for places in found.values():
         if len({i for i, _ in places}) >= least:
             gone |= set(places) - {min(places)}
@@ -90,6 +97,14 @@ def test_the_first_line_of_a_template_stays(spark):
     assert all(found[i].text == f"own words of number{i}" for i in range(3, 10))
 
 
+def test_equal_lines_recur_from_two_documents_on(spark):
+    passage = " ".join(f"word{i}" for i in range(60))
+    texts = [f"{passage}\nHi.", f"a b\n{passage}\n \nHi.", "x y z\nx y z\n \na  b", passage.replace("word7", "other")]
+    rows = [(i, t, None, None, len(t)) for i, t in enumerate(texts)]
+    got = {r.doc_id: (r.text, r.n_dropped) for r in line_dedup(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {0: (texts[0], 0), 1: ("a b\n ", 2), 2: (texts[2], 0), 3: (texts[3], 0)}
+
+
 def test_null_ids_repeated_rows_and_no_rows(spark):
     line = "one two three four five six"
     rows = [(None, line + "\na", None, 1, 1)] * 2 + [(i, line + f"\n{i}", None, 1, 1) for i in range(6)]

@@ -3,10 +3,11 @@
 A tree of fixed depth sorts lines by their number of words and then by their leading words, words
 with digits standing as a wildcard. Within a leaf, a word that few lines have at its place is a
 variable field, so lines that differ only there share a template. Templates found in many documents
-are boilerplate: each of their lines goes, but for the very first one.
+are boilerplate: each of their lines goes, but for the very first one. A line without variable fields
+is a template of its own, which recurs as soon as two documents hold it word for word.
 
-Every step is a grouping or an equi-join. Only lines whose leaf occurs in enough documents are taken
-apart into words. Hot lines, leaves and templates are counted in part before they are shuffled, and
+Every step is a grouping or an equi-join. Whole lines are counted by a 128-bit hash. Only lines whose
+leaf occurs in enough documents are taken apart into words. Hot lines, leaves and templates are counted in part before they are shuffled, and
 joined as plain shuffles whose large partitions Spark splits.
 
 Only DataFrame functions are used.
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierfold.llm.common import (
+    WORD,
     boxed,
     document_key,
     drop_written,
@@ -38,8 +40,9 @@ WILDCARD = "<*>"
 @dataclass(frozen=True)
 class LineRules:
     """depth: leading words of the tree. min_documents: from how many documents on a word is
-    constant and a template recurs. min_words: shorter lines stay. constant: least share of a
-    line's words that must be constant."""
+    constant and a template with variable fields recurs. min_words: shorter lines have none.
+    constant: least share of a line's words that must be constant. Lines that are equal as a whole
+    recur from two documents on, however short."""
 
     depth: int = 3
     min_documents: int = 5
@@ -52,14 +55,35 @@ def masked(word: Column) -> Column:
 
 
 def _document_lines(df: DataFrame, rules: LineRules) -> DataFrame:
-    """(k1, k2, doc_id, pos, line, leaf) of the lines that are long enough."""
+    """(k1, k2, doc_id, pos, line, leaf) of the lines with a word; leaf is null for short ones."""
     lines = df.select("k1", "k2", "doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
 
     def leaf(found: Column) -> Column:
         leading = F.transform(F.slice(found, 1, rules.depth), masked)
         return F.when(F.size(found) >= rules.min_words, F.concat_ws(" ", F.size(found), F.array_join(leading, " ")))
 
-    return lines.withColumn("leaf", let(words(F.col("line")), leaf)).where("leaf IS NOT NULL")
+    lines = lines.where(F.col("line").rlike(WORD))
+    return lines.withColumn("leaf", let(words(F.col("line")), leaf))
+
+
+def _place() -> Column:
+    """What orders lines: ids, nulls last, then the place in the text."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k2", "pos")
+
+
+def _equal_lines(lines: DataFrame) -> DataFrame:
+    """(k1, k2, pos) of the lines that two or more documents hold word for word, but the first."""
+    by = ["h1", "h2"]
+    hashed = lines.select(
+        F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("line"), "line").alias("h2"), "k1", "k2", "doc_id", "pos"
+    )
+    ends = [f(k).alias(f"{f.__name__}_{k}") for k in ("k1", "k2") for f in (F.min, F.max)]
+    in_two = (F.col("min_k1") != F.col("max_k1")) | (F.col("min_k2") != F.col("max_k2"))
+    equal = written(hashed.groupBy(*by).agg(*ends).where(in_two).select(*by), "equal-lines")
+    places = written(hashed.join(equal, by), "equal-line-places")
+    first = places.groupBy(*by).agg(F.min(_place()).alias("first"))
+    later = places.join(first, by).where(~_place().eqNullSafe(F.col("first")))
+    return later.select("k1", "k2", "pos")
 
 
 def _in_many(df: DataFrame, rules: LineRules, *by: str) -> DataFrame:
@@ -87,18 +111,20 @@ def _templates(lines: DataFrame, rules: LineRules) -> DataFrame:
 def _dropped(df: DataFrame, rules: LineRules) -> DataFrame:
     """(k1, k2, gone): the places of the lines that a document loses."""
     all_lines = written(_document_lines(df, rules), "document-lines")
-    leaves = written(_in_many(all_lines, rules, "leaf"), "leaves")
-    candidates = written(all_lines.join(leaves.select("leaf"), "leaf"), "candidate-lines")
+    equal = written(_equal_lines(all_lines), "equal-lines-gone")
+    long = all_lines.where("leaf IS NOT NULL")
+    leaves = written(_in_many(long, rules, "leaf"), "leaves")
+    candidates = written(long.join(leaves.select("leaf"), "leaf"), "candidate-lines")
     drop_written(all_lines, leaves)
     templates = written(_templates(candidates, rules).where("template IS NOT NULL"), "templates")
     lines = written(candidates.join(templates, ["leaf", "line"]).drop("line"), "template-lines")
     recurring = _in_many(lines, rules, "leaf", "template").select("leaf", "template")
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k2", "pos")
-    first = lines.groupBy("leaf", "template").agg(F.min(place).alias("first"))
+    first = lines.groupBy("leaf", "template").agg(F.min(_place()).alias("first"))
     first = written(first.join(recurring, ["leaf", "template"]), "first-lines")
-    gone = lines.join(first, ["leaf", "template"]).where(~place.eqNullSafe(F.col("first")))
+    gone = lines.join(first, ["leaf", "template"]).where(~_place().eqNullSafe(F.col("first")))
+    gone = gone.select("k1", "k2", "pos").union(equal)
     gone = written(gone.groupBy("k1", "k2").agg(F.collect_set("pos").alias("gone")), "gone")
-    drop_written(candidates, templates, lines, first)
+    drop_written(candidates, templates, lines, first, equal)
     return gone
 
 
@@ -122,8 +148,8 @@ def line_dedup(docs: DataFrame, rules: LineRules | None = None) -> DataFrame:
     """``docs`` with the text of each row without its dropped lines, and ``n_lines`` and
     ``n_dropped``, the lines it had and lost.
 
-    Lines are what ``\\n`` separates; the first line of a template, by doc_id (nulls last) and
-    place, stays. A null text stays null and has no lines, an empty one has one. Rows that repeat
+    Lines are what ``\\n`` separates; the first line of a template, and the first of equal lines, by
+    doc_id (nulls last) and place, stays. Lines without a word stay. A null text stays null and has no lines, an empty one has one. Rows that repeat
     both id and text are one document and lose the same lines. An empty table gives an empty
     result. Input columns named like the added ones give way to them.
     """
@@ -167,9 +193,13 @@ WITH l AS (
 ), r AS (
   SELECT leaf, template, min((doc_id, pos)) AS first FROM o
   GROUP BY leaf, template HAVING count(DISTINCT doc_id) >= 5
+), e AS (
+  SELECT line, min((doc_id, pos)) AS first FROM w WHERE len(words) > 0
+  GROUP BY line HAVING count(DISTINCT doc_id) >= 2
 ), g AS (
   SELECT o.doc_id, o.pos FROM o JOIN r ON o.leaf = r.leaf AND o.template = r.template
   WHERE (o.doc_id, o.pos) <> r.first
+  UNION SELECT w.doc_id, w.pos FROM w JOIN e ON w.line = e.line WHERE (w.doc_id, w.pos) <> e.first
 ), k AS (
   SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (g.pos IS NULL) AS kept,
          count(*) AS n_lines, count(g.pos) AS n_dropped
