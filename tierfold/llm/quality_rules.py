@@ -2,8 +2,9 @@
 
 Each rule votes good (1), bad (-1) or abstains (0). A document's votes are one of at most
 3**rules patterns; the patterns and their counts are all that expectation-maximisation needs.
-It estimates how often each rule is right and how common good text is, and the posterior
-probability of good text decides.
+From the documents that pass the base rule it estimates how often good and bad text gets each vote
+of each rule and how common good text is; the posterior probability of good text decides. A rule
+that votes alike on both kinds has no say, and a document may go by what its rules abstain from.
 
 Only DataFrame functions are used. Texts are read once; the counts and votes are written to the
 shared folder, since both the estimate and the result read them.
@@ -22,15 +23,28 @@ from tierfold.llm.common import WORD, boxed, row_of, text_of, unboxed, words, wr
 SYMBOLS = r"[#*$%&|<>]"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-ROUNDS, TOLERANCE = 200, 1e-6
-#: Limits of what is estimated. A vote for bad is stronger evidence than one for good, since a
-#: rule that finds nothing wrong has seen one aspect only.
-SHARE, BAD_IF_BAD, BAD_IF_GOOD, GOOD_IF_GOOD = (0.5, 0.98), (0.2, 0.95), (0.001, 0.02), (0.05, 0.999)
-MOST_FROM_GOOD = 1.5
+ROUNDS, TOLERANCE = 500, 1e-7
+#: Where the estimate starts: the share of good text, how likely good and bad text gets the votes -1, 0, 1,
+#: and the same for the anchor, the first rule. What the anchor says is held, not estimated: it tells which
+#: kind is meant, also where no other rule tells the kinds apart.
+SHARE, IF_GOOD, IF_BAD = 0.9, (0.05, 0.35, 0.6), (0.4, 0.3, 0.3)
+ANCHOR_IF_GOOD, ANCHOR_IF_BAD = (0.002, 0.1, 0.898), (0.7, 0.2, 0.1)
+#: The start counts as much as this share of the rows. It holds a kind of text that hardly occurs in its
+#: place and is lost in what is seen of one that does. No estimate has a limit or sits on one.
+PRIOR = 0.005
+#: Frequent function words of four languages, in lower case.
+FUNCTION_WORDS = (
+    "the and of to in a is that with for der die das und den ist zu le la les de et des en que el los las y un una du est dans"
+).split()
+SENTENCE_ENDS = [".", "!", "?", "…", ":", ")", '"', "'", "”", "’", "。"]
+SHAPES = ["n_lines", "n_ended_lines", "n_distinct_words", "n_function_words", "n_letter_words", "n_upper_words"]
 
 
 def text_counts(df: DataFrame) -> DataFrame:
-    """Columns of COUNTS, and n_lines, from the string column ``text``, which is dropped."""
+    """Columns of COUNTS and SHAPES from the string column ``text``, which is dropped."""
+    count = lambda of, test: F.size(F.filter(of, test)).cast("long")
+    last = lambda line: F.substring(F.rtrim(line, F.lit(" \t\n\x0b\f\r")), -1, 1)
+    stem = lambda word: F.lower(F.rtrim(word, F.lit(".,;:!?")))
     lines = F.filter(F.split("text", "\n"), lambda line: line.rlike(WORD))
     df = df.withColumns({"words": words(F.col("text")), "lines": lines})
     df = df.select(
@@ -40,6 +54,11 @@ def text_counts(df: DataFrame) -> DataFrame:
         F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
+        count("lines", lambda line: last(line).isin(SENTENCE_ENDS)).alias("n_ended_lines"),
+        F.size(F.array_distinct(F.transform("words", lambda w: F.xxhash64(F.lower(w))))).cast("long").alias("n_distinct_words"),
+        count("words", lambda w: stem(w).isin(FUNCTION_WORDS)).alias("n_function_words"),
+        count("words", lambda w: w.rlike(r"\p{L}")).alias("n_letter_words"),
+        count("words", lambda w: (w == F.upper(w)) & (w != F.lower(w))).alias("n_upper_words"),
     )
     return _repeat_words(df)
 
@@ -89,87 +108,91 @@ class Rule:
 
 
 def default_rules() -> list[Rule]:
+    """The first rule is the anchor."""
     n, lines = F.greatest("n_words", F.lit(1)), F.greatest("n_lines", F.lit(1))
-    length, symbols = F.col("word_chars") / n, F.col("n_symbols") / n
-    repeats, dup_lines = F.col("n_repeat_words") / n, F.col("n_dup_lines") / lines
+    symbols, upper, letters = F.col("n_symbols") / n, F.col("n_upper_words") / n, F.col("n_letter_words") / n
+    vocabulary, function_words = F.col("n_distinct_words") / F.sqrt(n), F.col("n_function_words") / n
+    dup_lines, ended = F.col("n_dup_lines") / lines, F.col("n_ended_lines") / lines
+    repeats = F.col("n_repeat_words") / n
     return [
-        Rule("length", F.col("n_words") < MIN_WORDS, F.col("n_words") >= 2 * MIN_WORDS),
-        Rule("symbols", symbols > 0.1, symbols < 0.02),
-        Rule("repeats", repeats > 0.5, repeats < 0.2),
-        Rule("lines", dup_lines > 0.5, dup_lines < 0.05),
-        Rule("word_length", (length < 2.5) | (length > 12), length.between(3, 10)),
+        Rule("symbols", symbols > 1, symbols < 0.02),
+        Rule("capitals", upper > 0.5, upper < 0.1),
+        Rule("vocabulary", vocabulary < 3, vocabulary > 5),
+        Rule("function_words", function_words < 0.02, function_words > 0.1),
+        Rule("line_ends", ended < 0.3, ended > 0.8),
+        Rule("lines", dup_lines > 0.3, dup_lines < 0.05),
+        Rule("letters", letters < 0.5, letters > 0.9),
+        Rule("repeats", repeats > 0.2, repeats < 0.05),
     ]
 
 
 @dataclass(frozen=True)
 class LabelModel:
-    """Share of good text and, for each rule, how likely either vote is for good and bad text."""
+    """Share of good text and, for each rule, how likely it votes -1, 0 and 1 on good and bad text."""
 
     share: float
-    bad_if_bad: list[float]
-    bad_if_good: list[float]
-    good_if_good: list[float]
-    good_if_bad: list[float]
+    if_good: list[tuple[float, ...]]
+    if_bad: list[tuple[float, ...]]
 
     @classmethod
     def start(cls, rules: int) -> LabelModel:
-        return cls(0.9, [0.4] * rules, [0.02] * rules, [0.6] * rules, [0.5] * rules)
+        return cls(SHARE, [ANCHOR_IF_GOOD] + [IF_GOOD] * (rules - 1), [ANCHOR_IF_BAD] + [IF_BAD] * (rules - 1))
 
     def numbers(self) -> list[float]:
-        return [self.share, *self.bad_if_bad, *self.bad_if_good, *self.good_if_good, *self.good_if_bad]
+        return [self.share, *(p for rates in (self.if_good, self.if_bad) for rule in rates for p in rule)]
 
     def evidence(self, rule: int, vote: int) -> float:
-        """Log odds of good text that a vote adds; an abstention adds none."""
-        if vote < 0:
-            return math.log(self.bad_if_good[rule] / self.bad_if_bad[rule])
-        return math.log(self.good_if_good[rule] / self.good_if_bad[rule]) if vote else 0.0
+        """Log odds of good text that a vote, or an abstention, adds."""
+        return math.log(self.if_good[rule][vote + 1] / self.if_bad[rule][vote + 1])
+
+    def _odds(self) -> float:
+        return math.log(self.share / (1 - self.share))
 
     def probability(self, votes: tuple[int, ...]) -> float:
         """Posterior probability of good text."""
-        odds = sum((self.evidence(j, v) for j, v in enumerate(votes)), math.log(self.share / (1 - self.share)))
-        return 1 / (1 + math.exp(-odds))
+        odds = self._odds() + sum(self.evidence(j, v) for j, v in enumerate(votes))
+        return 1 / (1 + math.exp(-max(odds, -700.0)))
 
     def posterior(self, votes: list[Column]) -> Column:
-        odds = F.lit(math.log(self.share / (1 - self.share)))
+        odds = F.lit(self._odds())
         for j, vote in enumerate(votes):
-            odds = odds + F.when(vote == -1, self.evidence(j, -1)).when(vote == 1, self.evidence(j, 1)).otherwise(0.0)
+            none = self.evidence(j, 0)
+            odds = odds + F.when(vote == -1, self.evidence(j, -1)).when(vote == 1, self.evidence(j, 1)).otherwise(none)
         return 1 / (1 + F.exp(-odds))
 
 
-def _clip(x: float, limits: tuple[float, float]) -> float:
-    return min(max(x, limits[0]), limits[1])
+def _rates(patterns: list[tuple], weights: list[float], start: list[tuple[float, ...]], prior: float):
+    """How likely each rule casts each vote where patterns count by ``weights``; the anchor's are held."""
+    total = sum(weights) + prior
+    out = start[:1]
+    for j, first in enumerate(start[1:], 1):
+        seen = [prior * p for p in first]
+        for votes, weight in zip(patterns, weights, strict=True):
+            seen[votes[j] + 1] += weight
+        out.append(tuple(x / total for x in seen))
+    return out
 
 
 def fit_label_model(votes: DataFrame, columns: list[str]) -> LabelModel:
     """Expectation-maximisation over the counted vote patterns of all rows.
 
-    Spark counts the patterns; the driver gets 3**rules numbers at most. A rule may be of little
-    use, but its limits keep it from counting against its own meaning. Without rows the starting
+    Spark counts the patterns; the driver gets 3**rules numbers at most. Without rows the starting
     values stay.
     """
     rows = votes.groupBy(*columns).agg(F.count("*").alias("n")).collect()
-    patterns = sorted((tuple(r[c] for c in columns), r["n"]) for r in rows)
-    model = LabelModel.start(len(columns))
-    total = sum(n for _, n in patterns)
+    counted = sorted((tuple(r[c] for c in columns), r["n"]) for r in rows)
+    patterns, counts = [v for v, _ in counted], [n for _, n in counted]
+    model = start = LabelModel.start(len(columns))
+    total = sum(counts)
+    prior = PRIOR * total
     for _ in range(ROUNDS if total else 0):
-        good = [n * model.probability(v) for v, n in patterns]
-        n_good = max(sum(good), 1e-9)
-        n_bad = max(total - sum(good), 1e-9)
-        new = LabelModel(_clip(sum(good) / total, SHARE), [], [], [], [])
-        for j in range(len(columns)):
-            counts = {
-                vote: (
-                    sum(g for (v, _), g in zip(patterns, good, strict=True) if v[j] == vote),
-                    sum(n - g for (v, n), g in zip(patterns, good, strict=True) if v[j] == vote),
-                )
-                for vote in (-1, 1)
-            }
-            new.bad_if_bad.append(_clip(counts[-1][1] / n_bad, BAD_IF_BAD))
-            new.bad_if_good.append(_clip(counts[-1][0] / n_good, BAD_IF_GOOD))
-            g = _clip(counts[1][0] / n_good, GOOD_IF_GOOD)
-            b = _clip(counts[1][1] / n_bad, GOOD_IF_GOOD)
-            new.good_if_good.append(g)
-            new.good_if_bad.append(_clip(b, (g / MOST_FROM_GOOD, g)))
+        good = [n * model.probability(v) for v, n in counted]
+        bad = [n - g for n, g in zip(counts, good, strict=True)]
+        new = LabelModel(
+            (sum(good) + prior * start.share) / (total + prior),
+            _rates(patterns, good, start.if_good, prior),
+            _rates(patterns, bad, start.if_bad, prior),
+        )
         moved = max(abs(a - b) for a, b in zip(new.numbers(), model.numbers(), strict=True))
         model = new
         if moved < TOLERANCE:
@@ -182,8 +205,8 @@ def quality_rules(
 ) -> DataFrame:
     """Adds counts, votes, ``p_good``, ``base_failed`` and ``kept`` to every row of ``docs``.
 
-    A null text has no words and fails the base rule. Each row is judged by itself, so repeated
-    rows are judged alike. An empty table gives an empty result. A column of ``docs`` that is named
+    Rules are weighed by all rows that pass the base rule. A null text has no words and fails it.
+    Repeated rows count as often as they stand there and are judged alike. An empty table gives an empty result. A column of ``docs`` that is named
     like an added one is replaced. ``carry`` names the columns that the result needs, all unless given.
     """
     rules = default_rules() if rules is None else rules
@@ -191,13 +214,14 @@ def quality_rules(
     df = text_counts(boxed(docs, carry, text=text_of(text))).withColumn("base_failed", base)
     votes = [f"vote_{r.name}" for r in rules]
     df = written(df.withColumns({v: r.vote() for v, r in zip(votes, rules, strict=True)}), "quality")
-    model = fit_label_model(df, votes)
+    model = fit_label_model(df.where("NOT base_failed"), votes)
     df = df.withColumn("p_good", model.posterior([F.col(v) for v in votes]))
     df = df.withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= 0.5))
-    return unboxed(df, *COUNTS, "base_failed", "kept", "n_lines", *votes, "p_good")
+    return unboxed(df, *COUNTS, "base_failed", "kept", *SHAPES, *votes, "p_good")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with the columns of ``docs``."""
+    """The rows of ``docs`` that the rules keep, with the columns of ``docs``, null texts and ids
+    and repeated rows as in :func:`quality_rules`. An empty table stays empty."""
     judged = quality_rules(docs.select(row_of(docs.columns).alias("document")), text=F.col("document.text"))
     return judged.where("kept").select("document.*")
