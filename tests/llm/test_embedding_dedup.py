@@ -89,25 +89,55 @@ class Lossy:
 
 
 @pytest.mark.parametrize("hot", [0, 2000])
-def test_a_hot_cluster_hides_no_loss(monkeypatch, hot):
+def test_a_hot_cluster_hides_no_loss(hot):
     x = clustered(hot, 1000)
-    monkeypatch.setattr(ed, "ENOUGH", 300, raising=False)
     assert ed._audited_width(Lossy(x), x, 0.9) is None
 
 
-def test_blocks_without_links_are_compared_with_all(monkeypatch):
-    x = clustered(0, 1000)
-    monkeypatch.setattr(ed, "ENOUGH", 300, raising=False)
-    far = -x  # hardly any has a link
-    assert ed._audited_width(Lossy(x), far, 0.9) is None
-
-
-def test_a_graph_that_misses_nothing_passes(monkeypatch):
+def test_a_graph_that_misses_nothing_passes():
     x = clustered(300, 1000)
-    monkeypatch.setattr(ed, "ENOUGH", 300, raising=False)
     width = ed._audited_width(Graph.build(x), x, 0.9)
     assert width is not None and width < len(x)
 
 
+def test_strays_are_compared_with_every_query():
+    """Nodes that no search reaches are told by their probes and found all the same."""
+    x = clustered(0, 1500)
+    graph = Graph.build(x)
+    cut = np.arange(0, len(x), 150)
+    for layer in graph.layers:
+        layer.links[np.isin(layer.links, cut)] = -1
+    cut = np.setdiff1d(cut, [graph.entry])
+    width, graph.strays = ed._vouched(graph, 0.9)
+    assert width < len(x) and set(cut) <= set(graph.strays) and len(graph.strays) <= 0.01 * len(x)
+    q, node = graph.within(x, 0.9, width)
+    exact = set(zip(*np.nonzero(x @ x.T >= 0.9), strict=True))
+    assert len(exact & set(zip(q, node, strict=True))) > 0.999 * len(exact)
+
+
+def few_links(n=20_000, dim=32):
+    """``n`` vectors of which a tenth is in pairs."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(n, dim))
+    x[: n // 20] = x[n // 20 : n // 10] + 0.2 * rng.normal(size=(n // 20, dim))
+    return rng.permutation(x)
+
+
+def test_the_graph_answers_where_links_are_rare(spark):
+    """In every shard the audits let the graph answer; the operator finds the links of all pairs."""
+    x = few_links()
+    units = x / np.linalg.norm(x, axis=1, keepdims=True)
+    single = units.astype(np.float32)
+    for shard in np.array_split(single, ed.MIN_SHARDS):
+        graph = Graph.build(shard)
+        width, graph.strays = ed._vouched(graph, 0.9)
+        assert (ed._audited_width(graph, single[: ed.BLOCK_ROWS], 0.9, width) or len(shard)) < len(shard) / 4
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id LONG, embedding ARRAY<DOUBLE>")
+    got = {r.vec_id: r.n_links for r in embedding_dedup(df).collect()}
+    exact = np.concatenate([(units[at : at + 1000] @ units.T >= 0.9).sum(axis=1) - 1 for at in range(0, len(x), 1000)])
+    assert exact.sum() > 1500 and all(got[i] <= n for i, n in enumerate(exact))
+    assert sum(got.values()) >= 0.999 * exact.sum()
+
+
 def test_empty_table(spark):
     assert embedding_dedup(spark.createDataFrame([], SCHEMA)).collect() == []

@@ -1,11 +1,13 @@
 """Near-duplicate embeddings: one small-world graph per shard, every vector asked of every shard.
 
 Equal vectors are one node with a number of copies. Nodes are dealt over shards by hash, and blocks
-of nodes are searched for in the graph of each shard. Every such search is audited against a
-comparison of vectors drawn from the whole block with the whole shard: as long as any of them misses
-a link the beam is widened, in the end to the whole shard. A block too few of whose vectors have
-links outside hot clusters to tell by is compared with the whole shard at once. Links are verified in double precision. A task counts the
-links of each vector and reduces them to a spanning forest, so pairs within a group never leave it.
+of nodes are searched for in the graph of each shard. Recall is audited twice. Once per shard, every
+node is searched for from a probe, a vector turned away from it as far as a link may be: the beam is
+widened while more than a few nodes are not found, and those few are compared with every query. So a
+shard is vouched for however rare links are. Then, in every search of a block, vectors drawn from it
+are also compared with the whole shard, and the beam is widened while any of them misses a link.
+Links are verified in double precision. A task counts the links of each vector and reduces them to a
+spanning forest, so pairs within a group never leave it.
 """
 
 from __future__ import annotations
@@ -24,9 +26,8 @@ from tierfold.llm.hnsw import Graph, Layer
 LEAST = 0.9
 #: At least so many shards; nodes of a shard and of a block of queries; queries searched at once.
 MIN_SHARDS, SHARD_ROWS, BLOCK_ROWS, AT_ONCE = 4, 32_768, 16_384, 256
-#: First beam; audited queries with links, but no hot cluster of them, that no link is missed of;
-#: queries after which it is judged whether a block has so many.
-WIDTH, ENOUGH, JUDGED = 48, 3000, 1024
+#: First beam; vectors drawn from a block for its audit; share of a shard's nodes that may be strays.
+WIDTH, AUDITED, STRAYS = 48, 1024, 0.01
 #: Single precision may be off by so much; what it finds is verified.
 SLACK = 1e-5
 
@@ -37,15 +38,15 @@ def _units(vectors: pd.Series) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def _packed(ids: np.ndarray, copies: np.ndarray, units: np.ndarray, graph: Graph) -> bytes:
+def _packed(ids: np.ndarray, copies: np.ndarray, units: np.ndarray, graph: Graph, width: int) -> bytes:
     out = io.BytesIO()
     layers = {f"links{k}": layer.links[layer.nodes] for k, layer in enumerate(graph.layers)}
     nodes = {f"nodes{k}": layer.nodes.astype(np.int32) for k, layer in enumerate(graph.layers)}
-    np.savez(out, ids=ids, copies=copies, units=units, entry=graph.entry, **layers, **nodes)
+    np.savez(out, ids=ids, copies=copies, units=units, entry=graph.entry, width=width, strays=graph.strays, **layers, **nodes)
     return out.getvalue()
 
 
-def _unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, Graph]:
+def _unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, Graph, int]:
     held = np.load(io.BytesIO(raw))
     units, layers = held["units"], []
     while f"nodes{len(layers)}" in held:
@@ -53,41 +54,60 @@ def _unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, Graph]:
         full = np.full((len(units), links.shape[1]), -1, np.int32)
         full[nodes] = links
         layers.append(Layer(full, nodes.astype(np.int64)))
-    return held["ids"], held["copies"], units, Graph(units.astype(np.float32), layers, int(held["entry"]))
-
-
-def _build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    units = _units(rows["e"])
-    graph = Graph.build(units.astype(np.float32))
-    raw = _packed(rows["id"].to_numpy(), rows["copies"].to_numpy(), units, graph)
-    return pd.DataFrame({"dim": [key[0]], "shard": [key[1]], "graph": [raw]})
+    graph = Graph(units.astype(np.float32), layers, int(held["entry"]), held["strays"])
+    return held["ids"], held["copies"], units, graph, int(held["width"])
+
+
+def _probes(units: np.ndarray, least: float) -> np.ndarray:
+    """For each unit vector one in a random direction from it, as far away as a link may be."""
+    turn = np.random.default_rng(7).normal(size=units.shape)
+    turn -= (turn * units).sum(axis=1, keepdims=True) * units
+    turn /= np.maximum(np.linalg.norm(turn, axis=1, keepdims=True), 1e-12)
+    least = min(least + 10 * SLACK, 1.0)
+    return (least * units + np.sqrt(1 - least**2) * turn).astype(np.float32)
+
+
+def _vouched(graph: Graph, least: float) -> tuple[int, np.ndarray]:
+    """The beam that finds the nodes of a shard from their probes, and the nodes it does not find."""
+    probes, lost, width = _probes(graph.vectors, least), np.arange(len(graph.vectors)), WIDTH
+    while True:
+        left = []
+        for at in range(0, len(lost), AT_ONCE):
+            part = lost[at : at + AT_ONCE]
+            q, node = graph.within(probes[part], least - SLACK, width)
+            left.append(np.delete(part, q[node == part[q]]))
+        lost = np.concatenate(left)
+        if len(lost) <= STRAYS * len(graph.vectors) or width >= len(graph.vectors):
+            return width, lost
+        width *= 2
+
+
+def _build(least: float):
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        units = _units(rows["e"])
+        graph = Graph.build(units.astype(np.float32))
+        width, graph.strays = _vouched(graph, least - SLACK)
+        raw = _packed(rows["id"].to_numpy(), rows["copies"].to_numpy(), units, graph, width)
+        return pd.DataFrame({"dim": [key[0]], "shard": [key[1]], "graph": [raw]})
 
+    return run
 
-def _audited_width(graph: Graph, queries: np.ndarray, least: float, own: np.ndarray | None = None) -> int | None:
-    """The beam whose search misses no link of any audited query; None: compare with all.
 
-    ``own`` tells which queries are nodes of the shard: these find themselves, which tells nothing.
-    """
-    n, width, telling = len(queries), WIDTH, 0
-    own = np.zeros(n, bool) if own is None else own
-    order = np.random.default_rng(n).permutation(n)
-    for at in range(0, n if n >= ENOUGH else 0, AT_ONCE):
+def _audited_width(graph: Graph, queries: np.ndarray, least: float, width: int = WIDTH) -> int | None:
+    """The beam, ``width`` or a wider one, whose search misses no link of any audited query; None:
+    no beam does short of the whole shard, so compare with all."""
+    n = len(queries)
+    order = np.random.default_rng((n, len(graph.vectors))).permutation(n)[:AUDITED]
+    for at in range(0, len(order), AT_ONCE):
         drawn = order[at : at + AT_ONCE]
         exact = queries[drawn] @ graph.vectors.T >= least + SLACK / 2  # rounding may part the two below that
-        links = exact.sum(axis=1) - own[drawn]
-        telling += int(((links > 0) & (links < WIDTH)).sum())
         while width < len(graph.vectors):
             missed = exact.copy()
             missed[graph.within(queries[drawn], least, width)] = False
             if not missed.any():
                 break
             width *= 2
-        done = at + len(drawn)
-        if width >= len(graph.vectors) or done >= JUDGED and telling * n < ENOUGH * done:
-            return None
-        if telling >= ENOUGH:
-            return width
-    return None
+    return width if width < len(graph.vectors) else None
 
 
 def _search(least: float):
@@ -95,10 +115,10 @@ def _search(least: float):
         columns = ["id", "links", "a", "b"]
         if not len(graphs) or not len(rows):
             return pd.DataFrame(columns=columns, dtype="Int64")
-        ids, copies, units, graph = _unpacked(graphs["graph"].iloc[0])
+        ids, copies, units, graph, width = _unpacked(graphs["graph"].iloc[0])
         own, queries = rows["id"].to_numpy(), _units(rows["e"])
         single = queries.astype(np.float32)
-        width = _audited_width(graph, single, least - SLACK, np.isin(own, ids))
+        width = _audited_width(graph, single, least - SLACK, width)
         links = np.zeros(len(own), np.int64)
         a, b = np.empty(0, np.int64), np.empty(0, np.int64)
         for at in range(0, len(own), AT_ONCE):
@@ -141,7 +161,7 @@ def embedding_dedup(vectors: DataFrame, least: float = LEAST) -> DataFrame:
     shards, blocks = max(MIN_SHARDS, -(-n // SHARD_ROWS)), max(1, -(-n // BLOCK_ROWS))
     shard = F.pmod(F.xxhash64("id"), F.lit(shards)).alias("shard")
     built = nodes.select("dim", shard, "id", "e", "copies").groupBy("dim", "shard")
-    graphs = written(built.applyInPandas(_build, "dim INT, shard LONG, graph BINARY"), "graphs")
+    graphs = written(built.applyInPandas(_build(least), "dim INT, shard LONG, graph BINARY"), "graphs")
     every = lambda k: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(k - 1).cast("long")))
     asked = graphs.select("dim", "shard", every(blocks).alias("block"), "graph")
     block = F.pmod(F.xxhash64("id", F.lit("block")), F.lit(blocks)).alias("block")

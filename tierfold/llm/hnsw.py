@@ -47,10 +47,12 @@ def _ordered(near: np.ndarray, ids: np.ndarray, width: int) -> tuple[np.ndarray,
 
 
 class Graph:
-    """The graph of one shard."""
+    """The graph of one shard. ``strays``: nodes that searches do not reach, so that :meth:`within`
+    compares them with every query."""
 
-    def __init__(self, vectors: np.ndarray, layers: list[Layer], entry: int):
+    def __init__(self, vectors: np.ndarray, layers: list[Layer], entry: int, strays: np.ndarray | None = None):
         self.vectors, self.layers, self.entry = vectors, layers, entry
+        self.strays = np.empty(0, np.int64) if strays is None else strays
 
     @classmethod
     def build(cls, vectors: np.ndarray, seed: int = 1) -> Graph:
@@ -197,4 +199,9 @@ class Graph:
             links = self.layers[0].links[pool[np.unique(j)]].ravel()
             links = np.unique(links[links >= 0])
             pool = links[~inside[links]]
-        return np.concatenate(out_q), np.concatenate(out_n)
+        if len(self.strays):
+            i, j = np.nonzero(queries @ self.vectors[self.strays].T >= least)
+            out_q.append(i)
+            out_n.append(self.strays[j])
+        pairs = np.unique(np.concatenate(out_q) * len(self.vectors) + np.concatenate(out_n))
+        return pairs // len(self.vectors), pairs % len(self.vectors)
