@@ -7,7 +7,7 @@ from collections import defaultdict
 
 import pytest
 
-from tierfold.llm.mixing import mix, mixed_documents
+from tierfold.llm.mixing import mix, mixed_documents, source_targets
 
 SCHEMA = "doc_id LONG, text STRING, source STRING, size STRING, n_chars LONG"
 
@@ -23,7 +23,8 @@ def plain_targets(sizes):
     while True:
         free = [s for s in names if s not in capped]
         left = total - sum(3 * sizes[s] for s in capped)
-        share = {s: left * weight[s] / sum(weight[f] for f in free) for s in free}
+        weights = sum(weight[f] for f in free)
+        share = {s: left * weight[s] / weights for s in free}
         over = {s for s in free if share[s] > 3 * sizes[s]}
         if not over:
             return {s: 3.0 * sizes[s] if s in capped else share[s] for s in names}
@@ -61,6 +62,20 @@ def test_targets_and_cuts(spark):
         assert full == sorted(full, reverse=True) and sum(0 < e and not f for e, f in zip(extra, full, strict=True)) <= 1
 
 
+def test_targets_of_very_many_sources(spark):
+    """More than 100,000 of them: no step holds all, and none is refused."""
+    n = 120_000
+    size = lambda i: i * 7919 % 1000 + (i % 1000 == 0) * 400_000
+    sizes = spark.range(n).selectExpr("CASE WHEN id > 0 THEN format_string('s%06d', id) END AS source", "id")
+    sizes = sizes.selectExpr("source", "id * 7919 % 1000 + IF(id % 1000 = 0, 400000, 0) AS source_size")
+    got = {r.source: r.target for r in source_targets(sizes).collect()}
+    of = {(f"s{i:06d}" if i else None): size(i) for i in range(n)}
+    targets = plain_targets(of)
+    assert got.keys() == targets.keys()
+    assert all(abs(got[s] - t) <= 1e-9 * max(1, t) for s, t in targets.items())
+    assert 0 < sum(t == 3 * of[s] for s, t in got.items()) < n
+
+
 def test_reruns_agree(spark):
     df = spark.createDataFrame(make(), SCHEMA)
     runs = [sorted((r.doc_id, r.taken) for r in mix(d).collect()) for d in (df, df.repartition(7).orderBy("text"))]

@@ -4,6 +4,7 @@ Every document gets a hash-random key. Within each source the documents are deal
 digits of the key, into ranges and sorted there; prefix sums of the ranges' word counts, taken over
 two levels of digits, say how many words lie before each range. So no task ever holds a source, and
 each source is cut at its exact budget: whole epochs first, then the first words in key order.
+Weights and targets come from prefix sums over ranges of the sources, of which there may be any number.
 
 Only DataFrame functions are used.
 """
@@ -18,8 +19,6 @@ from tierfold.llm.common import WORD, name_of, text_of, unboxed, with_text, writ
 WEIGHTS, MOST_EPOCHS = (1, 2, 3), 3
 #: Hexadecimal digits of the key that tell the coarse and the fine ranges of a source.
 COARSE, FINE = 3, 6
-#: Sources are a small dimension; more of them than this is taken for a mistake.
-MAX_SOURCES = 100_000
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
@@ -31,22 +30,42 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     per unit of weight that is left after k of them are at their limit holds as soon as the next
     one stays below its limit.
     """
-    if sizes.count() > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources: group them before mixing")
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*map(F.lit, weights)), (rank % len(weights) + 1).cast("int"))
+    named = F.col("source").asc_nulls_last()
+    ranked = _running(sizes, "mix-names", [named], {"rank": F.lit(1)})
+    turn = (F.col("rank") % len(weights) + 1).cast("int")
+    sized = ranked.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), turn).cast("long"))
     limit = F.col("source_size") * most
-    sized = sizes.withColumn("weight", weight.cast("long")).withColumn("ratio", limit / F.col("weight"))
-    order = Window.orderBy("ratio", F.col("source").asc_nulls_last())
-    upto = order.rowsBetween(Window.unboundedPreceding, -1)
-    onward = order.rowsBetween(0, Window.unboundedFollowing)
-    left = F.sum("source_size").over(Window.partitionBy()) - F.coalesce(F.sum(limit).over(upto), F.lit(0))
-    sized = sized.withColumn("level", left / F.sum("weight").over(onward))
-    level = F.max(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(Window.partitionBy())
+    sized = sized.withColumn("ratio", limit / F.col("weight"))
+    # what the sources before this one in the order of limit by weight take and weigh
+    order = [F.col("ratio").asc(), named]
+    sums = {"limits": limit, "weights": F.col("weight")}
+    sized = _running(sized.select("source", "source_size", "weight", "ratio"), "mix-ratios", order, sums)
+    total = sized.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0))).first()
+    level = (F.lit(total[0]) - F.col("limits")) / (F.lit(total[1]) - F.col("weights"))
+    level = sized.agg(F.max(F.when(level <= F.col("ratio"), level)).alias("level")).first()[0]
+    level = F.lit(level).cast("double")
     target = F.when(F.col("ratio") <= level, limit.cast("double")).otherwise(level * F.col("weight"))
     return sized.select("source", "source_size", target.alias("target"))
 
 
+def _running(df: DataFrame, purpose: str, order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """``df`` with, per name of ``sums``, the sum over all rows that come before in ``order``.
+
+    Rows are dealt over ranges of the order, as many as shuffle partitions, and written, since the
+    bounds of ranges are drawn anew whenever they are computed. The ranges' own sums say what comes
+    before each; only that table, one row a range, is put in order in one place.
+    """
+    ranged = written(df.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), purpose)
+    upto = lambda window: window.rowsBetween(Window.unboundedPreceding, -1)
+    running = lambda of, window: F.coalesce(F.sum(of).over(upto(window)), F.lit(0))
+    totals = ranged.groupBy("range").agg(*(F.sum(c).alias(n) for n, c in sums.items()))
+    before = totals.select("range", *(running(F.col(n), Window.orderBy("range")).alias(f"before_{n}") for n in sums))
+    within = Window.partitionBy("range").orderBy(*order)
+    ranged = ranged.withColumns({n: running(c, within) for n, c in sums.items()}).join(before, "range")
+    ranged = ranged.withColumns({n: F.col(n) + F.col(f"before_{n}") for n in sums})
+    return ranged.drop("range", *(f"before_{n}" for n in sums))
+
+
 def shuffle_key(doc_id: Column, text: Column) -> Column:
     """The hash-random key of a document, the same in every run: of its id, or of its text without one."""
     return F.md5(F.coalesce(doc_id.cast("string"), F.md5(text)))
@@ -81,11 +100,11 @@ def mix(
     earlier = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
     before_coarse = F.coalesce(F.sum("words").over(earlier("s").orderBy("coarse")), F.lit(0))
     before_fine = F.coalesce(F.sum("words").over(earlier("s", "coarse").orderBy("fine")), F.lit(0))
-    coarse = coarse.select("s", "coarse", before_coarse.alias("before_coarse"))
+    # a source meets its target as few rows, one a coarse range; the tables are broadcast if they are small
+    coarse = coarse.select("s", "coarse", before_coarse.alias("before_coarse")).join(written(targets, "mix-targets"), "s")
     ranges = fine.select("s", "coarse", "fine", before_fine.alias("before_fine")).join(coarse, ["s", "coarse"])
-    ranges = ranges.select("s", "fine", (F.col("before_coarse") + F.col("before_fine")).alias("offset"))
-    # at most MAX_SOURCES rows
-    ranges = ranges.join(F.broadcast(written(targets, "mix-targets")), "s")
+    offset = F.col("before_coarse") + F.col("before_fine")
+    ranges = ranges.select("s", "fine", offset.alias("offset"), "source_size", "target")
     within = F.sum("size").over(earlier("s", "fine").orderBy("key", "size"))
     df = df.withColumn("within", F.coalesce(within, F.lit(0))).drop("source", "coarse").join(ranges, ["s", "fine"])
     budget = F.expr("CAST(FLOOR(target) AS BIGINT)")
