@@ -63,6 +63,32 @@ def test_layout_words_round_the_page_take_nothing():
             assert main_text(page(inner, opened + around, around + closed, wrap)) == expected
 
 
+def test_sections_whose_names_hold_a_layout_word_among_others_stay():
+    more = " ".join(f"Another thing to be said, number {i}, is this." for i in range(9))
+    names = ("related-work", "social-impact", "search-results-explained", "no-comments", "notice-period", "banner-history")
+    for name in (*names, "section-two"):
+        inner = f"<section class='intro'><h2>One</h2><p>{BODY}</p><p>{BODY}</p></section><section class='{name}'><h2>Two</h2><p>{more}</p></section>"
+        for wrap in ("article", "div"):
+            assert main_text(page(inner, wrap=wrap)) == f"One\n\n{BODY}\n\n{BODY}\n\nTwo\n\n{more}", (name, wrap)
+
+
+def test_layout_names_and_mixed_names_beside_low_ratios_go():
+    comment = "<p>First! Such a nice text, thank you. I have read it twice, and will do so again.</p>"
+    for name in ("comments", "comments-list", "comment-117", "related-posts", "cookie_bar", "ad-slot-3", "sidebar-left"):
+        assert main_text(page(f"<p>{BODY}</p><div class='{name}'>{comment * 3}</div>")) == BODY, name
+    for name in ("promo-summer", "newsletter-acme", "share-it-now"):
+        assert main_text(page(f"<p>{BODY}</p><div class='{name}'><p>Get it now</p><p>Only today</p></div>")) == BODY, name
+
+
+def test_stand_ins_nest_and_end_with_what_is_around_them():
+    for tag in ("svg", "math", "object", "noscript", "template", "canvas"):
+        nested = f"<{tag}><g><{tag}>a</{tag}>b</g>c</{tag}>"
+        assert main_text(page(f"<p>{BODY}</p>{nested}<p>{BODY}</p>")) == f"{BODY}\n\n{BODY}", tag
+        assert main_text(page(f"<div><p>{BODY}</p><{tag}>no</div><p>{BODY}</p>")) == f"{BODY}\n\n{BODY}", tag
+    assert main_text(page(f"<p>{BODY}</p><svg><path d='M0'><p>{BODY}</p>")) == f"{BODY}\n\n{BODY}"
+    assert main_text(page(f"<p>{BODY}</p><svg><foreignObject><div>label</div></foreignObject></svg><p>{BODY}</p>")) == f"{BODY}\n\n{BODY}"
+
+
 def test_the_head_of_an_article_keeps_its_title():
     assert main_text(page(f"<div class='entry-header'><h1>A title</h1></div><p>{BODY}</p>")) == f"A title\n\n{BODY}"
 

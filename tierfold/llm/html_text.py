@@ -6,7 +6,9 @@ smoothed over the nodes in page order, and paths whose mean is not far below the
 All nodes of a content path belong to the text, so short paragraphs stay beside long ones. Scripts,
 styles, nav and footer are left out first. Elements that rarely are an article's text by their name
 or by a word of their class, id or role (forms, adverts and the like) only score less, and not at
-all less if most of the page's text is in them.
+all less if most of the page's text is in them. A class, id or role that joins such a word with words
+that are none of layout ("related-work") counts only beside a low ratio: not if its element's
+ratio of text and punctuation is like that of the page's other text.
 
 Pages are independent: each is parsed by itself inside a task.
 """
@@ -27,7 +29,7 @@ from tierfold.llm.common import name_of
 
 #: Element names by their role in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe textarea title svg math object canvas".split())
+RAW = frozenset("script style iframe textarea title".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section select "
@@ -39,7 +41,11 @@ CELLS = frozenset("td th br".split())
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}}
 SIBLINGS |= {"th": {"td", "th"}, "option": {"option"}}
 CONTAINERS = frozenset("ul ol dl table tbody thead tfoot select article section div body".split())
-NOT_TEXT = frozenset("head nav footer".split())
+#: What stands in for other content; left out with all that is nested in it.
+STAND_INS = frozenset("noscript template svg math object canvas".split())
+#: Of these, the ones whose content is no HTML: a block that opens in them ends them.
+FOREIGN = frozenset("svg math".split())
+NOT_TEXT = frozenset("head nav footer".split()) | STAND_INS
 RARELY_TEXT = frozenset("aside form button select dialog menu label fieldset".split())
 ARTICLE = frozenset("article main".split())
 #: Words of class, id or role that name what rarely is an article's text.
@@ -50,7 +56,13 @@ HINTS = frozenset(
     "share sharing social related recommended widget toolbar pagination pager copyright search contentinfo "
     "complementary dialog hidden".split()
 )
-#: Of these, words that within an article name the head of its own.
+#: Words that stand beside those in names of layout, such as cookie-bar or comments-list.
+LAYOUT = frozenset(
+    "area bar block body bottom box btn button buttons card cards col column container content foot group grid head id "
+    "inner item items label left link links list lower main marker outer page pane panel post posts primary region right "
+    "row secondary section site slot spot sticky tab tabs text title top unit upper view wrap wrapper zone".split()
+)
+#: Of HINTS, words that within an article name the head of its own.
 OWN_HEAD = frozenset("header masthead".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？、]")
 TOKEN = re.compile(
@@ -67,6 +79,8 @@ THRESHOLD = 0.1
 #: of the page's text outside links is spared it; least share of the text of the best article, or of
 #: what is outside articles, that keeps another one.
 PENALTY, SPARED_CHARS, SHARE = 0.05, 250, 0.5
+#: Least share of the other text's ratio that lifts a doubt from a name that is not of layout alone.
+LIFTS = 0.5
 
 
 @dataclass(frozen=True)
@@ -86,14 +100,39 @@ class Path:
 ROOT = Path(None, "", None, None)
 
 
+def fused_ratio(chars: int, nodes: int, marks: int) -> float:
+    """Of characters outside links and marks of punctuation to text nodes."""
+    return (chars / nodes * (1 + marks / nodes)) ** 0.5 if nodes else 0.0
+
+
+def of_layout(name: str) -> bool | None:
+    """Whether a class, id or role names layout: true if all its words do, none of HINTS apart; None
+    if only some of them do; false without a word of HINTS."""
+    parts = [p for p in re.split(r"[^a-z]+", name) if p]
+    if not HINTS.intersection(parts):
+        return False
+    return True if all(p in HINTS or p in LAYOUT for p in parts) else None
+
+
 @dataclass(eq=False)
 class Doubt:
-    """An element that rarely is text, the one around it, and its characters outside links."""
+    """An element that rarely is text, the one around it, whether its name leaves that open; its
+    characters outside links, text nodes, marks of punctuation and all characters."""
 
     above: Doubt | None
+    open: bool = False
     chars: int = 0
+    nodes: int = 0
+    marks: int = 0
+    all: int = 0
     counts: bool = False
 
+    def add(self, chars: int, nodes: int, marks: int, all_: int) -> None:
+        self.chars, self.nodes, self.marks, self.all = self.chars + chars, self.nodes + nodes, self.marks + marks, self.all + all_
+
+    def ratio(self) -> float:
+        return fused_ratio(self.chars, self.nodes, self.marks)
+
 
 @dataclass
 class Node:
@@ -168,6 +207,14 @@ class _Parser:
             if open_ in CONTAINERS:
                 return
 
+    def close_foreign(self) -> None:
+        for at in range(len(self.stack) - 1, 0, -1):
+            if self.counts["svg"] + self.counts["math"] <= 0 or self.stack[at].tag == "foreignobject":
+                return
+            if self.stack[at].tag in FOREIGN:
+                self.cut(at)
+                return
+
     def close_paragraph(self) -> None:
         if self.counts["p"] <= 0:
             return
@@ -180,6 +227,7 @@ class _Parser:
 
     def start(self, tag: str, attributes: str) -> None:
         if tag in BLOCKS:
+            self.close_foreign()
             self.close_paragraph()
         if tag in SIBLINGS:
             self.close_sibling(tag)
@@ -187,17 +235,18 @@ class _Parser:
             return
         top, names = self.stack[-1], []
         for found in HINTED.finditer(attributes):
-            names += re.split(r"[^a-z0-9]+", "".join(g or "" for g in found.groups()).lower())
-        hints = HINTS.intersection(names) if tag not in ARTICLE and tag not in ("html", "body") else frozenset()
+            names += "".join(g or "" for g in found.groups()).lower().split()
+        kinds = [of_layout(x) for x in names] if tag not in ARTICLE and tag not in ("html", "body") else []
         if top.path.article is not None:
-            hints = hints - OWN_HEAD
-        rarely = tag in RARELY_TEXT or bool(hints) or (tag == "header" and top.path.article is None)
+            kinds = [k for k, x in zip(kinds, names, strict=True) if not OWN_HEAD.intersection(re.split(r"[^a-z]+", x))]
+        rarely = tag in RARELY_TEXT or True in kinds or (tag == "header" and top.path.article is None)
+        rarely = rarely or bool(attributes and HIDDEN.search(attributes))
         doubt = top.doubt
-        if rarely or attributes and HIDDEN.search(attributes):
-            doubt = Doubt(doubt)
+        if rarely or None in kinds:
+            doubt = Doubt(doubt, open=not rarely)
             self.doubts.append(doubt)
         out = top.out or tag in NOT_TEXT
-        step = f"{tag}.{names[0]}" if names and tag in BLOCKS else tag
+        step = f"{tag}.{re.split(r'[^a-z0-9]+', names[0])[0]}" if names and tag in BLOCKS else tag
         self.stack.append(_Open(tag, self.path(top.path, tag, step), out, top.linked or tag == "a", doubt))
         self.counts[tag] += 1
 
@@ -227,20 +276,29 @@ def text_nodes(page: str) -> list[Node]:
             at = end.end() if end else len(page)
         else:
             parser.start(tag, attributes)
-    total = 0
-    for node in parser.nodes:
-        if not node.linked:
-            chars = len(node.text.strip())
-            total += chars
-            if node.doubt is not None:
-                node.doubt.chars += chars
-    for doubt in reversed(parser.doubts):
+    _settle_doubts(parser.nodes, parser.doubts)
+    return parser.nodes
+
+
+def _settle_doubts(nodes: list[Node], doubts: list[Doubt]) -> None:
+    """Which doubts count: not those in whose element most of the text is, nor those from a name that
+    leaves it open if the element's ratio is like that of all text outside doubts."""
+    total, others = 0, Doubt(None)
+    for node in nodes:
+        text = node.text.strip()
+        if not text:
+            continue
+        sums = (0, 1, 0) if node.linked else (len(text), 1, len(PUNCTUATION.findall(text)))
+        total += sums[0]
+        (others if node.doubt is None else node.doubt).add(*sums, len(text))
+    for doubt in reversed(doubts):
         if doubt.above is not None:
-            doubt.above.chars += doubt.chars
-    for doubt in parser.doubts:
+            doubt.above.add(doubt.chars, doubt.nodes, doubt.marks, doubt.all)
+    least = LIFTS * others.ratio()
+    for doubt in doubts:
         spared = doubt.chars >= SPARED_CHARS and 2 * doubt.chars > total
+        spared = spared or doubt.open and 2 * doubt.chars >= doubt.all and doubt.ratio() >= least
         doubt.counts = not spared or doubt.above is not None and doubt.above.counts
-    return parser.nodes
 
 
 Key = tuple[Path, bool]
@@ -263,7 +321,7 @@ def content_paths(nodes: list[Node]) -> set[Key]:
             sums[1] += len(node.text)
             sums[2] += len(PUNCTUATION.findall(node.text))
     factor = {k: PENALTY if k[1] else 1 for k in totals}
-    fused = {k: factor[k] * (chars / n * (1 + marks / n)) ** 0.5 for k, (n, chars, marks, _) in totals.items()}
+    fused = {k: factor[k] * fused_ratio(chars, n, marks) for k, (n, chars, marks, _) in totals.items()}
     raw = [fused[node.key] for node in nodes]
     means: dict[Key, list[float]] = {}
     for i, node in enumerate(nodes):
