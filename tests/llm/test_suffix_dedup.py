@@ -124,10 +124,17 @@ def test_long_runs_against_all_windows(spark, monkeypatch):
 def test_a_hot_mark_of_one_document_goes_to_several_tasks(spark):
     candidates = spark.range(50_000).selectExpr("7L AS h", "1L AS doc", "2L AS k2", "id * 200 AS first")
     counts = candidates.groupBy("h").count().withColumnRenamed("count", "n")
-    tasks = sd._dealt(candidates, counts, 50_000).groupBy("h", "salt").count().collect()
+    tasks = sd._dealt(candidates, counts).groupBy("h", "salt").count().collect()
     assert max(r["count"] for r in tasks) < 2 * sd.MARK_ROWS
 
 
+def test_marks_that_are_a_small_share_of_all_are_dealt_too(spark):
+    n, rows = 3 * sd.MARK_ROWS, 200
+    counts = spark.range(rows).selectExpr("id AS h", f"{n}L AS n").union(spark.range(1).selectExpr("-1L", f"{10**12}L"))
+    candidates = spark.range(rows * 30).selectExpr(f"id % {rows} AS h", "id AS doc", "2L AS k2", "id * 200 AS first")
+    assert {r.salts for r in sd._dealt(candidates, counts).select("salts").distinct().collect()} == {3}
+
+
 def test_touching_spans_leave_a_task_as_one():
     n = 500
     rows = pd.DataFrame({"h": 1, "doc": 3, "k2": 4, "first": np.arange(n) * 50, "windows": 1, "mark": 0, "bytes": b"z" * 100, "salts": 1, "salt": 0})

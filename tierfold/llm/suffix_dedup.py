@@ -38,8 +38,8 @@ SEGMENT, POSITION_BITS = 1 << 20, 24
 #: Bits of the filter of repeated marks that is broadcast: 16 MB whatever the corpus. More bits let
 #: fewer unique marks through; those change no result.
 FILTER_BITS, FILTER_PARTS = 27, 128
-#: Rows of one mark in one task, of one task, and the most marks that are dealt over several.
-MARK_ROWS, TASK_ROWS, MOST_DEALT = 4096, 40_000, 20_000
+#: Rows of one mark in one task, and of one task.
+MARK_ROWS, TASK_ROWS = 4096, 40_000
 SHALLOW = 32
 NULL_ID = 2**63 - 1
 
@@ -353,12 +353,15 @@ def _filter_part(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"part": rows["part"][:1], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
 
 
-def _dealt(candidates: DataFrame, counts: DataFrame, total: int) -> DataFrame:
-    """``candidates`` with the number of tasks ``salts`` of their mark and the one of each, ``salt``."""
-    # no more than MOST_DEALT marks can have so large a share of all
-    least = max(2 * MARK_ROWS, total // MOST_DEALT)
-    dealt = counts.where(F.col("n") >= least).select("h", F.ceil(F.col("n") / MARK_ROWS).cast("int").alias("salts"))
-    candidates = candidates.join(F.broadcast(dealt), "h", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+def _dealt(candidates: DataFrame, counts: DataFrame) -> DataFrame:
+    """``candidates`` with the number of tasks ``salts`` of their mark and the one of each, ``salt``.
+
+    Every mark of two tasks' rows and more is dealt. The table of these marks has no hint: it is
+    written, so its size is known, and Spark broadcasts it while that is below the session's limit.
+    """
+    dealt = counts.where(F.col("n") >= 2 * MARK_ROWS)
+    dealt = written(dealt.select("h", F.ceil(F.col("n") / MARK_ROWS).cast("int").alias("salts")), "dealt")
+    candidates = candidates.join(dealt, "h", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
     return candidates.withColumn("salt", F.pmod(F.xxhash64("doc", "k2", "first"), F.col("salts")).cast("int"))
 
 
@@ -378,10 +381,12 @@ def repeated_spans(docs: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame
     for r in parts:
         bits[r["part"] * size // 8 : (r["part"] + 1) * size // 8] = r["bits"]
     candidates = docs.mapInArrow(_candidates(spark.sparkContext.broadcast(bytes(bits)), filter_bits), CANDIDATES)
-    candidates = _dealt(candidates, counts, total)
+    candidates = _dealt(candidates, counts)
     tasks = max(4 * spark.sparkContext.defaultParallelism, total // TASK_ROWS)
     task = F.pmod(F.xxhash64("h", "salt"), F.lit(tasks))
-    found = written(candidates.groupBy(task.alias("task")).applyInPandas(_settle, FOUND), "repeats")
+    # as many partitions as tasks, whatever the session's shuffle partitions
+    candidates = candidates.withColumn("task", task).repartition(tasks, "task")
+    found = written(candidates.groupBy("task").applyInPandas(_settle, FOUND), "repeats")
     spans = found.where("a IS NULL").select("doc", "k2", "start", "end")
     left = found.where("a IS NOT NULL")
     place = F.struct("doc", "k2", "start")
