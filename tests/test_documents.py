@@ -95,6 +95,23 @@ def test_bout_rows_follow_pointers_level_by_level(spark):
     assert second.fighter_b_name is None
 
 
+def test_bouts_are_shuffled_once_whatever_they_point_to(spark, plan):
+    """Bouts alike in event and place, half of them pointing to one document."""
+    event = lambda k: {"id": 1, "competitions": [{"id": k, "competitors": [
+        {"athlete": {"fullName": f"A{k}"}}, ref("hot") if k % 2 else {"athlete": ref("gone")}]}]}
+    found = references(spark, hot={"athlete": ref("star")}, star={"fullName": "Star"})
+    docs = documents(spark, *map(event, range(40)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = E.bout_rows(docs, found.union(found))
+        text = plan(rows)
+        got = {r.competition_id: (r.fighter_a_name, r.fighter_b_name) for r in rows.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == {str(k): (f"A{k}", "Star" if k % 2 else None) for k in range(40)}
+    assert text.count("Exchange hashpartitioning(_key") == 1
+
+
 def test_bout_rows_without_references_keep_inline_parts(spark):
     event = {"id": 1, "competitions": [{"id": 2, "competitors": [
         {"winner": None, "athlete": {"displayName": "", "fullName": "F"}, "statistics": None}]}]}

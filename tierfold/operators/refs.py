@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierfold.operators.unnest import unnest
@@ -13,11 +14,49 @@ REF = "$ref"
 ATHLETE_ID = r"/athletes/(\d+)"
 
 
+def _payloads(documents: DataFrame) -> DataFrame:
+    """(url, payload): each url once, with the last of its payloads in text order."""
+    return documents.groupBy("url").agg(F.max("payload").alias("payload"))
+
+
+def with_documents(
+    rows: DataFrame,
+    documents: DataFrame,
+    text: str,
+    by: Sequence[str],
+    pointers: Callable[[Column], Column],
+    hops: int,
+    held: str = "held",
+) -> DataFrame:
+    """``rows`` with a map ``held`` of the (url, payload) documents that the pointers in the JSON
+    text ``text`` lead to, directly or by way of other documents, NULL where there are none.
+
+    ``pointers`` gives the urls in a text that may be followed, ``hops`` how many of them one after
+    the other. The rows are shuffled once, by a hash of ``by``, which spreads them whatever they point
+    to; the urls meet the documents without the rows. Rows of equal hash hold each other's documents.
+    """
+    found = _payloads(documents)
+    links = found.select(F.col("url").alias("_from"), F.explode(pointers(F.col("payload"))).alias("_to"))
+    steps = [found.select("url", F.col("url").alias("to"))]
+    for _ in range(hops - 1):
+        further = steps[-1].join(links, F.col("to") == F.col("_from"))
+        steps.append(further.select("url", F.col("_to").alias("to")).distinct())
+    reached = reduce(DataFrame.unionAll, steps).distinct().withColumnRenamed("url", "_url")
+    reached = reached.join(found, F.col("to") == F.col("url")).select("_url", "to", "payload")
+    key = F.xxhash64(*by)
+    asked = rows.select(key.alias("_asking"), F.explode(pointers(F.col(text))).alias("_asked"))
+    lists = asked.join(reached, F.col("_asked") == F.col("_url")).groupBy("_asking").agg(
+        F.map_from_entries(F.collect_set(F.struct("to", "payload"))).alias(held)
+    )
+    keyed = rows.withColumn("_key", key)
+    return keyed.join(lists, F.col("_key") == F.col("_asking"), "left").drop("_key", "_asking")
+
+
 def resolve_refs(
     df: DataFrame,
-    documents: DataFrame,
+    documents: DataFrame | Column,
     columns: Mapping[str, str],
-    spread_by: Sequence[str],
+    spread_by: Sequence[str] = (),
     text_of: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Replace objects that are pointers by the (url, payload) documents they point to.
@@ -28,25 +67,24 @@ def resolve_refs(
     becomes an object without values; objects that are no pointers stay. ``text_of`` names the
     columns that hold an object's JSON text and are to follow the pointer too.
 
-    Rows without a pointer get a join key of their own from ``spread_by`` instead of NULL, or they
-    would all meet in one shuffle partition. A url that very many rows point to is split by AQE,
-    as it sits on the streamed side of the join.
+    ``documents`` may be a map that each row holds, see :func:`with_documents`; no row moves then.
+    Otherwise rows without a pointer get a join key of their own from ``spread_by`` instead of NULL,
+    or they would all meet in one shuffle partition.
     """
-    found = documents.groupBy(F.col("url").alias("_url")).agg(F.max("payload").alias("_payload"))
-    spread = F.concat(F.lit("inline "), F.xxhash64(*spread_by).cast("string"))
     for c, kind in columns.items():
         url = F.nullif(F.col(c)[REF], F.lit(""))
+        if isinstance(documents, DataFrame):
+            found = _payloads(documents).select(F.col("url").alias("_url"), F.col("payload").alias("_payload"))
+            spread = F.concat(F.lit("inline "), F.xxhash64(*spread_by).cast("string"))
+            df = df.withColumn("_key", F.coalesce(url, spread)).join(found, F.col("_key") == F.col("_url"), "left")
+        else:
+            df = df.withColumn("_payload", F.when(url.isNotNull(), F.try_element_at(documents, url)))
         payload = F.coalesce("_payload", F.lit("{}"))
         followed = {c: F.when(url.isNotNull(), F.from_json(payload, kind)).otherwise(F.col(c))}
         if text_of and c in text_of:
             text = text_of[c]
             followed[text] = F.when(url.isNotNull(), payload).otherwise(F.col(text))
-        df = (
-            df.withColumn("_key", F.coalesce(url, spread))
-            .join(found, F.col("_key") == F.col("_url"), "left")
-            .withColumns(followed)
-            .drop("_key", "_url", "_payload")
-        )
+        df = df.withColumns(followed).drop("_key", "_url", "_payload")
     return df
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tierfold.functions.json_text import first_text, is_object, struct_of, truth
 from tierfold.functions.numbers import digits_to_int
 from tierfold.functions.text import strip_text
-from tierfold.operators.refs import REF, resolve_refs
+from tierfold.operators.refs import REF, resolve_refs, with_documents
 from tierfold.operators.unnest import unnest
 
 POINTER = {REF: "STRING"}
@@ -38,6 +38,16 @@ STATISTIC = struct_of(
 STATISTICS = f"ARRAY<{STATISTIC}>"
 STATISTICS_BOX = struct_of(**POINTER, stats=STATISTICS, items=STATISTICS)
 
+# Only the pointers of a bout, or of what a bout leads to; a list or an object stays text for now.
+LINK = struct_of(**POINTER)
+LINKED = struct_of(**POINTER, athlete=LINK, statistics="STRING")
+LINKS = struct_of(
+    **POINTER, weightClass=LINK, weight=LINK, status=LINK, athlete=LINK, statistics="STRING",
+    competitors="STRING", items=f"ARRAY<{LINKED}>",
+)
+#: The longest way: bout, competitors, competitor, athlete.
+HOPS = 4
+
 
 def _opened(documents: DataFrame, payload: str) -> DataFrame:
     """(event, short_name, first, raw_payload): the event, out of its ``header`` envelope if it
@@ -85,18 +95,47 @@ def event_rows(documents: DataFrame, payload: str = "payload") -> DataFrame:
     )
 
 
-def exploded_bouts(documents: DataFrame, payload: str = "payload") -> DataFrame:
-    """(event_id, event_date, bout_index, bout_text, bout): one row per bout."""
+def _bout_texts(documents: DataFrame, payload: str) -> DataFrame:
     first = F.get("event.competitions", F.lit(0))
     date = first_text(F.col("event.date"), F.get_json_object(first, "$.date"))
-    rows = unnest(
+    return unnest(
         _opened(documents, payload),
         [F.coalesce("event.id", F.lit("")).alias("event_id"), date.alias("event_date")],
         "event.competitions",
         "bout_text",
         "bout_index",
     )
-    return rows.withColumn("bout", F.from_json("bout_text", BOUT))
+
+
+def exploded_bouts(documents: DataFrame, payload: str = "payload") -> DataFrame:
+    """(event_id, event_date, bout_index, bout_text, bout): one row per bout."""
+    return _bout_texts(documents, payload).withColumn("bout", F.from_json("bout_text", BOUT))
+
+
+def bout_pointers(text: Column) -> Column:
+    """Urls that a bout, or a document that a bout leads to, may be followed to."""
+    none = F.array().cast("array<string>")
+
+    def of_statistics(c: Column) -> Column:
+        return F.when(is_object(c["statistics"]), F.from_json(c["statistics"], LINK))[REF]
+
+    def of_pair(competitors: Column) -> Column:
+        found = F.transform(
+            F.slice(competitors, 1, 2), lambda c: F.array(c[REF], c["athlete"][REF], of_statistics(c))
+        )
+        return F.coalesce(F.flatten(found), none)
+
+    def urls(o: Column) -> Column:
+        listed = F.from_json(o["competitors"], f"ARRAY<{LINKED}>")  # an object gives a list of one
+        boxed = F.when(is_object(o["competitors"]), F.from_json(o["competitors"], struct_of(items=f"ARRAY<{LINKED}>")))
+        own = F.array(
+            o[REF], *(o[c][REF] for c in ("weightClass", "weight", "status", "athlete")), of_statistics(o)
+        )
+        every = F.concat(own, of_pair(listed), of_pair(boxed["items"]), of_pair(o["items"]))
+        return F.array_distinct(F.filter(every, lambda u: u != ""))
+
+    # Through a one-element array, so that the text is parsed once.
+    return F.get(F.transform(F.array(F.from_json(text, LINKS)), urls), F.lit(0))
 
 
 def exploded_competitors(documents: DataFrame, payload: str = "payload") -> DataFrame:
@@ -166,21 +205,27 @@ def bout_rows(
 ) -> DataFrame:
     """One row per bout with both competitors; ``event_date`` is still text.
 
-    ``refs`` (url, payload) holds the documents that pointers may lead to, each url once. Pointers
-    are followed level by level, since a bout's competitors are known only once the bout is.
+    ``refs`` (url, payload) holds the documents that pointers may lead to. Each bout first gets all
+    that it can lead to; then pointers are followed within the row, level by level, since a bout's
+    competitors are known only once the bout is.
     """
 
     def follow(df: DataFrame, **columns: str) -> DataFrame:
         if refs is None:
             return df
-        return resolve_refs(
-            df, refs, columns, ["event_id", "bout_index"], {"bout": "bout_text"}
-        )
-
-    bouts = follow(exploded_bouts(documents, payload), bout=BOUT)
+        return resolve_refs(df, F.col("held"), columns, text_of={"bout": "bout_text"})
+
+    held = [] if refs is None else ["held"]
+    bouts = exploded_bouts(documents, payload)
+    if refs is not None:
+        by = ["event_id", "bout_index", "bout_text"]
+        texts = with_documents(_bout_texts(documents, payload), refs, "bout_text", by, bout_pointers, HOPS)
+        bouts = texts.withColumn("bout", F.from_json("bout_text", BOUT))
+    bouts = follow(bouts, bout=BOUT)
     # A list that was declared as such is NULL where the document has a pointer to it.
     boxed = F.from_json("bout_text", struct_of(competitors=COMPETITOR_BOX))["competitors"]
     bouts = bouts.select(
+        *held,
         "event_id",
         "event_date",
         "bout_index",
