@@ -154,3 +154,21 @@ def test_small_batches_do_not_shuffle_the_target(spark, plan, tmp_path):
     spark.range(5).withColumn("v", F.lit(1)).write.parquet(batch)
     result = U.upsert(spark.read.parquet(path), spark.read.parquet(batch), ["id"])
     assert "BroadcastHashJoin" in plan(result) and "hashpartitioning" not in plan(result)
+
+
+def test_batch_that_applies_as_a_whole_is_staged_once(spark, tmp_path, monkeypatch):
+    """What tells the touched partitions holds keys only, and no row's other columns."""
+    path, staged, real = str(tmp_path / "t"), {}, tables.storage.staged
+
+    def watched(df, purpose):
+        staged.setdefault(purpose, []).append(df.columns)
+        return real(df, purpose)
+
+    monkeypatch.setattr(tables.storage, "staged", watched)
+    rows = spark.range(20).select("id", (F.col("id") % 3).cast("int").alias("p"), F.repeat(F.lit("x"), 50).alias("text"))
+    tables.merge_partitioned(spark, path, rows, ["id"], "p")
+    moved = rows.where("id < 5").withColumns({"p": F.lit(7), "text": F.lit("new")})
+    table = tables.merge_partitioned(spark, path, moved, ["id"], "p")
+    assert staged["applied"] == [["id", "p", "_known", "_old_p"]]
+    want = [(k, 7, "new") if k < 5 else (k, k % 3, "x" * 50) for k in range(20)]
+    assert sorted(tuple(r) for r in table.select("id", "p", "text").collect()) == want

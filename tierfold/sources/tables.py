@@ -93,7 +93,9 @@ def merge_partitioned(
     target = stored(spark, path, source, partition)
     with storage.staged(align(source, target), "batch") as batch:
         check_unique(batch, keys)
-        found = applied_rows(batch, target, keys, order, when, [partition])
+        # where every row applies, only keys need to meet the target
+        asking = batch.select(*dict.fromkeys([*keys, *order, partition])) if when == ALWAYS else batch
+        found = applied_rows(asking, target, keys, order, when, [partition])
         with storage.staged(found, "applied") as applied:
             old = f"_old_{partition}"
             moves = applied.select(partition, old, "_known").distinct().collect()
@@ -102,7 +104,8 @@ def merge_partitioned(
                 listed = F.col(partition).isin([v for v in touched if v is not None])
                 within = target.where(listed | F.col(partition).isNull() if None in touched else listed)
                 kept = within.join(applied.select(*keys), list(keys), "left_anti")
-                rows = kept.select(*target.columns).unionByName(applied.select(*target.columns))
+                taken = batch if when == ALWAYS else applied
+                rows = kept.select(*target.columns).unionByName(taken.select(*target.columns))
                 replace_partitions(spark, path, rows, partition, touched, step)
     return stored(spark, path, source, partition)
 
