@@ -1,10 +1,12 @@
 """Plans that have to hold when tables are large: pruning, pushdown and skew handling."""
 
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 
 from tierfold.operators import matchup
-from tierfold.plans import gold
+from tierfold.plans import bronze, gold
 
 
 @pytest.fixture
@@ -99,3 +101,20 @@ def test_large_sides_are_not_broadcast(wide_tables, no_broadcast, plan):
     )
     assert "SortMergeJoin" in plan(found) and "Broadcast" not in plan(found)
     assert plan(long).count("FileScan") == 1
+
+
+def test_the_gate_parses_no_document_again(spark):
+    """Documents that are dealt out before they are parsed: nothing is parsed in the stage before."""
+    run = bronze.Run("20250101T000000Z", date(2025, 1, 1))
+    bout = '{"id": 3, "competitors": []}'
+    texts = [
+        f'{{"id": 1, "date": "2024-05-01T10:00Z", "competitions": [{bout}]}}',
+        f'{{"id": 2, "competitions": [{bout}]}}', f'{{"date": "2024-05-01T10:00Z", "competitions": [{bout}]}}', "no JSON",
+    ]
+    documents = spark.createDataFrame([(t,) for t in texts], "payload STRING").repartition(2, "payload")
+    for gated, kept in ((bronze.valid_events, ["1"]), (bronze.valid_bouts, ["1"])):
+        rows = gated(documents, run)
+        lines = rows._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        below = lines[next(i for i, line in enumerate(lines) if "RepartitionByExpression" in line):]
+        assert len(below) > 1 and "from_json" not in "".join(below)
+        assert [r.event_id for r in rows.collect()] == kept

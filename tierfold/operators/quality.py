@@ -52,19 +52,20 @@ def prune_sparse(
     return df.select(*(c for c in df.columns if c in protected or c in dense))
 
 
-def _all_present(required: Sequence[str]) -> Column:
+def all_present(required: Sequence[str]) -> Column:
+    """Whether a row has all of the required columns."""
     return reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in required))
 
 
 def split_rejects(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(valid, rejected): rejected rows miss one of the required columns."""
-    complete = _all_present(required)
+    complete = all_present(required)
     return df.where(complete), df.where(~complete)
 
 
 def reject_counts(df: DataFrame, required: Sequence[str]) -> DataFrame:
     """One row with valid and rejected counts, in a single pass."""
-    complete = _all_present(required)
+    complete = all_present(required)
     return df.agg(F.count_if(complete).alias("valid"), F.count_if(~complete).alias("rejected"))
 
 

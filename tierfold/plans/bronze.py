@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tierfold.functions.dates import parse_iso_ts
 from tierfold.operators.dedupe import latest_per_key
-from tierfold.operators.quality import reject_counts, split_rejects
+from tierfold.operators.quality import all_present, reject_counts, split_rejects
 from tierfold.operators.upsert import NEVER
 from tierfold.operators.windowing import advance_watermark, resolve_watermark
 from tierfold.plans.event_documents import bout_rows, event_rows
@@ -94,13 +94,23 @@ def empty(spark: SparkSession, ddl: str) -> DataFrame:
     return spark.createDataFrame([], ddl)
 
 
+def _gated(rows: DataFrame, required: Sequence[str]) -> DataFrame:
+    """The rows that the gate lets through, for rows that are parsed on the way.
+
+    The gate filters on a generated column, which stays where it is. Catalyst would push a filter on
+    the required columns below the documents' shuffle, with a parse for every mention of a field.
+    """
+    passed = rows.select("*", F.explode(F.array(all_present(required))).alias("_passed"))
+    return passed.where("_passed").drop("_passed")
+
+
 def valid_events(documents: DataFrame, run: Run) -> DataFrame:
     """The rows that the gate lets through."""
-    return split_rejects(bronze_events(documents, run), [*EVENT_KEYS, "event_date", PARTITION])[0]
+    return _gated(bronze_events(documents, run), [*EVENT_KEYS, "event_date", PARTITION])
 
 
 def valid_bouts(documents: DataFrame, run: Run, refs: DataFrame | None = None) -> DataFrame:
-    return split_rejects(bronze_bouts(documents, run, refs), [*BOUT_KEYS, "event_date", PARTITION])[0]
+    return _gated(bronze_bouts(documents, run, refs), [*BOUT_KEYS, "event_date", PARTITION])
 
 
 @dataclass(frozen=True)

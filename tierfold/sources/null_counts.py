@@ -48,10 +48,11 @@ def renew(spark: SparkSession, path: str, like: DataFrame, partition: str) -> li
         columns = [c for c in table.columns if c != partition]
         some = spark.read.schema(table.schema).option("basePath", path).parquet(*(f"{path}/{f}" for f in changed))
         file = F.col("_metadata.file_path")
-        folder = F.regexp_extract(F.regexp_replace(file, r"/[^/]*$", ""), r"[^/]*$", 0)
+        folder = F.regexp_extract(F.regexp_replace("file", r"/[^/]*$", ""), r"[^/]*$", 0)
         nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(columns)]
-        counted = some.groupBy(F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B"))).alias("folder")).agg(
-            F.count(F.lit(1)).alias("rows"), *nulls
+        per_file = some.groupBy(file.alias("file")).agg(F.count(F.lit(1)).alias("rows"), *nulls)  # names are taken apart once a file
+        counted = per_file.groupBy(F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B"))).alias("folder")).agg(
+            *(F.sum(c).alias(c) for c in ["rows", *(f"n{i}" for i in range(len(columns)))])
         )
         found = {r.folder: (r.rows, {c: r[f"n{i}"] for i, c in enumerate(columns)}) for r in counted.collect()}
         rows += [(f, now[f], *found.get(f, (0, dict.fromkeys(columns, 0)))) for f in changed]
