@@ -118,3 +118,15 @@ def test_the_gate_parses_no_document_again(spark):
         below = lines[next(i for i, line in enumerate(lines) if "RepartitionByExpression" in line):]
         assert len(below) > 1 and "from_json" not in "".join(below)
         assert [r.event_id for r in rows.collect()] == kept
+
+
+def measured(profiles):
+    k = F.col("athlete_id").cast("int")
+    return profiles.withColumns({"height_cm": 150 + k % 60, "reach_cm": F.when(k % 9 != 0, 150 + k * 3 % 70)})
+
+
+def test_bins_are_found_without_lambdas(wide_tables, plan):
+    """Lambdas over the values of a key with very many records take minutes in one task."""
+    bouts, profiles = wide_tables
+    text = plan(gold.height_by_reach(bouts, measured(profiles)))
+    assert not any(f" {name}(" in text or f"({name}(" in text for name in ("transform", "aggregate", "array_max"))

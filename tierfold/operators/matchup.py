@@ -197,12 +197,16 @@ def _facing(
 
     A key is one row of its distinct values, however many records share it.
     """
-    sides = _side_values(bouts, index, attrs, dims, key)
-    every = F.collect_list(F.struct("side", *dims, *attrs, "is_winner", "weight")).alias("every")
-    rows = sides.groupBy(key).agg(every).select(F.col("every"), F.explode("every").alias("own"))
-    others = F.filter("every", lambda x: x["side"] != F.col("own.side"))
-    values = F.transform(others, lambda x: F.struct(*(x[a].alias(a) for a in attrs), x["weight"].alias("copies")))
-    return rows.select(*(F.col(f"own.{c}") for c in [*dims, *attrs, "is_winner", "weight"]), values.alias("values"))
+    rows = _side_values(bouts, index, attrs, dims, key)
+    own = F.struct(*dims, *attrs, "is_winner", "weight")
+    value = F.struct(*attrs, F.col("weight").alias("copies"))
+    lists = rows.groupBy(key).agg(
+        *(F.collect_list(F.when(F.col("side") == s, own)).alias(f"own_{s}") for s in FIGHTER_SIDES),
+        *(F.collect_list(F.when(F.col("side") != s, value)).alias(f"facing_{s}") for s in FIGHTER_SIDES),
+    )
+    sides = (F.struct(F.col(f"own_{s}").alias("own"), F.col(f"facing_{s}").alias("values")) for s in FIGHTER_SIDES)
+    found = lists.select(F.inline(F.array(*sides))).select(F.explode("own").alias("own"), "values")
+    return found.select("own.*", "values")
 
 
 def pairs_across_records(
@@ -215,10 +219,17 @@ def pairs_across_records(
     return long.select(*dims, *attrs, *theirs, "is_winner", (F.col("weight") * F.col("opp.copies")).alias("weight"))
 
 
-def split_by_key(bouts: DataFrame, key: str = "competition_id") -> KeySplit:
+def shared_keys(bouts: DataFrame, key: str = "competition_id") -> DataFrame:
+    """(_shared): the keys that more than one record has."""
+    return bouts.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").select(F.col(key).alias("_shared"))
+
+
+def split_by_key(bouts: DataFrame, key: str = "competition_id", shared: DataFrame | None = None) -> KeySplit:
     """Tell records that share their key from the others: a lazy plan, whose join the optimizer
-    chooses. Records without a key face nobody."""
-    shared = bouts.groupBy(key).count().where("count > 1").select(F.col(key).alias("_shared"))
+    chooses. Records without a key face nobody. ``shared`` are the :func:`shared_keys`, if they were
+    stored for several uses."""
+    if shared is None:
+        shared = shared_keys(bouts, key)
     marked = bouts.where(F.col(key).isNotNull()).join(shared, F.col(key) == F.col("_shared"), "left")
     return KeySplit(
         marked.where("_shared IS NULL").drop("_shared"), marked.where("_shared IS NOT NULL").drop("_shared")
@@ -251,9 +262,9 @@ Measures = Callable[[Column, Column], Column]
 
 
 def _low(value: Column, edges: Sequence[int]) -> Column:
-    """Lower edge of the bin of a clipped value, as one short expression: inside lambdas, a chain of
-    conditions costs more to plan than to run."""
-    return F.array_max(F.filter(F.array(*map(F.lit, edges[:-1])), lambda e: e <= value))
+    """Lower edge of the bin of a clipped value."""
+    below = [F.when(value >= e, F.lit(e)) for e in edges[:-1]]
+    return F.greatest(*below) if len(below) > 1 else below[0]
 
 
 def _binned(
@@ -262,37 +273,22 @@ def _binned(
     """Rows that carry their opponents' values as one array, as counted rows of bins, a bin being
     its lower edge. Rows that are ``mirrored`` also tell what their opponents see.
 
-    The array is binned and counted inside the row, so values multiply no rows.
+    Each value is a row only within its task, where the bins are counted before they travel.
     """
-    me, sides = F.struct(*attrs), ["mine", "theirs"]
-
-    def measured(v: Column) -> Column:
-        found = F.struct(measures(me, v).alias("mine"), measures(v, me).alias("theirs"))
-        return F.struct(found.alias("bins"), v["copies"].alias("copies"))
+    long = rows.select(*dims, *RESULTS, "mirrored", "weight", F.struct(*attrs).alias("me"), F.explode("values").alias("you"))
+    me, you = F.col("me"), F.col("you")
+    measured = long.select(
+        *dims, *RESULTS, "mirrored", (F.col("weight") * F.col("you.copies")).alias("weight"),
+        measures(me, you).alias("mine"), measures(you, me).alias("theirs"),
+    )
 
-    def low(x: Column) -> Column:
-        found = (F.struct(*(_low(x["bins"][s][c], e).alias(c) for c, e in edges.items())).alias(s) for s in sides)
-        return F.struct(F.struct(*found).alias("bins"), x["copies"].alias("copies"))
+    def way(won: str, bins: str) -> Column:
+        low = (_low(F.col(f"{bins}.{c}"), e).alias(c) for c, e in edges.items())
+        return F.struct(*low, F.col(won).alias("is_winner"))
 
-    def counts(binned: Column) -> Column:
-        copies = lambda b: F.aggregate(
-            F.filter(binned, lambda x: x["bins"].eqNullSafe(b)), F.lit(0).cast("long"), lambda n, x: n + x["copies"]
-        )
-        distinct = F.array_distinct(F.transform(binned, lambda x: x["bins"]))
-        each = F.transform(distinct, lambda b: F.struct(b.alias("bins"), copies(b).alias("copies")))
-        return F.when(F.size(binned) == 1, binned).otherwise(each)
-
-    # through a one-element array, so that the bins are found once
-    counted = F.get(F.transform(F.array(F.transform(F.transform("values", measured), low)), counts), F.lit(0))
-    long = rows.select(*dims, *RESULTS, "mirrored", "weight", F.inline(counted))
-    weight = F.col("weight") * F.col("copies")
-    ways = F.array(
-        F.struct(F.col("is_winner").alias("won"), F.col("bins.mine").alias("bins"), weight.alias("n")),
-        F.struct(F.col("opp_winner").alias("won"), F.col("bins.theirs").alias("bins"), F.when(F.col("mirrored"), weight).alias("n")),
-    )
-    each = long.select(*dims, F.inline(ways)).where("n IS NOT NULL")
-    each = each.select(*dims, F.col("won").alias("is_winner"), "bins.*", F.col("n").alias("weight"))
-    return _counted(each, *dims, *edges, "is_winner")
+    mine, theirs = way("is_winner", "mine"), F.when(F.col("mirrored"), way("opp_winner", "theirs"))
+    each = measured.select(*dims, "weight", F.explode(F.array(mine, theirs)).alias("way")).where("way IS NOT NULL")
+    return _counted(each.select(*dims, "way.*", "weight"), *dims, *edges, "is_winner")
 
 
 def binned_pairs(
