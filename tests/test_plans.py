@@ -130,3 +130,16 @@ def test_bins_are_found_without_lambdas(wide_tables, plan):
     bouts, profiles = wide_tables
     text = plan(gold.height_by_reach(bouts, measured(profiles)))
     assert not any(f" {name}(" in text or f"({name}(" in text for name in ("transform", "aggregate", "array_max"))
+
+
+def test_stored_shared_keys_spare_the_pairings_a_shuffle(spark, wide_tables, plan, tmp_path):
+    bouts, profiles = wide_tables[0].where("competition_id % 3 <> 0"), measured(wide_tables[1])
+    twice = bouts.unionByName(bouts.where("competition_id < 20"))
+    matchup.shared_keys(twice).write.parquet(str(tmp_path / "shared"))
+    stored = spark.read.parquet(str(tmp_path / "shared"))
+    split = matchup.split_by_key(twice, shared=stored)
+    assert split.shared.select("competition_id").distinct().count() == stored.count() > 0
+    own = plan(matchup.name_pairs(split.own, []))
+    assert "hashpartitioning(competition_id" not in own and "BroadcastHashJoin" in own
+    for mart in (gold.stance_overall, gold.height_by_reach):
+        assert set(mart(split, profiles).collect()) == set(mart(twice, profiles).collect())

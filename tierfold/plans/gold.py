@@ -22,6 +22,7 @@ from tierfold.operators.matchup import (
     matrix,
     name_index,
     name_rows,
+    shared_keys,
     split_by_key,
     unpivot_sides,
     weighted_pairs,
@@ -29,7 +30,7 @@ from tierfold.operators.matchup import (
     win_rate,
     with_win_rate,
 )
-from tierfold.sources import journal, publishing, tables
+from tierfold.sources import journal, publishing, storage, tables
 
 Bouts = DataFrame | KeySplit
 PROFILE_NAMES = ["full_name", "display_name"]
@@ -163,18 +164,20 @@ def build_gold(
     Readers see the marts of the last refresh until all of this one stand.
     """
     tables.create_database(spark, database, location)
-    paired = split_by_key(bouts)  # a lazy plan
     version, marts = publishing.next_version(spark, database), {}
 
     def store(name: str, df: DataFrame) -> None:
         step("mart")
         marts[name] = tables.materialize_mart(df, publishing.table_of(database, name, version))
 
-    store("stance_matchups", stance_by_class(paired, profiles))
-    store("stance_matchups_overall", rolled_up(marts["stance_matchups"], ["stance", "opp_stance"]))
-    store("style_matchups_overall", style_overall(paired, profiles))
-    store("team_performance", team_overall(bouts, profiles))
-    store("team_performance_year", team_by_year(bouts, profiles))
-    store("height_vs_reach_heatmap", height_by_reach(paired, profiles))
-    store("height_advantage_bins_overall", rolled_up(marts["height_vs_reach_heatmap"], ["height_adv_bin"]))
+    # a small table, in general, that spares each pairing to deal out the bouts by key
+    with storage.staged(shared_keys(bouts), "shared") as shared:
+        paired = split_by_key(bouts, shared=shared)
+        store("stance_matchups", stance_by_class(paired, profiles))
+        store("stance_matchups_overall", rolled_up(marts["stance_matchups"], ["stance", "opp_stance"]))
+        store("style_matchups_overall", style_overall(paired, profiles))
+        store("team_performance", team_overall(bouts, profiles))
+        store("team_performance_year", team_by_year(bouts, profiles))
+        store("height_vs_reach_heatmap", height_by_reach(paired, profiles))
+        store("height_advantage_bins_overall", rolled_up(marts["height_vs_reach_heatmap"], ["height_adv_bin"]))
     return publishing.publish(spark, database, list(marts), version, step)
