@@ -172,3 +172,30 @@ def test_batch_that_applies_as_a_whole_is_staged_once(spark, tmp_path, monkeypat
     assert staged["applied"] == [["id", "p", "_known", "_old_p"]]
     want = [(k, 7, "new") if k < 5 else (k, k % 3, "x" * 50) for k in range(20)]
     assert sorted(tuple(r) for r in table.select("id", "p", "text").collect()) == want
+
+
+@pytest.mark.parametrize("when, order", MODES)
+def test_large_merges_write_rows_without_gathering_them(spark, tmp_path, monkeypatch, when, order):
+    """Whole rows of a batch meet neither the target nor a shuffle; files that would be small are gathered."""
+    tables_of, staged, stage, replace = {}, [], tables.storage.staged, tables.journal.replace
+
+    def watched(df, purpose):
+        staged.extend((df.columns, df.count()) for _ in [0] if purpose == "applied")
+        return stage(df, purpose)
+
+    def replaced(spark, path, rows, *args, **more):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        replace(spark, path, rows, *args, **more)
+
+    monkeypatch.setattr(tables.storage, "staged", watched)
+    monkeypatch.setattr(tables.journal, "replace", replaced)
+    t, s = spark.createDataFrame(TARGET, SCHEMA), spark.createDataFrame(SOURCE, SCHEMA)
+    for rows_a_file, gathered in ((1000, True), (0, False)):
+        monkeypatch.setattr(tables, "ROWS_A_FILE", rows_a_file, raising=False)
+        path, plans = str(tmp_path / str(rows_a_file)), []
+        tables.merge_partitioned(spark, path, t, KEYS, "year")
+        tables_of[gathered] = bag(tables.merge_partitioned(spark, path, s, KEYS, "year", when, order))
+        assert len(plans) == 2 and all(("Rebalance" in p) == gathered for p in plans)
+    assert tables_of[True] == tables_of[False] == merged(TARGET, SOURCE, when)
+    both = {r[:2] for r in TARGET if None not in r[:2]} & {r[:2] for r in SOURCE}
+    assert staged == [([*KEYS, "year", "_known", "_old_year"], len(both))] * 2

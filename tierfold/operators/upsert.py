@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ALWAYS, NEWER, VERSION, NEVER = "always", "newer", "version", "never"
@@ -42,25 +42,28 @@ def _matched(
     return source.join(known, list(keys), "left")
 
 
-def applied_rows(
+def _wins(order: Sequence[str], when: str) -> Column:
+    """Whether a source row replaces the target row whose ``order`` columns are beside its own."""
+    if when == NEWER:
+        return F.col(_old(order[0])).isNull() | is_later(order)
+    return F.lit(when == ALWAYS) if when in (ALWAYS, NEVER) else is_later(order)
+
+
+def met_rows(
     source: DataFrame,
     target: DataFrame,
     keys: Sequence[str],
-    order: Sequence[str] = (),
-    when: str = ALWAYS,
-    carry: Sequence[str] = (),
+    order: Sequence[str],
+    when: str,
+    partition: str,
 ) -> DataFrame:
-    """The source rows that are new to the target or replace its row, with ``_known`` (whether
-    there is one) and that row's ``carry`` columns, prefixed ``_old_``: one pass over the target."""
-    found = _matched(source, target, keys, list(dict.fromkeys([*order, *carry])))
-    unknown = F.col("_known").isNull()
-    if when == NEWER:
-        wins = F.col(_old(order[0])).isNull() | is_later(order)
-    else:
-        wins = {ALWAYS: F.lit(True), NEVER: F.lit(False)}.get(when)
-        wins = is_later(order) if wins is None else wins
-    kept = found.where(unknown | wins)
-    return kept.select(*source.columns, "_known", *(_old(c) for c in carry))
+    """The keys that both sides hold, with the partition of the source's row, ``_known`` (whether it
+    is known to replace the target's, for any of the key's rows) and ``_old_<partition>``, where the
+    target's row is. No other columns travel, and a small source does not shuffle the target."""
+    old = target.select(*keys, *(F.col(c).alias(_old(c)) for c in dict.fromkeys([*order, partition])))
+    met = source.select(*dict.fromkeys([*keys, *order, partition])).join(old, list(keys))
+    known = F.max(_wins(order, when)).over(Window.partitionBy(*keys)).alias("_known")
+    return met.select(*dict.fromkeys([*keys, partition]), known, _old(partition))
 
 
 def changed_rows(
@@ -75,7 +78,8 @@ def changed_rows(
         return source
     if when == NEVER:
         return new_rows(source, target, keys)
-    return applied_rows(source, target, keys, order, when).select(*source.columns)
+    found = _matched(source, target, keys, order)
+    return found.where(F.col("_known").isNull() | _wins(order, when)).select(*source.columns)
 
 
 def new_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:

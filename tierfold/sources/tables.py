@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Collection, Iterable, Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
-from tierfold.operators.upsert import ALWAYS, align, applied_rows, check_unique, upsert
+from tierfold.operators.upsert import ALWAYS, align, check_unique, met_rows, upsert
 from tierfold.sources import journal, storage
 
 # Columns of the run log and of the watermark state.
@@ -21,6 +21,9 @@ RUN_LOG_SCHEMA = (
 )
 WATERMARK_SCHEMA = "last_event_date DATE, updated_at TIMESTAMP"
 
+#: A merge gathers rows by partition, at the price of a shuffle, if its files would have fewer rows.
+ROWS_A_FILE = 100_000
+
 #: Folder names of the generations of a state, before their number.
 GENERATION = "generation-"
 
@@ -81,35 +84,53 @@ def merge_partitioned(
     moves also leaves its old partition. They are replaced through a journal: a merge that is cut
     short has either changed nothing or is finished by the next reader or merge, and running the
     same batch again gives the same table. The batch is staged, so it is computed once; a key that
-    it holds twice raises. Partition values are handled one by one: the column must have few, such
-    as years or days.
+    it holds twice raises. Only keys and versions meet the target to find what is touched, and rows
+    are gathered by partition only where files would be small otherwise. Partition values are handled
+    one by one: the column must have few, such as years or days.
     """
     journal.recover(spark, path)
     if not storage.exists(spark, path):
         with storage.staged(source, "batch") as batch:
             check_unique(batch, keys)
-            replace_partitions(spark, path, batch, partition, step=step)
+            small = _small_files(spark, batch.count(), batch.select(partition).distinct().collect())
+            replace_partitions(spark, path, batch, partition, step=step, gather=small)
         return stored(spark, path, source, partition)
     target = stored(spark, path, source, partition)
     with storage.staged(align(source, target), "batch") as batch:
         check_unique(batch, keys)
-        # where every row applies, only keys need to meet the target
-        asking = batch.select(*dict.fromkeys([*keys, *order, partition])) if when == ALWAYS else batch
-        found = applied_rows(asking, target, keys, order, when, [partition])
+        found = met_rows(batch, target, keys, order, when, partition)
         with storage.staged(found, "applied") as applied:
             old = f"_old_{partition}"
-            moves = applied.select(partition, old, "_known").distinct().collect()
-            touched = {m[partition] for m in moves} | {m[old] for m in moves if m["_known"]}
+            arriving = {r[partition]: r["count"] for r in batch.groupBy(partition).count().collect()}
+            moves = applied.select("_known", old).distinct().collect()
+            if not all(m["_known"] for m in moves):
+                refused = applied.where("NOT _known").select(*dict.fromkeys([*keys, partition])).distinct()
+                for r in refused.groupBy(partition).count().collect():
+                    arriving[r[partition]] -= r["count"]
+            touched = {v for v, rows in arriving.items() if rows} | {m[old] for m in moves if m["_known"]}
             if touched:
-                listed = F.col(partition).isin([v for v in touched if v is not None])
-                within = target.where(listed | F.col(partition).isNull() if None in touched else listed)
-                kept = within.join(applied.select(*keys), list(keys), "left_anti")
-                taken = batch if when == ALWAYS else applied
+                listed, known = _any_of(partition, touched), {m["_known"] for m in moves}
+                kept, taken = target.where(listed), batch.where(listed)
+                small = _small_files(spark, kept.count() + sum(arriving.values()), touched)
+                if True in known:
+                    kept = kept.join(applied.where("_known").select(*keys), list(keys), "left_anti")
+                if False in known:
+                    taken = taken.join(applied.where("NOT _known").select(*keys), list(keys), "left_anti")
                 rows = kept.select(*target.columns).unionByName(taken.select(*target.columns))
-                replace_partitions(spark, path, rows, partition, touched, step)
+                replace_partitions(spark, path, rows, partition, touched, step, gather=small)
     return stored(spark, path, source, partition)
 
 
+def _any_of(partition: str, values: Iterable) -> Column:
+    listed = F.col(partition).isin([v for v in values if v is not None])
+    return listed | F.col(partition).isNull() if None in values else listed
+
+
+def _small_files(spark: SparkSession, rows: int, values: Collection) -> bool:
+    """Whether files would be small if a task of each core wrote one to each of these partitions."""
+    return rows < ROWS_A_FILE * len(values) * spark.sparkContext.defaultParallelism
+
+
 def replace_partitions(
     spark: SparkSession,
     path: str,
@@ -118,10 +139,12 @@ def replace_partitions(
     values: Iterable = (),
     step: journal.Step = journal._nothing,
     form: str = "parquet",
+    gather: bool = True,
 ) -> None:
     """Make ``rows`` the contents of the partitions they belong to and of those listed in
-    ``values``: one of these without rows goes. What is cut short is finished by the next reader."""
-    gathered = rows.hint("rebalance", F.col(partition))
+    ``values``: one of these without rows goes. What is cut short is finished by the next reader.
+    Without ``gather`` every task writes a file to each partition it has rows for."""
+    gathered = rows.hint("rebalance", F.col(partition)) if gather else rows
     folders = _folders(spark, partition, values, rows.schema[partition].dataType)
     journal.replace(spark, path, gathered, partition, folders, step, form)
 
