@@ -14,7 +14,7 @@ from tierfold.operators.dedupe import latest_per_key
 from tierfold.operators.quality import all_present, reject_counts, split_rejects
 from tierfold.operators.upsert import NEVER
 from tierfold.operators.windowing import advance_watermark, resolve_watermark
-from tierfold.plans.event_documents import bout_rows, event_rows
+from tierfold.plans.event_documents import BOUT_PARTS, bout_rows, event_rows, opened_bouts, read_bouts
 from tierfold.plans.profile_documents import profile_rows, unreadable
 from tierfold.sources import storage, tables
 
@@ -69,17 +69,17 @@ def stamped(rows: DataFrame, run: Run) -> DataFrame:
     return rows.withColumns({"ingestion_date": F.lit(run.day), "run_id": F.lit(run.run_id)})
 
 
-def _typed(rows: DataFrame, run: Run, ddl: str) -> DataFrame:
+def _typed(rows: DataFrame, run: Run, ddl: str, more: Sequence[str] = ()) -> DataFrame:
     dated = rows.withColumn("event_date", parse_iso_ts(F.col("event_date")))
     dated = dated.withColumn("event_year", F.year("event_date"))
     for key in BOUT_KEYS:
         if key in dated.columns:
             dated = dated.withColumn(key, F.nullif(F.col(key), F.lit("")))
-    return stamped(dated, run).select(*_columns(ddl))
+    return stamped(dated, run).select(*_columns(ddl), *more)
 
 
-def bronze_events(documents: DataFrame, run: Run) -> DataFrame:
-    return _typed(event_rows(documents), run, EVENTS_DDL)
+def bronze_events(documents: DataFrame, run: Run, parts: Sequence[str] = ()) -> DataFrame:
+    return _typed(event_rows(documents, parts=parts), run, EVENTS_DDL, parts)
 
 
 def bronze_bouts(documents: DataFrame, run: Run, refs: DataFrame | None = None) -> DataFrame:
@@ -166,14 +166,26 @@ def load_rows(
     """Gate, deduplicate and merge typed rows; returns the table and the counts of valid and
     rejected rows. The documents are parsed once, into a staged copy. Rejected rows of ``run`` are
     stored below ``rejects``; running a load again replaces its own, by none if it has none now."""
-    required = [*keys, "event_date", PARTITION]
     with storage.staged(rows, "typed") as typed:
-        counts = reject_counts(typed, required).first()
-        valid, rejected = split_rejects(typed, required)
-        if rejects:
-            store_rejects(spark, rejects, rejected, run, counts["rejected"])
-        batch = latest_per_key(valid, keys, ["event_date"], _tiebreak())
-        table = tables.merge_partitioned(spark, path, batch, keys, PARTITION)
+        return load_stored(spark, path, typed, keys, rejects, run)
+
+
+def load_stored(
+    spark: SparkSession,
+    path: str,
+    typed: DataFrame,
+    keys: list[str],
+    rejects: str | None = None,
+    run: Run | None = None,
+) -> tuple[DataFrame, Row]:
+    """:func:`load_rows` for typed rows that are stored, so that reading them again costs little."""
+    required = [*keys, "event_date", PARTITION]
+    counts = reject_counts(typed, required).first()
+    valid, rejected = split_rejects(typed, required)
+    if rejects:
+        store_rejects(spark, rejects, rejected, run, counts["rejected"])
+    with tables.latest_stored(valid, keys, ["event_date"], _tiebreak()) as batch:
+        table = tables.merge_partitioned(spark, path, batch, keys, PARTITION, prepared=True)
     return table, counts
 
 
@@ -186,19 +198,20 @@ def load_bronze(
 ) -> tuple[DataFrame, DataFrame]:
     """One load of event documents: both tables, the watermark and the run log.
 
-    A backfill first forgets what is there. Returns (events, bouts). The log row counts the merged
+    A backfill first forgets what is there. Returns (events, bouts). The documents are read and opened
+    once, into staged event rows that hold the texts of their bouts. The log row counts the merged
     rows, and as errors the rejected ones; a load that fails is logged as such.
     """
     started, counts, status = datetime.now(timezone.utc), (0, 0, 0), "FAILED"
     if run.mode == "backfill":
         tables.reset(spark, bronze.events, bronze.bouts, bronze.watermark)
     try:
-        events, e = load_rows(
-            spark, bronze.events, bronze_events(documents, run), EVENT_KEYS, bronze.rejects("events"), run
-        )
-        bouts, b = load_rows(
-            spark, bronze.bouts, bronze_bouts(documents, run, refs), BOUT_KEYS, bronze.rejects("bouts"), run
-        )
+        with storage.staged(bronze_events(documents, run, BOUT_PARTS), "opened") as opened:
+            events, e = load_stored(
+                spark, bronze.events, opened.drop(*BOUT_PARTS), EVENT_KEYS, bronze.rejects("events"), run
+            )
+            rows = _typed(read_bouts(opened_bouts(opened), refs), run, BOUTS_DDL)
+            bouts, b = load_rows(spark, bronze.bouts, rows, BOUT_KEYS, bronze.rejects("bouts"), run)
         loaded = events.where(F.col("run_id") == run.run_id)
         tables.save_watermark(advance_watermark(loaded, "event_date"), bronze.watermark)
         counts, status = (e.valid, b.valid, e.rejected + b.rejected), "SUCCESS"

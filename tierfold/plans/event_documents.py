@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +50,9 @@ LINKS = struct_of(
 #: The longest way: bout, competitors, competitor, athlete.
 HOPS = 4
 
+#: Columns of an event row that its bouts are read from.
+BOUT_PARTS = ["bout_date", "bout_texts"]
+
 
 def _opened(documents: DataFrame, payload: str) -> DataFrame:
     """(event, short_name, first, raw_payload): the event, out of its ``header`` envelope if it
@@ -68,10 +73,12 @@ def _headline(notes: Column) -> Column:
     return F.get(notes, F.lit(0))["headline"]
 
 
-def event_rows(documents: DataFrame, payload: str = "payload") -> DataFrame:
+def event_rows(documents: DataFrame, payload: str = "payload", parts: Sequence[str] = ()) -> DataFrame:
     """One row per event document; ``event_date`` is still text.
 
-    An unreadable document gives a row with an empty id, which the bronze gate rejects.
+    An unreadable document gives a row with an empty id, which the bronze gate rejects. ``parts`` may
+    be ``BOUT_PARTS``, what :func:`opened_bouts` takes: stored with the rows, it spares the documents
+    of a load a second parse.
     """
 
     def either(field: str) -> tuple[Column, Column]:
@@ -92,19 +99,26 @@ def event_rows(documents: DataFrame, payload: str = "payload") -> DataFrame:
         ).alias("status"),
         F.coalesce(F.size("event.competitions"), F.lit(0)).alias("num_fights"),
         "raw_payload",
+        *(c for c in _bout_parts() if parts),
     )
 
 
-def _bout_texts(documents: DataFrame, payload: str) -> DataFrame:
+def _bout_parts() -> list[Column]:
+    """The date as an event's bouts take it, and their texts, of an opened document."""
     first = F.get("event.competitions", F.lit(0))
     date = first_text(F.col("event.date"), F.get_json_object(first, "$.date"))
-    return unnest(
-        _opened(documents, payload),
-        [F.coalesce("event.id", F.lit("")).alias("event_id"), date.alias("event_date")],
-        "event.competitions",
-        "bout_text",
-        "bout_index",
-    )
+    return [c.alias(name) for c, name in zip((date, F.col("event.competitions")), BOUT_PARTS)]
+
+
+def opened_bouts(events: DataFrame) -> DataFrame:
+    """(event_id, event_date, bout_index, bout_text): one row per bout of events with ``BOUT_PARTS``."""
+    date, texts = BOUT_PARTS
+    event_id = F.coalesce("event_id", F.lit("")).alias("event_id")
+    return unnest(events, [event_id, F.col(date).alias("event_date")], texts, "bout_text", "bout_index")
+
+
+def _bout_texts(documents: DataFrame, payload: str) -> DataFrame:
+    return opened_bouts(_opened(documents, payload).select(F.col("event.id").alias("event_id"), *_bout_parts()))
 
 
 def exploded_bouts(documents: DataFrame, payload: str = "payload") -> DataFrame:
@@ -203,7 +217,12 @@ def stats_map(stats: Column) -> Column:
 def bout_rows(
     documents: DataFrame, refs: DataFrame | None = None, payload: str = "payload"
 ) -> DataFrame:
-    """One row per bout with both competitors; ``event_date`` is still text.
+    """One row per bout with both competitors; ``event_date`` is still text. See :func:`read_bouts`."""
+    return read_bouts(_bout_texts(documents, payload), refs)
+
+
+def read_bouts(texts: DataFrame, refs: DataFrame | None = None) -> DataFrame:
+    """One row per bout with both competitors, from the rows of :func:`opened_bouts`.
 
     ``refs`` (url, payload) holds the documents that pointers may lead to. Each bout first gets all
     that it can lead to; then pointers are followed within the row, level by level, since a bout's
@@ -216,12 +235,10 @@ def bout_rows(
         return resolve_refs(df, F.col("held"), columns, text_of={"bout": "bout_text"})
 
     held = [] if refs is None else ["held"]
-    bouts = exploded_bouts(documents, payload)
     if refs is not None:
         by = ["event_id", "bout_index", "bout_text"]
-        texts = with_documents(_bout_texts(documents, payload), refs, "bout_text", by, bout_pointers, HOPS)
-        bouts = texts.withColumn("bout", F.from_json("bout_text", BOUT))
-    bouts = follow(bouts, bout=BOUT)
+        texts = with_documents(texts, refs, "bout_text", by, bout_pointers, HOPS)
+    bouts = follow(texts.withColumn("bout", F.from_json("bout_text", BOUT)), bout=BOUT)
     # A list that was declared as such is NULL where the document has a pointer to it.
     boxed = F.from_json("bout_text", struct_of(competitors=COMPETITOR_BOX))["competitors"]
     bouts = bouts.select(

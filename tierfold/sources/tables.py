@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Iterable, Sequence
+from collections.abc import Collection, Iterable, Iterator, Sequence
+from contextlib import AbstractContextManager, contextmanager, nullcontext
 from datetime import datetime
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
+from tierfold.operators.dedupe import latest_per_key
 from tierfold.operators.upsert import ALWAYS, align, check_unique, met_rows, upsert
 from tierfold.sources import journal, storage
 
@@ -24,6 +27,9 @@ WATERMARK_SCHEMA = "last_event_date DATE, updated_at TIMESTAMP"
 #: A merge gathers rows by partition, at the price of a shuffle, if its files would have fewer rows.
 ROWS_A_FILE = 100_000
 
+#: The share of rows whose keys come twice, above which all rows of a load are gathered by key.
+REPEATED = 0.1
+
 #: Folder names of the generations of a state, before their number.
 GENERATION = "generation-"
 
@@ -77,6 +83,7 @@ def merge_partitioned(
     when: str = ALWAYS,
     order: Sequence[str] = (),
     step: journal.Step = journal._nothing,
+    prepared: bool = False,
 ) -> DataFrame:
     """Upsert into a partitioned parquet folder, rewriting only the partitions it touches.
 
@@ -84,25 +91,33 @@ def merge_partitioned(
     moves also leaves its old partition. They are replaced through a journal: a merge that is cut
     short has either changed nothing or is finished by the next reader or merge, and running the
     same batch again gives the same table. The batch is staged, so it is computed once; a key that
-    it holds twice raises. Only keys and versions meet the target to find what is touched, and rows
-    are gathered by partition only where files would be small otherwise. Partition values are handled
-    one by one: the column must have few, such as years or days.
+    it holds twice raises. A ``prepared`` batch comes from :func:`latest_stored`, which has done both.
+    Only keys and versions meet the target to find what is touched, and rows are gathered by partition
+    only where files would be small otherwise. Of a partition that is replaced as a whole, no row is
+    read, and where none is replaced, none is joined. Partition values are handled one by one: the
+    column must have few, such as years or days.
     """
+
+    def ready(batch: DataFrame) -> AbstractContextManager[DataFrame]:
+        return nullcontext(batch) if prepared else storage.staged(batch, "batch")
+
     journal.recover(spark, path)
     if not storage.exists(spark, path):
-        with storage.staged(source, "batch") as batch:
-            check_unique(batch, keys)
+        with ready(source) as batch:
+            if not prepared:
+                check_unique(batch, keys)
             small = _small_files(spark, batch.count(), batch.select(partition).distinct().collect())
             replace_partitions(spark, path, batch, partition, step=step, gather=small)
         return stored(spark, path, source, partition)
     target = stored(spark, path, source, partition)
-    with storage.staged(align(source, target), "batch") as batch:
-        check_unique(batch, keys)
+    with ready(align(source, target)) as batch:
+        if not prepared:
+            check_unique(batch, keys)
         found = met_rows(batch, target, keys, order, when, partition)
         with storage.staged(found, "applied") as applied:
             old = f"_old_{partition}"
             arriving = {r[partition]: r["count"] for r in batch.groupBy(partition).count().collect()}
-            moves = applied.select("_known", old).distinct().collect()
+            moves = applied.groupBy("_known", old).count().collect()
             if not all(m["_known"] for m in moves):
                 refused = applied.where("NOT _known").select(*dict.fromkeys([*keys, partition])).distinct()
                 for r in refused.groupBy(partition).count().collect():
@@ -110,17 +125,48 @@ def merge_partitioned(
             touched = {v for v, rows in arriving.items() if rows} | {m[old] for m in moves if m["_known"]}
             if touched:
                 listed, known = _any_of(partition, touched), {m["_known"] for m in moves}
-                kept, taken = target.where(listed), batch.where(listed)
-                small = _small_files(spark, kept.count() + sum(arriving.values()), touched)
-                if True in known:
-                    kept = kept.join(applied.where("_known").select(*keys), list(keys), "left_anti")
+                held = {r[partition]: r["count"] for r in target.where(listed).groupBy(partition).count().collect()}
+                small = _small_files(spark, sum(held.values()) + sum(arriving.values()), touched)
+                left = {m[old]: m["count"] for m in moves if m["_known"]}
+                taken = batch.where(listed)
                 if False in known:
                     taken = taken.join(applied.where("NOT _known").select(*keys), list(keys), "left_anti")
-                rows = kept.select(*target.columns).unionByName(taken.select(*target.columns))
+                parts = [taken]
+                if same := held.keys() - left.keys():
+                    parts.insert(0, target.where(_any_of(partition, same)))
+                if fewer := {v for v, rows in left.items() if rows < held[v]}:
+                    kept, gone = target.where(_any_of(partition, fewer)), applied.where("_known").select(*keys)
+                    parts.insert(0, kept.join(gone, list(keys), "left_anti"))
+                rows = reduce(DataFrame.unionByName, (p.select(*target.columns) for p in parts))
                 replace_partitions(spark, path, rows, partition, touched, step, gather=small)
     return stored(spark, path, source, partition)
 
 
+@contextmanager
+def latest_stored(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column], tiebreak: Sequence[str | Column] = ()
+) -> Iterator[DataFrame]:
+    """:func:`latest_per_key` for rows that are stored; the result is stored, too, until the block ends.
+
+    Keys are counted by a hash. Where few come twice, only rows of such a hash travel: the other rows
+    are read where they are.
+    """
+    hashed = rows.withColumn("_hash", F.xxhash64(*keys))
+    many = hashed.groupBy("_hash").count().where("count > 1")
+    with storage.staged(many, "repeated") as repeated:
+        twice = repeated.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+        if twice > REPEATED * rows.count():
+            with storage.staged(latest_per_key(rows, keys, order, tiebreak), "batch") as batch:
+                yield batch
+        elif twice:
+            again = hashed.join(repeated.select("_hash"), ["_hash"], "left_semi").select(*rows.columns)
+            with storage.staged(latest_per_key(again, keys, order, tiebreak), "latest") as latest:
+                once = hashed.join(repeated.select("_hash"), ["_hash"], "left_anti").select(*rows.columns)
+                yield once.unionByName(latest)
+        else:
+            yield rows
+
+
 def _any_of(partition: str, values: Iterable) -> Column:
     listed = F.col(partition).isin([v for v in values if v is not None])
     return listed | F.col(partition).isNull() if None in values else listed
