@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from checks.documents import event_documents
 from tierfold.operators.dedupe import latest_per_key
+from tierfold.operators.refs import with_documents
 from tierfold.plans import bronze
 from tierfold.plans import event_documents as E
 from tierfold.sources import tables
@@ -109,3 +110,27 @@ def test_documents_are_built_without_lambdas(spark, tmp_path, plan):
     assert {r[0]: r[1] for r in rows.collect()} == {
         "5": ["50", "51", "52"], "6": ["60"], "7": ["70", "71"], "-1": ["-10", "-11"], "-5": ["-50", "-51", "-52"],
     }
+
+
+def test_pointers_are_found_without_lambdas(spark, plan):
+    """Each text is parsed once for its pointers, and no filter on them parses it again below."""
+    u = lambda name: {"$ref": f"http://{name}"}
+    pair = [{"athlete": u("a"), **u("c")}, {"statistics": u("s")}, u("third")]
+    cases = [
+        ({"weightClass": u("w"), "status": u("t"), "competitors": pair}, "w t a c s"),
+        ({"competitors": {**u("box"), "items": pair}, "weight": u("w")}, "box w a c s"),
+        ({"items": pair, **u("self"), "athlete": u("x"), "statistics": u("y")}, "self x y a c s"),
+        ({"competitors": "text", "statistics": [u("in a list")], "weight": {"$ref": ""}}, ""),
+    ]
+    texts = [(json.dumps(o), {f"http://{n}" for n in names.split()}) for o, names in cases] + [("{broken", set()), (None, set())]
+    rows = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "n INT, text STRING")
+    found = E.bout_pointers(rows, "text", "urls")
+    assert "lambdafunction" not in plan(found) and found.columns == ["n", "text", "urls"]
+    box = {"http://box"}  # an object of competitors is taken as a list of one, and as a box
+    for r in found.collect():
+        assert set(filter(None, r.urls)) - box == texts[r.n][1] - box
+    refs = spark.createDataFrame([("http://a", '{"fullName": "A"}')], "url STRING, payload STRING")
+    held = with_documents(rows, refs, "text", ["n"], E.bout_pointers, E.HOPS)
+    lines = held._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not [line for line in lines if "Filter" in line and "from_json" in line]
+    assert {r.n: r.held for r in held.collect()} == {n: {"http://a": '{"fullName": "A"}'} if n < 3 else None for n in range(6)}

@@ -24,19 +24,23 @@ def with_documents(
     documents: DataFrame,
     text: str,
     by: Sequence[str],
-    pointers: Callable[[Column], Column],
+    pointers: Callable[[DataFrame, str, str], DataFrame],
     hops: int,
     held: str = "held",
 ) -> DataFrame:
     """``rows`` with a map ``held`` of the (url, payload) documents that the pointers in the JSON
     text ``text`` lead to, directly or by way of other documents, NULL where there are none.
 
-    ``pointers`` gives the urls in a text that may be followed, ``hops`` how many of them one after
-    the other. The rows are shuffled once, by a hash of ``by``, which spreads them whatever they point
+    ``pointers`` adds a list of the urls in a text column that may be followed, under the name given;
+    ``hops`` is how many of them are followed one after the other. The rows are shuffled once, by a hash of ``by``, which spreads them whatever they point
     to; the urls meet the documents without the rows. Rows of equal hash hold each other's documents.
     """
+
+    def listed(df: DataFrame, text: str, of: Column, url: str) -> DataFrame:
+        return unnest(pointers(df, text, "_urls"), [of], "_urls", url).where(F.col(url) != "").drop("position")
+
     found = _payloads(documents)
-    links = found.select(F.col("url").alias("_from"), F.explode(pointers(F.col("payload"))).alias("_to"))
+    links = listed(found, "payload", F.col("url").alias("_from"), "_to")
     steps = [found.select("url", F.col("url").alias("to"))]
     for _ in range(hops - 1):
         further = steps[-1].join(links, F.col("to") == F.col("_from"))
@@ -44,7 +48,7 @@ def with_documents(
     reached = reduce(DataFrame.unionAll, steps).distinct().withColumnRenamed("url", "_url")
     reached = reached.join(found, F.col("to") == F.col("url")).select("_url", "to", "payload")
     key = F.xxhash64(*by)
-    asked = rows.select(key.alias("_asking"), F.explode(pointers(F.col(text))).alias("_asked"))
+    asked = listed(rows, text, key.alias("_asking"), "_asked")
     lists = asked.join(reached, F.col("_asked") == F.col("_url")).groupBy("_asking").agg(
         F.map_from_entries(F.collect_set(F.struct("to", "payload"))).alias(held)
     )

@@ -126,30 +126,31 @@ def exploded_bouts(documents: DataFrame, payload: str = "payload") -> DataFrame:
     return _bout_texts(documents, payload).withColumn("bout", F.from_json("bout_text", BOUT))
 
 
-def bout_pointers(text: Column) -> Column:
-    """Urls that a bout, or a document that a bout leads to, may be followed to."""
-    none = F.array().cast("array<string>")
+def bout_pointers(rows: DataFrame, text: str, urls: str) -> DataFrame:
+    """``rows`` with the urls that a bout, or a document that a bout leads to, may be followed to.
+
+    ``urls`` lists them, with NULLs and empty texts among them. No lambda is used, since it would not be
+    compiled; each text is parsed in a step of its own, so that it is parsed once.
+    """
 
     def of_statistics(c: Column) -> Column:
         return F.when(is_object(c["statistics"]), F.from_json(c["statistics"], LINK))[REF]
 
-    def of_pair(competitors: Column) -> Column:
-        found = F.transform(
-            F.slice(competitors, 1, 2), lambda c: F.array(c[REF], c["athlete"][REF], of_statistics(c))
-        )
-        return F.coalesce(F.flatten(found), none)
-
-    def urls(o: Column) -> Column:
-        listed = F.from_json(o["competitors"], f"ARRAY<{LINKED}>")  # an object gives a list of one
-        boxed = F.when(is_object(o["competitors"]), F.from_json(o["competitors"], struct_of(items=f"ARRAY<{LINKED}>")))
-        own = F.array(
-            o[REF], *(o[c][REF] for c in ("weightClass", "weight", "status", "athlete")), of_statistics(o)
-        )
-        every = F.concat(own, of_pair(listed), of_pair(boxed["items"]), of_pair(o["items"]))
-        return F.array_distinct(F.filter(every, lambda u: u != ""))
+    def of_pair(competitors: Column) -> list[Column]:
+        pair = [F.get(competitors, F.lit(i)) for i in range(2)]
+        return [url for c in pair for url in (c[REF], c["athlete"][REF], of_statistics(c))]
 
-    # Through a one-element array, so that the text is parsed once.
-    return F.get(F.transform(F.array(F.from_json(text, LINKS)), urls), F.lit(0))
+    o, boxes = F.col("_links"), F.col("_links.competitors")
+    parsed = rows.withColumn("_links", F.from_json(text, LINKS)).withColumns(
+        {
+            "_listed": F.from_json(boxes, f"ARRAY<{LINKED}>"),  # an object gives a list of one
+            "_boxed": F.when(is_object(boxes), F.from_json(boxes, struct_of(items=f"ARRAY<{LINKED}>"))),
+        }
+    )
+    own = [o[REF], *(o[c][REF] for c in ("weightClass", "weight", "status", "athlete")), of_statistics(o)]
+    pairs = [url for c in (F.col("_listed"), F.col("_boxed.items"), o["items"]) for url in of_pair(c)]
+    found = F.array_distinct(F.array(*own, *pairs))
+    return parsed.withColumn(urls, found).drop("_links", "_listed", "_boxed")
 
 
 def exploded_competitors(documents: DataFrame, payload: str = "payload") -> DataFrame:
